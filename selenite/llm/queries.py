@@ -1,0 +1,38 @@
+"""The registered queries of this folder: thin digests of what the operators return."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import chat, decontam, mixing, topk, urls
+from .common import table
+
+
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings")
+    return topk.top_k(e.filter("vec_id % 50 = 0"), e, 5)
+
+
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    return chat.digests(chat.format_turns(t.unionByName(probe)))
+
+
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), urls.fit(spark))
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontam.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
+
+
+def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_topk, op2_chat, op3_urls, op9_decontaminate, op10_mix)}
+ORACLES: dict[str, str] = {}
