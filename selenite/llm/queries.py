@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, mixing, topk, urls
+from . import chat, decontam, langid, mixing, simhash, topk, toxicity, urls
 from .common import table
 
 
@@ -25,6 +25,23 @@ def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), urls.fit(spark))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", langid.held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontam.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
@@ -34,5 +51,5 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_chat, op3_urls, op9_decontaminate, op10_mix)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_chat, op3_urls, op5_toxicity, op6_simhash, op7_langid, op9_decontaminate, op10_mix)}
 ORACLES: dict[str, str] = {}
