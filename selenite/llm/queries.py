@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, mixing, simhash, topk, toxicity, urls
+from . import chat, decontam, langid, mixing, simhash, substrings, topk, toxicity, urls
 from .common import table
 
 
@@ -25,6 +25,11 @@ def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), urls.fit(spark))
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.repeated_words(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -51,5 +56,5 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_chat, op3_urls, op5_toxicity, op6_simhash, op7_langid, op9_decontaminate, op10_mix)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_chat, op3_urls, op4_substrings, op5_toxicity, op6_simhash, op7_langid, op9_decontaminate, op10_mix)}
 ORACLES: dict[str, str] = {}
