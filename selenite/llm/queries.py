@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, mixing, simhash, substrings, topk, toxicity, urls
+from . import chat, decontam, langid, mixing, simhash, substrings, suffixes, topk, toxicity, urls
 from .common import table
 
 
@@ -47,6 +47,11 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.repeated_bytes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontam.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
@@ -56,5 +61,5 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_chat, op3_urls, op4_substrings, op5_toxicity, op6_simhash, op7_langid, op9_decontaminate, op10_mix)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_chat, op3_urls, op4_substrings, op5_toxicity, op6_simhash, op7_langid, op8_suffixes, op9_decontaminate, op10_mix)}
 ORACLES: dict[str, str] = {}
