@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import relational
+from . import raster, relational
 
-QUERIES = {**relational.Q}
-ORACLES = {**relational.O}
+QUERIES = {**relational.Q, **raster.Q}
+ORACLES = {**relational.O, **raster.O}
