@@ -3,7 +3,7 @@
 A window's key is the smallest hash of its 20-byte strings, so equal windows, wherever they are, meet under one key, and what
 must be ordered together is split by key instead of standing in one index of the whole corpus. Runs of windows that are equal
 as a whole are settled by their signatures. The others' bytes go to their key's bucket: there each shard (the
-strings of some batches) gets its BWT, the transforms are merged by interleave refinement to a depth of 50, and each
+strings of some batches) gets its BWT, the transforms are merged by interleave refinement, seven symbols a round, to a depth of 50, and each
 interval of the merged order is one repeated string, with the smallest id that has it.
 """
 
@@ -11,14 +11,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 from . import bwt
 from .substrings import _chunks, names
 from .windows import MASK48, Batch, Runs, covered, mixed, ranges, runs_of, spans_of
 
 WINDOW, GRAM, SHARDS = 50, 20, 32
+#: Rounds of refinement after the first symbol, seven symbols each.
+ROUNDS = (WINDOW - 1) // bwt.PACK
 _CHUNK = 1 << 18
 
 
@@ -45,6 +49,30 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def shared_context(data: np.ndarray, length: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which strings may have a 50-byte window with another id's: the gram that is their key has 15 more bytes of any window on
+    its right or its left, and strings that share a window share these 35 bytes. Strings with the gram twice are kept."""
+    more = (WINDOW - GRAM) // 2
+    start = np.cumsum(length) - length
+    left = (np.repeat(start + length, length) - np.arange(len(data)))[: len(data) - GRAM + 1]
+    h = np.where(left >= GRAM, gram_hashes(data), np.uint64(2**64 - 1))
+    at = np.flatnonzero(h == np.repeat(np.minimum.reduceat(h, start), length)[: len(h)])
+    own = np.searchsorted(start, at, side="right") - 1
+    kept = np.bincount(own, minlength=len(length)) > 1
+    first = np.zeros(len(length), np.int64)
+    first[own] = at
+    for there, a in ((first + GRAM + more <= start + length, first), (first - more >= start, first - more)):
+        i = np.flatnonzero(there)
+        if len(i):
+            name = names(data, a[i], a[i] + GRAM + more)
+            order = np.argsort(name, kind="stable")
+            new = np.flatnonzero(np.concatenate([[True], name[order][1:] != name[order][:-1]]))
+            d = ids[i[order]]
+            several = np.minimum.reduceat(d, new) != np.maximum.reduceat(d, new)
+            kept[i[order[np.repeat(several, np.diff(np.append(new, len(i))))]]] = True
+    return kept
+
+
 class ByteScheme:
     window, dtype = WINDOW, np.uint8
 
@@ -81,31 +109,32 @@ class ByteScheme:
 
     def compare(self, key: list[np.ndarray], doc: list[np.ndarray], n: list[np.ndarray], symbols: list[np.ndarray]) -> list[np.ndarray]:
         """For each window of the open runs, whether an earlier document has its 50 bytes too."""
-        groups = [range(i, len(n), min(SHARDS, len(n))) for i in range(min(SHARDS, len(n)))]
-        windows = [np.concatenate([n[i] for i in g]) for g in groups]
-        docs = [np.concatenate([doc[i] for i in g]) for g in groups]
-        shards = [(np.concatenate([symbols[i] for i in g]), w + WINDOW - 1) for g, w in zip(groups, windows, strict=True)]
-        z, place, interval = bwt.repeated(shards, WINDOW)
-        hits = [np.zeros(int(w.sum()), bool) for w in windows]
-        if len(z):
-            ids, at = np.empty(len(z), np.int64), np.empty(len(z), np.int64)
-            for s, (w, d) in enumerate(zip(windows, docs, strict=True)):
-                mine = np.flatnonzero(z == s)
-                start = np.cumsum(w + WINDOW) - (w + WINDOW)
-                string = np.searchsorted(start, place[mine], side="right") - 1
-                ids[mine] = d[string]
-                at[mine] = place[mine] - start[string] + (np.cumsum(w) - w)[string]
-            starts = np.flatnonzero(np.concatenate([[True], interval[1:] != interval[:-1]]))
-            least = np.minimum.reduceat(ids, starts)
-            hit = ids > np.repeat(least, np.diff(np.append(starts, len(ids))))
-            for s in range(len(groups)):
-                mine = hit & (z == s)
-                hits[s][at[mine]] = True
-        out: list[np.ndarray] = [np.zeros(0, bool)] * len(n)
-        for g, h in zip(groups, hits, strict=True):
-            for i, part in zip(g, np.split(h, np.cumsum([int(n[i].sum()) for i in g])[:-1]), strict=True):
-                out[i] = part
-        return out
+        rows = np.repeat(np.arange(len(n)), [len(x) for x in n])
+        ids, count, data = np.concatenate(doc), np.concatenate(n), np.concatenate(symbols)
+        length = count + WINDOW - 1
+        kept = np.flatnonzero(shared_context(data, length, ids))
+        out = np.zeros(int(count.sum()), bool)
+        if len(kept):
+            self._merge(out, data, kept, rows[kept] % SHARDS, ids, count, length)
+        return np.split(out, np.cumsum([int(x.sum()) for x in n])[:-1])
+
+    def _merge(self, out: np.ndarray, data: np.ndarray, kept: np.ndarray, shard: np.ndarray, ids: np.ndarray, count: np.ndarray, length: np.ndarray) -> None:
+        """Sets out where a window of the ``kept`` strings is also in one of a smaller id; shard: of each of these."""
+        strings = [kept[shard == s] for s in np.unique(shard)]
+        base, window = np.cumsum(length) - length, np.cumsum(count) - count
+        z, place, interval = bwt.repeated([(data[ranges(base[k], length[k])], length[k]) for k in strings], ROUNDS)
+        if not len(z):
+            return
+        doc, at = np.empty(len(z), np.int64), np.empty(len(z), np.int64)
+        for s, k in enumerate(strings):
+            mine = np.flatnonzero(z == s)
+            start = np.cumsum(length[k] + 1) - (length[k] + 1)
+            string = np.searchsorted(start, place[mine], side="right") - 1
+            doc[mine] = ids[k[string]]
+            at[mine] = window[k[string]] + place[mine] - start[string]
+        starts = np.flatnonzero(np.concatenate([[True], interval[1:] != interval[:-1]]))
+        least = np.minimum.reduceat(doc, starts)
+        out[at[doc > np.repeat(least, np.diff(np.append(starts, len(doc))))]] = True
 
 
 _DONE = "doc_id long, n_bytes long, n_removed long, spans array<struct<first:bigint,last:bigint>>, kept binary"
@@ -130,16 +159,23 @@ def repeated_bytes(documents: DataFrame) -> DataFrame:
     return covered(documents, ByteScheme(), F.col("doc_id"), F.col("text"), _finish, _DONE)
 
 
-def _characters(b: Batch, mask: np.ndarray) -> pa.Table:
-    """Only characters of which every byte is covered go, so that what is left is UTF-8."""
-    lead = (b.bytes & 0xC0) != 0x80
-    if len(mask):
-        starts = np.flatnonzero(lead)
-        mask = np.repeat(np.logical_and.reduceat(mask, starts), np.diff(np.append(starts, len(mask))))
-    t = _finish(b, mask)
-    return pa.table({"row": b.ids, "text": t["kept"].cast(pa.string()), "n_removed": t["n_removed"]})
-
-
 def without_repeats(documents: DataFrame) -> DataFrame:
-    """doc_id, text: ``documents``' texts without what repeated_bytes() removes, by whole characters; n_removed bytes."""
-    return covered(documents, ByteScheme(), F.col("doc_id"), F.col("text"), _characters, "row long, text string, n_removed long").withColumnRenamed("row", "doc_id")
+    """``documents`` with what repeated_bytes() removes cut out of text, and n_removed (bytes) added or replaced.
+
+    Only characters of which every byte is covered go, so that what is left is UTF-8. A text that is cut stays null only if
+    it was null. All other columns stay as they are.
+    """
+    base = documents.drop("n_removed")
+    columns = base.columns
+    mine = {c: f"_{i}" for i, c in enumerate(columns) if c != "text"}  # names that can't clash with the exchange's own
+
+    def finish(b: Batch, mask: np.ndarray) -> pa.Table:
+        if len(mask):
+            starts = np.flatnonzero((b.bytes & 0xC0) != 0x80)
+            mask = np.repeat(np.logical_and.reduceat(mask, starts), np.diff(np.append(starts, len(mask))))
+        t = _finish(b, mask)
+        text = pc.if_else(pc.is_valid(b.table["text"].combine_chunks()), t["kept"].combine_chunks(), pa.scalar(None, pa.binary())).cast(pa.string())
+        return pa.table({c: text if c == "text" else b.table[mine[c]] for c in columns} | {"n_removed": t["n_removed"]})
+
+    schema = StructType(list(base.schema.fields)).add("n_removed", LongType())
+    return covered(documents, ByteScheme(), F.col("doc_id"), F.col("text"), finish, schema, tuple(F.col(c).alias(m) for c, m in mine.items()))

@@ -23,10 +23,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import blocks_for, text_bytes
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
+#: Buckets of the second round for each of the first.
+FINER = 4
 MASK48 = np.uint64((1 << 48) - 1)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -87,6 +90,7 @@ class Batch:
             texts = texts.chunk(0) if texts.num_chunks else pa.array([], pa.binary())
         if isinstance(ids, pa.ChunkedArray):
             ids = ids.chunk(0) if ids.num_chunks else pa.array([], pa.int64())
+        self.table = table
         self.ids, self.known = ids, np.asarray(ids.is_valid())
         self.id = np.asarray(ids.fill_null(0)).astype(np.int64)
         ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
@@ -165,11 +169,12 @@ def ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(first - (np.cumsum(n) - n), n)
 
 
-def covered(documents: DataFrame, scheme, doc_id: Column, text: Column, finish, schema: str) -> DataFrame:
-    """The rows that finish(batch, mask of covered symbols) makes of each batch."""
-    docs = documents.select(doc_id.cast("long").alias("doc_id"), text.cast("string").alias("text"))
+def covered(documents: DataFrame, scheme, doc_id: Column, text: Column, finish, schema: StructType | str, more: tuple[Column, ...] = ()) -> DataFrame:
+    """The rows that finish(batch, mask of covered symbols) makes of each batch; it finds the columns ``more`` in batch.table."""
+    docs = documents.select(doc_id.cast("long").alias("doc_id"), text.cast("string").alias("text"), *more)
+    more = docs.columns[2:]
     n = blocks_for(text_bytes(docs), BATCH_BYTES, 32)
-    docs = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("batch"), "doc_id", F.col("text").cast("binary").alias("text"))
+    docs = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("batch"), "doc_id", F.col("text").cast("binary").alias("text"), *more)
 
     def send(t: pa.Table) -> pa.Table:
         b, rows = Batch(t, scheme), []
@@ -187,7 +192,7 @@ def covered(documents: DataFrame, scheme, doc_id: Column, text: Column, finish,
             b = Batch(left, scheme)
             codes = b.codes(right, n)
             home = left["batch"][0].as_py()
-            for bucket, e in b.by_bucket(np.flatnonzero(codes == OPEN), n, 2):
+            for bucket, e in b.by_bucket(np.flatnonzero(codes == OPEN), FINER * n, 2):
                 lead = b.lead[e]
                 at, m = b.runs.first[lead], b.runs.n[lead]
                 rows.append((bucket, home, packed(b.key[e]), packed(b.doc[e]), packed(m.astype(np.int64)), scheme.cut(b.symbols, at, m + scheme.window - 1).tobytes()))
@@ -208,13 +213,13 @@ def covered(documents: DataFrame, scheme, doc_id: Column, text: Column, finish,
         got = {k: np.frombuffer(p, np.uint8) for k, q, p in zip(right["bucket"].to_pylist(), right["round"].to_pylist(), right["answer"].to_pylist(), strict=True) if q == 2}
         offset = np.full(len(b.key), -1, np.int64)
         bits, total = [], 0
-        for bucket, e in b.by_bucket(np.flatnonzero(codes == OPEN), n, 2):
+        for bucket, e in b.by_bucket(np.flatnonzero(codes == OPEN), FINER * n, 2):
             m = r.n[b.lead[e]].astype(np.int64)
             offset[e] = total + np.cumsum(m) - m
             bits.append(np.unpackbits(got[bucket], count=int(m.sum())))
             total += int(m.sum())
         bits = np.concatenate(bits).astype(bool) if bits else np.zeros(0, bool)
-        edge = np.zeros(b.symbols.size + 1, np.int64)
+        edge = np.zeros(b.symbols.size + 1, np.int32)
         at = np.flatnonzero(whole)
         np.add.at(edge, r.first[at], 1)
         np.add.at(edge, r.first[at] + r.n[at] + scheme.window - 1, -1)
@@ -225,7 +230,7 @@ def covered(documents: DataFrame, scheme, doc_id: Column, text: Column, finish,
             start = ranges(r.first[at], m)[hit]
             np.add.at(edge, start, 1)
             np.add.at(edge, start + scheme.window, -1)
-        return finish(b, np.cumsum(edge[:-1]) > 0)
+        return finish(b, np.cumsum(edge[:-1], dtype=np.int32) > 0)
 
     return docs.groupBy("batch").cogroup(first.unionByName(second).groupBy("batch")).applyInArrow(join, schema)
 
@@ -234,12 +239,12 @@ def spans_of(mask: np.ndarray, bounds: np.ndarray) -> tuple[pa.ListArray, np.nda
     """(array of struct(first, last) a document, spans a document, covered symbols a document) of a mask over documents' symbols."""
     fresh = np.zeros(len(mask) + 1, bool)
     fresh[bounds[:-1]] = True
-    before = np.concatenate([[False], mask[:-1]]) & ~fresh[:-1]
+    before = np.concatenate([[False], mask[:-1]]) & ~fresh[:-1] if len(mask) else mask
     start = np.flatnonzero(mask & ~before)
     after = np.concatenate([mask[1:], [False]]) & ~fresh[1:] if len(mask) else mask
     end = np.flatnonzero(mask & ~after)
     doc = np.searchsorted(bounds, start, side="right") - 1
     n = np.bincount(doc, minlength=len(bounds) - 1)
     made = pa.StructArray.from_arrays([pa.array(start - bounds[doc]), pa.array(end - bounds[doc])], ["first", "last"])
-    sums = np.concatenate([[0], np.cumsum(mask)])
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), made), n, sums[bounds[1:]] - sums[bounds[:-1]]
+    covered_by = np.bincount(doc, weights=end - start + 1, minlength=len(bounds) - 1).astype(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), made), n, covered_by
