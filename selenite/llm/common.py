@@ -13,15 +13,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df``, written to the folder that the cluster names in spark.checkpoint.dir, so that later plans start there.
-
-    Only where the setting is missing, as in tests, a folder of this machine is set.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; only where that is missing, as in tests, one of this machine."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="selenite-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df``, written to the shared folder, so that later plans start there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

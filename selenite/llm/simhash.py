@@ -213,6 +213,19 @@ def near_duplicates(documents: DataFrame, words: int = 4, errors: int = ERRORS,
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_of_each(documents: DataFrame, words: int = 4, errors: int = ERRORS, seed: int = 42) -> DataFrame:
+    """``documents`` with one document of each near-duplicate group, that of the smallest id; columns unchanged.
+
+    Rows without an id stay, as nothing tells which of a group they are. Of rows that share an id one stays.
+    """
+    found = cut(near_duplicates(documents, words, errors, seed))
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    kept = documents.join(gone, documents["doc_id"] == gone["_gone"], "left_anti")
+    if found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        kept = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id IS NULL"))
+    return kept
+
+
 def hex_of(fp: Column) -> Column:
     """16 lower-case hex digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
