@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 WINDOW, BLOCK = 13, 1024
 #: Benchmark windows that may be broadcast (about 120 bytes each); with more, Spark joins them by a shuffle.
 BROADCAST_WINDOWS = 200_000
+#: Anchors that may stand in the plan as a set.
+MAX_ANCHORS = 20_000
 
 
 def words_of(text: Column) -> Column:
@@ -20,6 +22,16 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
 
 
+def _joined(words: Column, start: Column, n: int) -> Column:
+    """``n`` words from ``start`` (from 0), joined; word by word, as slice() would first copy the whole array."""
+    return F.concat_ws(" ", *[F.get(words, start + j) for j in range(n)])
+
+
+def _each(first: Column, last: Column, make) -> Column:
+    """make(i) for i from first to last; empty if last is smaller."""
+    return F.transform(F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>")), make)
+
+
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """key (words joined by a space), len, items (distinct ids, as strings): the windows of all items.
 
@@ -27,29 +39,56 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     left out. Pre-aggregated, so that a window that many items share is one row.
     """
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("w")).filter("item IS NOT NULL AND size(w) > 0")
-    items = items.withColumn("len", F.least(F.size("w"), F.lit(window)))
-    keys = items.select("item", "len", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - F.col("len") + 1), lambda i: F.array_join(F.slice("w", i, F.col("len")), " "))).alias("key"))
+    # concat_ws skips the nulls past a short item's end
+    keys = items.select("item", F.least(F.size("w"), F.lit(window)).alias("len"), F.explode(_each(F.lit(0), F.greatest(F.size("w") - window, F.lit(0)), lambda i: _joined(F.col("w"), i, window))).alias("key"))
     return keys.groupBy("key", "len").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
+def anchor_pairs(grams: DataFrame, most: int = MAX_ANCHORS) -> tuple[list[str], list[str]] | None:
+    """(words, pairs of these and the words after them) such that every window has such a pair; a window of one word, the word.
+
+    Of each window it is the pair whose first word is in the fewest windows, the longest of these. None beyond ``most`` pairs.
+    """
+    words = F.split("key", " ")
+    pairs = grams.select("key", "len", F.explode(_each(F.lit(0), F.greatest(F.col("len") - 2, F.lit(0)), lambda i: F.struct(F.get(words, i).alias("word"), _joined(words, i, 2).alias("pair")))).alias("p")).select("key", "len", "p.*")
+    often = pairs.select("key", "len", "word").distinct().groupBy("word").agg(F.count("*").alias("often"))
+    rarest = pairs.join(often, "word").groupBy("key", "len").agg(F.min(F.struct("often", -F.length("word"), "word", "pair")).alias("m"))
+    got = rarest.select("m.word", "m.pair").distinct().limit(most + 1).collect()
+    return (sorted({r["word"] for r in got}), sorted({r["pair"] for r in got})) if len(got) <= most else None
+
+
 def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per document row: doc_id, n_words, n_hit, items (sorted strings), spans (array of struct(first, last) of words hit).
 
     Null text: no words. Null doc_id stays. Repeated rows are judged each on its own. Spans are maximal and in order. An empty
     table gives no rows, an empty benchmark no hits; further columns, whatever their names, are left out. The one shuffle
     carries hits and one small row a document, never texts.
+
+    Only windows around an anchor, a pair of words, are made and joined: every benchmark window has one, so no other can
+    match. With too many anchors for a set in the plan, all windows are.
     """
     grams = benchmark_windows(benchmark, window).cache()
     sizes = {r["len"]: r["n"] for r in grams.groupBy("len").agg(F.count("*").alias("n")).collect()}  # at most ``window`` rows
-    lens = sorted(sizes) or [window]
+    anchors = anchor_pairs(grams)
     small = sum(sizes.values()) <= BROADCAST_WINDOWS
     docs = documents.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text")).alias("w"))
     docs = docs.withColumn("n_words", F.size("w").cast("long"))
     # one block of words a row; block 0 also stands for the document itself
-    blocks = docs.select("rid", "doc_id", "n_words", F.posexplode(F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.size("w") - 1, F.lit(0)) / BLOCK).cast("int")), lambda b: F.slice("w", b * BLOCK + 1, BLOCK + window - 1))).alias("b", "bw"))
-    made = [F.transform(F.when(F.size("bw") >= n, F.sequence(F.lit(1), F.least(F.size("bw") - n + 1, F.lit(BLOCK)))).otherwise(F.array().cast("array<int>")), lambda i, n=n: F.struct((i - 1).alias("at"), F.lit(n).alias("len"), F.array_join(F.slice("bw", i, n), " ").alias("key"))) for n in lens]
+    last = F.floor(F.greatest(F.size("w") - 1, F.lit(0)) / BLOCK).cast("int")
+    words = lambda b: _each(b * BLOCK, F.least((b + 1) * BLOCK + window - 1, F.size("w")) - 1, lambda i: F.get(F.col("w"), i))
+    blocks = docs.select("rid", "doc_id", "n_words", F.posexplode(F.transform(F.sequence(F.lit(0), last), words)).alias("b", "bw"))
+    every = F.when(F.size("bw") > 0, F.sequence(F.lit(0), F.size("bw") - 1)).otherwise(F.array().cast("array<int>"))
+    bw = F.col("bw")
+    anchored = lambda i: F.get(bw, i).isin(anchors[0]) & (_joined(bw, i, 2).isin(anchors[1]) | F.get(bw, i).isin(anchors[1]))
+    at = every if anchors is None else F.filter(every, anchored) if anchors[0] else F.array().cast("array<int>")
+    blocks = blocks.withColumn("at", at)
+
+    def made(n: int) -> Column:
+        starts = F.transform("at", lambda p: _each(F.greatest(p - (max(n - 2, 0) if anchors else n - 1), F.lit(0)), F.least(p, F.size("bw") - n, F.lit(BLOCK - 1)), lambda i: i))
+        return F.transform(F.array_distinct(F.flatten(starts)), lambda i: F.struct(i.alias("at"), F.lit(n).alias("len"), _joined(F.col("bw"), i, n).alias("key")))
+
     itself = F.when(F.col("b") == 0, F.array(F.struct(F.lit(-1).alias("at"), F.lit(0).alias("len"), F.lit("").alias("key")))).otherwise(F.array().cast("array<struct<at:int,len:int,key:string>>"))
-    rows = blocks.select("rid", "doc_id", "n_words", "b", F.explode(F.concat(itself, *made)).alias("g"))
+    rows = blocks.select("rid", "doc_id", "n_words", "b", F.explode(F.concat(itself, *(made(n) for n in sorted(sizes)))).alias("g"))
     rows = rows.select("rid", "doc_id", "n_words", (F.col("b").cast("long") * BLOCK + F.col("g.at")).alias("at"), F.col("g.len").alias("len"), F.col("g.key").alias("key"), (F.col("g.at") < 0).alias("itself"))
     hits = rows.join(F.broadcast(grams) if small else grams, ["key", "len"], "left").filter("itself OR items IS NOT NULL")
     spot = F.when(~F.col("itself"), F.struct(F.col("at").alias("first"), (F.col("at") + F.col("len") - 1).alias("last"), "items"))
@@ -57,13 +96,13 @@ def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     empty = F.array().cast("array<struct<first:bigint,last:bigint>>")
 
     def join(acc: Column, h: Column) -> Column:
-        last = F.element_at(acc, -1)
-        apart = (F.size(acc) == 0) | (h["first"] > F.coalesce(last["last"], F.lit(-2)) + 1)
-        both = F.struct(last["first"].alias("first"), F.greatest(last["last"], h["last"]).alias("last"))
+        end = F.element_at(acc, -1)
         one = F.struct(h["first"].alias("first"), h["last"].alias("last"))
-        return F.when(apart, F.concat(acc, F.array(one))).otherwise(F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(both)))
+        both = F.struct(end["first"].alias("first"), F.greatest(end["last"], h["last"]).alias("last"))
+        apart = h["first"] > end["last"] + 1
+        return F.when(F.size(acc) == 0, F.array(one)).when(apart, F.concat(acc, F.array(one))).otherwise(F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(both)))
 
-    out = out.select("doc_id", "n_words", F.when(F.size("hits") == 0, empty).otherwise(F.aggregate("hits", empty, join)).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"])))).alias("items"))
+    out = out.select("doc_id", "n_words", F.aggregate("hits", empty, join).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"])))).alias("items"))
     return out.withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("long"), lambda s, p: s + p["last"] - p["first"] + 1))
 
 
