@@ -68,7 +68,8 @@ class Runs:
 
     @classmethod
     def joined(cls, parts: list[Runs]) -> Runs:
-        return cls(*(np.concatenate([getattr(p, f) for p in parts]) if parts else np.zeros(0, np.int64) for f in ("doc", "first", "n", "key", "sign")))
+        none = {"key": np.uint64, "sign": np.uint64}
+        return cls(*(np.concatenate([getattr(p, f) for p in parts]) if parts else np.zeros(0, none.get(f, np.int64)) for f in ("doc", "first", "n", "key", "sign")))
 
 
 def runs_of(key: np.ndarray, valid: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -113,10 +114,12 @@ class Batch:
 
     def by_bucket(self, entries: np.ndarray, n: int, salt: int) -> Iterator[tuple[int, np.ndarray]]:
         """(bucket, entries in order) of some entries."""
+        if not len(entries):
+            return
         bucket = (mixed(self.key[entries], salt) % np.uint64(n)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         bucket, entries = bucket[order], entries[order]
-        starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
+        starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
         for s, e in zip(starts, np.append(starts[1:], len(bucket)), strict=True):
             yield int(bucket[s]), entries[s:e]
 
