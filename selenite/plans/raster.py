@@ -46,7 +46,7 @@ def box_blur(spark, d):
 WHERE n.y = greatest(0, least(my, c.y + dy)) AND n.x = greatest(0, least(mx, c.x + dx)))
 SELECT y, x, {rnd('(any_value(v) - avg(o)) / (stddev_pop(o) + 1e-6)', 5)} AS field FROM n WHERE NOT core GROUP BY y, x""")
 def annulus_field(spark, d):
-    return X.annulus(cells(spark, d), [], "v", 3, 7, "f").select("y", "x", C.rounded(F.col("f"), 5).alias("field"))
+    return X.annulus(cells(spark, d), [], "v", 1, 3, "f").select("y", "x", C.rounded(F.col("f"), 5).alias("field"))
 
 
 @query(f"""WITH {CELLS}, {blurred('cells', 9, 'blur')}, det AS (SELECT *, abs(v - b) AS detail FROM blur), st AS (SELECT avg(detail) AS m, stddev_pop(detail) + 1e-6 AS s FROM det)
@@ -100,10 +100,10 @@ def gradient_p95(spark, d):
 FRAMES = "f AS (SELECT label, vec_id, unnest(range(len(embedding))) AS x, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)"
 
 
-@query(f"""WITH {FRAMES}, m AS (SELECT label, x, quantile_cont(v, 0.5) AS m FROM f GROUP BY 1, 2), s AS (SELECT f.*, m.m, abs(v - m.m) AS dev FROM f JOIN m USING (label, x)), k AS (SELECT label, x, quantile_cont(dev, 0.5) AS mad FROM s GROUP BY 1, 2)
-SELECT label, CAST(x AS INTEGER) AS x, {rnd('quantile_cont(v, 0.5)', 6)} AS stacked, count(*) AS kept FROM s JOIN k USING (label, x) WHERE dev <= 2.0 * 1.4826 * mad GROUP BY 1, 2""")
+@query(f"""WITH {FRAMES}, m AS (SELECT label, x, quantile_cont(v, 0.5) AS m FROM f GROUP BY 1, 2), s AS (SELECT f.*, m.m, abs(v - m.m) AS dev FROM f JOIN m USING (label, x)), k AS (SELECT label, x, quantile_cont(dev, 0.5) + 1e-6 AS mad FROM s GROUP BY 1, 2)
+SELECT label, CAST(x AS INTEGER) AS x, {rnd('quantile_cont(greatest(m - CAST(0.5 * 1.4826 AS DOUBLE) * mad, least(m + CAST(0.5 * 1.4826 AS DOUBLE) * mad, v)), 0.5)', 6)} AS stacked, count(*) AS frames FROM s JOIN k USING (label, x) GROUP BY 1, 2""")
 def sigma_clip_stack(spark, d):
-    return X.clipped_median(frames(spark, d), ["label", "x"], "v", 2.0).select("label", "x", C.rounded(F.col("stacked"), 6).alias("stacked"), "kept")
+    return X.clipped_median(frames(spark, d), ["label", "x"], "v", 0.5).select("label", "x", C.rounded(F.col("stacked"), 6).alias("stacked"), "frames")
 
 
 @query(f"WITH {FRAMES} SELECT label, CAST(x AS INTEGER) AS x, {rnd('stddev_pop(v)', 6)} AS residual, count(*) AS frames FROM f GROUP BY 1, 2")
@@ -111,14 +111,14 @@ def stack_residual(spark, d):
     return frames(spark, d).groupBy("label", "x").agg(C.rounded(F.stddev_pop("v"), 6).alias("residual"), F.count("*").alias("frames"))
 
 
-@query(f"""WITH {FRAMES}, c AS (SELECT label, x, quantile_cont(v, 0.5) AS m FROM f GROUP BY 1, 2), o AS (SELECT *, m - quantile_cont(m, 0.5) OVER (PARTITION BY label) AS off FROM c), k AS (SELECT *, quantile_cont(abs(off), 0.5) OVER (PARTITION BY label) AS mad FROM o)
+@query(f"""WITH {FRAMES}, c AS (SELECT label, x, quantile_cont(v, 0.5) AS m FROM f GROUP BY 1, 2), o AS (SELECT *, m - quantile_cont(m, 0.5) OVER (PARTITION BY label) AS off FROM c), k AS (SELECT *, quantile_cont(abs(off), 0.5) OVER (PARTITION BY label) + 1e-6 AS mad FROM o)
 SELECT f.label, f.vec_id, CAST(f.x AS INTEGER) AS x, {rnd('f.v - CASE WHEN abs(off) > 1.5 * 1.4826 * mad THEN off ELSE 0 END', 6)} AS v FROM f JOIN k USING (label, x)""")
 def destripe(spark, d):
     f = frames(spark, d)
     col = f.groupBy("label", "x").agg(F.median("v").alias("m"))
     mid = col.groupBy("label").agg(F.median("m").alias("mm"))
     off = col.join(mid, "label").withColumn("off", F.col("m") - F.col("mm"))
-    off = off.join(off.groupBy("label").agg(F.median(F.abs("off")).alias("mad")), "label")
+    off = off.join(off.groupBy("label").agg((F.median(F.abs("off")) + 1e-6).alias("mad")), "label")
     fix = F.when(F.abs("off") > 1.5 * 1.4826 * F.col("mad"), F.col("off")).otherwise(0.0)
     return f.join(off.select("label", "x", "off", "mad"), ["label", "x"]).select("label", "vec_id", "x", C.rounded(F.col("v") - fix, 6).alias("v"))
 

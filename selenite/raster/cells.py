@@ -30,12 +30,12 @@ def box_mean(df: DataFrame, keys: list[str], value: str, size: int, name: str) -
 
 
 def annulus(df: DataFrame, keys: list[str], value: str, inner: int, outer: int, name: str) -> DataFrame:
-    """(v - ring mean) / (ring std + 1e-6), ring = outer box without the inner one, both with replicated edges."""
-    k, m = 2 * (inner // 2) + 1, 2 * (outer // 2) + 1
+    """(v - ring mean) / (ring std + 1e-6); the ring lies between squares of two radii, with replicated edges."""
+    k, m = 2 * inner + 1, 2 * outer + 1
     df = df.withColumn("_sq", F.col(value) * F.col(value))
     for source, tag in ((value, "v"), ("_sq", "s")):
-        for size, n in ((inner, k), (outer, m)):
-            df = box_mean(df, keys, source, size, f"_{tag}{n}")
+        for n in (k, m):
+            df = box_mean(df, keys, source, n, f"_{tag}{n}")
     ring = float(m * m - k * k)
     mean = (F.col(f"_v{m}") * (m * m) - F.col(f"_v{k}") * (k * k)) / ring
     square = (F.col(f"_s{m}") * (m * m) - F.col(f"_s{k}") * (k * k)) / ring
@@ -72,12 +72,13 @@ def gradient(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def clipped_median(df: DataFrame, keys: list[str], value: str, clip: float = 3.0) -> DataFrame:
-    """Per place: median of the values within clip * 1.4826 * MAD of the median; v of all keys' groups."""
+    """Per place: median of the values after moving them to within clip * 1.4826 * MAD of their median."""
     centre = df.groupBy(*keys).agg(F.median(value).alias("_m"))
-    spread = df.join(centre, keys).withColumn("_d", F.abs(F.col(value) - F.col("_m")))
-    mad = spread.groupBy(*keys).agg(F.median("_d").alias("_mad"))
-    kept = spread.join(mad, keys).filter(F.col("_d") <= clip * 1.4826 * F.col("_mad"))
-    return kept.groupBy(*keys).agg(F.median(value).alias("stacked"), F.count("*").alias("kept"))
+    spread = df.join(centre, keys)
+    mad = spread.groupBy(*keys).agg((F.median(F.abs(F.col(value) - F.col("_m"))) + 1e-6).alias("_mad"))
+    reach = clip * 1.4826 * F.col("_mad")
+    moved = F.greatest(F.col("_m") - reach, F.least(F.col("_m") + reach, F.col(value)))
+    return spread.join(mad, keys).groupBy(*keys).agg(F.median(moved).alias("stacked"), F.count("*").alias("frames"))
 
 
 def shifted(df: DataFrame, dx: int, dy: int, height: int, width: int) -> DataFrame:

@@ -54,10 +54,10 @@ def resized(a: np.ndarray, height: int, width: int) -> np.ndarray:
 
 
 def contrast_ring(a: np.ndarray, inner: int, outer: int) -> np.ndarray:
-    """(v - ring mean) / (ring std + 1e-6)."""
-    k, m = (2 * (s // 2) + 1 for s in (inner, outer))
+    """(v - ring mean) / (ring std + 1e-6); the ring lies between squares of two radii."""
+    k, m = 2 * inner + 1, 2 * outer + 1
     n = m * m - k * k
-    mean, square = ((box_blur(x, outer) * m * m - box_blur(x, inner) * k * k) / n for x in (a, a.astype(np.float64) ** 2))
+    mean, square = ((box_blur(x, m) * m * m - box_blur(x, k) * k * k) / n for x in (a, a.astype(np.float64) ** 2))
     return (a - mean) / (np.sqrt(np.maximum(0, square - mean**2)) + 1e-6)
 
 
@@ -88,7 +88,7 @@ def detect(a: np.ndarray, scales: tuple[int, ...] = (4,), z: float = 3.0, least:
         if h * w > most_cells:
             continue
         v = resized(a.astype(np.float64), h, w) if scale > 1 else a.astype(np.float64)
-        detail = np.abs(v - box_blur(v, 9)) if method == "box" else np.abs(contrast_ring(v, 9, 27))
+        detail = np.abs(v - box_blur(v, 9)) if method == "box" else np.abs(contrast_ring(v, 5, 15))
         score = (detail - detail.mean()) / (detail.std() + 1e-6)
         label = components(score > z, eight)
         for k in np.unique(label[label > 0]):

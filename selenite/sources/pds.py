@@ -160,7 +160,7 @@ def read_products(spark: SparkSession, path: str, pixels: bool = True, glob: str
             for p, data in zip(f["path"], f["content"], strict=True):
                 head = bytes(data[:HEADER]).split(b"\nEND", 1)
                 label = parse_label(head[0].decode("latin-1") + "\nEND") if len(head) > 1 else {}
-                row = {"path": p, "height": None, "width": None, "bands": None, "fields": [(k, str(v)) for k, v in label.items()], "pixels": None}
+                row = {"path": p, "height": None, "width": None, "bands": None, "fields": {k: str(v) for k, v in label.items()}, "pixels": None}
                 try:
                     lines, samples, bands, *_ = layout(label)
                     if pixels:
