@@ -1,8 +1,8 @@
-"""All queries of the relational, raster and text families, with their SQL counterparts."""
+"""All queries of the relational, raster, text and archive families, with their SQL counterparts."""
 
 from __future__ import annotations
 
-from . import raster, relational, text
+from . import archive, raster, relational, text
 
-QUERIES = {**relational.Q, **raster.Q, **text.Q}
-ORACLES = {**relational.O, **raster.O, **text.O}
+QUERIES = {**relational.Q, **raster.Q, **text.Q, **archive.Q}
+ORACLES = {**relational.O, **raster.O, **text.O, **archive.O}
