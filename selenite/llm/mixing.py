@@ -13,6 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import cut
+
 BLOCK_TOKENS = 65_536
 #: Sources that the driver takes; their table is one row a source.
 MAX_SOURCES = 1_000_000
@@ -73,6 +75,7 @@ def mix(documents: DataFrame, budget_tokens: int | None = None, min_entropy: flo
     over the table of blocks, and only the documents of the block in which a source's budget ends are ordered one by one.
     """
     docs = documents.select("doc_id", F.coalesce("source", F.lit(NO_SOURCE)).alias("source"), (tokens if tokens is not None else tokens_of(F.col("text"))).alias("n_tokens")).filter("n_tokens > 0")
+    docs = cut(docs)  # texts are read once; what follows goes over three small columns
     per = docs.groupBy("source").agg(F.sum("n_tokens").alias("tokens")).orderBy("source").limit(MAX_SOURCES + 1).collect()
     if len(per) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
