@@ -19,13 +19,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .windows import MASK48, Batch, Runs, covered, mixed, ranges, runs_of, spans_of
+from .windows import MASK48, Batch, Runs, covered, mixed, pieces, ranges, runs_of, spans_of
 
 WINDOW = 13
 _FAR = np.uint64(2**64 - 1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_CHUNK = 1 << 19
+_CHUNK, _PIECE = 1 << 19, 1 << 18
 _BASE = 0x5851F42D4C957F2D  # odd, so that it has an inverse mod 2**64
 
 
@@ -119,12 +119,7 @@ class WordScheme:
         return Words(data, offsets)
 
     def runs(self, w: Words) -> Runs:
-        parts = []
-        for a, b in _chunks(w.bounds, 1 << 18):
-            lo, hi = w.bounds[a], w.bounds[b]
-            if hi - lo >= WINDOW:
-                parts.append(self._runs(w.name[lo:hi], w.bounds[a : b + 1] - lo, a, lo))
-        return Runs.joined(parts)
+        return Runs.joined([self._runs(w.name[lo:hi], bounds, doc, lo) for doc, lo, hi, bounds in pieces(w.bounds, WINDOW, _PIECE) if hi - lo >= WINDOW])
 
     def _runs(self, x: np.ndarray, bounds: np.ndarray, doc: int, lo: int) -> Runs:
         n = len(x)

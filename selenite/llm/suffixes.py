@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
 from . import bwt
-from .substrings import _chunks, names
-from .windows import MASK48, Batch, Runs, covered, mixed, ranges, runs_of, spans_of
+from .substrings import names
+from .windows import MASK48, Batch, Runs, covered, mixed, pieces, ranges, runs_of, spans_of
 
 WINDOW, GRAM, SHARDS = 50, 20, 32
 #: Rounds of refinement after the first symbol, seven symbols each.
@@ -80,12 +80,7 @@ class ByteScheme:
         return Bytes(data, offsets)
 
     def runs(self, b: Bytes) -> Runs:
-        parts = []
-        for i, j in _chunks(b.bounds, _CHUNK):
-            lo, hi = b.bounds[i], b.bounds[j]
-            if hi - lo >= WINDOW:
-                parts.append(self._runs(b.data[lo:hi], b.bounds[i : j + 1] - lo, i, lo))
-        return Runs.joined(parts)
+        return Runs.joined([self._runs(b.data[lo:hi], bounds, doc, lo) for doc, lo, hi, bounds in pieces(b.bounds, WINDOW, _CHUNK) if hi - lo >= WINDOW])
 
     def _runs(self, x: np.ndarray, bounds: np.ndarray, doc: int, lo: int) -> Runs:
         low = gram_hashes(x)

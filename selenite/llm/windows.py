@@ -72,6 +72,22 @@ class Runs:
         return cls(*(np.concatenate([getattr(p, f) for p in parts]) if parts else np.zeros(0, none.get(f, np.int64)) for f in ("doc", "first", "n", "key", "sign")))
 
 
+def pieces(bounds: np.ndarray, window: int, most: int) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """(document, first symbol, end, bounds in the piece) of pieces of about ``most`` symbols: several short documents, or a part
+    of a long one, of which neighbouring parts share window - 1 symbols, so that each window lies in one piece."""
+    a = 0
+    while a < len(bounds) - 1:
+        b = max(a + 1, int(np.searchsorted(bounds, bounds[a] + most, side="right")) - 1)
+        lo, hi = int(bounds[a]), int(bounds[b])
+        if hi - lo <= most or b > a + 1:
+            yield a, lo, hi, bounds[a : b + 1] - lo
+        else:
+            for start in range(lo, hi - window + 1, most):
+                end = min(hi, start + most + window - 1)
+                yield a, start, end, np.array([0, end - start])
+        a = b
+
+
 def runs_of(key: np.ndarray, valid: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first window, number of windows) of runs of one key among valid windows; fresh: where a document starts."""
     before = np.concatenate([[False], valid[:-1]])

@@ -62,6 +62,24 @@ def covered(seqs, ids, n):
 IDS = [None, 7, 7]
 
 
+def test_long_documents_in_pieces(texts):
+    """Keys of windows don't depend on where a long document is cut."""
+    for scheme, sizes in ((substrings.WordScheme(), (13, 40, 1 << 18)), (suffixes.ByteScheme(), (50, 300, 1 << 18))):
+        module, name = (substrings, "_PIECE") if scheme.window == 13 else (suffixes, "_CHUNK")
+        data = [(t or "").encode() for t in texts]
+        flat, offsets = np.frombuffer(b"".join(data), np.uint8), np.concatenate([[0], np.cumsum([len(d) for d in data])])
+        symbols, held, seen = scheme.symbols(flat, offsets), getattr(module, name), []
+        for size in sizes:
+            setattr(module, name, size)
+            r = scheme.runs(symbols)
+            key = np.zeros(symbols.size, np.uint64)
+            for f, n, k in zip(r.first, r.n, r.key, strict=True):
+                key[f : f + n] = k
+            seen.append((int(r.n.sum()), key.tobytes()))
+        setattr(module, name, held)
+        assert len(set(seen)) == 1
+
+
 def test_substrings(spark, texts):
     ids = [*range(100, 100 + len(texts) - 3), *IDS]
     seqs = [words(t) for t in texts]
