@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..operators import relational as R
 from ..raster import cells as X
+from ..raster import evidence as E
 from ..raster import kernels as K
-from ..raster.spark import assembled, per_image
+from ..raster.spark import array_of, assembled, per_image
 from ..sources.tables import boxes, cells, frames, table
 from .relational import rnd
 
@@ -222,3 +223,29 @@ def kernel_nms(spark, d):
 
     b = boxes(spark, d).filter("l_linenumber = 1").select(F.concat_ws("-", "image", F.col("l_partkey") % 16).alias("image"), "l_orderkey", "l_partkey", *"xywh", F.col("l_linenumber").alias("scale"))
     return b.groupBy("image").applyInPandas(run, "image string, x int, y int, w int, h int, scale int")
+
+
+@query()
+def kernel_compare(spark, d):
+    """Renderings of a footprint against its reference, the one of the smallest id; grouped, so that each is decoded once."""
+
+    def run(f):
+        import pandas as pd
+
+        images = [(int(r.image_id), array_of(r)) for r in f.sort_values("image_id").rename(columns={"values": "values_"}).itertuples()]
+        rows = [{"footprint": int(f["footprint"].iloc[0]), "image_id": i} | {k: v for k, v in E.compared(images[0][1], a).items() if k != "persistence"} for i, a in images[1:]]
+        return pd.DataFrame(rows, columns=["footprint", "image_id", "dx", "dy", "trusted", "mean_abs", "max_abs", "p95", "likeness", "verdict"])
+
+    images = _images(spark, d).withColumn("footprint", F.floor(F.col("image_id") / 2))
+    return images.groupBy("footprint").applyInPandas(run, "footprint long, image_id long, dx int, dy int, trusted boolean, mean_abs double, max_abs double, p95 double, likeness double, verdict string")
+
+
+@query()
+def kernel_evidence(spark, d):
+    """The best box of each image with its measurements, flags' inputs and shape."""
+    kept = ("x", "y", "w", "h", "score", "polarity", "contrast", "grid_energy", "edge_sharpness", "contrast_stability", "roundness", "persistence")
+
+    def run(a):
+        return [{k: r.get(k) for k in kept} for r in E.analysed((a - a.min()) / (a.max() - a.min() + 1e-9) * 255, 1, (1,))]
+
+    return per_image(_images(spark, d), run, "image_id long, x int, y int, w int, h int, score double, polarity string, contrast double, grid_energy double, edge_sharpness double, contrast_stability double, roundness double, persistence double")
