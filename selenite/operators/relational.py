@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 
 def last_wins(left: DataFrame, right: DataFrame, keys: list[str], order: list[str], how: str = "inner") -> DataFrame:
     """Equi-join with a lookup table in which the last row of a key, by ``order``, stands for the key."""
@@ -33,30 +35,35 @@ def diverse(df: DataFrame, key: str, order: list[Column], each: int, n: int) ->
     return ranked.orderBy("turn", *order).limit(n)
 
 
-def adjusted(df: DataFrame, p: str, order: list[str]) -> DataFrame:
+def adjusted(df: DataFrame, p: str) -> DataFrame:
     """Benjamini-Hochberg q-values of column ``p``; adds fdr_q. Nulls aren't tested.
 
-    The rank is one over all rows. Runs of equal p get one q, so only distinct p-values, with their counts, are ranked, and
-    these are range-partitioned: ranks add up over partitions, and the running minimum from the largest p down does too.
+    The rank is one over all rows. Runs of equal p get one q, so only distinct p-values, with their counts, are ranked, by
+    running(): up for the ranks, down for the smallest adjusted value from a p on.
     """
-    counts = df.filter(F.col(p).isNotNull()).groupBy(p).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()["n"]
-    upto = running(counts, F.col(p), F.col("_n"), "sum", "_upto")
-    raw = upto.withColumn("_raw", F.least(F.lit(1.0), F.col(p) * total / F.col("_upto")))
-    q = running(raw, F.col(p).desc(), F.col("_raw"), "min", "fdr_q").select(F.col(p).alias("_p"), "fdr_q")
-    return df.join(q, df[p] == q["_p"], "left").drop("_p")
+    counts = df.filter(F.col(p).isNotNull()).groupBy(F.col(p).alias("_p")).agg(F.count("*").alias("_n"))
+    total = df.agg(F.count(p).alias("n")).first()["n"]
+    upto = running(counts, "_p", F.col("_n"), "sum", "_upto")
+    q = running(upto, "_p", F.least(F.lit(1.0), F.col("_p") * total / F.col("_upto")), "min", "fdr_q", descending=True)
+    return df.join(q.select("_p", "fdr_q"), df[p] == F.col("_p"), "left").drop("_p")
 
 
-def running(df: DataFrame, order: Column, value: Column, how: str, name: str, parts: int = 64) -> DataFrame:
-    """Running sum or minimum of ``value`` over all rows in a total ``order``, without one task that holds all rows.
+def running(df: DataFrame, key: str, value: Column, how: str, name: str, descending: bool = False, parts: int | None = None) -> DataFrame:
+    """Running sum, minimum or maximum of ``value`` over all rows in the order of a distinct key, without one task for all rows.
 
-    Rows are range-partitioned, each partition runs on its own, and what came before it, one row a partition, is joined.
+    Approximate quantiles of the key, a few numbers, cut the order into ranges: a row's range depends on its key alone.
+    Ranges run on their own; what all ranges before add, one row a range, is joined.
     """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     make = {"sum": F.sum, "min": F.min, "max": F.max}[how]
-    ranged = df.withColumn("_v", value).repartitionByRange(parts, order).withColumn("_part", F.spark_partition_id())
-    inner = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cuts = df.agg(F.percentile_approx(key, [k / parts for k in range(1, parts)]).alias("c")).first()["c"] if parts > 1 else None
+    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(key))) if cuts else F.lit(0)
+    ranged = df.withColumns({"_v": value, "_part": part})
+    first = lambda c: F.col(c).desc() if descending else F.col(c).asc()
+    inner = Window.partitionBy("_part").orderBy(first(key)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     heads = ranged.groupBy("_part").agg(make("_v").alias("_head"))
-    before = heads.withColumn("_before", make("_head").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).select("_part", "_before")
+    earlier = Window.orderBy(first("_part")).rowsBetween(Window.unboundedPreceding, -1)  # over one row a range
+    before = heads.select("_part", make("_head").over(earlier).alias("_before"))
     own = make("_v").over(inner)
     both = own + F.coalesce("_before", F.lit(0)) if how == "sum" else {"min": F.least, "max": F.greatest}[how](own, "_before")
     return ranged.join(F.broadcast(before), "_part").withColumn(name, both).drop("_v", "_part", "_before")
@@ -106,14 +113,10 @@ def components(edges: DataFrame) -> DataFrame:
     """node, root (smallest node of its component) of the nodes of undirected edges (a, b).
 
     Alternating stars: every node links its larger neighbours to its smallest one, then itself and its smaller ones. Each
-    round is cut off by a checkpoint; the number of rounds grows with the logarithm of the longest path.
+    round is a few joins on the edges, cut off by a checkpoint; the number of rounds grows with the logarithm of the longest
+    path. Nothing is collected but a checksum.
     """
-    spark = edges.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="selenite-"))
-    down = edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("hi <> lo").distinct().checkpoint()
+    down = cut(edges.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).filter("hi <> lo").distinct())
     known = None
     while True:
         mark = down.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo"))).first()
@@ -122,11 +125,11 @@ def components(edges: DataFrame) -> DataFrame:
             return down.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(roots)
         known = mark
         around = down.unionByName(down.select(F.col("lo").alias("hi"), F.col("hi").alias("lo")))
-        best = around.groupBy("hi").agg(F.least(F.min("lo"), F.col("hi")).alias("top"))
+        best = around.groupBy("hi").agg(F.min("lo").alias("top")).select("hi", F.least("top", "hi").alias("top"))
         up = around.join(best, "hi").filter("lo > hi").select(F.col("lo").alias("hi"), F.col("top").alias("lo")).distinct()
         best = up.groupBy("hi").agg(F.min("lo").alias("top"))
         side = up.join(best, "hi").filter("lo <> top").select(F.col("lo").alias("hi"), F.col("top").alias("lo"))
-        down = side.unionByName(best.select("hi", F.col("top").alias("lo"))).distinct().checkpoint()
+        down = cut(side.unionByName(best.select("hi", F.col("top").alias("lo"))).distinct())
 
 
 def groups(df: DataFrame, node: str, base: str, reach: int) -> DataFrame:

@@ -246,6 +246,6 @@ def kernel_evidence(spark, d):
     kept = ("x", "y", "w", "h", "score", "polarity", "contrast", "grid_energy", "edge_sharpness", "contrast_stability", "roundness", "persistence")
 
     def run(a):
-        return [{k: r.get(k) for k in kept} for r in E.analysed((a - a.min()) / (a.max() - a.min() + 1e-9) * 255, 1, (1,))]
+        return [{k: r.get(k) for k in kept} for r in E.analysed((a - a.min()) / (a.max() - a.min() + 1e-9) * 255, 1, (1,), z=2.5, least=3)]
 
     return per_image(_images(spark, d), run, "image_id long, x int, y int, w int, h int, score double, polarity string, contrast double, grid_energy double, edge_sharpness double, contrast_stability double, roundness double, persistence double")

@@ -172,7 +172,7 @@ q AS (SELECT *, min(least(1.0, p * n / rk)) OVER (ORDER BY rk ROWS BETWEEN CURRE
 @query(f"WITH {FDR} SELECT o_orderkey, {rnd('p', 9)} AS p, {rnd('fdr_q', 6)} AS fdr_q FROM q")
 def fdr_q(spark, d):
     p = table(spark, d, "orders").select("o_orderkey", C.upper_tail(F.col("o_totalprice") / 80000.0).alias("p"))
-    return R.adjusted(p, "p", ["o_orderkey"]).select("o_orderkey", C.rounded(F.col("p"), 9).alias("p"), C.rounded(F.col("fdr_q"), 6).alias("fdr_q"))
+    return R.adjusted(p, "p").select("o_orderkey", C.rounded(F.col("p"), 9).alias("p"), C.rounded(F.col("fdr_q"), 6).alias("fdr_q"))
 
 
 @query(f"WITH {FDR} SELECT count(*) AS tested, sum(CAST({rnd('fdr_q', 3)} <= 0.05 AS BIGINT))::BIGINT AS survivors FROM q")

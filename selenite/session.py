@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 #: What every session of the engine starts from; sizes are left to the cluster's own settings.
 DEFAULTS = {
@@ -22,3 +24,17 @@ def session(app: str = "selenite", master: str | None = None, **conf: str) -> Sp
     for key, value in (DEFAULTS | {k.replace("__", "."): v for k, v in conf.items()}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; only where that is missing, as in tests, one of this machine."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="selenite-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df``, written to the shared folder, so that later plans start there and survive the loss of executors."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()

@@ -26,14 +26,29 @@ def test_p_value(spark):
 def test_q_values(spark):
     p = [0.01, 0.04, 0.03, 0.005, 0.5, 0.04]
     df = spark.createDataFrame(list(enumerate(p)), "k int, p double")
-    got = {r["k"]: r["fdr_q"] for r in R.adjusted(df, "p", ["k"]).collect()}
+    got = {r["k"]: r["fdr_q"] for r in R.adjusted(df, "p").collect()}
     order = sorted(range(6), key=lambda i: p[i])
     least, want = 1.0, {}
     for rank in range(6, 0, -1):
         least = min(least, p[order[rank - 1]] * 6 / rank)
         want[order[rank - 1]] = least
     assert got == pytest.approx(want)
-    assert R.adjusted(df.limit(0), "p", ["k"]).count() == 0
+    assert R.adjusted(df.limit(0), "p").count() == 0
+
+
+def test_running_over_ranges(spark):
+    df = spark.range(0, 1000).select((F.col("id") * 7919 % 1000).alias("k"), (F.col("id") % 13).alias("v"))
+    for parts in (1, 5):
+        up = {r["k"]: r["s"] for r in R.running(df, "k", F.col("v"), "sum", "s", parts=parts).collect()}
+        down = {r["k"]: r["m"] for r in R.running(df, "k", F.col("v"), "min", "m", True, parts).collect()}
+        held = {r["k"]: r["v"] for r in df.collect()}
+        total, least = 0, 99
+        for k in range(1000):
+            total += held[k]
+            assert up[k] == total
+        for k in range(999, -1, -1):
+            least = min(least, held[k])
+            assert down[k] == least
 
 
 def test_names(spark):
