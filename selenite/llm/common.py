@@ -2,31 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut, shared_folder
+
+__all__ = ["blocks_for", "cut", "shared_folder", "table", "text_bytes"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of a data folder, read by Spark alone (the folder may be in a store that only Spark opens)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; only where that is missing, as in tests, one of this machine."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="selenite-"))
-    return sc.getCheckpointDir()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """``df``, written to the shared folder, so that later plans start there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 def blocks_for(amount: int, each: int, least: int) -> int:
     """How many blocks of ``each`` hold ``amount``; at least ``least``, so that small inputs still spread."""
     return max(least, -(-int(amount) // each))

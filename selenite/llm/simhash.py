@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.relational import components
 from .common import blocks_for, cut
 
 ERRORS = 4
@@ -174,27 +175,6 @@ def links(distinct: DataFrame, errors: int = ERRORS) -> DataFrame:
     return distinct.select("fp").mapInArrow(deal, "bucket long, keys binary, fps binary").groupBy("bucket").applyInArrow(meet, "a long, b long").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node, root (smallest node of its component) of all nodes of the edges (a, b), by alternating large and small stars.
-
-    Each round is a few joins on the edges, cut off by a checkpoint; the number of rounds grows with the logarithm of the
-    longest path. Nothing is collected but a checksum.
-    """
-    e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
-    seen = None
-    while True:
-        now = e.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-        if tuple(now) == seen:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        seen = tuple(now)
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = cut(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-
-
 def near_duplicates(documents: DataFrame, words: int = 4, errors: int = ERRORS, seed: int = 42) -> DataFrame:
     """doc_id, fp (long), component_id: smallest doc_id reachable over fingerprints that differ in at most ``errors`` (0-4) bits.
 
