@@ -27,20 +27,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def derived(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame:
-    """A statement over tables of the folder."""
-    return spark.sql(sql.replace(*("FROM " + names[0], "FROM {" + names[0] + "}")) if len(names) == 1 else _bound(sql, names), **{n: table(spark, sf_dir, n) for n in names})
-
-
-def _bound(sql: str, names: tuple[str, ...]) -> str:
-    for n in names:
-        for word in ("FROM ", "JOIN "):
-            sql = sql.replace(f"{word}{n} ", f"{word}{{{n}}} ").replace(f"{word}{n}\n", f"{word}{{{n}}}\n")
-    return sql
-
-
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived(spark, sf_dir, BOXES, "lineitem")
+    return spark.sql(BOXES.replace("FROM lineitem", "FROM {lineitem}"), lineitem=table(spark, sf_dir, "lineitem"))
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
