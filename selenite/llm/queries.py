@@ -62,4 +62,45 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_topk, op2_chat, op3_urls, op4_substrings, op5_toxicity, op6_simhash, op7_langid, op8_suffixes, op9_decontaminate, op10_mix)}
-ORACLES: dict[str, str] = {}
+#: A-Z to a-z alone.
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLES: dict[str, str] = {
+    "op1_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(rn AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rn FROM s) WHERE rn <= 5""",
+    # a turn is 14 characters of grammar, role, text, and a backslash before each backslash and, where there is one, each close
+    "op2_chat": r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+UNION ALL SELECT -7, t, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) p(t, r)),
+n AS (SELECT *, length(text) - length(replace(text, '\', '')) AS slashes, (length(text) - length(replace(text, '</turn>', ''))) // 7 AS closes FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+CAST(sum(14 + length(role) + length(text) + slashes + closes) AS BIGINT) AS formatted_chars FROM n GROUP BY conv_id""",
+    "op4_substrings": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, w FROM w), k AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM g),
+m AS (SELECT k, min(doc_id) AS d FROM k GROUP BY k), hit AS (SELECT k.doc_id, k.i FROM k JOIN m USING (k) WHERE m.d < k.doc_id),
+cov AS (SELECT DISTINCT doc_id, i + o AS p FROM hit, range(13) r(o)),
+x AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS word FROM w),
+y AS (SELECT x.doc_id, count(cov.p) AS n_removed, string_agg(word, ' ' ORDER BY x.p) FILTER (WHERE cov.p IS NULL) AS kept FROM x LEFT JOIN cov ON x.doc_id = cov.doc_id AND x.p = cov.p GROUP BY x.doc_id)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN y USING (doc_id)""",
+    "op8_suffixes": """
+WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents), g AS (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM h), k AS (SELECT doc_id, i, substring(h, 2 * i + 1, 100) AS k FROM g),
+m AS (SELECT k, min(doc_id) AS d FROM k GROUP BY k), hit AS (SELECT k.doc_id, k.i FROM k JOIN m USING (k) WHERE m.d < k.doc_id),
+o AS (SELECT doc_id, i, max(i + 50) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM hit),
+s AS (SELECT doc_id, i, sum(CASE WHEN reach >= i THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM o),
+r AS (SELECT doc_id, span, min(i) AS a, max(i) + 50 AS b FROM s GROUP BY doc_id, span),
+e AS (SELECT r.doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY r.doc_id ORDER BY a), 0) AS since FROM r),
+t AS (SELECT e.doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans, string_agg(substring(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) || substring(any_value(h), 2 * max(b) + 1) AS kept FROM e JOIN h USING (doc_id) GROUP BY e.doc_id)
+SELECT h.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM h LEFT JOIN t USING (doc_id)""",
+    "op9_decontaminate": rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bg AS (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0), bk AS (SELECT DISTINCT item, least(len(w), 13) AS n, array_to_string(w[i:i + 12], ' ') AS k FROM bg),
+lens AS (SELECT DISTINCT n FROM bk), g AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM w, lens), hit AS (SELECT g.doc_id, g.i, g.n, bk.item FROM g JOIN bk ON bk.n = g.n AND array_to_string(w[g.i:g.i + g.n - 1], ' ') = bk.k),
+cov AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM w LEFT JOIN cov USING (doc_id) LEFT JOIN it USING (doc_id)""",
+}
