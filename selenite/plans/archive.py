@@ -71,10 +71,10 @@ def parent_geometry(spark, d):
 def downsampled_scale(spark, d):
     """Scale of narrower renderings, from the widest map-projected one; a function of the scale as given."""
     p = table(spark, d, "part")
-    full = p.filter("p_partkey % 2 = 0").agg(F.max("p_size").alias("full_res"))
+    p = p.withColumn("full_res", p.filter("p_partkey % 2 = 0").agg(F.max("p_size")).scalar())
     base = F.col("p_retailprice") / 1000
     scale = F.when(F.col("p_size") < F.col("full_res"), base * F.col("full_res") / F.col("p_size")).otherwise(base)
-    return p.crossJoin(F.broadcast(full)).select("p_partkey", C.rounded(scale, 4).alias("scale_m"))  # one row
+    return p.select("p_partkey", C.rounded(scale, 4).alias("scale_m"))
 
 
 @query("SELECT count(*) AS leads, count(*) FILTER (WHERE s_suppkey IS NOT NULL) AS with_strip, count(*) FILTER (WHERE s_suppkey IS NULL) AS missing FROM part LEFT JOIN supplier ON s_suppkey = p_partkey")
@@ -165,8 +165,7 @@ def fallback_union(spark, d):
     """Leads if there are any, else all judged rows."""
     j = judged(spark, d).select("verdict", "l_suppkey")
     lead = j.filter("verdict = 'CONFIRMED-LEAD' AND l_suppkey > 1000000")
-    some = lead.agg((F.count("*") > 0).alias("some"))
-    rest = j.crossJoin(F.broadcast(some)).filter("NOT some").drop("some")  # one row
+    rest = j.filter(lead.agg(F.count("*")).scalar() == 0)
     return lead.unionByName(rest).groupBy("verdict").agg(F.count("*").alias("n"))
 
 

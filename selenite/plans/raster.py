@@ -138,9 +138,8 @@ def shift_change(spark, d):
     e = X.extent(c, []).first()
     moved = X.shifted(c, -3, 2, e["height"], e["width"]).withColumnRenamed("v", "o")
     dd = c.join(moved, ["y", "x"], "left").select("y", "x", F.abs(F.col("v") - F.coalesce("o", F.lit(0.0))).alias("df"))
-    st = dd.agg(F.median("df").alias("m"), (F.stddev_pop("df") + 1e-6).alias("sd"))
-    z = (F.col("df") - F.col("m")) / F.col("sd")
-    return dd.crossJoin(F.broadcast(st)).filter(z > 1.5).select("y", "x", C.rounded(z, 5).alias("z"))  # one row
+    z = (F.col("df") - dd.agg(F.median("df")).scalar()) / dd.agg(F.stddev_pop("df") + 1e-6).scalar()
+    return dd.withColumn("z", z).filter("z > 1.5").select("y", "x", C.rounded(F.col("z"), 5).alias("z"))
 
 
 @query(f"WITH {CELLS}, m AS (SELECT y // 10 AS tile, y, x FROM cells WHERE v > 120), g AS (SELECT tile, count(*) AS n, var_pop(x) AS xx, var_pop(y) AS yy, covar_pop(x, y) AS xy FROM m GROUP BY tile) SELECT CAST(tile AS BIGINT) AS tile, n, {rnd('CASE WHEN n >= 4 THEN (degrees(0.5 * atan2(2 * xy, xx - yy)) % 180 + 180) % 180 END', 4)} AS angle FROM g")

@@ -47,7 +47,7 @@ def detail_mask(df: DataFrame, keys: list[str], value: str, size: int, z: float)
     """Cells whose distance from their box mean exceeds mean + z * std of all such distances; adds detail and score."""
     df = box_mean(df, keys, value, size, "_b").withColumn("detail", F.abs(F.col(value) - F.col("_b"))).drop("_b")
     stats = df.groupBy(*keys).agg(F.avg("detail").alias("_m"), (F.stddev_pop("detail") + 1e-6).alias("_s"))
-    df = df.join(stats, keys) if keys else df.crossJoin(F.broadcast(stats))  # one row
+    df = df.join(stats, keys) if keys else df.withColumns({c: stats.select(c).scalar() for c in ("_m", "_s")})
     return df.filter(F.col("detail") > F.col("_m") + z * F.col("_s")).withColumn("score", (F.col("detail") - F.col("_m")) / F.col("_s")).drop("_m", "_s")
 
 
