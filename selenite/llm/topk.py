@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .common import blocks_for
 
-#: A component beyond 2**20 counts as 2**20, so that products of any length of vector fit 64 bits.
+#: A component beyond 2**20 counts as 2**20, so that inner products of up to 127 such components fit 64 bits.
 LIMIT = float(1 << 28)
 DIMS, CANDIDATES, QUERIES, SPREAD = 16, 8192, 2048, 32
 _FOUND = "query_id long, vec_id long, score long"
