@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut, shared_folder
 
-__all__ = ["blocks_for", "cut", "shared_folder", "table", "text_bytes"]
+__all__ = ["blocks_for", "cut", "shared_folder", "table", "text_bytes", "trimmed"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,3 +28,25 @@ def blocks_for(amount: int, each: int, least: int) -> int:
 def text_bytes(df: DataFrame, text: str = "text") -> int:
     """UTF-8 bytes of all texts of a column; reads that column only."""
     return int(df.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0)
+
+
+def trim() -> None:
+    """Gives memory that this worker has freed back to the machine; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the usual C library
+        pass
+
+
+def trimmed(f: Callable) -> Callable:
+    """``f``, which trims after each call."""
+
+    @functools.wraps(f)
+    def run(*args):
+        try:
+            return f(*args)
+        finally:
+            trim()
+
+    return run

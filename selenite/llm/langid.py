@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
+from .common import trim
+
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 #: The model is fitted on the labelled documents with the smallest id hashes, so many and each up to so many characters.
@@ -159,13 +161,14 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
     or not; columns of those names are replaced.
     """
     base = documents.drop("lang_pred", "lang_score")
-    rows = base.select("*", F.col("text").cast("string").alias("_text"))
+    at = base.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [model.predict(t.as_py()) for t in b.column(b.num_columns - 1)]
-            cols = b.columns[:-1] + [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
-            yield pa.RecordBatch.from_arrays(cols, [*b.schema.names[:-1], "lang_pred", "lang_score"])
+            got = [model.predict(t.as_py()) for t in b.column(at)]
+            cols = [*b.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
+            yield pa.RecordBatch.from_arrays(cols, [*b.schema.names, "lang_pred", "lang_score"])
+            trim()
 
     schema = StructType(list(base.schema.fields)).add("lang_pred", StringType()).add("lang_score", DoubleType())
-    return rows.mapInArrow(run, schema)
+    return base.mapInArrow(run, schema)

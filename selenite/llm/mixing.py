@@ -8,6 +8,7 @@ its blocks as fit, then a prefix of one more.
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -82,8 +83,9 @@ def mix(documents: DataFrame, budget_tokens: int | None = None, min_entropy: flo
     counts = [int(r["tokens"]) for r in per]
     budget = sum(counts) if budget_tokens is None else int(budget_tokens)
     _, weights = solve(counts, budget, min_entropy, max_epochs)
-    spark = documents.sparkSession
-    plan = spark.createDataFrame([(r["source"], w, int(t), int(round(w * budget)), -(-int(t) // block_tokens)) for r, w, t in zip(per, weights, counts, strict=True)], "source string, weight double, tokens long, budget long, n_blocks long")
+    rows = json.dumps([{"source": r["source"], "weight": w, "tokens": int(t), "budget": round(w * budget), "n_blocks": -(-int(t) // block_tokens)} for r, w, t in zip(per, weights, counts, strict=True)])
+    kind = "array<struct<source:string,weight:double,tokens:bigint,budget:bigint,n_blocks:bigint>>"
+    plan = documents.sparkSession.range(1).select(F.explode(F.from_json(F.lit(rows), kind)).alias("p")).select("p.*")  # no Python worker
     plan = plan.withColumns({"whole": F.floor(F.col("budget") / F.col("tokens")), "rest": F.col("budget") % F.col("tokens")})
     dealt = docs.join(plan if len(per) > 100_000 else F.broadcast(plan), "source")
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.col("n_blocks")))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.relational import components
-from .common import blocks_for, cut
+from .common import blocks_for, cut, trim
 
 ERRORS = 4
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -62,6 +62,7 @@ def fingerprints(documents: DataFrame, words: int = 4, seed: int = 42) -> DataFr
         for b in batches:
             fps = np.fromiter((fingerprint(t.as_py(), words, seed) for t in b.column(1)), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            trim()
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
@@ -170,6 +171,8 @@ def links(distinct: DataFrame, errors: int = ERRORS) -> DataFrame:
     def meet(t: pa.Table) -> pa.Table:
         keys, fps = (np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in t[c]]) for c in ("keys", "fps"))
         found = links_of(keys, fps, errors)
+        del keys, fps
+        trim()
         return pa.table({"a": pa.array(found[:, 0].copy().view(np.int64)), "b": pa.array(found[:, 1].copy().view(np.int64))})
 
     return distinct.select("fp").mapInArrow(deal, "bucket long, keys binary, fps binary").groupBy("bucket").applyInArrow(meet, "a long, b long").distinct()

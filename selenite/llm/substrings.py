@@ -142,7 +142,7 @@ class WordScheme:
         up, down = _powers(1 << (n - 1).bit_length() if n > 1 else 1)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(x, 301) * up[:n], dtype=np.uint64)])
         sign = mixed((sums[first + count + WINDOW - 1] - sums[first]) * down[first] ^ mixed(count.astype(np.uint64), 303), 305)
-        return Runs(np.searchsorted(bounds, first, side="right") - 1 + doc, first + lo, count, mixed(key[first], 307) & MASK48, sign & MASK48)
+        return Runs((np.searchsorted(bounds, first, side="right") - 1 + doc).astype(np.int32), (first + lo).astype(np.int32), count.astype(np.int32), mixed(key[first], 307) & MASK48, sign & MASK48)
 
     def cut(self, w: Words, first: np.ndarray, n: np.ndarray) -> np.ndarray:
         return w.name[ranges(first, n)]

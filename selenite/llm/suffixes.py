@@ -97,7 +97,7 @@ class ByteScheme:
         fresh[bounds] = True
         first, count = runs_of(key, left >= WINDOW, fresh[:m])
         sign = names(x, first, first + count + WINDOW - 1)
-        return Runs(np.searchsorted(bounds, first, side="right") - 1 + doc, first + lo, count, mixed(key[first], 307) & MASK48, sign & MASK48)
+        return Runs((np.searchsorted(bounds, first, side="right") - 1 + doc).astype(np.int32), (first + lo).astype(np.int32), count.astype(np.int32), mixed(key[first], 307) & MASK48, sign & MASK48)
 
     def cut(self, b: Bytes, first: np.ndarray, n: np.ndarray) -> np.ndarray:
         return b.data[ranges(first, n)]

@@ -25,9 +25,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import blocks_for, text_bytes
+from .common import blocks_for, text_bytes, trimmed
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 6 << 20
 #: Buckets of the second round for each of the first.
 FINER = 4
 MASK48 = np.uint64((1 << 48) - 1)
@@ -68,8 +68,8 @@ class Runs:
 
     @classmethod
     def joined(cls, parts: list[Runs]) -> Runs:
-        none = {"key": np.uint64, "sign": np.uint64}
-        return cls(*(np.concatenate([getattr(p, f) for p in parts]) if parts else np.zeros(0, none.get(f, np.int64)) for f in ("doc", "first", "n", "key", "sign")))
+        kinds = {"doc": np.int32, "first": np.int32, "n": np.int32, "key": np.uint64, "sign": np.uint64}  # a batch has under 2**31 symbols
+        return cls(*(np.concatenate([getattr(p, f) for p in parts]).astype(kind, copy=False) if parts else np.zeros(0, kind) for f, kind in kinds.items()))
 
 
 def pieces(bounds: np.ndarray, window: int, most: int) -> Iterator[tuple[int, int, int, np.ndarray]]:
@@ -124,7 +124,7 @@ class Batch:
         k, s = r.key[order], r.sign[order]
         new = np.concatenate([[True], (k[1:] != k[:-1]) | (s[1:] != s[:-1])]) if len(k) else np.zeros(0, bool)
         self.lead = order[new]  # the run that stands for each entry: of the smallest id
-        self.entry = np.full(len(r.key), -1, np.int64)
+        self.entry = np.full(len(r.key), -1, np.int32)
         self.entry[order] = np.cumsum(new) - 1
         self.key, self.sign, self.doc = r.key[self.lead], r.sign[self.lead], self.id[r.doc[self.lead]]
 
@@ -188,6 +188,17 @@ def ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(first - (np.cumsum(n) - n), n)
 
 
+def _one(f):
+    """Functions of a group: Spark tells their kind by their number of parameters."""
+    g = trimmed(f)
+    return lambda t: g(t)
+
+
+def _two(f):
+    g = trimmed(f)
+    return lambda left, right: g(left, right)
+
+
 def covered(documents: DataFrame, scheme, doc_id: Column, text: Column, finish, schema: StructType | str, more: tuple[Column, ...] = ()) -> DataFrame:
     """The rows that finish(batch, mask of covered symbols) makes of each batch; it finds the columns ``more`` in batch.table."""
     docs = documents.select(doc_id.cast("long").alias("doc_id"), text.cast("string").alias("text"), *more)
@@ -203,7 +214,7 @@ def covered(documents: DataFrame, scheme, doc_id: Column, text: Column, finish,
             rows.append((bucket, home, packed(np.diff(k, prepend=np.uint64(0))), packed(b.sign[e]), packed(b.doc[e])))
         return pa.table([pa.array([r[i] for r in rows], pa.int64() if i < 2 else pa.binary()) for i in range(5)], names=["bucket", "batch", "key", "sign", "doc"])
 
-    first = docs.groupBy("batch").applyInArrow(send, _SENT).groupBy("bucket").applyInArrow(_decide, _ANSWER)
+    first = docs.groupBy("batch").applyInArrow(_one(send), _SENT).groupBy("bucket").applyInArrow(_one(_decide), _ANSWER)
 
     def send_open(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = []
@@ -213,11 +224,11 @@ def covered(documents: DataFrame, scheme, doc_id: Column, text: Column, finish,
             home = left["batch"][0].as_py()
             for bucket, e in b.by_bucket(np.flatnonzero(codes == OPEN), FINER * n, 2):
                 lead = b.lead[e]
-                at, m = b.runs.first[lead], b.runs.n[lead]
-                rows.append((bucket, home, packed(b.key[e]), packed(b.doc[e]), packed(m.astype(np.int64)), scheme.cut(b.symbols, at, m + scheme.window - 1).tobytes()))
+                at, m = b.runs.first[lead].astype(np.int64), b.runs.n[lead].astype(np.int64)
+                rows.append((bucket, home, packed(b.key[e]), packed(b.doc[e]), packed(m), scheme.cut(b.symbols, at, m + scheme.window - 1).tobytes()))
         return pa.table([pa.array([r[i] for r in rows], pa.int64() if i < 2 else pa.binary()) for i in range(6)], names=["bucket", "batch", "key", "doc", "n", "symbols"])
 
-    second = docs.groupBy("batch").cogroup(first.groupBy("batch")).applyInArrow(send_open, _STRINGS).groupBy("bucket").applyInArrow(lambda t: _compare(t, scheme), _ANSWER)
+    second = docs.groupBy("batch").cogroup(first.groupBy("batch")).applyInArrow(_two(send_open), _STRINGS).groupBy("bucket").applyInArrow(_one(lambda t: _compare(t, scheme)), _ANSWER)
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
@@ -246,12 +257,12 @@ def covered(documents: DataFrame, scheme, doc_id: Column, text: Column, finish,
         if len(at):
             m = r.n[at].astype(np.int64)
             hit = bits[ranges(offset[b.entry[at]], m)]
-            start = ranges(r.first[at], m)[hit]
+            start = ranges(r.first[at].astype(np.int64), m)[hit]
             np.add.at(edge, start, 1)
             np.add.at(edge, start + scheme.window, -1)
         return finish(b, np.cumsum(edge[:-1], dtype=np.int32) > 0)
 
-    return docs.groupBy("batch").cogroup(first.unionByName(second).groupBy("batch")).applyInArrow(join, schema)
+    return docs.groupBy("batch").cogroup(first.unionByName(second).groupBy("batch")).applyInArrow(_two(join), schema)
 
 
 def spans_of(mask: np.ndarray, bounds: np.ndarray) -> tuple[pa.ListArray, np.ndarray, np.ndarray]:
