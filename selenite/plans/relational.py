@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions import scoring as S
 from ..operators import relational as R
+from ..operators import throttle as T
 from ..sources.tables import BOXES, HIGH, WIDE, boxes, table
 
 Q: dict = {}
@@ -390,12 +391,5 @@ def bearing(spark, d):
 @query(f"WITH RECURSIVE e AS (SELECT event_id, event_type, row_number() OVER (ORDER BY event_id) AS k FROM events WHERE event_id < 400), t AS (SELECT 1::BIGINT AS k, CASE WHEN event_type = 'error' THEN 0.8 ELSE 0.4 END::DOUBLE AS delay, CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS clean FROM e WHERE k = 1 UNION ALL SELECT e.k, CASE WHEN event_type = 'error' THEN least(30.0, t.delay * 2) WHEN t.clean + 1 >= 25 THEN greatest(0.4, t.delay / 2) ELSE t.delay END::DOUBLE, CASE WHEN event_type = 'error' OR t.clean + 1 >= 25 THEN 0 ELSE t.clean + 1 END FROM t JOIN e ON e.k = t.k + 1) SELECT {rnd('delay', 6)} AS delay, CAST(clean AS BIGINT) AS clean FROM t ORDER BY k DESC LIMIT 1")
 def throttle(spark, d):
     """State of the request throttle after a log of outcomes: doubled on an error, halved after 25 clean ones."""
-    log = table(spark, d, "events").filter("event_id < 400").agg(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "event_type"))), lambda e: e["event_type"]).alias("log"))
-    state = F.struct(F.lit(0.4).alias("delay"), F.lit(0).cast("bigint").alias("clean"))
-
-    def step(s, e):
-        bad, full = e == "error", s["clean"] + 1 >= 25
-        delay = F.when(bad, F.least(F.lit(30.0), s["delay"] * 2)).when(full, F.greatest(F.lit(0.4), s["delay"] / 2)).otherwise(s["delay"])
-        return F.struct(delay.alias("delay"), F.when(bad | full, F.lit(0).cast("bigint")).otherwise(s["clean"] + 1).alias("clean"))
-
-    return log.select(F.aggregate("log", state, step).alias("s")).select(C.rounded(F.col("s.delay"), 6).alias("delay"), F.col("s.clean").alias("clean"))
+    s = T.final_state(table(spark, d, "events").select("event_id", "event_type"))
+    return s.select(C.rounded(F.col("delay"), 6).alias("delay"), "clean")
