@@ -65,7 +65,7 @@ SHOWN = "feature, body, category, max_score, array_to_string(verdicts, ',') AS v
 
 
 def features(spark, d):
-    j = judged(spark, d).filter("l_linenumber = 3 AND w < 20")
+    j = judged(spark, d)
     seen = lambda c: F.array_sort(F.collect_set(c))
     g = j.groupBy(F.col("l_suppkey").alias("feature")).agg(F.max("score").alias("max_score"), F.max("contrast").alias("max_contrast"), F.max("area_px").alias("area"), seen("verdict").alias("verdicts"), seen(C.band(F.col("image"))).alias("bands"), seen("polarity").alias("polarities"), F.max("aspect").alias("aspect"), F.max("compactness").alias("compactness"), F.max("polarity").alias("polarity"), F.max("verdict").alias("verdict"))
     return g.withColumn("body", F.when(F.col("feature") % 2 == 0, "Mars").otherwise("Moon"))

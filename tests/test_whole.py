@@ -2,9 +2,10 @@
 
 import duckdb
 import pytest
+from test_oracles import TABLES, rows
 
 from selenite.operators import throttle
-from selenite.plans import registry
+from selenite.plans import registry, text
 
 DATA = "/root/testdata/sf0.001"
 
@@ -33,3 +34,23 @@ def test_throttle_composes_ranges(spark):
     log = spark.createDataFrame(list(enumerate(kinds)), "event_id long, event_type string").repartition(7)
     assert [tuple(r) for r in throttle.final_state(log).collect()] == [plain_throttle(kinds)]
     assert [tuple(r) for r in throttle.final_state(log.limit(0)).collect()] == [(0.4, 0)]
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
+    return con
+
+
+def whole(sql, subset):
+    """The SQL without its subset, which it must have exactly once."""
+    assert sql.count(subset) == 1
+    return sql.replace(subset, "")
+
+
+@pytest.mark.parametrize("name", [*text.PHRASES, "category_histogram", "insights"])
+def test_features_have_all_members(spark, duck, name):
+    sql = whole(registry.ORACLES[name], " WHERE l_linenumber = 3 AND w < 20")
+    assert rows(registry.QUERIES[name](spark, DATA).toPandas()) == rows(duck.sql(sql).df())
