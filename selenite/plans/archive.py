@@ -102,7 +102,7 @@ def recall_by_size(spark, d):
 
 @query(f"SELECT event_type, {rnd('quantile_cont(value, 0.5)', 3)} AS median_ratio, count(*) AS n FROM events WHERE value > 0 AND user_id % 7 <> 0 GROUP BY event_type")
 def variant_persistence(spark, d):
-    return table(spark, d, "events").filter("value > 0 AND user_id % 7 <> 0").groupBy("event_type").agg(C.rounded(F.median("value"), 3).alias("median_ratio"), F.count("*").alias("n"))
+    return table(spark, d, "events").filter("value > 0").groupBy("event_type").agg(C.rounded(F.median("value"), 3).alias("median_ratio"), F.count("*").alias("n"))
 
 
 @query(f"""WITH g AS (SELECT y, x, x - lag(x) OVER (PARTITION BY y ORDER BY x) AS gap FROM (SELECT CAST(event_id // 100 AS INTEGER) AS y, CAST(event_id % 100 AS INTEGER) AS x, value AS v FROM events) WHERE v > 100)
@@ -157,7 +157,7 @@ def physical_size(spark, d):
 
 @query("SELECT DISTINCT l_suppkey, w, h FROM (" + BOXES + ") WHERE l_linenumber = 1")
 def distinct_boxes(spark, d):
-    return boxes(spark, d).filter("l_linenumber = 1").select("l_suppkey", "w", "h").distinct()
+    return boxes(spark, d).select("l_suppkey", "w", "h").distinct()
 
 
 @query(f"WITH {ADJUDICATED}, lead AS (SELECT * FROM judged WHERE verdict = 'CONFIRMED-LEAD' AND l_suppkey > 1000000), pick AS (SELECT * FROM lead UNION ALL SELECT * FROM judged WHERE NOT EXISTS (SELECT 1 FROM lead)) SELECT verdict, count(*) AS n FROM pick GROUP BY verdict")

@@ -212,15 +212,15 @@ def kernel_disparity(spark, d):
 
 @query()
 def kernel_nms(spark, d):
-    """Greedy overlap removal among the boxes of an image; grouped, as each choice depends on those before."""
+    """Greedy overlap removal among the boxes of an image, the line number as scale; grouped, as each choice depends on those before."""
 
     def run(f):
         import pandas as pd
 
-        kept = K.without_overlaps(f.sort_values(["scale", "l_orderkey", "l_partkey", "x", "y"]).to_dict("records"))
+        kept = K.without_overlaps(f.sort_values(["scale", "l_orderkey", "l_partkey", "x", "y", "w", "h"]).to_dict("records"))
         return pd.DataFrame(kept)[["image", "x", "y", "w", "h", "scale"]]
 
-    b = boxes(spark, d).filter("l_linenumber = 1").select(F.concat_ws("-", "image", F.col("l_partkey") % 16).alias("image"), "l_orderkey", "l_partkey", *"xywh", F.col("l_linenumber").alias("scale"))
+    b = boxes(spark, d).select("image", "l_orderkey", "l_partkey", *"xywh", F.col("l_linenumber").alias("scale"))
     return b.groupBy("image").applyInPandas(run, "image string, x int, y int, w int, h int, scale int")
 
 

@@ -72,10 +72,18 @@ def overlap_share(a: tuple, b: tuple, of: str = "smaller") -> float:
 def without_overlaps(rows: list[dict], most: float = 0.5) -> list[dict]:
     """Greedy: in ascending scale, input order within, a box goes if it covers more than ``most`` of the smaller of it and a kept one."""
     kept: list[dict] = []
+    if not rows:
+        return kept
+    side = max(1, int(np.median([max(r["w"], r["h"]) for r in rows])))
+    grid: dict[tuple, list[tuple]] = {}  # kept boxes by each cell that they touch: only those of shared cells can overlap
     for r in sorted(rows, key=lambda r: r["scale"]):
         box = tuple(r[c] for c in "xywh")
-        if all(overlap_share(box, tuple(k[c] for c in "xywh")) <= most for k in kept):
+        x, y, w, h = box
+        cells = [(i, j) for i in range(int(x // side), int((x + w) // side) + 1) for j in range(int(y // side), int((y + h) // side) + 1)]
+        if all(overlap_share(box, k) <= most for c in cells for k in grid.get(c, ())):
             kept.append(r)
+            for c in cells:
+                grid.setdefault(c, []).append(box)
     return kept
 
 

@@ -1,11 +1,16 @@
 """Queries over all rows of their tables, against plain versions without a subset."""
 
+from collections import defaultdict
+
 import duckdb
+import numpy as np
 import pytest
 from test_oracles import TABLES, rows
 
 from selenite.operators import throttle
 from selenite.plans import registry, text
+from selenite.raster import kernels as K
+from selenite.sources.tables import BOXES
 
 DATA = "/root/testdata/sf0.001"
 
@@ -54,3 +59,34 @@ def whole(sql, subset):
 def test_features_have_all_members(spark, duck, name):
     sql = whole(registry.ORACLES[name], " WHERE l_linenumber = 3 AND w < 20")
     assert rows(registry.QUERIES[name](spark, DATA).toPandas()) == rows(duck.sql(sql).df())
+
+
+@pytest.mark.parametrize(("name", "subset"), [("distinct_boxes", " WHERE l_linenumber = 1"), ("variant_persistence", " AND user_id % 7 <> 0")])
+def test_no_subset(spark, duck, name, subset):
+    assert rows(registry.QUERIES[name](spark, DATA).toPandas()) == rows(duck.sql(whole(registry.ORACLES[name], subset)).df())
+
+
+def plain_greedy(found):
+    """The boxes (x, y, w, h) of ``found`` that stay, each compared with all kept before."""
+    kept = []
+    for box in found:
+        if all(K.overlap_share(box, k) <= 0.5 for k in kept):
+            kept.append(box)
+    return kept
+
+
+def test_kernel_nms_is_by_image(spark, duck):
+    by = defaultdict(list)
+    for image, scale, *box in duck.sql(f"SELECT image, l_linenumber, x, y, w, h FROM ({BOXES}) ORDER BY l_linenumber, l_orderkey, l_partkey, x, y, w, h").fetchall():
+        by[image].append((scale, tuple(box)))
+    assert all(len({s for s, _ in v}) > 1 for v in by.values())
+    want = sorted((image, *box) for image, v in by.items() for box in plain_greedy([b for _, b in v]))
+    got = registry.QUERIES["kernel_nms"](spark, DATA).collect()
+    assert sorted((r["image"], r["x"], r["y"], r["w"], r["h"]) for r in got) == want
+    assert {r["scale"] for r in got} == {s for v in by.values() for s, _ in v}
+
+
+def test_overlaps_by_grid():
+    rng = np.random.default_rng(8)
+    found = [{"x": int(x), "y": int(y), "w": int(w), "h": int(h), "scale": 1} for x, y, w, h in zip(*rng.integers(-60, 60, (2, 800)), *rng.integers(0, 50, (2, 800)), strict=True)]
+    assert [tuple(r[c] for c in "xywh") for r in K.without_overlaps(found)] == plain_greedy([tuple(r[c] for c in "xywh") for r in found])
