@@ -7,12 +7,12 @@ import functools
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut, shared_folder
 
-__all__ = ["blocks_for", "cut", "shared_folder", "table", "text_bytes", "trimmed"]
+__all__ = ["blocks_for", "cut", "row_sign", "shared_folder", "table", "text_bytes", "trimmed"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,13 @@ def text_bytes(df: DataFrame, text: str = "text") -> int:
     return int(df.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0)
 
 
+def row_sign(df: DataFrame) -> Column:
+    """A hash of the whole row, text and all other columns: rows of one hash are alike, and its order is total over the others."""
+    rest = [F.col(c) for c in sorted(df.columns) if c != "text"]
+    signs = [F.coalesce(F.sha2(F.col("text").cast("string"), 256), F.lit(""))] + ([F.sha2(F.to_json(F.struct(*rest)), 256)] if rest else [])
+    return F.concat_ws("-", *signs)
+
+
 def trim() -> None:
     """Gives memory that this worker has freed back to the machine; workers outlive their tasks."""
     pa.default_memory_pool().release_unused()

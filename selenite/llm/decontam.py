@@ -57,12 +57,12 @@ def anchor_pairs(grams: DataFrame, most: int = MAX_ANCHORS) -> tuple[list[str],
     return (sorted({r["word"] for r in got}), sorted({r["pair"] for r in got})) if len(got) <= most else None
 
 
-def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, **more: Column) -> DataFrame:
     """Per document row: doc_id, n_words, n_hit, items (sorted strings), spans (array of struct(first, last) of words hit).
 
     Null text: no words. Null doc_id stays. Repeated rows are judged each on its own. Spans are maximal and in order. An empty
-    table gives no rows, an empty benchmark no hits; further columns, whatever their names, are left out. The one shuffle
-    carries hits and one small row a document, never texts.
+    table gives no rows, an empty benchmark no hits; further columns, whatever their names, are left out, but
+    ``more`` adds such. The one shuffle carries hits and one small row a document, never texts.
 
     Only windows around an anchor, a pair of words, are made and joined: every benchmark window has one, so no other can
     match. With too many anchors for a set in the plan, all windows are.
@@ -71,12 +71,13 @@ def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
     sizes = {r["len"]: r["n"] for r in grams.groupBy("len").agg(F.count("*").alias("n")).collect()}  # at most ``window`` rows
     anchors = anchor_pairs(grams)
     small = sum(sizes.values()) <= BROADCAST_WINDOWS
-    docs = documents.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text")).alias("w"))
+    docs = documents.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text")).alias("w"), *(v.alias(k) for k, v in more.items()))
+    own = ["rid", "doc_id", "n_words", *more]
     docs = docs.withColumn("n_words", F.size("w").cast("long"))
     # one block of words a row; block 0 also stands for the document itself
     last = F.floor(F.greatest(F.size("w") - 1, F.lit(0)) / BLOCK).cast("int")
     words = lambda b: _each(b * BLOCK, F.least((b + 1) * BLOCK + window - 1, F.size("w")) - 1, lambda i: F.get(F.col("w"), i))
-    blocks = docs.select("rid", "doc_id", "n_words", F.posexplode(F.transform(F.sequence(F.lit(0), last), words)).alias("b", "bw"))
+    blocks = docs.select(*own, F.posexplode(F.transform(F.sequence(F.lit(0), last), words)).alias("b", "bw"))
     every = F.when(F.size("bw") > 0, F.sequence(F.lit(0), F.size("bw") - 1)).otherwise(F.array().cast("array<int>"))
     bw = F.col("bw")
     anchored = lambda i: F.get(bw, i).isin(anchors[0]) & (_joined(bw, i, 2).isin(anchors[1]) | F.get(bw, i).isin(anchors[1]))
@@ -88,11 +89,11 @@ def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
         return F.transform(F.array_distinct(F.flatten(starts)), lambda i: F.struct(i.alias("at"), F.lit(n).alias("len"), _joined(F.col("bw"), i, n).alias("key")))
 
     itself = F.when(F.col("b") == 0, F.array(F.struct(F.lit(-1).alias("at"), F.lit(0).alias("len"), F.lit("").alias("key")))).otherwise(F.array().cast("array<struct<at:int,len:int,key:string>>"))
-    rows = blocks.select("rid", "doc_id", "n_words", "b", F.explode(F.concat(itself, *(made(n) for n in sorted(sizes)))).alias("g"))
-    rows = rows.select("rid", "doc_id", "n_words", (F.col("b").cast("long") * BLOCK + F.col("g.at")).alias("at"), F.col("g.len").alias("len"), F.col("g.key").alias("key"), (F.col("g.at") < 0).alias("itself"))
+    rows = blocks.select(*own, "b", F.explode(F.concat(itself, *(made(n) for n in sorted(sizes)))).alias("g"))
+    rows = rows.select(*own, (F.col("b").cast("long") * BLOCK + F.col("g.at")).alias("at"), F.col("g.len").alias("len"), F.col("g.key").alias("key"), (F.col("g.at") < 0).alias("itself"))
     hits = rows.join(F.broadcast(grams) if small else grams, ["key", "len"], "left").filter("itself OR items IS NOT NULL")
     spot = F.when(~F.col("itself"), F.struct(F.col("at").alias("first"), (F.col("at") + F.col("len") - 1).alias("last"), "items"))
-    out = hits.groupBy("rid", "doc_id", "n_words").agg(F.array_sort(F.collect_list(spot)).alias("hits"))
+    out = hits.groupBy(*own).agg(F.array_sort(F.collect_list(spot)).alias("hits"))
     empty = F.array().cast("array<struct<first:bigint,last:bigint>>")
 
     def join(acc: Column, h: Column) -> Column:
@@ -102,7 +103,7 @@ def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> Da
         apart = h["first"] > end["last"] + 1
         return F.when(F.size(acc) == 0, F.array(one)).when(apart, F.concat(acc, F.array(one))).otherwise(F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(both)))
 
-    out = out.select("doc_id", "n_words", F.aggregate("hits", empty, join).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"])))).alias("items"))
+    out = out.select(*own[1:], F.aggregate("hits", empty, join).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"])))).alias("items"))
     return out.withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("long"), lambda s, p: s + p["last"] - p["first"] + 1))
 
 
@@ -112,8 +113,10 @@ def contaminated(n_hit: Column, n_words: Column, share: int = 20) -> Column:
 
 
 def clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``documents`` without the contaminated ones, columns unchanged. Rows that share a doc_id with a contaminated row go
-    with it; rows without an id are kept. Ids of contaminated documents join by a shuffle unless Spark finds them small."""
-    found = scan(documents, benchmark, window)
-    bad = found.filter(contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("doc_id").alias("_bad")).distinct()
-    return documents.join(bad, documents["doc_id"] == bad["_bad"], "left_anti")
+    """``documents`` without the contaminated ones, columns unchanged. Each row is judged by its own text, whatever rows share its
+    id, rows without an id too. Ids and hashes of contaminated texts join by a shuffle unless Spark finds them small."""
+    sign = F.sha2(F.col("text").cast("string"), 256)
+    found = scan(documents, benchmark, window, sign=sign)
+    bad = found.filter(contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("doc_id").alias("_bad"), F.col("sign").alias("_bad_sign")).distinct()
+    signed = documents.withColumns({"_id": F.col("doc_id").cast("long"), "_sign": sign})
+    return signed.join(bad, signed["_id"].eqNullSafe(bad["_bad"]) & (signed["_sign"] == bad["_bad_sign"]), "left_anti").drop("_id", "_sign")

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.relational import components
-from .common import blocks_for, cut, trim
+from .common import blocks_for, cut, row_sign, trim
 
 ERRORS = 4
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -55,16 +55,18 @@ def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(documents: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
-    """doc_id, fp (the 64 bits as a long). Null or blank text: 0. One row per row; further columns are left out."""
+def fingerprints(documents: DataFrame, words: int = 4, seed: int = 42, sign: Column | None = None) -> DataFrame:
+    """doc_id, fp (the 64 bits as a long), and sign if given. Null or blank text: 0. One row per row; further columns are left out."""
+    more = [] if sign is None else ["sign"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((fingerprint(t.as_py(), words, seed) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]], ["doc_id", "fp", *more])
             trim()
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    cols = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *(sign.alias(c) for c in more)]
+    return documents.select(*cols).mapInArrow(run, ", ".join(["doc_id long, fp long", *(f"{c} string" for c in more)]))
 
 
 def _syndrome(x: np.ndarray) -> np.ndarray:
@@ -185,28 +187,34 @@ def near_duplicates(documents: DataFrame, words: int = 4, errors: int = ERRORS,
     an id get the component's smallest id, null if it has none. An empty table gives no rows; further columns are left
     out. Equal fingerprints are one node with its smallest id, so copies, however many, are never paired.
     """
+    rows = cut(fingerprints(documents, words, seed))
+    return rows.join(_least(rows, F.col("doc_id"), errors), "fp").select("doc_id", "fp", F.col("least").alias("component_id"))
+
+
+def _least(rows: DataFrame, value: Column, errors: int) -> DataFrame:
+    """fp, least: the smallest ``value`` of the rows in the component of each fingerprint."""
     if not 0 <= errors <= ERRORS:
         raise ValueError(f"errors: 0 to {ERRORS}")
-    rows = cut(fingerprints(documents, words, seed))
-    distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    distinct = cut(rows.groupBy("fp").agg(F.min(value).alias("first")))
     roots = components(links(distinct, errors))
-    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    ids = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = named.join(ids, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    return named.join(named.groupBy("root").agg(F.min("first").alias("least")), "root").select("fp", "least")
 
 
 def one_of_each(documents: DataFrame, words: int = 4, errors: int = ERRORS, seed: int = 42) -> DataFrame:
-    """``documents`` with one document of each near-duplicate group, that of the smallest id; columns unchanged.
+    """``documents`` with one row of each near-duplicate group, that of the smallest id; columns unchanged.
 
-    Rows without an id stay, as nothing tells which of a group they are. Of rows that share an id one stays.
+    Decided by row, whatever rows share its id: of rows of one id in a group, and in a group without ids, the one of the smallest
+    hash of the whole row stays. A row is found again by its id and that hash, so rows that are alike in all columns are one.
     """
-    found = cut(near_duplicates(documents, words, errors, seed))
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = documents.join(gone, documents["doc_id"] == gone["_gone"], "left_anti")
-    if found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        kept = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id IS NULL"))
-    return kept
+    rows = cut(fingerprints(documents, words, seed, row_sign(documents)))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sign")
+    gone = rows.join(_least(rows, place, errors), "fp").filter(place != F.col("least")).select(F.col("doc_id").alias("_gone"), F.col("sign").alias("_gone_sign")).distinct()
+    signed = documents.withColumns({"_id": F.col("doc_id").cast("long"), "_sign": row_sign(documents)})
+    kept = signed.join(gone, signed["_id"].eqNullSafe(gone["_gone"]) & (signed["_sign"] == gone["_gone_sign"]), "left_anti")
+    if rows.groupBy("doc_id", "sign").count().filter("count > 1").limit(1).count():
+        kept = kept.dropDuplicates(["_id", "_sign"])
+    return kept.drop("_id", "_sign")
 
 
 def hex_of(fp: Column) -> Column:
