@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
@@ -17,8 +17,8 @@ from .common import trim
 
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
-#: The model is fitted on the labelled documents with the smallest id hashes, so many and each up to so many characters.
-FIT_DOCS, FIT_CHARS = 4000, 200_000
+#: The model is fitted on the documents with the smallest id hashes of each language, so many and each up to so many characters.
+FIT_EACH, FIT_CHARS = 1000, 200_000
 SIZES = (5, 4, 3, 2, 1)
 _CACHE = 1 << 16
 
@@ -139,18 +139,23 @@ def held_out(doc_id: Column, parts: int = 5, part: int = 0) -> Column:
 
 
 def sample(rows: DataFrame, n: int) -> DataFrame:
-    """The ``n`` rows with the smallest hashes of doc_id: found over the ids alone, so that no text is sorted."""
-    h = F.xxhash64("doc_id")
-    bound = rows.select(h.alias("h")).orderBy("h").limit(n).agg(F.max("h")).first()[0]
-    return rows.filter(h <= bound) if bound is not None else rows.limit(0)
+    """Of each lang the ``n`` rows with the smallest hashes of doc_id: found over ids and langs alone, so that no text is sorted.
+
+    Spark keeps up to 1000 rows of a lang in each task before they meet, so that a language's rows never go to one task whole.
+    """
+    w = Window.partitionBy("lang").orderBy("h")
+    least = rows.select("lang", F.xxhash64("doc_id").alias("h")).withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n)
+    bounds = least.groupBy(F.col("lang").alias("_lang")).agg(F.max("h").alias("_bound"))
+    return rows.join(F.broadcast(bounds), (F.col("lang") == F.col("_lang")) & (F.xxhash64("doc_id") <= F.col("_bound"))).drop("_lang", "_bound")
 
 
-def fit(documents: DataFrame, fit_docs: int = FIT_DOCS, fit_chars: int = FIT_CHARS) -> Model:
-    """A model from up to ``fit_docs`` documents outside the held-out part whose text and lang are not null; ids that repeat
-    at the bound may add a few. Documents over ``fit_chars`` characters are not fitted on, but scored whole."""
+def fit(documents: DataFrame, fit_each: int = FIT_EACH, fit_chars: int = FIT_CHARS) -> Model:
+    """A model from up to ``fit_each`` documents of each lang, outside the held-out part, whose text and lang are not null; ids
+    that repeat at a bound may add a few. So each language is learned at every size, unless all its documents are held out
+    or longer than ``fit_chars`` characters: those are not fitted on, but scored whole."""
     rows = documents.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(~held_out(F.col("doc_id"))).filter("text IS NOT NULL AND lang IS NOT NULL").filter(F.length("text") <= fit_chars)
-    got = sample(rows, fit_docs).select("text", "lang").toArrow()
+    got = sample(rows, fit_each).select("text", "lang").toArrow()
     return Model.fit(zip(got["text"].to_pylist(), got["lang"].to_pylist(), strict=True))
 
 

@@ -2,9 +2,10 @@
 
 from collections import Counter
 
+from pyspark.sql import functions as F
 from test_operators import DOCS
 
-from selenite.llm import decontam, simhash
+from selenite.llm import decontam, langid, simhash
 
 
 def test_one_of_each_by_row(spark):
@@ -26,3 +27,18 @@ def test_clean_by_row(spark):
     df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
     got = Counter((r["doc_id"], r["text"]) for r in decontam.clean(df, bench).collect())
     assert got == Counter([(1, good), (None, good), (2, good), (4, None)])
+
+
+def test_rare_languages_are_learned(spark):
+    """Three languages of 5 documents each beside one of 6000; the rare ones' words share no letter with it."""
+    rows = [(i, "the cat sat on the mat", "en", "s", 22) for i in range(6000)]
+    rare = {"el": "\u03b1\u03b2\u03b3 \u03b4\u03b5\u03b6", "ru": "\u0434\u0436\u0437 \u0438\u0439\u043a", "he": "\u05d0\u05d1\u05d2 \u05d3\u05d4\u05d5"}
+    # ids with large hashes, so that the smallest hashes of all rows leave them out
+    spots = spark.range(6000, 9000).filter(~langid.held_out(F.col("id"))).orderBy(F.desc(F.xxhash64("id"))).limit(15).collect()
+    for k, r in enumerate(spots):
+        lang = sorted(rare)[k % 3]
+        rows.append((r["id"], rare[lang], lang, "s", 7))
+    df = spark.createDataFrame(rows, DOCS)
+    model = langid.fit(df)
+    assert model.langs == ["el", "en", "he", "ru"]
+    assert all(r["lang_pred"] == r["lang"] and r["lang_score"] > 0.5 for r in langid.identify(df, model).collect())
