@@ -5,48 +5,50 @@ names: runs of one word become a symbol; then neighbours become one symbol where
 one is 1. Whether two symbols merge depends on these two alone, so equal substrings get the same symbols inside: of a window of
 13 words all second-level boundaries from offset 3 to 10 are set by the window itself, and, as a symbol other than a run has at
 most 4 words, one is there (a run counts as a boundary at each of its words). A window's key is the smallest name of the 6
-words around such a boundary. Windows of one key in a row are a high-level symbol; shared ones reveal repeats, and their names
-verify them.
+words around such a boundary. Windows of one key in a row are a high-level symbol; shared ones reveal repeats, and the words
+themselves, compared as bytes, verify them.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .windows import MASK48, Batch, Runs, covered, mixed, pieces, ranges, runs_of, spans_of
+from .windows import MASK48, Batch, Runs, alike, covered, mixed, names, pieces, ranges, runs_of, spans_of
 
 WINDOW = 13
 _FAR = np.uint64(2**64 - 1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _CHUNK, _PIECE = 1 << 19, 1 << 18
-_BASE = 0x5851F42D4C957F2D  # odd, so that it has an inverse mod 2**64
 
 
 class Words:
-    """Words of a batch: byte bounds, names, and each document's bounds among the words."""
+    """Words of a batch: its texts with one space after each word and nothing else between them, the words' byte bounds there, their
+    names (hashes), and each document's bounds among the words."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        starts, ends = [], []
+        starts, ends, parts, bounds, at, n = [], [], [], [np.zeros(1, np.int64)], 0, 0
         for a, b in _chunks(offsets):
-            part = ~_SPACE[data[offsets[a] : offsets[b]]]
-            edge = np.zeros(len(part) + 1, bool)
-            edge[offsets[a:b] - offsets[a]] = True  # words end with their document
-            before = np.concatenate([[False], part[:-1]]) & ~edge[:-1]
-            after = np.concatenate([part[1:], [False]]) & ~edge[1:] if len(part) else part
-            starts.append(np.flatnonzero(part & ~before) + offsets[a])
-            ends.append(np.flatnonzero(part & ~after) + 1 + offsets[a])
+            # a space after each document ends its last word
+            stop = offsets[a + 1 : b + 1] - offsets[a]
+            chunk = np.insert(data[offsets[a] : offsets[b]], stop, 0x20)
+            part = ~_SPACE[chunk]
+            before = np.concatenate([[False], part[:-1]])
+            kept = part | before
+            place, first = np.cumsum(kept) - kept, part & ~before
+            starts.append(place[first] + at)
+            ends.append(place[before & ~part] + at)
+            parts.append(np.where(part, chunk, np.uint8(0x20))[kept])
+            bounds.append(np.cumsum(first)[stop + np.arange(len(stop))] + n)
+            at, n = at + len(parts[-1]), int(bounds[-1][-1])
+        self.data = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
         self.start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
         self.end = np.concatenate(ends) if ends else np.zeros(0, np.int64)
-        self.bounds = np.searchsorted(self.start, offsets)
-        self.name = names(data, self.start, self.end)
-        self.size = len(self.start)
+        self.bounds, self.size = np.concatenate(bounds), len(self.start)
+        self.name = names(self.data, self.start, self.end)
 
 
 def _chunks(offsets: np.ndarray, most: int = _CHUNK):
@@ -58,39 +60,6 @@ def _chunks(offsets: np.ndarray, most: int = _CHUNK):
         a = b
 
 
-def names(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte ranges, eight bytes at a time."""
-    size = end - start
-    out = mixed(size.astype(np.uint64), 77)
-    long = np.flatnonzero(size > 256)
-    at = np.flatnonzero(size <= 256)
-    wide = np.concatenate([data, np.zeros(8, np.uint8)])
-    eight = np.lib.stride_tricks.as_strided(wide[:8].view(np.uint64), (len(data) + 1,), (1,))
-    k = 0
-    while len(at):
-        left = size[at] - k
-        x = eight[start[at] + k]
-        short = left < 8
-        x = np.where(short, x & ((np.uint64(1) << (np.minimum(left, 7) * 8).astype(np.uint64)) - np.uint64(1)), x)
-        out[at] = mixed(out[at] ^ x, 11 + k)
-        k += 8
-        at = at[size[at] > k]
-    for i in long:
-        out[i] = xxhash.xxh64_intdigest(data[start[i] : end[i]].tobytes(), 5)
-    return out
-
-
-@lru_cache(2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of _BASE and of its inverse mod 2**64, from the 0th to the n-th."""
-    out = []
-    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-        a = np.full(n + 1, base, np.uint64)
-        a[0] = 1
-        out.append(np.multiply.accumulate(a))
-    return out[0], out[1]
-
-
 def boundaries(x: np.ndarray, fresh: np.ndarray) -> np.ndarray:
     """Where a second-level symbol begins or a run goes on; x: names of words; fresh: where a document starts."""
     same = np.zeros(len(x) + 1, bool)
@@ -113,7 +82,7 @@ def boundaries(x: np.ndarray, fresh: np.ndarray) -> np.ndarray:
 
 
 class WordScheme:
-    window, dtype = WINDOW, np.uint64
+    window = WINDOW
 
     def symbols(self, data: np.ndarray, offsets: np.ndarray) -> Words:
         return Words(data, offsets)
@@ -139,32 +108,34 @@ class WordScheme:
         key = low[3 : 3 + m]
         left = np.repeat(bounds[1:], np.diff(bounds)) - np.arange(n)
         first, count = runs_of(key, left[:m] >= WINDOW, fresh[:m])
-        up, down = _powers(1 << (n - 1).bit_length() if n > 1 else 1)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(x, 301) * up[:n], dtype=np.uint64)])
-        sign = mixed((sums[first + count + WINDOW - 1] - sums[first]) * down[first] ^ mixed(count.astype(np.uint64), 303), 305)
-        return Runs((np.searchsorted(bounds, first, side="right") - 1 + doc).astype(np.int32), (first + lo).astype(np.int32), count.astype(np.int32), mixed(key[first], 307) & MASK48, sign & MASK48)
-
-    def cut(self, w: Words, first: np.ndarray, n: np.ndarray) -> np.ndarray:
-        return w.name[ranges(first, n)]
-
-    def compare(self, key: list[np.ndarray], doc: list[np.ndarray], n: list[np.ndarray], symbols: list[np.ndarray]) -> list[np.ndarray]:
-        """For each window of the open runs, whether an earlier document has its 13 names too; compared as two 64-bit names."""
-        sizes = [int(x.sum()) for x in n]
-        doc, m, x = np.concatenate(doc), np.concatenate(n), np.concatenate(symbols)
-        length = m + WINDOW - 1
-        base = np.cumsum(length) - length
-        at = np.arange(int(m.sum())) + np.repeat(base - (np.cumsum(m) - m), m)
-        a, b = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
-        for j in range(WINDOW):
-            y = x[at + j]
-            a, b = mixed(a ^ y, 401 + j), mixed(b + y, 501 + j)
-        d = np.repeat(doc, m)
-        order = np.lexsort((b, a))
-        new = np.concatenate([[True], (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])])
-        least = np.minimum.reduceat(d[order], np.flatnonzero(new))
-        hit = np.empty(len(at), bool)
-        hit[order] = d[order] > least[np.cumsum(new) - 1]
-        return np.split(hit, np.cumsum(sizes)[:-1])
+        return Runs((np.searchsorted(bounds, first, side="right") - 1 + doc).astype(np.int32), (first + lo).astype(np.int32), count.astype(np.int32), mixed(key[first], 307) & MASK48)
+
+    def span(self, w: Words, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Byte range of n windows from the first on."""
+        return w.start[first], w.end[first + n + WINDOW - 2]
+
+    def windows(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Number of windows of each string, words and single spaces."""
+        spaces = np.concatenate([[0], np.cumsum(data == 0x20)])
+        return spaces[start + size] - spaces[start] + 2 - WINDOW
+
+    def compare(self, data: np.ndarray, start: np.ndarray, size: np.ndarray, count: np.ndarray, ids: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """For each window of some strings, whether one of a smaller id has its 13 words too; compared as bytes."""
+        data = data[ranges(start, size)]
+        last = np.cumsum(size)
+        space = np.flatnonzero(data == 0x20)
+        # words of all strings, in a row: a string's first word starts with it, its last one ends with it
+        begin = np.sort(np.concatenate([last - size, space + 1]))
+        end = np.sort(np.concatenate([last, space]))
+        words = count + WINDOW - 1
+        w = ranges(np.cumsum(words) - words, count)
+        a, b, d = begin[w], end[w + WINDOW - 1], np.repeat(ids, count)
+        group = alike(data, a, b, names(data, a, b))
+        order = np.lexsort((d, group))
+        new = np.concatenate([[True], group[order][1:] != group[order][:-1]])
+        hit = np.empty(len(d), bool)
+        hit[order] = d[order] > d[order][new][np.cumsum(new) - 1]
+        return hit
 
 
 _DONE = "doc_id long, n_words long, n_removed long, spans array<struct<first:bigint,last:bigint>>, kept string"
@@ -173,12 +144,16 @@ _DONE = "doc_id long, n_words long, n_removed long, spans array<struct<first:big
 def _finish(b: Batch, mask: np.ndarray) -> pa.Table:
     w = b.symbols
     spans, _, removed = spans_of(mask, w.bounds)
-    data, kept = b.bytes.tobytes(), []
-    for i in range(len(w.bounds) - 1):
-        lo, hi = w.bounds[i], w.bounds[i + 1]
-        at = np.flatnonzero(~mask[lo:hi]) + lo
-        kept.append(b" ".join([data[s:e] for s, e in zip(w.start[at].tolist(), w.end[at].tolist(), strict=True)]))
-    return pa.table({"doc_id": b.ids, "n_words": pa.array(np.diff(w.bounds).astype(np.int64)), "n_removed": pa.array(removed.astype(np.int64)), "spans": spans.cast(pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))), "kept": pa.array(kept, pa.binary()).cast(pa.string())})
+    # kept words with the space after each, but the one after a document's last
+    left = np.repeat(~mask, w.end - w.start + 1)
+    kept = np.flatnonzero(~mask)
+    upto = np.searchsorted(kept, w.bounds[1:])
+    some = upto > np.searchsorted(kept, w.bounds[:-1])
+    left[w.end[kept[upto[some] - 1]]] = False
+    ends = np.concatenate([w.start, [len(w.data)]])[w.bounds]
+    at = np.concatenate([[0], np.cumsum(left)])[ends].astype(np.int32)
+    text = pa.Array.from_buffers(pa.string(), len(w.bounds) - 1, [None, pa.py_buffer(at.tobytes()), pa.py_buffer(w.data[left].tobytes())])
+    return pa.table({"doc_id": b.ids, "n_words": pa.array(np.diff(w.bounds).astype(np.int64)), "n_removed": pa.array(removed.astype(np.int64)), "spans": spans.cast(pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))), "kept": text})
 
 
 def repeated_words(documents: DataFrame) -> DataFrame:
@@ -187,6 +162,6 @@ def repeated_words(documents: DataFrame) -> DataFrame:
     Removed is each word covered by a window of 13 words that also starts in a document with a smaller id. Null text: no words.
     A null doc_id is neither smaller nor larger than another: nothing of it is removed or removes. Rows that share
     an id don't remove one another. Windows end with their document. An empty table gives no rows; further columns are
-    left out.
+    left out. A text has to fit a Python worker, with about 40 bytes of memory a byte.
     """
     return covered(documents, WordScheme(), F.col("doc_id"), F.col("text"), _finish, _DONE)

@@ -2,9 +2,9 @@
 
 A window's key is the smallest hash of its 20-byte strings, so equal windows, wherever they are, meet under one key, and what
 must be ordered together is split by key instead of standing in one index of the whole corpus. Runs of windows that are equal
-as a whole are settled by their signatures. The others' bytes go to their key's bucket: there each shard (the
-strings of some batches) gets its BWT, the transforms are merged by interleave refinement, seven symbols a round, to a depth of 50, and each
-interval of the merged order is one repeated string, with the smallest id that has it.
+byte for byte are one string there. The distinct ones: each shard (the strings of some batches) gets its BWT, the
+transforms are merged by interleave refinement, seven symbols a round, to a depth of 50, and each interval of the merged order
+is one repeated string, with the smallest id that has it.
 """
 
 from __future__ import annotations
@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
 from . import bwt
-from .substrings import names
-from .windows import MASK48, Batch, Runs, covered, mixed, pieces, ranges, runs_of, spans_of
+from .windows import MASK48, Batch, Runs, covered, eights, mixed, names, pieces, ranges, runs_of, spans_of
 
 WINDOW, GRAM, SHARDS = 50, 20, 32
 #: Rounds of refinement after the first symbol, seven symbols each.
@@ -36,8 +35,7 @@ class Bytes:
 def gram_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the 20 bytes from each place on."""
     n = len(data) - GRAM + 1
-    wide = np.concatenate([data, np.zeros(8, np.uint8)])
-    eight = np.lib.stride_tricks.as_strided(wide[:8].view(np.uint64), (len(data) + 1,), (1,))
+    eight = eights(data)
     h = eight[:n] * np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(32)
     h += eight[8 : 8 + n]
@@ -74,7 +72,7 @@ def shared_context(data: np.ndarray, length: np.ndarray, ids: np.ndarray) -> np.
 
 
 class ByteScheme:
-    window, dtype = WINDOW, np.uint8
+    window = WINDOW
 
     def symbols(self, data: np.ndarray, offsets: np.ndarray) -> Bytes:
         return Bytes(data, offsets)
@@ -96,22 +94,24 @@ class ByteScheme:
         fresh = np.zeros(len(x) + 1, bool)
         fresh[bounds] = True
         first, count = runs_of(key, left >= WINDOW, fresh[:m])
-        sign = names(x, first, first + count + WINDOW - 1)
-        return Runs((np.searchsorted(bounds, first, side="right") - 1 + doc).astype(np.int32), (first + lo).astype(np.int32), count.astype(np.int32), mixed(key[first], 307) & MASK48, sign & MASK48)
-
-    def cut(self, b: Bytes, first: np.ndarray, n: np.ndarray) -> np.ndarray:
-        return b.data[ranges(first, n)]
-
-    def compare(self, key: list[np.ndarray], doc: list[np.ndarray], n: list[np.ndarray], symbols: list[np.ndarray]) -> list[np.ndarray]:
-        """For each window of the open runs, whether an earlier document has its 50 bytes too."""
-        rows = np.repeat(np.arange(len(n)), [len(x) for x in n])
-        ids, count, data = np.concatenate(doc), np.concatenate(n), np.concatenate(symbols)
-        length = count + WINDOW - 1
-        kept = np.flatnonzero(shared_context(data, length, ids))
+        return Runs((np.searchsorted(bounds, first, side="right") - 1 + doc).astype(np.int32), (first + lo).astype(np.int32), count.astype(np.int32), mixed(key[first], 307) & MASK48)
+
+    def span(self, b: Bytes, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Byte range of n windows from the first on."""
+        return first, first + n + WINDOW - 1
+
+    def windows(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Number of windows of each string."""
+        return size - WINDOW + 1
+
+    def compare(self, data: np.ndarray, start: np.ndarray, size: np.ndarray, count: np.ndarray, ids: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """For each window of some strings, whether one of a smaller id has its 50 bytes too. row: the batch's place, for the shard."""
+        data = data[ranges(start, size)]
+        kept = np.flatnonzero(shared_context(data, size, ids))
         out = np.zeros(int(count.sum()), bool)
         if len(kept):
-            self._merge(out, data, kept, rows[kept] % SHARDS, ids, count, length)
-        return np.split(out, np.cumsum([int(x.sum()) for x in n])[:-1])
+            self._merge(out, data, kept, row[kept] % SHARDS, ids, count, size)
+        return out
 
     def _merge(self, out: np.ndarray, data: np.ndarray, kept: np.ndarray, shard: np.ndarray, ids: np.ndarray, count: np.ndarray, length: np.ndarray) -> None:
         """Sets out where a window of the ``kept`` strings is also in one of a smaller id; shard: of each of these."""
@@ -150,6 +150,7 @@ def repeated_bytes(documents: DataFrame) -> DataFrame:
     Removed is each byte covered by a 50-byte string that also starts in a document with a smaller id; matches don't cross
     documents. Null text: empty. A null doc_id is neither smaller nor larger than another: nothing of it is removed or
     removes. Rows that share an id don't remove one another. An empty table gives no rows; further columns are left out.
+    A text has to fit a Python worker, with about 60 bytes of memory a byte.
     """
     return covered(documents, ByteScheme(), F.col("doc_id"), F.col("text"), _finish, _DONE)
 
