@@ -13,12 +13,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
-from .common import trim
+from .common import cut, trim
 
-WORD = re.compile(r"[^\W\d_]+")
+#: Runs of Unicode letters: word characters that aren't digits, and none of the numbers that are (fractions, powers, numerals).
+WORD = re.compile(rf"[^\W\d_{''.join(c for c in map(chr, range(0x20000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())}]+")
 UNKNOWN = "und"
-#: The model is fitted on the documents with the smallest id hashes of each language, so many and each up to so many characters.
-FIT_EACH, FIT_CHARS = 1000, 200_000
+#: The model is fitted on the documents with the smallest id hashes of each language: so many of each, each up to so many
+#: characters, and so many characters in all, dealt out evenly over the languages, of which so many, the largest, are learned.
+FIT_EACH, FIT_CHARS, FIT_ALL, FIT_LANGS = 1000, 200_000, 32_000_000, 2000
 SIZES = (5, 4, 3, 2, 1)
 _CACHE = 1 << 16
 
@@ -138,25 +140,34 @@ def held_out(doc_id: Column, parts: int = 5, part: int = 0) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(parts)) == part
 
 
-def sample(rows: DataFrame, n: int) -> DataFrame:
-    """Of each lang the ``n`` rows with the smallest hashes of doc_id: found over ids and langs alone, so that no text is sorted.
+def sample(rows: DataFrame, by: str, n: int, chars: int, groups: int) -> DataFrame:
+    """``by``, h, text: of each value of ``by`` up to ``n`` ids, those with the smallest hashes h, with the smallest text of each.
 
-    Spark keeps up to 1000 rows of a lang in each task before they meet, so that a language's rows never go to one task whole.
+    Only the ``groups`` values with the most ids count, and each takes up to its even share of ``chars`` characters. However
+    often an id is repeated, it is one row. Ids are picked from their hashes and lengths alone, so that texts that aren't
+    picked don't travel.
     """
-    w = Window.partitionBy("lang").orderBy("h")
-    least = rows.select("lang", F.xxhash64("doc_id").alias("h")).withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n)
-    bounds = least.groupBy(F.col("lang").alias("_lang")).agg(F.max("h").alias("_bound"))
-    return rows.join(F.broadcast(bounds), (F.col("lang") == F.col("_lang")) & (F.xxhash64("doc_id") <= F.col("_bound"))).drop("_lang", "_bound")
-
-
-def fit(documents: DataFrame, fit_each: int = FIT_EACH, fit_chars: int = FIT_CHARS) -> Model:
-    """A model from up to ``fit_each`` documents of each lang, outside the held-out part, whose text and lang are not null; ids
-    that repeat at a bound may add a few. So each language is learned at every size, unless all its documents are held out
-    or longer than ``fit_chars`` characters: those are not fitted on, but scored whole."""
+    keyed = rows.withColumn("h", F.xxhash64("doc_id"))
+    few = cut(keyed.groupBy(by).agg(F.approx_count_distinct("h").alias("ids")).orderBy(F.desc("ids"), by).limit(groups))
+    # an id's hash is one of the smallest 8 n or so, or can't be among the n smallest
+    near = F.col("h").cast("double") / 2.0**64 + 0.5 <= 8.0 * n / F.col("ids")
+    share = F.lit(chars) / F.greatest(few.agg(F.count("*")).scalar(), F.lit(1))
+    ids = keyed.join(F.broadcast(few), by).filter(near).groupBy(by, "h").agg(F.max(F.length("text")).alias("size")).filter(F.col("size") <= share)
+    w = Window.partitionBy(by).orderBy("h")
+    picked = ids.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= n).withColumn("upto", F.sum("size").over(w)).filter(F.col("upto") <= share).select(by, "h")
+    # at most n * groups rows of 16 bytes and a short name
+    return keyed.join(F.broadcast(picked), [by, "h"]).groupBy(by, "h").agg(F.min("text").alias("text"))
+
+
+def fit(documents: DataFrame, fit_each: int = FIT_EACH, fit_chars: int = FIT_CHARS, fit_all: int = FIT_ALL, fit_langs: int = FIT_LANGS) -> Model:
+    """A model from up to ``fit_each`` documents of each lang, outside the held-out part, whose text and lang are not null. So each
+    of the ``fit_langs`` largest languages is learned at every size, unless all its documents are held out, longer than ``fit_chars``
+    characters or than the language's share of ``fit_all``: those are not fitted on, but scored whole."""
     rows = documents.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(~held_out(F.col("doc_id"))).filter("text IS NOT NULL AND lang IS NOT NULL").filter(F.length("text") <= fit_chars)
-    got = sample(rows, fit_each).select("text", "lang").toArrow()
-    return Model.fit(zip(got["text"].to_pylist(), got["lang"].to_pylist(), strict=True))
+    got = sample(rows, "lang", fit_each, fit_all, fit_langs).select("lang", "h", "text").toArrow().to_pylist()
+    got.sort(key=lambda r: (r["lang"], r["h"]))
+    return Model.fit((r["text"], r["lang"]) for r in got)
 
 
 def identify(documents: DataFrame, model: Model) -> DataFrame:
