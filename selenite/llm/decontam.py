@@ -1,19 +1,27 @@
 """Benchmark decontamination: scan every document's word windows against a broadcast hash set of benchmark windows.
 
-Only SQL expressions. Windows are compared as whole text, so a match needs no further check; the windows of a document are
-made and probed in blocks, so that a very long text never stands in memory as all its windows at once.
+Only SQL expressions. Every benchmark window has an anchor, the pair of words in it that fewest windows have. One scan joins all
+words of all documents, each with the next, with the table of anchors, which gives the spots; a second one builds the
+windows around spots and joins them as whole text, so that a match needs no further check. The windows of a document are made in
+blocks, so that a very long text never stands in memory as all its windows at once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import blocks_for, cut
+
 WINDOW, BLOCK = 13, 1024
-#: Benchmark windows that may be broadcast (about 120 bytes each); with more, Spark joins them by a shuffle.
-BROADCAST_WINDOWS = 200_000
-#: Anchors that may stand in the plan as a set.
-MAX_ANCHORS = 20_000
+#: Benchmark windows that are broadcast (about 150 bytes each); with more, Spark joins the windows around spots by a shuffle.
+BROADCAST_WINDOWS = 300_000
+#: Anchors of one broadcast (about 100 bytes each); with more, the documents are scanned once for each so many.
+PART_ANCHORS = 500_000
+#: Bytes of spots that are broadcast; with more, blocks of words are joined with them by a shuffle.
+BROADCAST_SPOTS = 64 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -44,17 +52,37 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return keys.groupBy("key", "len").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
-def anchor_pairs(grams: DataFrame, most: int = MAX_ANCHORS) -> tuple[list[str], list[str]] | None:
-    """(words, pairs of these and the words after them) such that every window has such a pair; a window of one word, the word.
+def anchors_of(grams: DataFrame, small: bool) -> DataFrame:
+    """word, next: pairs of neighbours such that every window has one; of a window of one word the word, next null.
 
-    Of each window it is the pair whose first word is in the fewest windows, the longest of these. None beyond ``most`` pairs.
+    Of each window it is the pair whose first word is in the fewest windows, the longest of these.
     """
     words = F.split("key", " ")
-    pairs = grams.select("key", "len", F.explode(_each(F.lit(0), F.greatest(F.col("len") - 2, F.lit(0)), lambda i: F.struct(F.get(words, i).alias("word"), _joined(words, i, 2).alias("pair")))).alias("p")).select("key", "len", "p.*")
+    pairs = grams.select("key", "len", F.explode(_each(F.lit(0), F.greatest(F.col("len") - 2, F.lit(0)), lambda i: F.struct(F.get(words, i).alias("word"), F.get(words, i + 1).alias("next")))).alias("p")).select("key", "len", "p.*")
     often = pairs.select("key", "len", "word").distinct().groupBy("word").agg(F.count("*").alias("often"))
-    rarest = pairs.join(often, "word").groupBy("key", "len").agg(F.min(F.struct("often", -F.length("word"), "word", "pair")).alias("m"))
-    got = rarest.select("m.word", "m.pair").distinct().limit(most + 1).collect()
-    return (sorted({r["word"] for r in got}), sorted({r["pair"] for r in got})) if len(got) <= most else None
+    rarest = pairs.join(F.broadcast(often) if small else often, "word").groupBy("key", "len").agg(F.min(F.struct("often", -F.length("word"), "word", "next")).alias("m"))
+    return rarest.select("m.word", "m.next").distinct()
+
+
+def spots_of(documents: DataFrame, anchors: DataFrame, window: int) -> DataFrame:
+    """doc_id, sign, b, ats: by text and block of words, where in it anchors stand from which a window of the block may hang.
+
+    Texts that share id and hash share their spots, which is no harm: what hangs there is compared as text.
+    """
+    n = {r["one"]: r["n"] for r in anchors.groupBy(F.col("next").isNull().alias("one")).agg(F.count("*").alias("n")).collect()}
+    base = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("sign"), words_of(F.col("text")).alias("word"))
+    each = base.select("doc_id", "sign", F.posexplode(F.arrays_zip("word", F.slice("word", F.lit(2), F.size("word")).alias("next"))).alias("at", "p")).select("doc_id", "sign", "at", "p.word", "p.next")
+    found = []
+    for one, on in ((False, ["word", "next"]), (True, ["word"])):
+        parts = blocks_for(n.get(one, 0), PART_ANCHORS, 0)
+        mine = anchors.filter(F.col("next").isNull() == one).select(on)
+        for k in range(parts):
+            found.append(each.join(F.broadcast(mine.filter(F.pmod(F.xxhash64(*on), F.lit(parts)) == k)), on, "left_semi").select("doc_id", "sign", "at"))
+    if not found:
+        return each.limit(0).select("doc_id", "sign", F.col("at").alias("b"), F.array("at").alias("ats"))
+    block = lambda c: F.floor(c / BLOCK).cast("int")
+    rows = reduce(DataFrame.unionByName, found).select("doc_id", "sign", "at", F.explode(F.sequence(block(F.greatest(F.col("at") - max(window - 2, 0), F.lit(0))), block(F.col("at")))).alias("b"))
+    return rows.groupBy("doc_id", "sign", "b").agg(F.sort_array(F.collect_set(F.col("at") - F.col("b") * BLOCK)).alias("ats"))
 
 
 def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, **more: Column) -> DataFrame:
@@ -62,49 +90,44 @@ def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, **mor
 
     Null text: no words. Null doc_id stays. Repeated rows are judged each on its own. Spans are maximal and in order. An empty
     table gives no rows, an empty benchmark no hits; further columns, whatever their names, are left out, but
-    ``more`` adds such. The one shuffle carries hits and one small row a document, never texts.
-
-    Only windows around an anchor, a pair of words, are made and joined: every benchmark window has one, so no other can
-    match. With too many anchors for a set in the plan, all windows are.
+    ``more`` adds such. One plan for benchmarks and documents of every size; what is broadcast is counted before. The one
+    shuffle of all documents carries hits and one small row each, never texts.
     """
-    grams = benchmark_windows(benchmark, window).cache()
+    grams = cut(benchmark_windows(benchmark, window))
     sizes = {r["len"]: r["n"] for r in grams.groupBy("len").agg(F.count("*").alias("n")).collect()}  # at most ``window`` rows
-    anchors = anchor_pairs(grams)
     small = sum(sizes.values()) <= BROADCAST_WINDOWS
-    docs = documents.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text")).alias("w"), *(v.alias(k) for k, v in more.items()))
+    spots = cut(spots_of(documents, cut(anchors_of(grams, small)), window))
+    weight = spots.agg(F.sum(F.size("ats") * 4 + 60).alias("n")).first()["n"] or 0
+    spots = spots.select(F.col("doc_id").alias("_id"), F.col("sign").alias("_sign"), F.col("b").alias("_b"), "ats")
+    docs = documents.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_sign"), words_of(F.col("text")).alias("w"), *(v.alias(k) for k, v in more.items()))
     own = ["rid", "doc_id", "n_words", *more]
     docs = docs.withColumn("n_words", F.size("w").cast("long"))
     # one block of words a row; block 0 also stands for the document itself
     last = F.floor(F.greatest(F.size("w") - 1, F.lit(0)) / BLOCK).cast("int")
     words = lambda b: _each(b * BLOCK, F.least((b + 1) * BLOCK + window - 1, F.size("w")) - 1, lambda i: F.get(F.col("w"), i))
-    blocks = docs.select(*own, F.posexplode(F.transform(F.sequence(F.lit(0), last), words)).alias("b", "bw"))
-    every = F.when(F.size("bw") > 0, F.sequence(F.lit(0), F.size("bw") - 1)).otherwise(F.array().cast("array<int>"))
-    bw = F.col("bw")
-    anchored = lambda i: F.get(bw, i).isin(anchors[0]) & (_joined(bw, i, 2).isin(anchors[1]) | F.get(bw, i).isin(anchors[1]))
-    at = every if anchors is None else F.filter(every, anchored) if anchors[0] else F.array().cast("array<int>")
-    blocks = blocks.withColumn("at", at)
+    blocks = docs.select(*own, "text_sign", F.posexplode(F.transform(F.sequence(F.lit(0), last), words)).alias("b", "bw"))
+    there = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_sign") == F.col("_sign")) & (F.col("b") == F.col("_b"))
+    blocks = blocks.join(F.broadcast(spots) if weight <= BROADCAST_SPOTS else spots, there, "left").filter("b = 0 OR ats IS NOT NULL")
 
     def made(n: int) -> Column:
-        starts = F.transform("at", lambda p: _each(F.greatest(p - (max(n - 2, 0) if anchors else n - 1), F.lit(0)), F.least(p, F.size("bw") - n, F.lit(BLOCK - 1)), lambda i: i))
+        ats = F.coalesce("ats", F.array().cast("array<int>"))
+        starts = F.transform(ats, lambda p: _each(F.greatest(p - max(n - 2, 0), F.lit(0)), F.least(p, F.size("bw") - n, F.lit(BLOCK - 1)), lambda i: i))
         return F.transform(F.array_distinct(F.flatten(starts)), lambda i: F.struct(i.alias("at"), F.lit(n).alias("len"), _joined(F.col("bw"), i, n).alias("key")))
 
     itself = F.when(F.col("b") == 0, F.array(F.struct(F.lit(-1).alias("at"), F.lit(0).alias("len"), F.lit("").alias("key")))).otherwise(F.array().cast("array<struct<at:int,len:int,key:string>>"))
     rows = blocks.select(*own, "b", F.explode(F.concat(itself, *(made(n) for n in sorted(sizes)))).alias("g"))
-    rows = rows.select(*own, (F.col("b").cast("long") * BLOCK + F.col("g.at")).alias("at"), F.col("g.len").alias("len"), F.col("g.key").alias("key"), (F.col("g.at") < 0).alias("itself"))
-    hits = rows.join(F.broadcast(grams) if small else grams, ["key", "len"], "left").filter("itself OR items IS NOT NULL")
-    spot = F.when(~F.col("itself"), F.struct(F.col("at").alias("first"), (F.col("at") + F.col("len") - 1).alias("last"), "items"))
-    out = hits.groupBy(*own).agg(F.array_sort(F.collect_list(spot)).alias("hits"))
-    empty = F.array().cast("array<struct<first:bigint,last:bigint>>")
-
-    def join(acc: Column, h: Column) -> Column:
-        end = F.element_at(acc, -1)
-        one = F.struct(h["first"].alias("first"), h["last"].alias("last"))
-        both = F.struct(end["first"].alias("first"), F.greatest(end["last"], h["last"]).alias("last"))
-        apart = h["first"] > end["last"] + 1
-        return F.when(F.size(acc) == 0, F.array(one)).when(apart, F.concat(acc, F.array(one))).otherwise(F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(both)))
-
-    out = out.select(*own[1:], F.aggregate("hits", empty, join).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: h["items"])))).alias("items"))
-    return out.withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("long"), lambda s, p: s + p["last"] - p["first"] + 1))
+    rows = rows.select(*own, (F.col("b").cast("long") * BLOCK + F.col("g.at")).alias("first"), F.col("g.len").alias("len"), F.col("g.key").alias("key"))
+    hits = rows.join(F.broadcast(grams) if small else grams, ["key", "len"], "left").filter("len = 0 OR items IS NOT NULL")
+    hits = hits.select(*own, F.when(F.col("len") > 0, F.col("first")).alias("first"), F.when(F.col("len") > 0, F.col("first") + F.col("len") - 1).alias("last"), "items")
+    # hits that touch make a span
+    order = Window.partitionBy("rid").orderBy(F.col("first").asc_nulls_first(), "last")
+    reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    hits = hits.withColumn("fresh", F.when(reach.isNull() | (F.col("first") > reach + 1), 1).otherwise(0))
+    hits = hits.withColumn("span", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    named = lambda c: F.array_distinct(F.flatten(F.collect_list(c)))
+    spans = hits.groupBy(*own, "span").agg(F.min("first").alias("first"), F.max("last").alias("last"), named("items").alias("items"))
+    out = spans.groupBy(*own).agg(F.array_sort(F.collect_list(F.when(F.col("first").isNotNull(), F.struct("first", "last")))).alias("spans"), F.array_sort(named("items")).alias("items"))
+    return out.select(*own[1:], "spans", "items", F.aggregate("spans", F.lit(0).cast("long"), lambda s, p: s + p["last"] - p["first"] + 1).alias("n_hit"))
 
 
 def contaminated(n_hit: Column, n_words: Column, share: int = 20) -> Column:
