@@ -6,7 +6,8 @@ Grammar, one production per turn, so that a conversation is parsed turn by turn
     turn         := "### " role ": " body "</turn>" "\\n"
 
 A backslash makes the next character literal in role and body. Rendering starts with the plain text. The rendered turn is
-parsed again, and as long as the parse differs from the source, one more control string is escaped in it.
+parsed again, and as long as the parse differs from the source, or a turn's opening or close stands bare in role or body, one more
+control string is escaped in it. Turns end where they end whatever follows, so what holds for each holds for the conversation.
 """
 
 from __future__ import annotations
@@ -67,8 +68,9 @@ def render_turn(role: str, text: str) -> tuple[str, int, int, int]:
         head = OPEN + escape(role, level) + SEP
         body = escape(text, level)
         out = head + body + CLOSE + "\n"
+        bare = any(_find(part, mark, 0) >= 0 for part in (head[len(OPEN) :], body) for mark in (OPEN, CLOSE))
         try:
-            if [t[:2] for t in parse(out)] == [(role, text)]:
+            if not bare and [t[:2] for t in parse(out)] == [(role, text)]:
                 return out, len(head), len(head) + len(body), level
         except ValueError:
             pass
@@ -102,6 +104,7 @@ class _Digest:
         self.all, self.said = hashlib.sha256(), hashlib.sha256()
 
     def add(self, rendered: str) -> None:
+        """Of one turn, or of several in a row."""
         self.chars += len(rendered)
         for role, text, _, _ in parse(rendered):
             self.turns += 1
