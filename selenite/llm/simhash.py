@@ -34,6 +34,8 @@ GOLAY = 0b101011100011
 SEGMENTS = ((41, 23), (18, 23), (0, 18))
 _BUCKET_BYTES = 8 << 20
 _KEY_BYTES = 16 * 100  # of one fingerprint: about 96 keys, each with the fingerprint
+#: Parts that the members of one component are dealt to where its smallest value is handed out.
+_SALTS = 16
 
 
 def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
@@ -197,8 +199,11 @@ def _least(rows: DataFrame, value: Column, errors: int) -> DataFrame:
         raise ValueError(f"errors: 0 to {ERRORS}")
     distinct = cut(rows.groupBy("fp").agg(F.min(value).alias("first")))
     roots = components(links(distinct, errors))
-    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    return named.join(named.groupBy("root").agg(F.min("first").alias("least")), "root").select("fp", "least")
+    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", "root")
+    # a component of any share of the fingerprints is dealt out; one of a single fingerprint needs no join
+    linked = named.filter("root IS NOT NULL").withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(_SALTS)))
+    least = linked.groupBy("root").agg(F.min("first").alias("least")).select("root", "least", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))).alias("salt"))
+    return linked.join(least, ["root", "salt"]).select("fp", "least").unionByName(named.filter("root IS NULL").select("fp", F.col("first").alias("least")))
 
 
 def one_of_each(documents: DataFrame, words: int = 4, errors: int = ERRORS, seed: int = 42) -> DataFrame:
