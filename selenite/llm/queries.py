@@ -10,11 +10,13 @@ from .common import table
 
 
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """5 highest scores of each query (vec_id divisible by 50) against all rows. Rows without an id or with unsound vectors take no part."""
     e = table(spark, sf_dir, "embeddings")
     return topk.top_k(e.filter("vec_id % 50 = 0"), e, 5)
 
 
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each conversation, read back from the formatted turns; null text and role: empty, null conv_id: one conversation."""
     t = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "\\### Assistant: </turn> ok"
     probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
@@ -22,42 +24,50 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page; null url: empty host and path, which no rule fits. Repeated rows stay repeated."""
     return urls.judge(table(spark, sf_dir, "pages"), urls.fit(spark))
 
 
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removed words of every document; null text: none. A null doc_id neither loses nor removes anything."""
     found = substrings.repeated_words(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document; null text is scored as an empty one. Repeated rows stay repeated."""
     docs = table(spark, sf_dir, "documents")
     scored = toxicity.toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", langid.held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document; null or blank text: fingerprint 0. Without an id: the component of the others."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; und, 0 for null or letterless text. Repeated rows stay repeated."""
     docs = table(spark, sf_dir, "documents")
     found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
 def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removed bytes of every document; null text: empty. A null doc_id neither loses nor removes anything."""
     found = suffixes.repeated_bytes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside benchmark windows; null text: no words. Each row is judged on its own."""
     found = decontam.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), decontam.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
 
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixture with default parameters; null source: the source "". Blank texts are never used."""
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
@@ -69,14 +79,14 @@ ORACLES: dict[str, str] = {
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
 SELECT query_id, CAST(rn AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rn FROM s) WHERE rn <= 5""",
-    # a turn is 14 characters of grammar, role, text, and a backslash before each backslash and, where there is one, each close
+    # a turn is 14 characters of grammar, role, text, and a backslash before each backslash, close and opening in the text
     "op2_chat": r"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
 UNION ALL SELECT -7, t, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) p(t, r)),
-n AS (SELECT *, length(text) - length(replace(text, '\', '')) AS slashes, (length(text) - length(replace(text, '</turn>', ''))) // 7 AS closes FROM c)
+n AS (SELECT *, length(text) - length(replace(text, '\', '')) AS slashes, (length(text) - length(replace(text, '</turn>', ''))) // 7 + (length(text) - length(replace(text, '### ', ''))) // 4 AS marks FROM c)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
 CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-CAST(sum(14 + length(role) + length(text) + slashes + closes) AS BIGINT) AS formatted_chars FROM n GROUP BY conv_id""",
+CAST(sum(14 + length(role) + length(text) + slashes + marks) AS BIGINT) AS formatted_chars FROM n GROUP BY conv_id""",
     "op4_substrings": r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 g AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS i, w FROM w), k AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM g),
