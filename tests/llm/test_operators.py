@@ -153,7 +153,7 @@ def test_simhash(spark, texts):
     got = simhash.near_duplicates(docs_of(spark, texts)).select("doc_id", simhash.hex_of(F.col("fp")).alias("h"), "component_id").collect()
     assert {r["doc_id"]: (r["h"], r["component_id"]) for r in got} == {i: (f"{fps[i]:016x}", root[i]) for i in ids}
     kept = simhash.one_of_each(docs_of(spark, [*texts, "again"], [*ids, 3])).select("doc_id").collect()
-    assert sorted(r[0] for r in kept) == sorted(set(root))
+    assert sorted(r[0] for r in kept) == sorted([*set(root), 3])  # the text "again" is like no other, whatever its id
 
 
 def test_golay_keys_meet():
@@ -170,16 +170,26 @@ def test_top_k(spark):
     rng = np.random.default_rng(3)
     rows = [(i, [float(v) for v in rng.normal(0, 0.2, 40)]) for i in range(300)]
     rows += [(300, rows[4][1]), (301, rows[4][1]), (302, None), (303, [None, 1.0]), (304, [float("nan"), 1.0]), (305, [float("inf")]), (306, []), (None, rows[1][1]), (307, [0.5] * 50), (308, [1e300, -1e300])]
+    rows += [(310, [2.0**21]), (311, [2.0**21]), (312, [2.0**22]), (313, [2.0**22 + 0.01, 3.0]), (350, [-(2.0**30), 0.1] * 20), (351, [2.0**30, 1.0] * 20), (352, [2.0**30, 0.5] * 20), (353, [1.7e308]), (400, [2.0**12 + 0.3] * 40), (401, [2.0**12 + 0.7] * 40)]
     df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, rank int")
-    sound = {i: [int(np.floor(np.clip(256 * x, -topk.LIMIT, topk.LIMIT))) for x in v] for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    whole = lambda v: v is not None and all(x is not None and np.isfinite(256 * x) for x in v)
+    sound = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows if i is not None and whole(v)}
     want = set()
     for q in sound:
         if q % 50 == 0 or q > 305:
             scored = sorted((-sum(a * b for a, b in zip(sound[q], v, strict=False)), i) for i, v in sound.items() if i != q)[:5]
-            want |= {(q, k, i, -s) for k, (s, i) in enumerate(scored, 1)}
+            want |= {(q, k, i, max(-(2**63), min(2**63 - 1, -s))) for k, (s, i) in enumerate(scored, 1)}
     got = topk.top_k(df.filter("vec_id % 50 = 0 OR vec_id > 305"), df, 5).collect()
     assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got} == want
-    assert topk.top_k(df.limit(0), df, 5).count() == 0
+    assert topk.top_k(df.limit(0), df, 5).count() == 0 and topk.top_k(df, df.limit(0), 5).count() == 0
+    small = spark.createDataFrame([(1, [2.0**21]), (2, [2.0**21]), (3, [2.0**22])], "vec_id long, embedding array<double>")
+    assert [(r["vec_id"], r["score"]) for r in topk.top_k(small.filter("vec_id = 1"), small).orderBy("rank").collect()] == [(3, 2**59), (2, 2**58)]
+
+
+def test_top_k_places():
+    rng = np.random.default_rng(13)
+    n = sorted({int(x) * 2 ** int(e) * int(s) for x, e, s in zip(rng.integers(0, 1 << 40, 300), rng.integers(0, 2000, 300), rng.choice([-1, 1], 300), strict=True)} | {0, 1, -1, 255, 256, -255, -256})
+    assert sorted(n, key=topk.place_of) == n
 
 
 def test_chat(spark):
@@ -189,7 +199,10 @@ def test_chat(spark):
     made = chat.format_turns(df)
     for r in made.collect():
         ((role, text, a, b),) = chat.parse(r["rendered"])
+        assert not any(mark in re.sub(r"\\.", "", r["rendered"][4:-8], flags=re.S) for mark in (chat.OPEN, chat.CLOSE))
         assert (a, b) == (r["body_start"], r["body_end"]) and chat.unescape(r["rendered"][a:b]) == text and role == r["role"]
+    one = [r for r in made.orderBy(F.col("turn").asc_nulls_first(), "rendered").collect() if r["conv_id"] == 1]
+    assert [t[1] for t in chat.parse("".join(r["rendered"] for r in one))] == [t or "" for t in said]
     want = {}
     for c in (None, 1, 2, 3):
         turns = [((r[2] or ""), (r[3] or "")) for r in rows if r[0] == c]
@@ -218,7 +231,7 @@ def test_urls(spark):
     assert scored.filter((F.col("verdict") == "block") != (F.col("label") == 1)).count() == 0
 
 
-def test_decontamination(spark):
+def test_decontamination(spark, monkeypatch):
     rng = np.random.default_rng(4)
     v = [f"t{i}" for i in range(30)]
     items = {1: " ".join(rng.choice(v, 30)), 2: "Short ITEM, here", 3: "one", 4: "", 5: None, 6: " ".join(rng.choice(v, 13)), 12: None}
@@ -244,17 +257,62 @@ def test_decontamination(spark):
         want[i] = (len(w), sum(m), sorted(found))
     bench = spark.createDataFrame(list(items.items()), "item_id long, text string").withColumn("key", F.lit(0))
     df = docs_of(spark, texts)
-    for most in (decontam.MAX_ANCHORS, 0):  # with anchors, and as for a benchmark with too many of them
-        held, decontam.anchor_pairs.__defaults__ = decontam.anchor_pairs.__defaults__, (most,)
-        got = {r["doc_id"]: (r["n_words"], r["n_hit"], list(r["items"])) for r in decontam.scan(df, bench).collect()}
-        decontam.anchor_pairs.__defaults__ = held
-        assert got == want
+    for limits in ({}, {"PART_ANCHORS": 5}, {"BROADCAST_WINDOWS": 0, "BROADCAST_SPOTS": 0, "PART_ANCHORS": 1000}):  # as for larger benchmarks and more hits
+        with monkeypatch.context() as m:
+            for name, value in limits.items():
+                m.setattr(decontam, name, value)
+            rows = decontam.scan(df, bench).collect()
+        assert {r["doc_id"]: (r["n_words"], r["n_hit"], list(r["items"])) for r in rows} == want and len(rows) == len(texts)
+        for r in rows:
+            assert r["n_hit"] == sum(s["last"] - s["first"] + 1 for s in r["spans"]) and all(a["last"] + 1 < b["first"] for a, b in zip(r["spans"], r["spans"][1:], strict=False))
     left = {r["doc_id"] for r in decontam.clean(df, bench).select("doc_id").collect()}
     assert left == {i for i, (n, h, _) in want.items() if not (h and 20 * h >= n)}
     assert decontam.scan(df, bench.limit(0)).filter("n_hit > 0").count() == 0
 
 
-def test_mixture(spark):
+def spark_hash(*values):
+    """Spark's xxhash64 of a row: each value's hash is the next one's seed, nulls are passed over."""
+    h = 42
+    for v in values:
+        if v is not None:
+            h = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else v.to_bytes(8 if v.bit_length() > 31 or isinstance(v, Long) else 4, "little", signed=True), h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+class Long(int):
+    """A number that Spark holds as a long."""
+
+
+def plain_mixture(rows, budget, block_tokens, seed=42):
+    """Every row of the mixture by the rules of its docstring, source by source, document by document."""
+    docs = defaultdict(list)
+    for i, t, _, s, _ in rows:
+        if words(t):
+            docs[s or ""].append((i, len(words(t)), spark_hash(t)))
+    names = sorted(docs)
+    counts = [sum(d[1] for d in docs[s]) for s in names]
+    budget = budget or sum(counts)
+    _, weights = mixing.solve(counts, budget)
+    out = []
+    for s, total, weight in zip(names, counts, weights, strict=True):
+        whole, rest = divmod(int(np.floor(weight * budget + 0.5)), total)
+        n_blocks = -(-total // block_tokens)
+        blocks = defaultdict(list)
+        for d in docs[s]:
+            blocks[spark_hash(seed, None if d[0] is None else Long(d[0]), Long(d[2])) % n_blocks].append(d)
+        for epoch in range(whole + 1):
+            place = lambda b: spark_hash(seed, Long(epoch), s, Long(b))  # noqa: E731, B023
+            used = 0
+            for b in sorted(blocks, key=lambda b: (place(b), b)):
+                order = sorted(blocks[b], key=lambda d: (spark_hash(seed, Long(epoch), None if d[0] is None else Long(d[0]), Long(d[2])), -1 if d[0] is None else d[0], d[1], d[2]))
+                for seat, d in enumerate(order):
+                    if epoch < whole or used < rest:
+                        out.append((epoch, place(b), s, b, seat, -1 if d[0] is None else d[0], d[1]))
+                    used += d[1]
+    return sorted(out)
+
+
+def test_mixture(spark, monkeypatch):
     rng = np.random.default_rng(6)
     rows = [(i, "w " * int(rng.integers(1, 30)), "en", "big" if i % 3 == 0 else f"s{i % 7}", 1) for i in range(900)] + [(2000, None, None, None, 1), (2001, " ", "en", None, 1), (2002, "x y", "en", None, 1), (None, "x", "en", "s1", 1)]
     df = spark.createDataFrame(rows, DOCS).withColumn("tokens", F.lit("clash"))
@@ -262,32 +320,34 @@ def test_mixture(spark):
     for r in rows:
         tokens[r[3] or ""] += len(words(r[1]))
     names = sorted(s for s in tokens if tokens[s])
-    for budget in (None, 3000, 40000):
-        total = budget or sum(tokens.values())
-        exponent, weights = mixing.solve([tokens[s] for s in names], total)
-        assert 0 <= exponent <= 1 and sum(weights) == pytest.approx(1)
-        got = mixing.mix(df, budget, block_tokens=64).collect()
-        for s, w in zip(names, weights, strict=True):
-            mine = [r for r in got if r["source"] == s]
-            whole, rest = divmod(round(w * total), tokens[s])
-            per = defaultdict(int)
-            for r in mine:
-                per[r["epoch"]] += r["n_tokens"]
-            assert all(per[e] == tokens[s] for e in range(whole)) and set(per) <= set(range(whole + 1))
-            assert rest <= per.get(whole, 0) < rest + 60 if rest else whole not in per
+    rows += [(7, "a b c d e", "en", "alike", 1)] * 40 + [(8, "x y", "en", "alike", 1)]
+    df = spark.createDataFrame(rows, DOCS).withColumn("tokens", F.lit("clash")).repartition(5)
+    tokens["alike"] = 202
+    names = sorted(s for s in tokens if tokens[s])
+    for budget, ranges in ((None, 4096), (3000, 1), (40000, 2)):
+        monkeypatch.setattr(mixing, "RANGE_BLOCKS", ranges)
+        got = sorted((r["epoch"], r["place"], r["source"], r["block"], r["seat"], r["doc_id"] if r["doc_id"] is not None else -1, r["n_tokens"]) for r in mixing.mix(df, budget, block_tokens=64).collect())
+        assert got == plain_mixture(rows, budget, 64)
+        assert len({r[:5] for r in got}) == len(got)
     flat, w = mixing.solve([900, 50, 50], 1000, 0.98, 100.0)
     assert flat < 1 and mixing.entropy(w) == pytest.approx(0.98 * np.log(3), abs=1e-6)
     _, w = mixing.solve([9000, 1], 9001, 1.0, 4.0)
     assert w[1] * 9001 <= 4.0001
+    many = spark.range(3000).select(F.col("id").cast("string").alias("source"), (F.col("id") % 97 + 1).alias("tokens"))
+    plan, n = mixing.plan_of(many, 1_000_000, 0.98, 4.0, 64)
+    _, w = mixing.solve([i % 97 + 1 for i in range(3000)], 1_000_000)
+    assert n == 3000 and np.allclose([r["weight"] for r in plan.orderBy(F.col("source").cast("int")).collect()], w, rtol=1e-9)
 
 
 def test_language(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     got = langid.identify(docs, langid.fit(docs)).filter(langid.held_out(F.col("doc_id")))
     assert got.filter("lang_pred = lang").count() >= 0.98 * got.count()
-    odd = docs_of(spark, [None, "", "123 !?", "É", "the and of with"])
+    none = [None, "", "123 !?", "½", "² ³", "Ⅷ ①", "_ ٣"]
+    odd = docs_of(spark, [*none, "É", "the and of with"])
     pred = [r["lang_pred"] for r in langid.identify(odd.withColumn("lang_pred", F.lit(3)), langid.fit(docs)).orderBy("doc_id").collect()]
-    assert pred[:3] == ["und"] * 3 and "und" not in pred[3:]
+    assert pred[: len(none)] == ["und"] * len(none) and "und" not in pred[len(none) :]
+    assert "".join(langid.WORD.findall("".join(map(chr, range(0xD800))))) == "".join(c for c in map(chr, range(0xD800)) if c.isalpha())
     assert zlib.crc32(b"12") % 5 == [k for k in range(5) if spark.range(1).select(langid.held_out(F.lit(12), 5, k).alias("h")).first()["h"]][0]
     assert {r["lang_pred"] for r in langid.identify(odd, langid.fit(odd.limit(0))).collect()} == {"und"}
 

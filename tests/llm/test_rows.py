@@ -5,7 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 from test_operators import DOCS
 
-from selenite.llm import decontam, langid, simhash
+from selenite.llm import decontam, langid, simhash, toxicity
 
 
 def test_one_of_each_by_row(spark):
@@ -42,3 +42,26 @@ def test_rare_languages_are_learned(spark):
     model = langid.fit(df)
     assert model.langs == ["el", "en", "he", "ru"]
     assert all(r["lang_pred"] == r["lang"] and r["lang_score"] > 0.5 for r in langid.identify(df, model).collect())
+
+
+def test_samples_are_bounded(spark):
+    """One id repeated 100,000 times is one document of the sample; characters are bounded too."""
+    ids = [r["id"] for r in spark.range(3000).filter(~langid.held_out(F.col("id"))).collect()]
+    one = ids[0]
+    df = spark.range(100_000).select(F.lit(one).cast("long").alias("doc_id"), F.format_string("copy %06d", "id").alias("text"), F.lit("en").alias("lang"))
+    df = df.unionByName(spark.createDataFrame([(i, f"text {i}", "en") for i in ids[1:]] + [(i, f"texte {i}", "fr") for i in ids], df.schema))
+    got = langid.sample(df, "lang", 50, 10_000, 10).collect()
+    least = {r["id"] for r in spark.createDataFrame([(i,) for i in ids], "id long").orderBy(F.xxhash64("id")).limit(50).collect()}
+    h = {r["h"] for r in spark.createDataFrame([(i,) for i in least], "id long").select(F.xxhash64("id").alias("h")).collect()}
+    assert {g: {r["h"] for r in got if r["lang"] == g} for g in ("en", "fr")} == {"en": h, "fr": h} and len(got) == 100
+    assert sum(len(r["text"]) for r in langid.sample(df, "lang", 1000, 2000, 10).collect()) <= 2000
+    assert {r["lang"] for r in langid.sample(df, "lang", 50, 10_000, 1).collect()} == {"en"}  # as many ids, so by name
+
+
+def test_toxicity_sample_is_bounded(spark):
+    ids = [r["id"] for r in spark.range(200).filter(~langid.held_out(F.col("id"), 3, 1)).collect()]
+    docs = spark.range(20_000).select(F.lit(ids[0]).cast("long").alias("doc_id"), F.format_string("zorg %05d", "id").alias("text"), F.lit("en").alias("lang"))
+    docs = docs.unionByName(spark.createDataFrame([(i, "bel" if i % 2 else "zorg", "en") for i in ids[1:]], docs.schema))
+    labels = spark.createDataFrame([(i, 0 if i % 2 else 1) for i in ids] * 3 + [(None, 1), (ids[0], None)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert model.score("zorg") >= toxicity.CUT > model.score("bel")
