@@ -27,10 +27,14 @@ def session(app: str = "selenite", master: str | None = None, **conf: str) -> Sp
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; only where that is missing, as in tests, one of this machine."""
+    """The folder that the cluster names in spark.checkpoint.dir. Where that is missing, a local session, as in tests, takes one of its
+    machine; on a cluster that would be another folder on each machine, so there it is an error."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="selenite-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that all machines share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="selenite-"))
     return sc.getCheckpointDir()
 
 
