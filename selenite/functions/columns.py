@@ -35,9 +35,10 @@ def base_frame(image: Column) -> Column:
 
 
 def sibling_stem(image: Column) -> Column:
-    """Names of one footprint share it; other names stand alone, without their extension."""
-    own = F.regexp_extract(image, r"^(ESP_\d+_\d+|PIA\d+)", 1)
-    return F.when(own != "", own).otherwise(F.regexp_replace(image, r"\.[^.]*$", ""))
+    """File names of one footprint share it, in whatever folder; other names stand alone, without folder and extension."""
+    name = F.regexp_replace(image, r"^.*[/\\\\]", "")
+    own = F.regexp_extract(name, r"^(ESP_\d+_\d+|PIA\d+)", 1)
+    return F.when(own != "", own).otherwise(F.regexp_replace(name, r"(?<=.)\.[^.]*$", ""))
 
 
 def body(path: Column) -> Column:
@@ -45,6 +46,27 @@ def body(path: Column) -> Column:
     return F.when(low.rlike("moon|lunar|lroc|apollo"), "Moon").when(low.rlike("mars|esp_|psp_|hirise"), "Mars").otherwise("unknown")
 
 
+def band_token(path: Column) -> Column:
+    """Last ``_`` part of a file's name before its first dot."""
+    return F.element_at(F.split(F.split_part(F.regexp_replace(path, r"^.*[/\\\\]", ""), F.lit("."), F.lit(1)), "_"), -1)
+
+
+def product_of(path: Column) -> Column:
+    """The folder under data/processed, else the first two ``_`` parts of the file's name, else the name."""
+    norm = F.regexp_replace(path, r"\\", "/")
+    parts, name = F.split(norm, "/"), F.regexp_replace(norm, r"^.*/", "")
+    under = (F.size(parts) >= 3) & (F.get(parts, 0) == "data") & (F.get(parts, 1) == "processed")
+    bits = F.split(name, "_")
+    return F.when(under, F.get(parts, 2)).when(F.size(bits) > 1, F.concat_ws("_", F.get(bits, 0), F.get(bits, 1))).otherwise(name)
+
+
+def raw_stem(path: Column) -> Column:
+    """Where the raw file of a processed one lies, without its extension; null outside a processed folder."""
+    norm = F.regexp_replace(path, r"\\", "/")
+    rest = F.regexp_extract(norm, r"^(?:.*?/)?processed/(.+)$", 1)
+    return F.when(rest != "", F.concat(F.lit("data/raw/"), F.regexp_replace(rest, r"_enh\.png$", "")))
+
+
 def quantity(value: Column) -> Column:
     """struct(value, unit) of a label's number such as ``57.5 <DEG>``; null value for anything else."""
     number = F.regexp_replace(F.trim(F.split_part(value, F.lit("<"), F.lit(1))), ",", "")
@@ -53,10 +75,10 @@ def quantity(value: Column) -> Column:
 
 
 def based_int(value: Column) -> Column:
-    """``2#1010#``, ``8#17#``, ``16#FF#`` or a plain integer; anything else: null."""
+    """``2#1010#``, ``16#FF#`` or another base up to 16, or a plain integer; anything else: null."""
     base, digits = (F.regexp_extract(F.trim(value), r"^(\d+)#([0-9A-Fa-f]+)#$", k) for k in (1, 2))
     out = value.try_cast("bigint")
-    for b in (2, 8, 10, 16):
+    for b in range(2, 17):
         out = F.when(base == str(b), F.conv(digits, b, 10).try_cast("bigint")).otherwise(out)
     return out
 
@@ -76,6 +98,11 @@ def safe_name(text: Column, most: int = 120) -> Column:
     return F.left(F.regexp_replace(F.regexp_replace(text, r"[^0-9A-Za-z._-]", "_"), r"^[._]+|[._]+$", ""), F.lit(most))
 
 
+def version_of(text: Column, digits: int = 10) -> Column:
+    """First hex digits of a text's sha256."""
+    return F.left(F.sha2(text, 256), F.lit(digits))
+
+
 # statistics
 
 
@@ -124,6 +151,38 @@ def height_from_shadow(shadow_px: Column, scale_m: Column, elevation: Column) ->
     return F.when((elevation > 1) & (elevation < 89), shadow_px * scale_m * F.tan(F.radians(elevation)))
 
 
+def sun_vector(elevation: Column, azimuth: Column) -> Column:
+    """struct(east, north, up): unit vector towards the sun."""
+    e, a = F.radians(elevation), F.radians(azimuth)
+    return F.struct((F.cos(e) * F.sin(a)).alias("east"), (F.cos(e) * F.cos(a)).alias("north"), F.sin(e).alias("up"))
+
+
+def shadow_direction(azimuth: Column) -> Column:
+    """struct(dx, dy) along which shadows fall in an image, y down, north up; null without azimuth."""
+    a = F.radians(azimuth)
+    return F.when(azimuth.isNotNull(), F.struct((-F.sin(a)).alias("dx"), F.cos(a).alias("dy")))
+
+
+def shadow_for_height(height_m: Column, scale_m: Column, elevation: Column) -> Column:
+    """Pixels of shadow; null outside an elevation of 1 to 89 degrees or without a scale."""
+    return F.when((elevation > 1) & (elevation < 89) & (scale_m > 0), height_m / (scale_m * F.tan(F.radians(elevation))))
+
+
+def mask_shift(mask: Column) -> Column:
+    """Zero bits at a mask's low end; 0 for no mask."""
+    low = mask.bitwiseAND(-mask)
+    return F.when(F.coalesce(mask, F.lit(0)) == 0, 0).otherwise(F.bit_count(low - 1))
+
+
+def shown_size(side_px: Column, map_scale: Column, line_samples: Column, width: Column, elevation: Column) -> list[Column]:
+    """eff_scale_m, size_m, height_m of a box: the label's scale is that of the whole product, ``line_samples`` wide, of which an
+    image ``width`` wide is shown. Zero and null tell nothing."""
+    known = lambda c: F.when(c != 0, c)
+    scale = known(map_scale) * F.coalesce(known(line_samples) / known(width), F.lit(1.0))
+    size = rounded(side_px * scale, 1)
+    return [rounded(scale, 3).alias("eff_scale_m"), size.alias("size_m"), rounded(known(size) * F.tan(F.radians(known(elevation))), 1).alias("height_m")]
+
+
 # boxes: columns x, y, w, h each
 
 

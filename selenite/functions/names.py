@@ -99,3 +99,82 @@ def reference_rank() -> Column:
 def mission(name: Column) -> Column:
     low = F.lower(name)
     return reduce(lambda w, m: w.when(low.rlike(m[0]), m[1]), MISSIONS[1:], F.when(low.rlike(MISSIONS[0][0]), MISSIONS[0][1])).otherwise("unknown")
+
+
+#: Labels of renderings, first fit wins: pattern of the name, label, role. Fixed formats.
+RENDERINGS = (
+    *((rf"(?i)^DTEEC.*\.{suffix}\.jpg$", f"DTM {label}", "dtm") for suffix, label in (("ab", "shaded-relief A"), ("br", "browse B"), ("ca", "colorized A"), ("cb", "colorized B"), ("ct", "contour/terrain"), ("sa", "slope A"), ("sb", "slope B"), ("st", "stereo helper"), ("th", "thumbnail"))),
+    (r"(?i)^DTEEC.*\.jp2$", "DTM elevation (JP2)", "dtm"),
+    (r"(?i)^DTEEC", "DTM derivative", "dtm"),
+    (r"(?i)^(DTFEC|FOM)", "FOM correlation map", "fom"),
+    (r"(?i)(?=.*ORTHO).*_RED(\.NOMAP|\.QLOOK|_C_\d+_ORTHO)?\.", "ORTHO B&W (RED)", "ortho_red"),
+    (r"(?i)(?=.*ORTHO).*_IRB", "ORTHO color (IRB)", "ortho_color"),
+    (r"(?i)_IRB", "filtered color (IRB)", "color"),
+    (r"(?i)_MIRB", "filtered color (MIRB)", "color"),
+    (r"(?i)_MRGB", "filtered color (MRGB)", "color"),
+    (r"(?i)_COLOR(\.|$)", "COLOR quicklook composite", "color"),
+    (r"(?i)_RGB(\.|$)", "RGB composite (detector geometry)", "color"),
+    (r"(?i)_RED(\.NOMAP|\.QLOOK|_C_\d+_ORTHO)?\.", "B&W panchromatic (RED)", "red"),
+)
+#: Source families of product ids that no table knows: pattern, mission, type. Fixed formats.
+FAMILIES = ((r"^(ESP|PSP)", "MRO", "imagery"), (r"^M1?\d", "LRO", "imagery"), (r"(?i)^mars_|sol", "Mars 2020 / MSL", "imagery"))
+
+
+def _file(path: Column) -> Column:
+    return F.regexp_replace(path, r"^.*[/\\\\]", "")
+
+
+def rendering(path: Column) -> Column:
+    """struct(label, role) of a rendering's file for comparisons: the label by the first pattern that fits; the role of an orthorectified
+    colour rendering is ortho_color, whatever its label."""
+    name = _file(path)
+    first = reduce(lambda w, r: w.when(name.rlike(r[0]), F.struct(F.lit(r[1]).alias("label"), F.lit(r[2]).alias("role"))), RENDERINGS[1:], F.when(name.rlike(RENDERINGS[0][0]), F.struct(F.lit(RENDERINGS[0][1]).alias("label"), F.lit(RENDERINGS[0][2]).alias("role"))))
+    first = first.otherwise(F.struct(F.lit("browse variant").alias("label"), F.lit("other").alias("role")))
+    draped = name.rlike("(?i)ORTHO") & (first["role"] == "color")
+    return F.struct(first["label"].alias("label"), F.when(draped, "ortho_color").otherwise(first["role"]).alias("role"))
+
+
+def comparison_reference(files: DataFrame, by: str) -> DataFrame:
+    """One row of each ``by``: the file (name, bytes) that the others are compared with: of the red ones, else of the draped red ones, the
+    best by geometry, scale and size; else the largest of all."""
+    name, low = F.col("name"), F.lower("name")
+    role = rendering(name)["role"]
+    geometry = F.when(low.contains("nomap") | low.contains("qlook"), 1).otherwise(0)
+    scale = F.when(low.contains("abrowse"), 1).when(low.contains("browse"), 0).when(low.contains("thumb"), 2).otherwise(3)
+    first = F.when(role == "red", 0).when(role == "ortho_red", 1).otherwise(2)
+    ranked = F.when(first < 2, F.struct(first.alias("a"), geometry.alias("b"), scale.alias("c"), (-F.col("bytes")).alias("d"), "name")).otherwise(F.struct(first.alias("a"), F.lit(0).alias("b"), F.lit(0).alias("c"), (-F.col("bytes")).alias("d"), "name"))
+    return files.groupBy(by).agg(F.min_by("name", ranked).alias("reference"))
+
+
+def source_of(products: DataFrame, pid: str, known: DataFrame) -> DataFrame:
+    """Adds mission, type and listed: from a small table (pid, mission, type) where it knows the product, else by FAMILIES, else unknown."""
+    table = known.select(F.col("pid").alias("_pid"), F.col("mission").alias("_m"), F.col("type").alias("_t"))
+    pick = lambda k: reduce(lambda w, f: w.when(F.col(pid).rlike(f[0]), f[k]), FAMILIES[1:], F.when(F.col(pid).rlike(FAMILIES[0][0]), FAMILIES[0][k])).otherwise("unknown")
+    j = products.join(table, F.col(pid) == F.col("_pid"), "left")
+    return j.withColumns({"mission": F.coalesce("_m", pick(1)), "type": F.coalesce("_t", pick(2)), "listed": F.col("_pid").isNotNull()}).drop("_pid", "_m", "_t")
+
+
+def chased(z: Column, kind: Column, listed: Column, explained: Column) -> Column:
+    """struct(status, verdict, certainty) of a lead looked up in its original: ``z`` its deviation there (null: no original), ``kind`` and
+    ``listed`` from source_of(), ``explained`` whether an independent study names it."""
+    strong = F.abs(z) >= 3.0
+    status = F.when(z.isNull(), "NO-RAW").when(strong, "SURVIVES-ORIGINAL").otherwise("BACKGROUND-LIMITED")
+    verdict = (
+        F.when(kind == "map", "NO-FINDING: map product")
+        .when(explained, "NO-FINDING: explained")
+        .when(status == "BACKGROUND-LIMITED", "NO-FINDING: collapses")
+        .when(status == "NO-RAW", "INCOMPLETE")
+        .when(~listed & (kind == "imagery"), "CANDIDATE")
+        .otherwise("NO-FINDING: persists")
+    )
+    certainty = F.when((kind == "map") | (F.abs(F.coalesce(z, F.lit(0.0))) >= 3.0), "high").otherwise("medium")
+    return F.struct(status.alias("status"), verdict.alias("verdict"), certainty.alias("certainty"))
+
+
+def pruned(files: DataFrame, name: str = "name", suffixes: tuple[str, ...] = (), only: tuple[str, ...] = (), skip: str = "") -> DataFrame:
+    """Files of one of the suffixes, whatever their case, on the list of whole names if there is one, and not fitting the pattern ``skip``."""
+    low = F.lower(name)
+    tests = [reduce(Column.__or__, [low.endswith(x.lower()) for x in suffixes])] if suffixes else []
+    tests += [F.col(name).isin(*only)] if only else []
+    tests += [~F.col(name).rlike(skip)] if skip else []
+    return files.filter(reduce(Column.__and__, tests)) if tests else files

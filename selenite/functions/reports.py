@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .columns import rounded
+
 #: What a rendering's name has between its stem and its extension. Fixed values.
 SCALE_TOKENS = (".browse", ".abrowse", ".quicklook", ".thumb", ".nomap", ".qlook", ".ab", ".br", ".ca", ".cb", ".ct", ".sa", ".sb", ".st", ".th")
 
@@ -58,11 +60,57 @@ def finding(markdown: Column) -> Column:
     """Map of the ``**Name:** value`` lines of a finding, names in lower case, and its title."""
     lines = F.filter(F.split(markdown, r"\r?\n"), lambda s: s.rlike(r"^\s*[-*]?\s*\*\*[^*]+:\*\*\s*\S|^# "))
     key = lambda s: F.when(s.startswith("# "), "title").otherwise(F.lower(F.regexp_extract(s, r"\*\*([^*]+):\*\*", 1)))
-    value = lambda s: F.when(s.startswith("# "), F.trim(F.substring(s, 3, 10_000))).otherwise(F.trim(F.regexp_extract(s, r":\*\*\s*(.*)$", 1)))
+    value = lambda s: F.when(s.startswith("# "), F.trim(F.substr(s, F.lit(3)))).otherwise(F.trim(F.regexp_extract(s, r":\*\*\s*(.*)$", 1)))
     keys = F.array_distinct(F.transform(lines, key))
     return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.transform(F.filter(lines, lambda s: key(s) == k), value), 1)))
 
 
+def crop_index(files: DataFrame, name: str) -> DataFrame:
+    """x, y, w, h, crops (sorted names): crop files by the box in their names, whatever image they are of; other names are left out."""
+    b = files.select(name, crop_box(F.col(name)).alias("b")).filter("b.x IS NOT NULL")
+    return b.groupBy("b.x", "b.y", "b.w", "b.h").agg(F.sort_array(F.collect_list(name)).alias("crops"))
+
+
+def baselines(benchmark: DataFrame) -> DataFrame:
+    """scene, baseline_fp: of each benchmark file's rows (scene, blob_size_px, recall_hit: texts) the negative control's count, which
+    stands in the first of the two columns that is a number."""
+    control = F.concat_ws(" ", "blob_size_px", "scene").contains("negative_control_fp")
+    number = F.coalesce(F.col("blob_size_px").try_cast("long"), F.col("recall_hit").try_cast("long"))
+    return benchmark.filter(control).groupBy("scene").agg(F.min(number).alias("baseline_fp")).filter("baseline_fp IS NOT NULL")
+
+
+def rates(total: int) -> list[Column]:
+    """Columns of a pass over ``total`` images from window_images, total_s and dl_s (of the trailing window), processed and life_s."""
+    c = F.col
+    rate = c("window_images") / F.greatest(c("total_s"), F.lit(1e-6))
+    return [
+        c("window_images"),
+        rounded(c("total_s") / c("window_images"), 1).alias("sec_per_image"),
+        rounded(100.0 * c("dl_s") / F.greatest(c("total_s"), F.lit(1e-6)), 1).alias("download_share_pct"),
+        rounded(rate * 60.0, 2).alias("images_per_min"),
+        rounded((total - c("processed")) / rate / 3600.0, 1).alias("eta_hours"),
+        rounded(c("processed") / F.greatest(c("life_s"), F.lit(1e-6)) * 60.0, 2).alias("lifetime_images_per_min"),
+    ]
+
+
+def finding_fields(markdown: Column, stem: Column) -> list[Column]:
+    """id (else the file's stem), status, evidence_class, image and path of a finding's text; blank where it doesn't say."""
+    grab = lambda rx: F.regexp_extract(F.coalesce(markdown, F.lit("")), rx, 1)
+    path = F.replace(grab(r"File: `([^`]+\.png)`"), F.lit("\\"), F.lit("/"))
+    return [
+        F.coalesce(F.nullif(grab(r"Finding ID: (F-\d+)"), F.lit("")), stem).alias("id"),
+        grab(r"Status: (\S+)").alias("status"),
+        grab(r"Evidence class: (\d)").try_cast("int").alias("evidence_class"),
+        F.regexp_replace(path, r"^.*/", "").alias("image"),
+        path.alias("path"),
+    ]
+
+
+def manifest_of(manifest: DataFrame, product: str) -> DataFrame:
+    """Lines (file, url) of a download log that name a product; none for a blank one."""
+    return manifest.filter(F.concat_ws(" ", "file", "url").contains(product) & F.lit(bool(product)))
+
+
 def flattened(site: DataFrame) -> DataFrame:
     """One row a product of branches[shards[footprints[products]]]; totals of a footprint are left to groupBy."""
     s = site.select(F.col("name").alias("branch"), F.explode("shards").alias("s"))
@@ -81,7 +129,11 @@ def resolved(sources: list[DataFrame], key: str, text: str) -> DataFrame:
 
 
 def persistence_ratios(report: DataFrame) -> DataFrame:
-    """variant, box_key, ratio of a map of maps; original-geometry, quick-look and thumbnail variants and ratios of 0 go."""
+    """variant, box_key, ratio of a map of maps, those that kept_ratios() keeps."""
     v = report.select(F.explode("candidate_persistence").alias("variant", "m"))
-    r = v.select("variant", F.explode("m").alias("box_key", "ratio"))
-    return r.filter(~F.lower("variant").rlike("nomap|qlook|quicklook|thumb") & (F.col("ratio") > 0))
+    return kept_ratios(v.select("variant", F.explode("m").alias("box_key", "ratio")))
+
+
+def kept_ratios(ratios: DataFrame) -> DataFrame:
+    """Rows (variant, box_key, ratio) without original-geometry, quick-look and thumbnail variants and without ratios of 0 or less."""
+    return ratios.filter(~F.lower("variant").rlike("nomap|qlook|quicklook|thumb") & (F.col("ratio") > 0))

@@ -60,51 +60,65 @@ def flag_rules() -> dict[str, Column]:
     }
 
 
-def flags() -> Column:
+def flags(rules: dict[str, Column] | None = None) -> Column:
     """Sorted array of the flags that hold."""
-    return F.array_sort(F.array_compact(F.array(*(F.when(rule, name) for name, rule in flag_rules().items()))))
+    rules = rules or flag_rules()
+    return F.array_compact(F.array(*(F.when(rules[name], name) for name in sorted(rules))))
 
 
-def interest(flag: str = "flags") -> Column:
-    c = F.col
-    part = lambda v, weight: F.least(v, F.lit(1.0)) * weight
+def held() -> dict[str, Column]:
+    """Whether each flag is in the column flags."""
+    return {name: F.array_contains("flags", name) for name in flag_rules()}
+
+
+def _any(rules: dict[str, Column], names) -> Column:
+    return reduce(Column.__or__, (F.coalesce(rules[n], F.lit(False)) for n in names))
+
+
+def interest(rules: dict[str, Column] | None = None) -> Column:
+    """0 to 100; a null measurement earns nothing. rules: conditions of the flags, by default those in the column flags."""
+    c, rules = F.col, rules or held()
+    zero = F.lit(0.0)
+    part = lambda v, weight: F.least(F.coalesce(v, zero), F.lit(1.0)) * weight
     gain = [
         part(c("contrast") / 4.0, 35.0),
         part(c("area_px") / 30000.0, 15.0),
-        (1.0 - F.least((c("aspect") - 1) / 9.0, F.lit(1.0))) * 15.0,
-        F.when(c("near_edge"), 0.0).otherwise(10.0),
+        F.coalesce(F.when(c("aspect").isNotNull(), (1.0 - F.least((c("aspect") - 1) / 9.0, F.lit(1.0))) * 15.0), zero),
+        F.when(~c("near_edge"), 10.0).otherwise(0.0),
         F.when(c("sat_frac") < 0.3, 10.0).otherwise(0.0),
         part(c("matches") / 3.0, 15.0),
     ]
-    loss = F.aggregate(flag, F.lit(0.0), lambda s, f: s + F.when(f == "streak", 30.0).when(f == "small_blob", 15.0).otherwise(20.0))
-    return rounded(F.greatest(F.lit(0.0), F.least(F.lit(100.0), reduce(Column.__add__, gain) - loss)), 1)
+    cost = {"streak": 30.0, "small_blob": 15.0}
+    loss = reduce(Column.__add__, (F.when(rule, cost.get(name, 20.0)).otherwise(0.0) for name, rule in sorted(rules.items())))
+    return rounded(F.greatest(zero, F.least(F.lit(100.0), reduce(Column.__add__, gain) - loss)), 1)
 
 
-def evidence_class() -> Column:
-    return F.when(F.size(F.array_except("flags", F.array(F.lit("small_blob")))) > 0, 1).when(F.col("matches") >= 2, 3).otherwise(2)
+def evidence_class(rules: dict[str, Column] | None = None) -> Column:
+    rules = rules or held()
+    return F.when(_any(rules, [n for n in rules if n != "small_blob"]), 1).when(F.col("matches") >= 2, 3).otherwise(2)
 
 
-def adjudicated() -> Column:
+def adjudicated(rules: dict[str, Column] | None = None) -> Column:
     """Score from interest, agreement, persistence, compactness, ground, edge, flags, shadow and size; null signals count nothing."""
-    c = F.col
+    c, rules = F.col, rules or held()
     step = lambda *cases: reduce(lambda w, k: w.when(*k), cases[1:], F.when(*cases[0])).otherwise(0.0)
     terms = [
-        F.least(c("agrees"), F.lit(2)) * 12.0,
+        F.least(F.coalesce(c("agrees"), F.lit(0)), F.lit(2)) * 12.0,
         step((c("agrees") >= 2, 6.0)),
         step((c("persistence") >= 0.65, 6.0), (c("persistence") < 0.35, -6.0)),
         step((c("compactness") >= 0.7, 4.0), (c("compactness") < 0.2, -4.0)),
         step((c("bg_std") < 8, 8.0), (c("bg_std") < 14, 3.0)),
         step((c("near_edge"), -5.0)),
-        step((F.size(F.array_except("flags", F.array(F.lit("small_blob")))) > 0, -8.0)),
+        step((_any(rules, [n for n in rules if n != "small_blob"]), -8.0)),
         step((c("shadow_alignment") >= 0.75, 4.0), (c("shadow_alignment") < 0.35, -4.0)),
         step((c("shadow_expected") & (c("size_m") > 2000.0), -6.0)),
     ]
-    return rounded(F.greatest(F.lit(0.0), F.least(F.lit(100.0), c("interest") + reduce(Column.__add__, terms))), 1)
+    return rounded(F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.coalesce(c("interest"), F.lit(0.0)) + reduce(Column.__add__, terms))), 1)
 
 
-def verdict(contrast_bar: float = 1.5) -> Column:
-    c = F.col
-    bad = F.size(F.array_intersect("flags", F.array(*map(F.lit, DISQUALIFYING)))) > 0
+def verdict(contrast_bar: float = 1.5, rules: dict[str, Column] | None = None) -> Column:
+    c, rules = F.col, rules or held()
+    bad = _any(rules, DISQUALIFYING)
     discrete = (c("compactness") >= 0.5) & (c("aspect") < 3)
     lead = discrete & ~bad & c("area_px").between(200, 50000) & (c("contrast").isNull() | (c("contrast") >= contrast_bar))
     return (
@@ -127,12 +141,21 @@ def advice(verdict: Column) -> Column:
     return F.element_at(F.create_map(*(F.lit(x) for kv in ADVICE.items() for x in kv)), verdict)
 
 
+def _rules(df: DataFrame) -> dict[str, Column] | None:
+    """The flags' conditions where evaluate() has left them as columns: plain booleans, of which nothing has to be unpacked."""
+    names = list(flag_rules())
+    return {n: F.col(f"flag_{n}") for n in names} if all(f"flag_{n}" in df.columns for n in names) else None
+
+
 def evaluate(boxes: DataFrame, wide: float, high: float) -> DataFrame:
-    """Geometry, flags, class and interest of measured boxes."""
+    """Geometry, flags (each as a boolean flag_ column, and as an array), class and interest of measured boxes."""
     df = with_geometry(boxes, F.lit(float(wide)), F.lit(float(high)))
-    return df.withColumn("flags", flags()).withColumns({"evidence_class": evidence_class(), "interest": interest()})
+    df = df.withColumns({f"flag_{name}": rule for name, rule in flag_rules().items()})
+    rules = _rules(df)
+    return df.withColumns({"flags": flags(rules), "evidence_class": evidence_class(rules), "interest": interest(rules)})
 
 
 def adjudicate(evaluated: DataFrame, contrast_bar: float = 1.5) -> DataFrame:
     """Score, verdict and confidence of evaluated boxes with their evidence."""
-    return evaluated.withColumn("score", adjudicated()).withColumns({"verdict": verdict(contrast_bar), "confidence": confidence()})
+    rules = _rules(evaluated)
+    return evaluated.withColumn("score", adjudicated(rules)).withColumns({"verdict": verdict(contrast_bar, rules), "confidence": confidence()})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,24 +41,31 @@ def adjusted(df: DataFrame, p: str) -> DataFrame:
     """Benjamini-Hochberg q-values of column ``p``; adds fdr_q. Nulls aren't tested.
 
     The rank is one over all rows. Runs of equal p get one q, so only distinct p-values, with their counts, are ranked, by
-    running(): up for the ranks, down for the smallest adjusted value from a p on.
+    running(): up for the ranks, down for the smallest adjusted value from a p on. ``df`` is read once for that; what the
+    two passes start from is written down.
     """
-    counts = df.filter(F.col(p).isNotNull()).groupBy(F.col(p).alias("_p")).agg(F.count("*").alias("_n"))
-    total = df.agg(F.count(p).alias("n")).first()["n"]
-    upto = running(counts, "_p", F.col("_n"), "sum", "_upto")
-    q = running(upto, "_p", F.least(F.lit(1.0), F.col("_p") * total / F.col("_upto")), "min", "fdr_q", descending=True)
+    counts = cut(df.filter(F.col(p).isNotNull()).groupBy(F.col(p).alias("_p")).agg(F.count("*").alias("_n")))
+    cuts = cuts_of(counts, "_p")
+    upto = cut(running(counts, "_p", F.col("_n"), "sum", "_upto", cuts=cuts))
+    total = upto.agg(F.max("_upto")).scalar()
+    q = running(upto, "_p", F.least(F.lit(1.0), F.col("_p") * total / F.col("_upto")), "min", "fdr_q", descending=True, cuts=cuts)
     return df.join(q.select("_p", "fdr_q"), df[p] == F.col("_p"), "left").drop("_p")
 
 
-def running(df: DataFrame, key: str, value: Column, how: str, name: str, descending: bool = False, parts: int | None = None) -> DataFrame:
+def cuts_of(df: DataFrame, key: str, parts: int | None = None) -> list:
+    """Approximate quantiles of a key, a few numbers, that cut its order into ranges."""
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (df.agg(F.percentile_approx(key, [k / parts for k in range(1, parts)]).alias("c")).first()["c"] or []) if parts > 1 else []
+
+
+def running(df: DataFrame, key: str, value: Column, how: str, name: str, descending: bool = False, parts: int | None = None, cuts: list | None = None) -> DataFrame:
     """Running sum, minimum or maximum of ``value`` over all rows in the order of a distinct key, without one task for all rows.
 
-    Approximate quantiles of the key, a few numbers, cut the order into ranges: a row's range depends on its key alone.
+    cuts_of() the key, given or made here, cut the order into ranges: a row's range depends on its key alone.
     Ranges run on their own; what all ranges before add, one row a range, is joined.
     """
-    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     make = {"sum": F.sum, "min": F.min, "max": F.max}[how]
-    cuts = df.agg(F.percentile_approx(key, [k / parts for k in range(1, parts)]).alias("c")).first()["c"] if parts > 1 else None
+    cuts = cuts_of(df, key, parts) if cuts is None else cuts
     part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(key))) if cuts else F.lit(0)
     ranged = df.withColumns({"_v": value, "_part": part})
     first = lambda c: F.col(c).desc() if descending else F.col(c).asc()
@@ -73,15 +82,31 @@ def page(df: DataFrame, order: list[Column], offset: int, limit: int) -> DataFra
     return df.orderBy(*order).offset(offset).limit(limit)
 
 
-def circular_page(df: DataFrame, order: list[Column], offset: int, limit: int) -> DataFrame:
-    """``limit`` rows from ``offset`` on, starting over at the end; each row once at most."""
+def circular_page(df: DataFrame, order: list[Column], offset: int, limit: int, repeat: bool = False) -> DataFrame:
+    """``limit`` rows from ``offset`` on, starting over at the end; each row once at most, or, repeating, as often as needed.
+
+    Repeating adds turn, the row's place on the page; only where all rows fit the page are they numbered.
+    """
     total = df.count()
     if not total:
-        return df.limit(0)
+        return df.limit(0).withColumn("turn", F.lit(0).cast("long")) if repeat else df.limit(0)
     start = offset % total
     head = df.orderBy(*order).offset(start).limit(limit)
     over = min(max(0, start + limit - total), start)
-    return head.unionByName(df.orderBy(*order).limit(over)) if over else head
+    once = head.unionByName(df.orderBy(*order).limit(over)) if over else head
+    if not repeat:
+        return once
+    if total > limit:  # no row comes twice: the first part of the page, then what starts over
+        parts = [(head, 0)] + ([(df.orderBy(*order).limit(over), total - start)] if over else [])
+        numbered = [d.withColumn("turn", F.row_number().over(Window.orderBy(*order)).cast("long") - 1 + k) for d, k in parts]  # over a page
+        return numbered[0].unionByName(numbered[1]) if over else numbered[0]
+    at = F.pmod(F.row_number().over(Window.orderBy(*order)) - 1 - start, F.lit(total)).cast("long")  # over fewer rows than a page
+    return df.withColumn("turn", at).withColumn("turn", F.explode(F.sequence(F.col("turn"), F.lit(limit - 1).cast("long"), F.lit(total).cast("long"))))
+
+
+def sorted_by(df: DataFrame, key: str, columns: dict[str, str], ties: list[Column]) -> list[Column]:
+    """The order of a page by the name of a sort: descending, nulls as 0, then ties; an unknown name leaves the ties' order."""
+    return [F.coalesce(F.col(columns[key]).try_cast("double"), F.lit(0.0)).desc(), *ties] if key in columns else ties
 
 
 def first_hit(left: DataFrame, sources: list[tuple[DataFrame, str]], key: Column, value: str) -> DataFrame:
@@ -93,6 +118,42 @@ def first_hit(left: DataFrame, sources: list[tuple[DataFrame, str]], key: Column
     return out.withColumn(value, F.coalesce(*[F.col(f"_v{k}") for k in range(len(sources))])).drop(*[f"_v{k}" for k in range(len(sources))])
 
 
+def nearby(left: DataFrame, right: DataFrame, on: list[str], reach: tuple[float, float], how: str, condition: Column, x: str = "x", y: str = "y", other: str = "o_") -> DataFrame:
+    """Joins rows of ``left`` with those of ``right`` (columns prefixed by ``other``) whose places can be within ``reach``, on equal
+    ``on`` columns and grid cells as wide as the reach; ``condition`` decides. The rows of the right side are dealt to nine cells."""
+    cell = lambda c, r: F.floor(F.col(c) / (r + 1)).cast("long")
+    cells = left.withColumns({"_gx": cell(x, reach[0]), "_gy": cell(y, reach[1])})
+    step = F.array(*map(F.lit, (-1, 0, 1)))
+    dealt = right.withColumns({"_ox": cell(other + x, reach[0]), "_oy": cell(other + y, reach[1])}).withColumn("_dx", F.explode(step)).withColumn("_dy", F.explode(step))
+    dealt = dealt.select(*right.columns, (F.col("_ox") + F.col("_dx")).alias("_gx"), (F.col("_oy") + F.col("_dy")).alias("_gy"))
+    keys = [F.col(c) == F.col(other + c) for c in on]
+    both = cells.alias("l").join(dealt.alias("r"), reduce(Column.__and__, [*keys, F.col("l._gx") == F.col("r._gx"), F.col("l._gy") == F.col("r._gy"), condition]), how)
+    return both.drop("_gx", "_gy")
+
+
+def touching(boxes: DataFrame, marks: DataFrame, on: str, condition: Column, how: str, size: int = 64) -> DataFrame:
+    """Semi or anti join of boxes (on, x, y, w, h) with marks (on, mx, my, mw, mh) that can touch them, on equal ``on`` and grid cells;
+    ``condition`` decides. A mark goes to every cell in which a box that touches it may start, a box to that of its corner."""
+    wide, high = boxes.agg(F.max("w")).scalar(), boxes.agg(F.max("h")).scalar()
+    cell = lambda c: F.floor(c / size).cast("long")
+    reach = lambda p, n, most: F.sequence(cell(F.col(p) - F.coalesce(most, F.lit(0))), cell(F.col(p) + F.col(n)))
+    dealt = marks.withColumnRenamed(on, "_on").withColumn("_mx", F.explode(reach("mx", "mw", wide))).withColumn("_my", F.explode(reach("my", "mh", high)))
+    there = (F.col(on) == F.col("_on")) & (cell(F.col("x")) == F.col("_mx")) & (cell(F.col("y")) == F.col("_my"))
+    return boxes.join(dealt, there & condition, how)
+
+
+def by_suffix(left: DataFrame, right: DataFrame, key: str, name: str, value: str) -> DataFrame:
+    """Left join with a small lookup (name, value): equal names first, else the smallest of those of which one ends with the other."""
+    pairs = left.select(key).distinct().join(right.select(F.col(name).alias("_n"), F.col(value).alias("_v")), (F.col(key) == F.col("_n")) | F.col(key).endswith(F.col("_n")) | F.col("_n").endswith(F.col(key)))
+    best = pairs.groupBy(key).agg(F.min_by("_v", F.struct((F.col(key) != F.col("_n")).alias("rest"), "_n")).alias(value))
+    return left.join(best, key, "left")
+
+
+def numbered(df: DataFrame, key: str, order: list[Column], name: str = "n") -> DataFrame:
+    """Rows of each key numbered from 1 in ``order``."""
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("long"))
+
+
 def near_pairs(df: DataFrame, node: str, base: str, reach: int) -> DataFrame:
     """a < b of boxes of one base whose x and y differ by at most ``reach``: a grid join, so near-linear in the rows.
 
@@ -138,6 +199,11 @@ def groups(df: DataFrame, node: str, base: str, reach: int) -> DataFrame:
     return df.join(roots.withColumnRenamed("node", node), node, "left").withColumn("feature", F.coalesce("root", node)).drop("root")
 
 
+def else_all(some: DataFrame, rest: DataFrame) -> DataFrame:
+    """``some`` if it has a row, else ``rest``, which has its columns."""
+    return some.unionByName(rest.filter(some.select(F.lit(1).alias("one")).limit(1).agg(F.count("*")).scalar() == 0).select(some.columns))
+
+
 def merged(previous: DataFrame, current: DataFrame, key: str) -> DataFrame:
     """Upsert: all current rows and the previous ones whose key isn't seen again."""
     return current.unionByName(previous.join(current.select(key).distinct(), key, "left_anti"))
@@ -154,3 +220,15 @@ def violations(df: DataFrame, rules: dict[str, Column], keys: list[str]) -> Data
     """One row for each rule that a row breaks."""
     broken = F.array_compact(F.array(*(F.when(~F.coalesce(ok, F.lit(False)), name) for name, ok in rules.items())))
     return df.select(*keys, F.explode(broken).alias("problem"))
+
+
+def missing_columns(df: DataFrame, required: list[str]) -> DataFrame:
+    """name: required columns that a table lacks."""
+    lacking = [c for c in required if c not in df.columns]
+    return df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, lacking)).cast("array<string>")).alias("name"))
+
+
+def unknown(df: DataFrame, column: str, wanted: tuple[str, ...]) -> DataFrame:
+    """name: wanted values that a column doesn't have."""
+    asked = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, wanted))).alias("name"))
+    return asked.join(df.select(F.col(column).alias("name")).distinct(), "name", "left_anti")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import geometry as G
+from ..operators import relational as R
 from ..sources.tables import boxes, cells, table
 from .relational import ADJUDICATED, BOXES, KEY, judged, rnd
 
@@ -24,38 +25,39 @@ def query(oracle: str | None = None):
     return add
 
 
-@query(f"""WITH s AS (SELECT *, s_suppkey % 4 AS k FROM supplier) SELECT s_suppkey, {rnd('CASE WHEN k <> 3 THEN abs(s_acctbal) / 100.0 END', 4)} AS incidence, {rnd('CASE WHEN k = 0 THEN s_suppkey * 1.0 ELSE NULL END', 4)} AS azimuth,
-{rnd('CASE k WHEN 0 THEN 300.0 WHEN 1 THEN 255.5 ELSE NULL END', 4)} AS altitude_km, {rnd('CASE k WHEN 0 THEN 0.5 WHEN 1 THEN 250.0 WHEN 2 THEN 3.141592653589793 / 180 * (3394.0 * 1000) / 128.0 ELSE NULL END', 4)} AS scale_m FROM s""")
+@query(f"""WITH s AS (SELECT *, s_suppkey % 4 AS k FROM supplier) SELECT s_suppkey, {rnd('CASE WHEN k <> 3 THEN abs(s_acctbal) / 100.0 END', 4)} AS incidence, {rnd('CASE WHEN k <> 3 THEN 90 - abs(s_acctbal) / 100.0 END', 4)} AS elevation, {rnd('CASE WHEN k = 1 THEN 12.5 END', 4)} AS emission, {rnd('CASE WHEN k = 2 THEN s_suppkey / 10.0 END', 4)} AS phase,
+{rnd('CASE WHEN k = 0 THEN s_suppkey * 1.0 WHEN k = 3 THEN 90.0 ELSE NULL END', 4)} AS azimuth, {rnd('CASE k WHEN 0 THEN 300.0 WHEN 1 THEN 255.5 ELSE NULL END', 4)} AS altitude_km, {rnd('CASE k WHEN 0 THEN 0.5 WHEN 1 THEN 250.0 WHEN 2 THEN 3.141592653589793 / 180 * (3394.0 * 1000) / 128.0 ELSE NULL END', 4)} AS scale_m,
+CASE WHEN k < 2 THEN 'MARS' END AS target, CASE k WHEN 0 THEN 'HIRISE' WHEN 1 THEN 'CTX' END AS instrument, CASE k WHEN 0 THEN s_name WHEN 1 THEN concat('P', s_suppkey) END AS observation_id, CASE WHEN k = 2 THEN 'RED' END AS band, CASE WHEN k = 0 THEN '2010-01-02T03:04:05' END AS start_time FROM s""")
 def label_geometry(spark, d):
-    """Geometry of labels in four dialects."""
+    """Geometry and names of labels in four dialects."""
     s, k = table(spark, d, "supplier"), F.col("s_suppkey") % 4
     angle = F.concat((F.abs("s_acctbal") / 100.0).cast("string"), F.lit(" <DEG>"))
-    none = F.lit(None).cast("string")
     entry = lambda key, v: F.struct(F.lit(key).alias("k"), v.cast("string").alias("v"))
-    fields = F.map_from_entries(
-        F.filter(
-            F.array(
-                entry("INCIDENCE_ANGLE", F.when(k == 0, angle)),
-                entry("SOLAR_INCIDENCE_ANGLE", F.when(k.isin(1, 2), angle)),
-                entry("SUB_SOLAR_AZIMUTH", F.when(k == 0, F.col("s_suppkey") * 1.0)),
-                entry("SPACECRAFT_ALTITUDE", F.when(k == 0, F.lit("300,000 <M>")).when(k == 1, F.lit("255.5 <KM>"))),
-                entry("MAP_SCALE", F.when(k == 0, F.lit("0.5 <METERS/PIXEL>")).when(k == 1, F.lit("0.25 <KM/PIXEL>"))),
-                entry("MAP_RESOLUTION", F.when(k == 2, F.lit("128 <PIX/DEG>"))),
-                entry("A_AXIS_RADIUS", F.when(k == 2, F.lit("3394.0 <KM>"))),
-                entry("UNUSED", none),
-            ),
-            lambda e: e["v"].isNotNull(),
-        )
-    )
+    fields = [
+        entry("INCIDENCE_ANGLE", F.when(k == 0, angle)), entry("SOLAR_INCIDENCE_ANGLE", F.when(k.isin(1, 2), angle)), entry("EMISSION_ANGLE_OBSERVER", F.when(k == 1, F.lit("12.5"))), entry("PHASE_ANGLE", F.when(k == 2, F.col("s_suppkey") / 10.0)),
+        entry("SUB_SOLAR_AZIMUTH", F.when(k == 0, F.col("s_suppkey") * 1.0)), *(entry(f, F.when(k == 3, F.lit(v))) for f, v in (("SUB_SOLAR_LATITUDE", "0.0"), ("SUB_SOLAR_LONGITUDE", "10.0"), ("SUB_SPACECRAFT_LATITUDE", "0.0"), ("OBSERVER_LONGITUDE", "0.0"))),
+        entry("SPACECRAFT_ALTITUDE", F.when(k == 0, F.lit("300,000 <M>")).when(k == 1, F.lit("255.5 <KM>"))), entry("MAP_SCALE", F.when(k == 0, F.lit("0.5 <METERS/PIXEL>")).when(k == 1, F.lit("0.25 <KM/PIXEL>"))), entry("MAP_RESOLUTION", F.when(k == 2, F.lit("128 <PIX/DEG>"))), entry("A_AXIS_RADIUS", F.when(k == 2, F.lit("3394.0 <KM>"))),
+        entry("TARGET_NAME", F.when(k == 0, F.lit('"MARS"'))), entry("TARGET", F.when(k == 1, F.lit("MARS")).when(k == 2, F.lit(""))), entry("INSTRUMENT_ID", F.when(k == 0, F.lit("HIRISE"))), entry("INSTRUMENT_NAME", F.when(k == 1, F.lit("CTX"))), entry("OBSERVATION_ID", F.when(k == 0, F.col("s_name"))), entry("PRODUCT_ID", F.when(k.isin(0, 1), F.concat(F.lit("P"), F.col("s_suppkey").cast("string")))), entry("FILTER_NAME", F.when(k == 2, F.lit("RED"))), entry("START_TIME", F.when(k == 0, F.lit("2010-01-02T03:04:05"))),
+    ]
     g = G.from_label(F.col("f"))
-    return s.select("s_suppkey", fields.alias("f")).select("s_suppkey", *[C.rounded(g[c], 4).alias(c) for c in ("incidence", "azimuth", "altitude_km", "scale_m")])
+    held = s.select("s_suppkey", F.map_from_entries(F.filter(F.array(*fields), lambda e: e["v"].isNotNull())).alias("f"))
+    return held.select("s_suppkey", *[C.rounded(g[c], 4).alias(c) for c in ("incidence", "elevation", "emission", "phase", "azimuth", "altitude_km", "scale_m")], *[g[c].alias(c) for c in G.TEXTS])
 
 
-@query(f"SELECT p_partkey, {rnd('p_size / 4.0', 4)} AS post_spacing_m, {rnd('-p_retailprice', 4)} AS valid_min_m, CASE WHEN p_size % 2 = 0 THEN 'ccd_seams' ELSE '' END AS known_artifacts FROM part")
+@query(f"""SELECT p_partkey, {rnd('p_size / 4.0', 4)} AS post_spacing_m, {rnd('-p_retailprice', 4)} AS valid_min_m, {rnd('p_retailprice', 4)} AS valid_max_m, {rnd('0.11643', 5)} AS rms_total_px, {rnd('p_size / 10.0', 4)} AS rms_x_m, {rnd('p_size / 5.0', 4)} AS rms_y_m, CAST(NULL AS DOUBLE) AS rms_z_m,
+{rnd('2.5', 4)} AS mola_mean_m, {rnd('6.486', 4)} AS mola_stdev_m, 'SOCET SET 5.6' AS software, concat('Place_', p_size, CASE WHEN p_size % 2 = 0 THEN 'E' ELSE 'W' END, '_', p_size * 3, CASE WHEN p_size % 3 = 0 THEN 'N' ELSE 'S' END) AS project, {rnd('CASE WHEN p_size % 2 = 0 THEN p_size / 10.0 ELSE -p_size / 10.0 END', 4)} AS longitude,
+{rnd('CASE WHEN p_size % 3 = 0 THEN p_size * 3 / 10.0 ELSE -p_size * 3 / 10.0 END', 4)} AS latitude, CASE WHEN p_size % 5 = 0 THEN '' ELSE concat('PSP_00', p_size, '_1410,PSP_01', p_size, '_1410') END AS source_images, CASE WHEN p_size % 2 = 0 THEN 'ccd_seams' ELSE '' END AS known_artifacts FROM part""")
 def readme_fields(spark, d):
-    text = F.concat(F.lit("The post spacing in DTM is "), (F.col("p_size") / 4.0).cast("string"), F.lit(" m.\nVALID_MINIMUM = "), F.format_string("%.2f", -F.col("p_retailprice")), F.lit(" m\n"), F.when(F.col("p_size") % 2 == 0, "There are CCD seams.").otherwise(""))
+    n, p = F.col("p_size"), F.col("p_size").cast("string")
+    name = F.concat(F.lit("Place_"), p, F.when(n % 2 == 0, "E").otherwise("W"), F.lit("_"), (n * 3).cast("string"), F.when(n % 3 == 0, "N").otherwise("S"))
+    text = F.concat(
+        F.lit("PROJECT NAME\n  "), name, F.lit("\nHIRISE SOURCE IMAGES\n"), F.when(n % 5 != 0, F.concat(F.lit("  PSP_00"), p, F.lit("_1410\n  PSP_01"), p, F.lit("_1410\n"))).otherwise("none\n"), F.lit("The post spacing in DTM is "), (n / 4.0).cast("string"), F.lit(" m.\nVALID_MINIMUM = "), F.format_string("%.2f", -F.col("p_retailprice")), F.lit(" m\nVALID_MAXIMUM = "), F.format_string("%.2f", F.col("p_retailprice")),
+        F.lit(" m\nTotal RMS ==> 0.11643 px\nRMS x ==> "), (n / 10.0).cast("string"), F.lit(" m\nRMS y ==> "), (n / 5.0).cast("string"), F.lit(" m\nMean difference from MOLA 2.5 m, standard deviation 6.486.\nSOCET SET 5.6 was used.\n"), F.when(n % 2 == 0, "There are CCD seams.").otherwise(""),
+    )
     g = G.from_readme(F.col("t"))
-    return table(spark, d, "part").select("p_partkey", text.alias("t")).select("p_partkey", C.rounded(g["post_spacing_m"], 4).alias("post_spacing_m"), C.rounded(g["valid_min_m"], 4).alias("valid_min_m"), F.array_join(g["known_artifacts"], ",").alias("known_artifacts"))
+    t = table(spark, d, "part").select("p_partkey", text.alias("t"))
+    numbers = [C.rounded(g[c], 5 if c == "rms_total_px" else 4).alias(c) for c in (*G.README, "longitude", "latitude")]
+    return t.select("p_partkey", *numbers, g["software"].alias("software"), g["project"].alias("project"), F.array_join(g["source_images"], ",").alias("source_images"), F.array_join(g["known_artifacts"], ",").alias("known_artifacts"))
 
 
 @query("""SELECT o_orderkey, coalesce(first_value(v IGNORE NULLS) OVER w, -1) AS truth FROM (SELECT o_orderkey, CASE WHEN o_orderpriority LIKE '1%' THEN o_totalprice END AS v, o_custkey FROM orders)
@@ -100,7 +102,7 @@ def recall_by_size(spark, d):
     return boxes(spark, d).groupBy("w").agg(hit.alias("hit"), F.count("*").alias("n"), C.rounded(hit * 100.0 / F.count("*"), 1).alias("recall_pct"))
 
 
-@query(f"SELECT event_type, {rnd('quantile_cont(value, 0.5)', 3)} AS median_ratio, count(*) AS n FROM events WHERE value > 0 AND user_id % 7 <> 0 GROUP BY event_type")
+@query(f"SELECT event_type, {rnd('quantile_cont(value, 0.5)', 3)} AS median_ratio, count(*) AS n FROM events WHERE value > 0 GROUP BY event_type")
 def variant_persistence(spark, d):
     return table(spark, d, "events").filter("value > 0").groupBy("event_type").agg(C.rounded(F.median("value"), 3).alias("median_ratio"), F.count("*").alias("n"))
 
@@ -155,24 +157,27 @@ def physical_size(spark, d):
     return table(spark, d, "lineitem").select(*KEY, C.rounded(F.greatest(F.col("l_quantity"), (F.col("l_linenumber") * 6).cast("double")) * 0.25, 3).alias("size_m"), F.when(r >= 0.6, "relief").when(r < 0.3, "flat").otherwise("unclear").alias("stereo"))
 
 
-@query("SELECT DISTINCT l_suppkey, w, h FROM (" + BOXES + ") WHERE l_linenumber = 1")
+@query("SELECT DISTINCT l_suppkey, w, h FROM (" + BOXES + ")")
 def distinct_boxes(spark, d):
     return boxes(spark, d).select("l_suppkey", "w", "h").distinct()
 
 
-@query(f"WITH {ADJUDICATED}, lead AS (SELECT * FROM judged WHERE verdict = 'CONFIRMED-LEAD' AND l_suppkey > 1000000), pick AS (SELECT * FROM lead UNION ALL SELECT * FROM judged WHERE NOT EXISTS (SELECT 1 FROM lead)) SELECT verdict, count(*) AS n FROM pick GROUP BY verdict")
+@query(f"""WITH {ADJUDICATED}, lead AS (SELECT * FROM judged WHERE verdict = 'CONFIRMED-LEAD'), none AS (SELECT * FROM lead WHERE score > 1000),
+pick AS (SELECT 'leads' AS page, verdict FROM lead UNION ALL SELECT 'leads', verdict FROM judged WHERE NOT EXISTS (SELECT 1 FROM lead)
+UNION ALL SELECT 'no leads', verdict FROM none UNION ALL SELECT 'no leads', verdict FROM judged WHERE NOT EXISTS (SELECT 1 FROM none)) SELECT page, verdict, count(*) AS n FROM pick GROUP BY page, verdict""")
 def fallback_union(spark, d):
-    """Leads if there are any, else all judged rows."""
-    j = judged(spark, d).select("verdict", "l_suppkey")
-    lead = j.filter("verdict = 'CONFIRMED-LEAD' AND l_suppkey > 1000000")
-    rest = j.filter(lead.agg(F.count("*")).scalar() == 0)
-    return lead.unionByName(rest).groupBy("verdict").agg(F.count("*").alias("n"))
+    """Leads if there are any, else all judged rows; for a table that has leads and for one that has none."""
+    j = judged(spark, d).select("verdict", "score")
+    lead = j.filter("verdict = 'CONFIRMED-LEAD'")
+    pages = [R.else_all(part, j).select(F.lit(page).alias("page"), "verdict") for page, part in (("leads", lead), ("no leads", lead.filter("score > 1000")))]
+    return pages[0].unionByName(pages[1]).groupBy("page", "verdict").agg(F.count("*").alias("n"))
 
 
-@query(f"WITH b AS ({BOXES}) SELECT image, regexp_extract(image, '^([A-Za-z]+_[0-9]+_[0-9]+)', 1) AS acquisition, regexp_extract(image, '_(MIRB|MRGB|RED)[.]', 1) AS band, regexp_replace(image, '_(MIRB|MRGB|RED)[.](browse|abrowse|thumb).*$', '') AS base, regexp_extract(image, '^(ESP_[0-9]+_[0-9]+|PIA[0-9]+)', 1) AS stem, 'Mars' AS body, count(*) AS n FROM b GROUP BY image")
+@query(f"WITH b AS ({BOXES}) SELECT image, regexp_extract(image, '^([A-Za-z]+_[0-9]+_[0-9]+)', 1) AS acquisition, regexp_extract(image, '_(MIRB|MRGB|RED)[.]', 1) AS band, regexp_replace(image, '_(MIRB|MRGB|RED)[.](browse|abrowse|thumb).*$', '') AS base, regexp_extract(image, '^(ESP_[0-9]+_[0-9]+|PIA[0-9]+)', 1) AS stem, CASE WHEN contains(path, 'moon') THEN 'Moon' WHEN contains(lower(path), 'mars') THEN 'Mars' ELSE 'unknown' END AS body, count(*) AS n FROM (SELECT image, CASE l_suppkey % 3 WHEN 0 THEN 'raw/moon/a' WHEN 1 THEN 'raw/Mars/b' ELSE 'raw/c' END AS path FROM b) GROUP BY image, path")
 def name_parts(spark, d):
-    i = F.col("image")
-    return boxes(spark, d).groupBy("image").agg(F.count("*").alias("n")).select("image", C.acquisition(i).alias("acquisition"), C.band(i).alias("band"), C.base_frame(i).alias("base"), C.sibling_stem(i).alias("stem"), C.body(i).alias("body"), "n")
+    i, k = F.col("image"), F.col("l_suppkey") % 3
+    b = boxes(spark, d).withColumn("path", F.when(k == 0, "raw/moon/a").when(k == 1, "raw/Mars/b").otherwise("raw/c"))
+    return b.groupBy("image", "path").agg(F.count("*").alias("n")).select("image", C.acquisition(i).alias("acquisition"), C.band(i).alias("band"), C.base_frame(i).alias("base"), C.sibling_stem(F.concat_ws("/", "path", "image")).alias("stem"), C.body(F.col("path")).alias("body"), "n")
 
 
 @query("SELECT branch, CAST(to_json(shards) AS VARCHAR) AS shards FROM (SELECT r_name AS branch, list(struct_pack(name := n_name, footprints := n) ORDER BY n_name) AS shards FROM (SELECT r_name, n_name, count(*) AS n FROM region JOIN nation ON n_regionkey = r_regionkey JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1, 2) GROUP BY r_name)")

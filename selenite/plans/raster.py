@@ -11,6 +11,7 @@ from ..raster import cells as X
 from ..raster import evidence as E
 from ..raster import kernels as K
 from ..raster.spark import array_of, assembled, per_image
+from ..session import cut
 from ..sources.tables import boxes, cells, frames, table
 from .relational import rnd
 
@@ -57,7 +58,7 @@ def detail_mask(spark, d):
 
 
 def _labelled(spark, d):
-    mask = cells(spark, d).filter("v > 120").withColumn("node", F.col("y").cast("long") * 100 + F.col("x")).cache()
+    mask = cut(cells(spark, d).filter("v > 120").withColumn("node", F.col("y").cast("long") * 100 + F.col("x")))
     roots = R.components(X.neighbour_edges(mask, [], F.col("node"))).distinct()
     return mask.join(roots, "node", "left").withColumn("label", F.coalesce("root", "node"))
 
@@ -80,7 +81,7 @@ def measure_fg_bg(spark, d):
     n = table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), (F.col("n_nationkey") * 3 % 80).alias("bx"), (F.col("n_nationkey") * 7 % 80).alias("by"), (F.col("n_regionkey") + 6).alias("s"))
     x, y, v = F.col("x"), F.col("y"), F.col("v")
     within = lambda m: (x >= F.col("bx") - m) & (x < F.col("bx") + F.col("s") + m) & (y >= F.col("by") - m) & (y < F.col("by") + F.col("s") + m)
-    j = cells(spark, d).join(F.broadcast(n), within(5)).withColumn("fg", within(0))  # 25 boxes
+    j = cells(spark, d).join(n, within(5)).withColumn("fg", within(0))
     fg, bg = F.when(F.col("fg"), v), F.when(~F.col("fg"), v)
     return j.groupBy("k").agg(
         F.when(F.avg(fg) >= F.avg(bg), "bright").otherwise("dark").alias("polarity"),
@@ -134,7 +135,7 @@ def diff_stats(spark, d):
 
 @query(f"WITH {CELLS}, s AS (SELECT y + 2 AS y, x - 3 AS x, v FROM cells, ext WHERE y + 2 <= my AND x - 3 >= 0), dd AS (SELECT c.y, c.x, abs(c.v - coalesce(s.v, 0)) AS df FROM cells c LEFT JOIN s USING (y, x)), st AS (SELECT quantile_cont(df, 0.5) AS m, stddev_pop(df) + 1e-6 AS sd FROM dd) SELECT y, x, {rnd('(df - m) / sd', 5)} AS z FROM dd, st WHERE (df - m) / sd > 1.5")
 def shift_change(spark, d):
-    c = cells(spark, d).cache()
+    c = cells(spark, d)
     e = X.extent(c, []).first()
     moved = X.shifted(c, -3, 2, e["height"], e["width"]).withColumnRenamed("v", "o")
     dd = c.join(moved, ["y", "x"], "left").select("y", "x", F.abs(F.col("v") - F.coalesce("o", F.lit(0.0))).alias("df"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import archive, raster, relational, text
+from . import archive, catalogue, features, raster, relational, text
 
-QUERIES = {**relational.Q, **raster.Q, **text.Q, **archive.Q}
-ORACLES = {**relational.O, **raster.O, **text.O, **archive.O}
+QUERIES = {**relational.Q, **raster.Q, **text.Q, **archive.Q, **features.Q, **catalogue.Q}
+ORACLES = {**relational.O, **raster.O, **text.O, **archive.O, **features.O, **catalogue.O}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -48,10 +50,10 @@ flagged AS (SELECT *, list_sort([f FOR f IN [
   CASE WHEN in_corner THEN 'corner' END] IF f IS NOT NULL]) AS flags FROM geo),
 classed AS (SELECT *, CASE WHEN len([f FOR f IN flags IF f <> 'small_blob']) > 0 THEN 1 WHEN matches >= 2 THEN 3 ELSE 2 END AS evidence_class,
   {rnd('''greatest(0.0, least(100.0, least(contrast / 4.0, 1.0) * 35.0 + least(area_px / 30000.0, 1.0) * 15.0 + (1.0 - least((aspect - 1) / 9.0, 1.0)) * 15.0
-  + CASE WHEN near_edge THEN 0.0 ELSE 10.0 END + CASE WHEN sat_frac < 0.3 THEN 10.0 ELSE 0.0 END + least(matches / 3.0, 1.0) * 15.0
+  + CASE WHEN near_edge THEN 0.0 ELSE 10.0 END + CASE WHEN sat_frac < 0.3 THEN 10.0 ELSE 0.0 END + least(coalesce(matches, 0) / 3.0, 1.0) * 15.0
   - (20.0 * len(flags) + CASE WHEN list_contains(flags, 'streak') THEN 10.0 ELSE 0.0 END - CASE WHEN list_contains(flags, 'small_blob') THEN 5.0 ELSE 0.0 END)))''', 1)} AS interest FROM flagged)"""
 ADJUDICATED = f"""{EVALUATED},
-scored AS (SELECT *, {rnd('''greatest(0.0, least(100.0, interest + (least(agrees, 2) * 12.0 + CASE WHEN agrees >= 2 THEN 6.0 ELSE 0.0 END
+scored AS (SELECT *, {rnd('''greatest(0.0, least(100.0, interest + (least(coalesce(agrees, 0), 2) * 12.0 + CASE WHEN agrees >= 2 THEN 6.0 ELSE 0.0 END
   + CASE WHEN persistence >= 0.65 THEN 6.0 WHEN persistence < 0.35 THEN -6.0 ELSE 0.0 END + CASE WHEN compactness >= 0.7 THEN 4.0 WHEN compactness < 0.2 THEN -4.0 ELSE 0.0 END
   + CASE WHEN bg_std < 8 THEN 8.0 WHEN bg_std < 14 THEN 3.0 ELSE 0.0 END + CASE WHEN near_edge THEN -5.0 ELSE 0.0 END
   + CASE WHEN len([f FOR f IN flags IF f <> 'small_blob']) > 0 THEN -8.0 ELSE 0.0 END
@@ -93,7 +95,9 @@ def interest_scores(spark, d):
     return evaluated(spark, d).select(*KEY, "interest", "evidence_class", text.alias("text"))
 
 
-ADVICE_SQL = "CASE verdict " + " ".join(f"WHEN '{k}' THEN '{v.replace(chr(39), chr(39) * 2)}'" for k, v in S.ADVICE.items()) + " END"
+ADVICE_SQL = """CASE verdict WHEN 'EXPLAINED-ARTIFACT' THEN 'discard: known artifact' WHEN 'DTM-ARTIFACT-RISK' THEN 'check the terrain model''s defects first'
+WHEN 'BAND-DEPENDENT' THEN 'discard: only in the reference rendering' WHEN 'CONFIRMED-LEAD' THEN 'fetch the original and look for an independent pass'
+WHEN 'PROMISING' THEN 'compare with siblings' WHEN 'TERRAIN' THEN 'ordinary terrain' WHEN 'WEAK' THEN 'watch list' WHEN 'NOISE' THEN 'discard: below the floor' END"""
 
 
 @query(f"WITH {ADJUDICATED} SELECT {', '.join(KEY)}, score, verdict, confidence, {ADVICE_SQL} AS recommendation FROM judged")
@@ -120,20 +124,25 @@ SELECT a.l_orderkey, a.l_linenumber, a.l_partkey, a.l_suppkey, a.x, a.y, a.w, co
 AND abs(a.x - c.x) <= 0.02 * {WIDE} + 4 AND abs(a.y - c.y) <= 0.02 * {HIGH} + 4 AND a.w < 3 * c.w AND a.h < 3 * c.h GROUP BY ALL""")
 def sibling_matches(spark, d):
     s = boxes(spark, d).select(F.concat_ws("-", "l_suppkey", F.col("l_partkey") % 50).alias("stem"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *"xywh")
-    o = s.select("stem", *[F.col(c).alias("o_" + c) for c in ("l_orderkey", *"xywh")])
-    near = lambda c, size: F.abs(F.col(c) - F.col("o_" + c)) <= 0.02 * size + 4
-    close = (F.col("l_orderkey") != F.col("o_l_orderkey")) & near("x", WIDE) & near("y", HIGH) & (F.col("w") < 3 * F.col("o_w")) & (F.col("h") < 3 * F.col("o_h"))
-    return s.join(o, "stem").filter(close).groupBy(*KEY, "x", "y", "w", "h").agg(F.countDistinct("o_l_orderkey").alias("matches")).drop("h")
+    reach = (0.02 * WIDE + 4, 0.02 * HIGH + 4)
+    o = s.select(*[F.col(c).alias("o_" + c) for c in ("stem", "l_orderkey", *"xywh")]).distinct()
+    near = lambda c, r: F.abs(F.col(c) - F.col("o_" + c)) <= r
+    close = (F.col("l_orderkey") != F.col("o_l_orderkey")) & near("x", reach[0]) & near("y", reach[1]) & (F.col("w") < 3 * F.col("o_w")) & (F.col("h") < 3 * F.col("o_h"))
+    # rows of one place and size have the same matches
+    places = R.nearby(s.select("stem", *KEY, *"xywh").distinct(), o, ["stem"], reach, "inner", close)
+    return places.groupBy(*KEY, *"xywh").agg(F.countDistinct("o_l_orderkey").alias("matches")).drop("h")
 
 
 @query("""SELECT a.o_orderkey, sum(CASE WHEN (a.o_orderstatus = b.o_orderstatus) AND a.o_totalprice / b.o_totalprice BETWEEN 0.35 AND 2.8 THEN 1 ELSE 0 END)::BIGINT AS agrees,
 sum(CASE WHEN (a.o_orderstatus = b.o_orderstatus) AND a.o_totalprice / b.o_totalprice BETWEEN 0.35 AND 2.8 THEN 0 ELSE 1 END)::BIGINT AS disagrees
 FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey <> b.o_orderkey GROUP BY a.o_orderkey""")
 def agreement_counts(spark, d):
-    a = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice")
-    b = a.select("o_custkey", F.col("o_orderkey").alias("k2"), F.col("o_orderstatus").alias("s2"), F.col("o_totalprice").alias("p2"))
-    same = (F.col("o_orderstatus") == F.col("s2")) & (F.col("o_totalprice") / F.col("p2")).between(0.35, 2.8)
-    return a.join(b, "o_custkey").filter("o_orderkey <> k2").groupBy("o_orderkey").agg(F.count_if(same).alias("agrees"), F.count_if(~same).alias("disagrees"))
+    """Of a customer's other orders, those of the same status and a comparable price, and the rest: ranges of the price's logarithm
+    in one sorted window, so that no pairs are made."""
+    a = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", F.log("o_totalprice").alias("p"))
+    all_, alike = F.expr("count(*) OVER (PARTITION BY o_custkey)"), F.expr(f"count(*) OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY p RANGE BETWEEN {math.log(2.8)!r}D PRECEDING AND {-math.log(0.35)!r}D FOLLOWING)")
+    n = a.select("o_orderkey", (all_ - 1).alias("others"), (alike - 1).alias("agrees")).filter("others > 0")
+    return n.select("o_orderkey", "agrees", (F.col("others") - F.col("agrees")).alias("disagrees"))
 
 
 MARKS = "SELECT p_partkey AS mark, CAST(p_partkey % 50 AS BIGINT) AS frame, CAST(p_partkey * 11 % 900 AS INT) AS mx, CAST(p_partkey * 17 % 900 AS INT) AS my, CAST(40 + p_size AS INT) AS mw, CAST(40 + p_size AS INT) AS mh FROM part"
@@ -151,21 +160,27 @@ def _boxes_and_marks(spark, d):
 def overlay_anti_join(spark, d):
     b, m = _boxes_and_marks(spark, d)
     lap = C.overlap(*[F.col(c) for c in ("x", "y", "w", "h", "mx", "my", "mw", "mh")])
-    return b.join(m, (b["frame"] == m["frame"]) & (10 * lap > 3 * F.col("w") * F.col("h")), "left_anti").select(*KEY, *"xywh")
+    return R.touching(b, m, "frame", 10 * lap > 3 * F.col("w") * F.col("h"), "left_anti").select(*KEY, *"xywh")
 
 
 @query(f"""WITH b AS (SELECT *, l_partkey % 50 AS frame FROM ({BOXES})), m AS ({MARKS}) SELECT {', '.join(KEY)}, x, y, w, h FROM b WHERE EXISTS (SELECT 1 FROM m WHERE m.frame = b.frame AND
 ((mx <= x + w / 2.0 AND x + w / 2.0 <= mx + mw AND my <= y + h / 2.0 AND y + h / 2.0 <= my + mh) OR ({LAP}) / CAST(w * h + mw * mh - ({LAP}) AS DOUBLE) > 0.2))""")
 def semi_hit(spark, d):
     b, m = _boxes_and_marks(spark, d)
-    return b.join(m, (b["frame"] == m["frame"]) & C.hit(*[F.col(c) for c in ("mx", "my", "mw", "mh", "x", "y", "w", "h")]), "left_semi").select(*KEY, *"xywh")
+    return R.touching(b, m, "frame", C.hit(*[F.col(c) for c in ("mx", "my", "mw", "mh", "x", "y", "w", "h")]), "left_semi").select(*KEY, *"xywh")
+
+
+#: t times the rest of the polynomial, from its second coefficient on.
+ERFC_SQL = """(1.00002368 + t * (0.37409196 + t * (0.09678418 + t * (-0.18628806 + t * (0.27886807
++ t * (-1.13520398 + t * (1.48851587 + t * (-0.82215223 + t * 0.17087277))))))))"""
+
+
+def tail(z: str) -> str:
+    """One-sided p-value in SQL, of a column z, with t beside it."""
+    return f"CASE WHEN {z} <= 0 THEN 0.5 WHEN {z} >= 8 THEN 0.0 ELSE greatest(0.0, least(0.5, 0.5 * t * exp(-{z} / 1.4142135623730951 * ({z} / 1.4142135623730951) + -1.26551223 + t * {ERFC_SQL}))) END"
 
 
-ERFC_SQL = "0.17087277"
-for _c in reversed(C.ERFC[1:-1]):
-    ERFC_SQL = f"({_c} + t * {ERFC_SQL})"
-FDR = f"""p AS (SELECT o_orderkey, z, CASE WHEN z <= 0 THEN 0.5 WHEN z >= 8 THEN 0.0 ELSE greatest(0.0, least(0.5, 0.5 * t * exp(-z / 1.4142135623730951 * (z / 1.4142135623730951) + -1.26551223 + t * {ERFC_SQL}))) END AS p
-FROM (SELECT o_orderkey, o_totalprice / 80000.0 AS z, 1 / (1 + 0.5 * (o_totalprice / 80000.0 / 1.4142135623730951)) AS t FROM orders)),
+FDR = f"""p AS (SELECT o_orderkey, z, {tail("z")} AS p FROM (SELECT o_orderkey, o_totalprice / 80000.0 AS z, 1 / (1 + 0.5 * (o_totalprice / 80000.0 / 1.4142135623730951)) AS t FROM orders)),
 r AS (SELECT *, row_number() OVER (ORDER BY p, o_orderkey) AS rk, count(*) OVER () AS n FROM p),
 q AS (SELECT *, min(least(1.0, p * n / rk)) OVER (ORDER BY rk ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS fdr_q FROM r)"""
 
@@ -345,8 +360,8 @@ def reference_choice(spark, d):
 @query("WITH m AS (SELECT min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders) SELECT CAST(least(20, floor((o_totalprice - lo) / (hi - lo) * 20) + 1) AS BIGINT) AS bin, count(*) AS n FROM orders, m GROUP BY 1")
 def hist_bins(spark, d):
     o = table(spark, d, "orders").select("o_totalprice")
-    m = o.agg(F.min("o_totalprice").alias("lo"), F.max("o_totalprice").alias("hi")).first()
-    place = F.least(F.lit(20), F.floor((F.col("o_totalprice") - m["lo"]) / (m["hi"] - m["lo"]) * 20) + 1)
+    low, high = o.agg(F.min("o_totalprice")).scalar(), o.agg(F.max("o_totalprice")).scalar()
+    place = F.least(F.lit(20), F.floor((F.col("o_totalprice") - low) / (high - low) * 20) + 1)
     return o.groupBy(place.cast("long").alias("bin")).agg(F.count("*").alias("n"))
 
 
@@ -388,7 +403,11 @@ def bearing(spark, d):
     return n.join(o, "n_regionkey").filter("n_nationkey < other").select("n_nationkey", "other", C.rounded(C.bearing(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")), 6).alias("bearing"))
 
 
-@query(f"WITH RECURSIVE e AS (SELECT event_id, event_type, row_number() OVER (ORDER BY event_id) AS k FROM events WHERE event_id < 400), t AS (SELECT 1::BIGINT AS k, CASE WHEN event_type = 'error' THEN 0.8 ELSE 0.4 END::DOUBLE AS delay, CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS clean FROM e WHERE k = 1 UNION ALL SELECT e.k, CASE WHEN event_type = 'error' THEN least(30.0, t.delay * 2) WHEN t.clean + 1 >= 25 THEN greatest(0.4, t.delay / 2) ELSE t.delay END::DOUBLE, CASE WHEN event_type = 'error' OR t.clean + 1 >= 25 THEN 0 ELSE t.clean + 1 END FROM t JOIN e ON e.k = t.k + 1) SELECT {rnd('delay', 6)} AS delay, CAST(clean AS BIGINT) AS clean FROM t ORDER BY k DESC LIMIT 1")
+@query(f"""WITH e AS (SELECT list(struct_pack(delay := 0.0::DOUBLE, clean := 0::BIGINT, bad := event_type = 'error') ORDER BY event_id, event_type NULLS FIRST) AS l FROM events),
+f AS (SELECT list_reduce(list_prepend(struct_pack(delay := 0.4::DOUBLE, clean := 0::BIGINT, bad := false), l), lambda s, e: struct_pack(
+  delay := CASE WHEN coalesce(e.bad, false) THEN least(30.0, s.delay * 2) WHEN s.clean + 1 >= 25 THEN greatest(0.4, s.delay / 2) ELSE s.delay END::DOUBLE,
+  clean := CASE WHEN coalesce(e.bad, false) OR s.clean + 1 >= 25 THEN 0 ELSE s.clean + 1 END::BIGINT, bad := e.bad)) AS s FROM e)
+SELECT {rnd('s.delay', 6)} AS delay, s.clean AS clean FROM f""")
 def throttle(spark, d):
     """State of the request throttle after a log of outcomes: doubled on an error, halved after 25 clean ones."""
     s = T.final_state(table(spark, d, "events").select("event_id", "event_type"))

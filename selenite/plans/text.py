@@ -10,7 +10,7 @@ from ..functions import phrases as P
 from ..sources.files import pds3_fields
 from ..sources.tables import table
 from ..streaming import events as E
-from .relational import ADJUDICATED, judged, rnd
+from .relational import ADJUDICATED, TIES, judged, rnd
 
 Q: dict = {}
 O: dict[str, str] = {}
@@ -56,19 +56,25 @@ def footprints(spark, d):
     return n.select("p_partkey", f["kind"].alias("kind"), f["instrument"].alias("instrument"), f["orbit"].alias("orbit"))
 
 
-FEATURES = f"""WITH {ADJUDICATED}, g AS (SELECT CAST(l_suppkey AS BIGINT) AS feature, max(score) AS max_score, max(contrast) AS max_contrast, max(area_px) AS area, list_sort(list(DISTINCT verdict)) AS verdicts,
-list_sort(list(DISTINCT regexp_extract(image, '_(MIRB|MRGB|RED)[.]', 1))) AS bands, list_sort(list(DISTINCT polarity)) AS polarities, max(aspect) AS aspect, max(compactness) AS compactness, max(polarity) AS polarity, max(verdict) AS verdict,
-CASE WHEN l_suppkey % 2 = 0 THEN 'Mars' ELSE 'Moon' END AS body FROM judged WHERE l_linenumber = 3 AND w < 20 GROUP BY l_suppkey),
-s AS (SELECT *, CASE WHEN aspect <= 1.8 THEN 2 ELSE 0 END + CASE WHEN compactness >= 0.7 THEN 2 ELSE 0 END AS s1, CASE WHEN aspect <= 3 THEN 2 ELSE 0 END + CASE WHEN compactness >= 0.5 THEN 2 ELSE 0 END AS s2, CASE WHEN aspect <= 8 THEN 2 ELSE 0 END + 1 AS s3, CASE WHEN aspect >= 2.5 THEN 2 ELSE 0 END AS s4 FROM g),
-f AS (SELECT *, CASE greatest(s1, s2, s3, s4) WHEN s1 THEN 'crater' WHEN s2 THEN 'boulder' WHEN s3 THEN 'albedo' ELSE 'linear' END AS category FROM s)"""
+FEATURES = f"""WITH {ADJUDICATED}, r AS (SELECT l_suppkey * 200 + l_partkey % 200 AS feature, max(score) AS max_score, max(contrast) AS max_contrast, CAST(sum(area_px) AS BIGINT) AS area, list_sort(list(DISTINCT verdict)) AS verdicts,
+list_sort(list(DISTINCT regexp_extract(image, '_(MIRB|MRGB|RED)[.]', 1))) AS bands, list_sort(list(DISTINCT polarity)) AS polarities, list_sort(list_distinct(flatten(list(flags)))) AS flags,
+arg_min(struct_pack(aspect := aspect, compactness := compactness, polarity := polarity, verdict := verdict), struct_pack(s := -score, i := image, {', '.join(f'{c} := {c}' for c in TIES)})) AS best,
+CASE WHEN feature % 2 = 0 THEN 'Mars' ELSE 'Moon' END AS body FROM judged GROUP BY l_suppkey * 200 + l_partkey % 200),
+g AS (SELECT *, best.aspect AS aspect, coalesce(best.compactness, 0) AS compactness, best.polarity AS polarity, best.verdict AS verdict, array_to_string(flags, ' ') AS words FROM r),
+s AS (SELECT *, CASE WHEN aspect <= 1.8 THEN 2 ELSE 0 END + CASE WHEN compactness >= 0.7 THEN 2 ELSE 0 END AS s1, CASE WHEN aspect <= 3 THEN 2 ELSE 0 END + CASE WHEN compactness >= 0.5 THEN 2 ELSE 0 END AS s2, CASE WHEN aspect <= 8 THEN 2 ELSE 0 END + 1 AS s3, CASE WHEN aspect >= 2.5 THEN 2 ELSE 0 END AS s4,
+CASE WHEN contains(words, 'streak') THEN 3 ELSE 0 END AS f4, CASE WHEN contains(words, 'pixel') THEN 6 ELSE 0 END + CASE WHEN contains(words, 'band') THEN 3 ELSE 0 END + CASE WHEN contains(words, 'compression') THEN 6 ELSE 0 END AS f5, CASE WHEN contains(words, 'blob') THEN 3 ELSE 0 END AS f6 FROM g),
+f AS (SELECT *, CASE greatest(s1, s2, s3, s4) WHEN s1 THEN 'crater' WHEN s2 THEN 'boulder' WHEN s3 THEN 'albedo' ELSE 'linear' END AS category,
+CASE greatest(s1, s2, s3, s4 + f4, f5, f6) WHEN s1 THEN 'crater' WHEN s2 THEN 'boulder' WHEN s3 THEN 'albedo' WHEN s4 + f4 THEN 'linear' WHEN f5 THEN 'artifact' ELSE 'irregular' END AS flagged FROM s)"""
 SHOWN = "feature, body, category, max_score, array_to_string(verdicts, ',') AS verdicts, array_to_string(bands, ',') AS bands"
 
 
 def features(spark, d):
-    j = judged(spark, d)
+    """Judged candidates in small groups, all of them; shape, polarity and verdict are those of the best member."""
     seen = lambda c: F.array_sort(F.collect_set(c))
-    g = j.groupBy(F.col("l_suppkey").alias("feature")).agg(F.max("score").alias("max_score"), F.max("contrast").alias("max_contrast"), F.max("area_px").alias("area"), seen("verdict").alias("verdicts"), seen(C.band(F.col("image"))).alias("bands"), seen("polarity").alias("polarities"), F.max("aspect").alias("aspect"), F.max("compactness").alias("compactness"), F.max("polarity").alias("polarity"), F.max("verdict").alias("verdict"))
-    return g.withColumn("body", F.when(F.col("feature") % 2 == 0, "Mars").otherwise("Moon"))
+    best = F.min_by(F.struct("aspect", "compactness", "polarity", "verdict"), F.struct((-F.col("score")).alias("s"), "image", *TIES))
+    flags = F.array_sort(F.array_distinct(F.flatten(F.collect_set("flags"))))
+    g = judged(spark, d).groupBy((F.col("l_suppkey") * 200 + F.col("l_partkey") % 200).alias("feature")).agg(F.max("score").alias("max_score"), F.max("contrast").alias("max_contrast"), F.sum("area_px").alias("area"), seen("verdict").alias("verdicts"), seen(C.band(F.col("image"))).alias("bands"), seen("polarity").alias("polarities"), flags.alias("flags"), best.alias("best"))
+    return g.select("*", "best.*").drop("best").withColumns({"body": F.when(F.col("feature") % 2 == 0, "Mars").otherwise("Moon"), "base": F.col("feature").cast("string")})
 
 
 #: Phrases and the same conditions in SQL, written by hand.
@@ -97,15 +103,42 @@ def category_histogram(spark, d):
     return features(spark, d).withColumn("category", P.category()).groupBy("body", "category").agg(F.count("*").alias("n"), F.max("max_score").alias("best"))
 
 
-@query(f"""{FEATURES}, r AS (SELECT 'top lead' AS kind, CAST(arg_max(feature, struct_pack(a := max_score, b := -feature)) AS VARCHAR) AS subject, CAST(max(max_score) AS DOUBLE) AS value, 0 AS priority FROM f WHERE verdict = 'CONFIRMED-LEAD' HAVING count(*) > 0
+#: What stands out, by the column that holds the category.
+INSIGHTS = """, i AS (SELECT 'top lead' AS kind, CAST(arg_max(feature, struct_pack(a := max_score, b := -feature)) AS VARCHAR) AS subject, CAST(max(max_score) AS DOUBLE) AS value, 0 AS priority FROM f WHERE verdict = 'CONFIRMED-LEAD' HAVING count(*) > 0
 UNION ALL SELECT 'several bands', CAST(count(*) AS VARCHAR), CAST(count(*) AS DOUBLE), 1 FROM f WHERE len(bands) >= 2 HAVING count(*) > 0
+UNION ALL SELECT 'artifact rate', CAST(count(*) FILTER (WHERE {0} = 'artifact') AS VARCHAR), count(*) FILTER (WHERE {0} = 'artifact') * 100.0 / count(*), 3 FROM f HAVING count(*) FILTER (WHERE {0} = 'artifact') > 0 AND count(*) > 10
 UNION ALL SELECT 'busy body', body, sum(max_score) FILTER (WHERE rn <= 3) / 3, 1 FROM (SELECT *, row_number() OVER (PARTITION BY body ORDER BY max_score DESC, feature) AS rn FROM f) GROUP BY body HAVING count(*) >= 5 AND sum(max_score) FILTER (WHERE rn <= 3) / 3 > 50
-UNION ALL SELECT 'rare category', category, CAST(count(*) AS DOUBLE), 2 FROM f GROUP BY category HAVING count(*) <= 2) SELECT kind, subject, {rnd('value', 4)} AS value, priority FROM r""")
+UNION ALL SELECT 'rare category', {0}, CAST(count(*) AS DOUBLE), 2 FROM f GROUP BY {0} HAVING count(*) <= 2) SELECT kind, subject, """
+
+
+@query(f"{FEATURES}{INSIGHTS.format('category')}{rnd('value', 4)} AS value, priority FROM i")
 def insights(spark, d):
     out = P.insights(features(spark, d).withColumn("category", P.category()))
     return out.select("kind", "subject", C.rounded(F.col("value"), 4).alias("value"), "priority")
 
 
+@query(f"{FEATURES}{INSIGHTS.format('flagged')}{rnd('value', 4)} AS value, priority FROM i")
+def insights_by_flags(spark, d):
+    """The same with categories that the words of flags settle too."""
+    out = P.insights(features(spark, d).withColumn("category", P.category(use_flags=True)))
+    return out.select("kind", "subject", C.rounded(F.col("value"), 4).alias("value"), "priority")
+
+
+@query(f"""{FEATURES} SELECT feature, flagged AS category, CASE flagged WHEN 'crater' THEN 'Circular or bowl-shaped depression, likely impact origin' WHEN 'boulder' THEN 'Compact raised feature, likely rock or boulder'
+WHEN 'albedo' THEN 'Area of different brightness, likely albedo variation' WHEN 'linear' THEN 'Elongated feature, linear or arc-shaped' WHEN 'artifact' THEN 'Known sensor or processing artifact' ELSE 'Amorphous or complex shape without clear class' END AS category_desc, true AS ready FROM f""")
+def enriched_features(spark, d):
+    return P.enriched(features(spark, d), use_flags=True).select("feature", "category", "category_desc", "ready")
+
+
+@query(f"""{FEATURES}, m AS (SELECT * FROM f WHERE body = 'Mars' AND list_contains(polarities, 'bright')), c AS (SELECT category AS k, count(*) AS n FROM m GROUP BY 1), b AS (SELECT body AS k, count(*) AS n FROM m GROUP BY 1),
+t AS (SELECT * FROM m ORDER BY max_score DESC, CAST(feature AS VARCHAR) LIMIT 3)
+SELECT count(*) AS total, count(*) FILTER (WHERE verdict = 'CONFIRMED-LEAD') AS confirmed, count(*) FILTER (WHERE verdict = 'PROMISING') AS promising, (SELECT string_agg(k || ': ' || n, ', ' ORDER BY n DESC, k) FROM c) AS categories,
+(SELECT string_agg(k || ': ' || n, ', ' ORDER BY k) FROM b) AS bodies, (SELECT string_agg(feature || ' ' || printf('%.0f', max_score) || ' ' || category, '; ' ORDER BY max_score DESC, CAST(feature AS VARCHAR)) FROM t) AS top FROM m""")
+def phrase_summary(spark, d):
+    """The whole way from a phrase to its summary."""
+    return P.answered(features(spark, d), "bright features on Mars")["summary"]
+
+
 @query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n, sum(CAST(floor(value * 100 + 0.5) AS BIGINT))::BIGINT AS cents FROM events GROUP BY 1, 2")
 def tumbling_window(spark, d):
     """An extension: hourly counts, the same plan as the stream's."""

@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Frame that derived boxes lie in.
 WIDE = HIGH = 1000
-#: Boxes with measurements, one row per line of an order; plain SQL that other engines read too.
+#: Boxes with measurements, some of them unknown, one row per line of an order; plain SQL that other engines read too.
 BOXES = """
 SELECT concat('ESP_0', CAST(l_suppkey % 90 + 10 AS STRING), '00_', CAST(1000 + l_suppkey % 7 AS STRING), '_', CASE l_linenumber % 3 WHEN 0 THEN 'RED' WHEN 1 THEN 'MIRB' ELSE 'MRGB' END, '.browse.jpg') AS image,
   l_orderkey, l_partkey, l_suppkey, l_linenumber,
   CAST(l_partkey * 7 % 960 AS INT) AS x, CAST(l_orderkey * 13 % 970 AS INT) AS y,
   CAST(l_quantity AS INT) AS w, CAST(l_linenumber * 6 AS INT) AS h,
   l_extendedprice / 20000.0 AS contrast, l_discount * 5 AS fill, l_tax * 8 AS sat_frac, l_tax * 12 AS dark_frac,
-  l_discount * 30 AS column_smear, l_quantity <= 6 AS smear_narrow, CAST(l_linenumber % 4 AS INT) AS matches,
-  CAST(l_suppkey % 3 AS INT) AS agrees, CAST(l_partkey % 4 AS INT) AS xv_tested, CAST(l_partkey % 3 AS INT) AS xv_collapse,
-  l_discount * 10 AS persistence, l_tax * 12 AS compactness, l_quantity / 2.0 AS bg_std,
+  l_discount * 30 AS column_smear, l_quantity <= 6 AS smear_narrow, CASE WHEN l_partkey % 31 <> 0 THEN CAST(l_linenumber % 4 AS INT) END AS matches,
+  CASE WHEN l_partkey % 23 <> 0 THEN CAST(l_suppkey % 3 AS INT) END AS agrees, CAST(l_partkey % 4 AS INT) AS xv_tested, CAST(l_partkey % 3 AS INT) AS xv_collapse,
+  CASE WHEN l_partkey % 19 <> 0 THEN l_discount * 10 END AS persistence, CASE WHEN l_partkey % 37 <> 0 THEN l_tax * 12 END AS compactness, l_quantity / 2.0 AS bg_std,
   CASE WHEN l_suppkey % 17 = 0 THEN 'boxes' ELSE '' END AS dtm_known_artifacts,
   CASE WHEN l_linenumber % 2 = 0 THEN l_tax * 12 END AS shadow_alignment, l_linenumber = 2 AS shadow_expected, l_extendedprice / 20.0 AS size_m,
   CASE WHEN l_returnflag = 'A' THEN 'dark' ELSE 'bright' END AS polarity
