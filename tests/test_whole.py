@@ -55,7 +55,7 @@ def test_comparisons_have_rows(name):
     con = duckdb.connect()
     for t in TABLES:
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.01/{t}.parquet'")
-    assert con.sql(registry.ORACLES[name]).fetchone() is not None
+    assert con.sql(registry.ORACLES[name]).limit(1).fetchall()
 
 
 def plain_greedy(found):
