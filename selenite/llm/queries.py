@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, mixing, simhash, substrings, suffixes, topk, toxicity, urls
+from . import chat, decontam, extract_html, filters, langid, mixing, simhash, substrings, suffixes, topk, toxicity, urls
 from .common import table
 
 
@@ -71,7 +71,18 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_chat, op3_urls, op4_substrings, op5_toxicity, op6_simhash, op7_langid, op8_suffixes, op9_decontaminate, op10_mix)}
+def op11_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every step of the 120 orders of five filters in every part. Null text: empty; null lang: the part ""; null doc_id: no copy of
+    any; a row repeated under its own id isn't a copy of itself; several labels of one id count as the highest."""
+    return filters.audit(filters.flagged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+def op12_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page; null html: empty. Repeated rows stay repeated."""
+    return extract_html.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_topk, op2_chat, op3_urls, op4_substrings, op5_toxicity, op6_simhash, op7_langid, op8_suffixes, op9_decontaminate, op10_mix, op11_filters, op12_extract)}
 #: A-Z to a-z alone.
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLES: dict[str, str] = {
@@ -113,4 +124,18 @@ cov AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(ra
 it AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
 SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM w LEFT JOIN cov USING (doc_id) LEFT JOIN it USING (doc_id)""",
+    "op11_filters": r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+least_id AS (SELECT text, min(doc_id) AS first FROM d GROUP BY text),
+lab AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, len(w) < 100 AS a, 100 * len(list_distinct(w)) < 80 * len(w) AS b, 100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * len(text) AS c,
+regexp_matches(text, '[#$%&*|]') AS d, coalesce(first < doc_id, false) AS e, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS bad FROM d JOIN least_id USING (text) LEFT JOIN lab USING (doc_id)),
+n AS (SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS failed, good, bad, count(*) AS n FROM f GROUP BY ALL),
+o(filter_order) AS (SELECT '' UNION ALL SELECT filter_order || k FROM o, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) l(k) WHERE NOT contains(filter_order, k)),
+st AS (SELECT filter_order, step, 1 << (ascii(filter_order[step]) - 65) AS bit, CAST(list_sum(list_transform(range(1, step + 1), lambda i: CASE WHEN i < step THEN 1 << (ascii(filter_order[i]) - 65) ELSE 0 END)) AS INT) AS past FROM o, range(1, 6) s(step) WHERE len(filter_order) = 5),
+r AS (SELECT part, filter_order, CAST(step AS INT) AS step, any_value(bit) AS bit, sum(n) FILTER (WHERE failed & (past | bit) = 0) AS kept, sum(n) FILTER (WHERE failed & past = 0 AND failed & bit > 0) AS removed,
+sum(n) FILTER (WHERE failed & past > 0 AND failed & bit > 0) AS redundant, sum(n) FILTER (WHERE failed = bit) AS unique_fails, sum(n) FILTER (WHERE failed & past = 0 AND failed & bit > 0 AND good) AS good_lost,
+sum(n) FILTER (WHERE failed & past = 0 AND failed & bit > 0 AND bad) AS toxic_lost FROM st, n GROUP BY part, filter_order, step)
+SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost, CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM r""",
 }

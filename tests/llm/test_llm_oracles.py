@@ -11,7 +11,7 @@ DATA = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "benchmark", "conversations"):
+    for t in ("documents", "embeddings", "benchmark", "conversations", "labels"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     want = con.sql(queries.ORACLES[name]).df()
     got = queries.QUERIES[name](spark, DATA).toPandas()
