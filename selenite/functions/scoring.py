@@ -27,9 +27,11 @@ ADVICE = {
 def with_geometry(df: DataFrame, wide: Column, high: Column) -> DataFrame:
     """Adds area_px, aspect, on_grid8, near_edge, in_corner, dark_band to boxes x, y, w, h (with dark_frac) in a frame."""
     x, y, w, h = (F.col(c) for c in "xywh")
-    near = lambda v: F.least(F.pmod(v, F.lit(8)), 8 - F.pmod(v, F.lit(8))) <= 2
-    cx, cy = x + w / 2, y + h / 2
-    corner = F.least(*(F.sqrt((cx - px) * (cx - px) + (cy - py) * (cy - py)) for px in (F.lit(0.0), wide) for py in (F.lit(0.0), high)))
+    near = lambda v: F.pmod(v + 2, F.lit(8)) <= 4
+    # from the nearest corner: on each axis the nearer side
+    side = lambda v, size: F.least(v, size - v)
+    dx, dy = side(x + w * 0.5, wide), side(y + h * 0.5, high)
+    corner = F.sqrt(dx * dx + dy * dy)
     return df.withColumns(
         {
             "area_px": w.cast("long") * h,
@@ -60,65 +62,79 @@ def flag_rules() -> dict[str, Column]:
     }
 
 
-def flags(rules: dict[str, Column] | None = None) -> Column:
-    """Sorted array of the flags that hold."""
-    rules = rules or flag_rules()
-    return F.array_compact(F.array(*(F.when(rules[name], name) for name in sorted(rules))))
+def bits(names) -> int:
+    """The bit mask of some flags; bit k is the k-th name in order."""
+    return sum(1 << k for k, name in enumerate(sorted(flag_rules())) if name in names)
+
+
+def flag_bits() -> Column:
+    """All flags that hold as one whole number, so that what follows tests bits and the conditions stand in a plan once.
 
+    Folding an array also ends a generated method: with geometry, flags, scores and verdicts in one, the method passed the
+    8000 bytes from which on the JVM only interprets it.
+    """
+    rules = flag_rules()
+    held = F.array(*(F.when(rules[name], 1 << k).otherwise(0) for k, name in enumerate(sorted(rules))))
+    return F.aggregate(held, F.lit(0), lambda bits, bit: bits.bitwiseOR(bit))
 
-def held() -> dict[str, Column]:
-    """Whether each flag is in the column flags."""
-    return {name: F.array_contains("flags", name) for name in flag_rules()}
 
+def has(names) -> Column:
+    """Whether any of the flags holds."""
+    return F.col("flag_bits").bitwiseAND(F.lit(bits(names))) != 0
 
-def _any(rules: dict[str, Column], names) -> Column:
-    return reduce(Column.__or__, (F.coalesce(rules[n], F.lit(False)) for n in names))
+
+def flags() -> Column:
+    """Sorted array of the flags that hold."""
+    return F.array_compact(F.array(*(F.when(has([name]), name) for name in sorted(flag_rules()))))
 
 
-def interest(rules: dict[str, Column] | None = None) -> Column:
-    """0 to 100; a null measurement earns nothing. rules: conditions of the flags, by default those in the column flags."""
-    c, rules = F.col, rules or held()
+def interest() -> Column:
+    """0 to 100; a null measurement earns nothing."""
+    c = F.col
     zero = F.lit(0.0)
     part = lambda v, weight: F.least(F.coalesce(v, zero), F.lit(1.0)) * weight
     gain = [
-        part(c("contrast") / 4.0, 35.0),
+        part(c("contrast") * 0.25, 35.0),
         part(c("area_px") / 30000.0, 15.0),
         F.coalesce(F.when(c("aspect").isNotNull(), (1.0 - F.least((c("aspect") - 1) / 9.0, F.lit(1.0))) * 15.0), zero),
         F.when(~c("near_edge"), 10.0).otherwise(0.0),
         F.when(c("sat_frac") < 0.3, 10.0).otherwise(0.0),
         part(c("matches") / 3.0, 15.0),
     ]
-    cost = {"streak": 30.0, "small_blob": 15.0}
-    loss = reduce(Column.__add__, (F.when(rule, cost.get(name, 20.0)).otherwise(0.0) for name, rule in sorted(rules.items())))
+    # each flag costs 20; a streak 10 more, a small blob 5 less
+    loss = F.bit_count("flag_bits") * 20.0 + F.when(has(["streak"]), 10.0).otherwise(0.0) - F.when(has(["small_blob"]), 5.0).otherwise(0.0)
     return rounded(F.greatest(zero, F.least(F.lit(100.0), reduce(Column.__add__, gain) - loss)), 1)
 
 
-def evidence_class(rules: dict[str, Column] | None = None) -> Column:
-    rules = rules or held()
-    return F.when(_any(rules, [n for n in rules if n != "small_blob"]), 1).when(F.col("matches") >= 2, 3).otherwise(2)
+def not_small() -> Column:
+    """Whether any flag but small_blob holds."""
+    return has([n for n in flag_rules() if n != "small_blob"])
 
 
-def adjudicated(rules: dict[str, Column] | None = None) -> Column:
+def evidence_class() -> Column:
+    return F.when(not_small(), 1).when(F.col("matches") >= 2, 3).otherwise(2)
+
+
+def adjudicated() -> Column:
     """Score from interest, agreement, persistence, compactness, ground, edge, flags, shadow and size; null signals count nothing."""
-    c, rules = F.col, rules or held()
+    c = F.col
     step = lambda *cases: reduce(lambda w, k: w.when(*k), cases[1:], F.when(*cases[0])).otherwise(0.0)
     terms = [
-        F.least(F.coalesce(c("agrees"), F.lit(0)), F.lit(2)) * 12.0,
-        step((c("agrees") >= 2, 6.0)),
+        step((c("agrees") >= 2, 30.0), (c("agrees") >= 1, 12.0)),  # 12 each for two of them, 6 more for the second
         step((c("persistence") >= 0.65, 6.0), (c("persistence") < 0.35, -6.0)),
         step((c("compactness") >= 0.7, 4.0), (c("compactness") < 0.2, -4.0)),
         step((c("bg_std") < 8, 8.0), (c("bg_std") < 14, 3.0)),
         step((c("near_edge"), -5.0)),
-        step((_any(rules, [n for n in rules if n != "small_blob"]), -8.0)),
+        step((not_small(), -8.0)),
         step((c("shadow_alignment") >= 0.75, 4.0), (c("shadow_alignment") < 0.35, -4.0)),
         step((c("shadow_expected") & (c("size_m") > 2000.0), -6.0)),
     ]
     return rounded(F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.coalesce(c("interest"), F.lit(0.0)) + reduce(Column.__add__, terms))), 1)
 
 
-def verdict(contrast_bar: float = 1.5, rules: dict[str, Column] | None = None) -> Column:
-    c, rules = F.col, rules or held()
-    bad = _any(rules, DISQUALIFYING)
+def verdict(contrast_bar: float = 1.5) -> Column:
+    c = F.col
+    bad = has(DISQUALIFYING)
     discrete = (c("compactness") >= 0.5) & (c("aspect") < 3)
     lead = discrete & ~bad & c("area_px").between(200, 50000) & (c("contrast").isNull() | (c("contrast") >= contrast_bar))
     return (
@@ -141,21 +157,12 @@ def advice(verdict: Column) -> Column:
     return F.element_at(F.create_map(*(F.lit(x) for kv in ADVICE.items() for x in kv)), verdict)
 
 
-def _rules(df: DataFrame) -> dict[str, Column] | None:
-    """The flags' conditions where evaluate() has left them as columns: plain booleans, of which nothing has to be unpacked."""
-    names = list(flag_rules())
-    return {n: F.col(f"flag_{n}") for n in names} if all(f"flag_{n}" in df.columns for n in names) else None
-
-
 def evaluate(boxes: DataFrame, wide: float, high: float) -> DataFrame:
-    """Geometry, flags (each as a boolean flag_ column, and as an array), class and interest of measured boxes."""
-    df = with_geometry(boxes, F.lit(float(wide)), F.lit(float(high)))
-    df = df.withColumns({f"flag_{name}": rule for name, rule in flag_rules().items()})
-    rules = _rules(df)
-    return df.withColumns({"flags": flags(rules), "evidence_class": evidence_class(rules), "interest": interest(rules)})
+    """Geometry, flags (as bits and as an array), class and interest of measured boxes."""
+    df = with_geometry(boxes, F.lit(float(wide)), F.lit(float(high))).withColumn("flag_bits", flag_bits())
+    return df.withColumns({"flags": flags(), "evidence_class": evidence_class(), "interest": interest()})
 
 
 def adjudicate(evaluated: DataFrame, contrast_bar: float = 1.5) -> DataFrame:
     """Score, verdict and confidence of evaluated boxes with their evidence."""
-    rules = _rules(evaluated)
-    return evaluated.withColumn("score", adjudicated(rules)).withColumns({"verdict": verdict(contrast_bar, rules), "confidence": confidence()})
+    return evaluated.withColumn("score", adjudicated()).withColumns({"verdict": verdict(contrast_bar), "confidence": confidence()})

@@ -12,6 +12,7 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",  # the JVM only interprets larger methods: such a stage is split instead
     "spark.ui.enabled": "false",
 }
 

@@ -73,7 +73,7 @@ def test_verdicts(spark):
     base = {"score": 50.0, "evidence_class": 2, "agrees": 0, "compactness": 0.6, "aspect": 1.5, "area_px": 900, "xv_collapse": 0, "xv_tested": 0, "contrast": 2.0, "dtm_known_artifacts": ""}
     cases = [({}, [], "PROMISING"), ({"evidence_class": 1}, [], "EXPLAINED-ARTIFACT"), ({"agrees": 1}, [], "CONFIRMED-LEAD"), ({"agrees": 1, "contrast": 1.0}, [], "TERRAIN"), ({"agrees": 1}, ["streak"], "TERRAIN"), ({"xv_tested": 2, "xv_collapse": 2, "agrees": 1}, [], "BAND-DEPENDENT"), ({"dtm_known_artifacts": "boxes"}, [], "DTM-ARTIFACT-RISK"), ({"score": 30.0}, [], "WEAK"), ({"score": 3.0}, [], "NOISE")]
     for change, flags, want in cases:
-        cols = [F.lit(v).alias(k) for k, v in (base | change).items()] + [F.array(*map(F.lit, flags)).cast("array<string>").alias("flags")]
+        cols = [F.lit(v).alias(k) for k, v in (base | change).items()] + [F.lit(S.bits(flags)).alias("flag_bits")]
         assert spark.range(1).select(*cols).select(S.verdict().alias("v")).first()["v"] == want, (change, flags)
 
 
