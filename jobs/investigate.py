@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from selenite.functions import columns as C
@@ -90,18 +90,18 @@ def judged(regions: DataFrame, wide: float, high: float, contrast_bar: float) ->
 def run(spark: SparkSession, events: str, out: str, config: str | dict | None = None) -> DataFrame:
     """Writes regions and verdicts and returns the verdicts as they were written."""
     conf = DEFAULTS | config if isinstance(config, dict) else configured(spark, DEFAULTS, config)
-    seen = Observation("cells")
     k = conf["scale"]
-    cells = cells_of(spark.read.parquet(events), conf["width"], conf["lines"])
+    values = spark.read.parquet(events)
+    LOG.info("reading %d values of %s", values.count(), events)  # from the files' footers
+    cells = cells_of(values, conf["width"], conf["lines"])
     boxes = detected(cells, conf)
-    regions = measured(cells.observe(seen, F.count(F.lit(1)).alias("n")), boxes, conf["margin"])
+    regions = measured(cells, boxes, conf["margin"])
     regions = regions.select(
         F.floor(F.col("image") / conf["renderings"]).alias("scene"), "image", "label", *[(F.col(c) * k).alias(c) for c in "xywh"], C.rounded(F.col("n") / (F.col("w") * F.col("h")), 4).alias("fill"), "contrast", "polarity", "sat_frac", "dark_frac", "bg_std"
     )
     regions = agreeing(regions, conf["reach"])
     regions.write.mode("overwrite").partitionBy("scene").parquet(f"{out}/regions")
     regions = spark.read.schema(regions.schema).parquet(f"{out}/regions")  # a table without rows has no file to ask
-    LOG.info("read %d cells of %s", seen.get["n"], events)
     verdicts = judged(regions, conf["width"] * k, conf["lines"] * k, conf["contrast_bar"])
     verdicts = verdicts.select("scene", "image", "label", *"xywh", "polarity", "contrast", "fill", "agrees", F.array_join("flags", ",").alias("flags"), "interest", "score", "confidence", "advice", "fdr_q", (F.col("fdr_q") <= conf["level"]).alias("survives"), "verdict")
     verdicts.write.mode("overwrite").partitionBy("verdict").parquet(f"{out}/verdicts")
