@@ -24,11 +24,9 @@ from selenite.session import cut
 from .common import command, configured
 
 LOG = logging.getLogger("investigate")
-#: box, z: detection against the mean of box x box cells; margin: cells around a box that are its ground; reach: pixels within which
-#: boxes of two renderings are one; renderings: images of a scene; level: q-values up to it survive.
-DEFAULTS = {"width": 100, "lines": 100, "scale": 10, "renderings": 4, "box": 9, "z": 1.5, "min_cells": 3, "margin": 5, "reach": 40, "contrast_bar": 1.5, "level": 0.05}
-#: Side of the squares that cells and boxes meet in.
-TILE = 16
+#: box, z: detection against the mean of box x box cells; margin: cells around a box that are its ground; renderings: images of a
+#: scene, which show the same ground; level: q-values up to it survive.
+DEFAULTS = {"width": 100, "lines": 100, "scale": 10, "renderings": 4, "box": 9, "z": 1.5, "min_cells": 3, "margin": 5, "contrast_bar": 1.5, "level": 0.05}
 
 
 def cells_of(events: DataFrame, width: int, lines: int) -> DataFrame:
@@ -49,36 +47,6 @@ def detected(cells: DataFrame, conf: dict) -> DataFrame:
     return spans.filter(F.col("n") >= conf["min_cells"])
 
 
-def measured(cells: DataFrame, boxes: DataFrame, margin: int) -> DataFrame:
-    """Boxes with contrast, polarity, sat_frac, dark_frac and bg_std, from their cells and those within ``margin`` of them.
-
-    Cells and boxes meet by image and tile: a cell has one tile, a box goes to every tile that its surroundings touch.
-    """
-    tile = lambda c: F.floor(c / TILE).cast("int")
-    spread = lambda p, n: F.explode(F.sequence(tile(F.col(p) - margin), tile(F.col(p) + F.col(n) + (margin - 1))))
-    dealt = boxes.withColumn("ty", spread("y", "h")).withColumn("tx", spread("x", "w")).select("image", "label", F.col("x").alias("bx"), F.col("y").alias("by"), "w", "h", "ty", "tx")
-    met = cells.withColumns({"ty": tile(F.col("y")), "tx": tile(F.col("x"))}).join(dealt, ["image", "ty", "tx"])
-    within = lambda m: (F.col("x") >= F.col("bx") - m) & (F.col("x") < F.col("bx") + F.col("w") + m) & (F.col("y") >= F.col("by") - m) & (F.col("y") < F.col("by") + F.col("h") + m)
-    inside, around = F.when(within(0), F.col("v")), F.when(~within(0), F.col("v"))
-    sums = met.filter(within(margin)).groupBy("image", "label").agg(
-        C.rounded(F.coalesce(F.abs(F.avg(inside) - F.avg(around)) / (F.stddev_pop(around) + 1e-6), F.lit(0.0)), 4).alias("contrast"),
-        F.when(F.avg(inside) >= F.coalesce(F.avg(around), F.lit(0.0)), "bright").otherwise("dark").alias("polarity"),
-        C.rounded(F.avg((inside >= 253).cast("int")), 4).alias("sat_frac"),
-        C.rounded(F.avg((inside <= 2).cast("int")), 4).alias("dark_frac"),
-        C.rounded(F.coalesce(F.stddev_pop(around), F.lit(0.0)), 4).alias("bg_std"),
-    )
-    return boxes.join(sums, ["image", "label"])
-
-
-def agreeing(boxes: DataFrame, reach: float) -> DataFrame:
-    """Boxes with agrees: other images of the scene that have a box within ``reach`` on both axes."""
-    other = boxes.select(*[F.col(c).alias("o_" + c) for c in ("scene", "image", "x", "y")])
-    near = lambda c: F.abs(F.col(c) - F.col("o_" + c)) <= reach
-    pairs = R.nearby(boxes.select("scene", "image", "label", "x", "y"), other, ["scene"], (reach, reach), "inner", (F.col("image") != F.col("o_image")) & near("x") & near("y"))
-    n = pairs.groupBy("image", "label").agg(F.countDistinct("o_image").cast("int").alias("agrees"))
-    return boxes.join(n, ["image", "label"], "left").withColumn("agrees", F.coalesce("agrees", F.lit(0)))
-
-
 def judged(regions: DataFrame, wide: float, high: float, contrast_bar: float) -> DataFrame:
     """Flags, interest, score, verdict, confidence, advice and q-value of measured boxes in pixels."""
     unknown = {k: F.lit(None).cast("double") for k in ("column_smear", "persistence", "shadow_alignment", "size_m")}
@@ -94,16 +62,15 @@ def run(spark: SparkSession, events: str, out: str, config: str | dict | None =
     values = spark.read.parquet(events)
     LOG.info("reading %d values of %s", values.count(), events)  # from the files' footers
     cells = cells_of(values, conf["width"], conf["lines"])
-    boxes = detected(cells, conf)
-    regions = measured(cells, boxes, conf["margin"])
-    regions = regions.select(
-        F.floor(F.col("image") / conf["renderings"]).alias("scene"), "image", "label", *[(F.col(c) * k).alias(c) for c in "xywh"], C.rounded(F.col("n") / (F.col("w") * F.col("h")), 4).alias("fill"), "contrast", "polarity", "sat_frac", "dark_frac", "bg_std"
-    )
-    regions = agreeing(regions, conf["reach"])
+    cells = cells.withColumn("scene", F.floor(F.col("image") / conf["renderings"]))
+    boxes = detected(cells, conf).withColumn("scene", F.floor(F.col("image") / conf["renderings"]))
+    regions = X.agreement(cells, boxes, "scene", conf["margin"])
+    known = [F.coalesce(c, F.lit(0.0)).alias(c) for c in ("contrast", "bg_std")]
+    regions = regions.select("scene", "image", "label", *[(F.col(c) * k).alias(c) for c in "xywh"], C.rounded(F.col("n") / (F.col("w") * F.col("h")), 4).alias("fill"), *known, "polarity", "sat_frac", "dark_frac", "agrees", "disagrees")
     regions.write.mode("overwrite").partitionBy("scene").parquet(f"{out}/regions")
     regions = spark.read.schema(regions.schema).parquet(f"{out}/regions")  # a table without rows has no file to ask
     verdicts = judged(regions, conf["width"] * k, conf["lines"] * k, conf["contrast_bar"])
-    verdicts = verdicts.select("scene", "image", "label", *"xywh", "polarity", "contrast", "fill", "agrees", F.array_join("flags", ",").alias("flags"), "interest", "score", "confidence", "advice", "fdr_q", (F.col("fdr_q") <= conf["level"]).alias("survives"), "verdict")
+    verdicts = verdicts.select("scene", "image", "label", *"xywh", "polarity", "contrast", "fill", "agrees", "disagrees", F.array_join("flags", ",").alias("flags"), "interest", "score", "confidence", "advice", "fdr_q", (F.col("fdr_q") <= conf["level"]).alias("survives"), "verdict")
     verdicts.write.mode("overwrite").partitionBy("verdict").parquet(f"{out}/verdicts")
     done = spark.read.schema(verdicts.schema).parquet(f"{out}/verdicts")
     LOG.info("wrote %s to %s", {r["verdict"]: r["count"] for r in done.groupBy("verdict").count().collect()}, out)

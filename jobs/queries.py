@@ -46,13 +46,15 @@ ma AS MATERIALIZED (SELECT image, y, x, image * 10000 + y * 100 + x AS node FROM
 reach AS (SELECT node, node AS r FROM ma UNION SELECT b.node, reach.r FROM reach JOIN ma a ON a.node = reach.node JOIN ma b ON a.image = b.image AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 AND a.node <> b.node),
 la AS MATERIALIZED (SELECT node, min(r) AS label FROM reach GROUP BY node),
 bo AS (SELECT image, label, count(*) AS n, min(x) AS bx, min(y) AS by2, max(x) - min(x) + 1 AS bw, max(y) - min(y) + 1 AS bh FROM ma JOIN la USING (node) GROUP BY image, label HAVING count(*) >= 3),
-me AS (SELECT image, label, any_value(n) AS n, any_value(bx) AS bx, any_value(by2) AS by2, any_value(bw) AS bw, any_value(bh) AS bh, {rnd(_CONTRAST, 4)} AS contrast,
+tg AS MATERIALIZED (SELECT bo.*, ext.image AS target FROM bo JOIN ext ON bo.image // 4 = ext.image // 4),
+me AS MATERIALIZED (SELECT image, label, target, any_value(n) AS n, any_value(bx) AS bx, any_value(by2) AS by2, any_value(bw) AS bw, any_value(bh) AS bh, {rnd(_CONTRAST, 4)} AS contrast,
   CASE WHEN avg(v) FILTER (WHERE fg) >= coalesce(avg(v) FILTER (WHERE NOT fg), 0.0) THEN 'bright' ELSE 'dark' END AS polarity, {rnd('avg(CASE WHEN v >= 253 THEN 1.0 ELSE 0.0 END) FILTER (WHERE fg)', 4)} AS sat_frac,
   {rnd('avg(CASE WHEN v <= 2 THEN 1.0 ELSE 0.0 END) FILTER (WHERE fg)', 4)} AS dark_frac, {rnd('coalesce(stddev_pop(v) FILTER (WHERE NOT fg), 0.0)', 4)} AS bg_std
-  FROM (SELECT bo.*, v, x >= bx AND x < bx + bw AND y >= by2 AND y < by2 + bh AS fg FROM bo JOIN px ON px.image = bo.image AND x >= bx - 5 AND x < bx + bw + 5 AND y >= by2 - 5 AND y < by2 + bh + 5) GROUP BY image, label),
-rg AS MATERIALIZED (SELECT *, image // 4 AS scene, {rnd('n / CAST(bw * bh AS DOUBLE)', 4)} AS fill FROM me),
-ag AS (SELECT a.image, a.label, CAST(count(DISTINCT b.image) AS INT) AS agrees FROM rg a LEFT JOIN rg b ON a.scene = b.scene AND a.image <> b.image AND abs(a.bx - b.bx) <= 4 AND abs(a.by2 - b.by2) <= 4 GROUP BY ALL)"""
-_BOXES = """SELECT scene, image, label, bx * 10 AS x, by2 * 10 AS y, bw * 10 AS w, bh * 10 AS h, polarity, contrast, fill, agrees, sat_frac, dark_frac, bg_std, agrees AS matches, fill AS compactness,
+  FROM (SELECT tg.*, v, x >= bx AND x < bx + bw AND y >= by2 AND y < by2 + bh AS fg FROM tg JOIN px ON px.image = tg.target AND x >= bx - 5 AND x < bx + bw + 5 AND y >= by2 - 5 AND y < by2 + bh + 5) GROUP BY image, label, target),
+rg AS MATERIALIZED (SELECT *, image // 4 AS scene, {rnd('n / CAST(bw * bh AS DOUBLE)', 4)} AS fill FROM me WHERE target = image),
+ag AS (SELECT a.image, a.label, CAST(count(*) FILTER (WHERE b.polarity = a.polarity AND a.contrast / (b.contrast + 1e-6) BETWEEN 0.35 AND 2.8) AS INT) AS agrees, CAST(count(b.target) AS INT) AS others
+  FROM rg a LEFT JOIN (SELECT * FROM tg WHERE target <> image) t ON t.label = a.label LEFT JOIN me b ON b.label = t.label AND b.target = t.target GROUP BY ALL)"""
+_BOXES = """SELECT scene, image, label, bx * 10 AS x, by2 * 10 AS y, bw * 10 AS w, bh * 10 AS h, polarity, contrast, fill, agrees, others - agrees AS disagrees, sat_frac, dark_frac, bg_std, agrees AS matches, fill AS compactness,
   CAST(NULL AS DOUBLE) AS column_smear, false AS smear_narrow, 0 AS xv_tested, 0 AS xv_collapse, CAST(NULL AS DOUBLE) AS persistence, '' AS dtm_known_artifacts, CAST(NULL AS DOUBLE) AS shadow_alignment, false AS shadow_expected, CAST(NULL AS DOUBLE) AS size_m FROM rg JOIN ag USING (image, label)"""
 
 ORACLES = {
@@ -68,5 +70,5 @@ WITH RECURSIVE {_REGIONS}, {ADJUDICATED.replace(f'boxes AS ({BOXES})', f'boxes A
 pv AS MATERIALIZED (SELECT *, {tail('contrast')} AS p FROM (SELECT *, 1 / (1 + 0.5 * (contrast / 1.4142135623730951)) AS t FROM judged)),
 rk AS (SELECT *, rank() OVER (ORDER BY p) + count(*) OVER (PARTITION BY p) - 1 AS rk, count(*) OVER () AS total FROM pv),
 q AS (SELECT *, {rnd('min(least(1.0, p * total / rk)) OVER (ORDER BY rk DESC)', 6)} AS fdr_q FROM rk)
-SELECT scene, image, label, x, y, w, h, polarity, contrast, fill, agrees, array_to_string(flags, ',') AS flags, interest, score, confidence, {ADVICE_SQL} AS advice, fdr_q, fdr_q <= 0.05 AS survives, verdict FROM q""",
+SELECT scene, image, label, x, y, w, h, polarity, contrast, fill, agrees, disagrees, array_to_string(flags, ',') AS flags, interest, score, confidence, {ADVICE_SQL} AS advice, fdr_q, fdr_q <= 0.05 AS survives, verdict FROM q""",
 }

@@ -79,16 +79,8 @@ SELECT k, CASE WHEN avg(v) FILTER (WHERE fg) >= avg(v) FILTER (WHERE NOT fg) THE
 {rnd('abs(avg(v) FILTER (WHERE fg) - avg(v) FILTER (WHERE NOT fg)) / (stddev_pop(v) FILTER (WHERE NOT fg) + 1e-6)', 4)} AS contrast, {rnd('avg(CASE WHEN v >= 253 THEN 1.0 ELSE 0.0 END) FILTER (WHERE fg)', 4)} AS sat_frac, {rnd('stddev_pop(v) FILTER (WHERE fg)', 4)} AS texture FROM j GROUP BY k""")
 def measure_fg_bg(spark, d):
     n = table(spark, d, "nation").select(F.col("n_nationkey").alias("k"), (F.col("n_nationkey") * 3 % 80).alias("bx"), (F.col("n_nationkey") * 7 % 80).alias("by"), (F.col("n_regionkey") + 6).alias("s"))
-    x, y, v = F.col("x"), F.col("y"), F.col("v")
-    within = lambda m: (x >= F.col("bx") - m) & (x < F.col("bx") + F.col("s") + m) & (y >= F.col("by") - m) & (y < F.col("by") + F.col("s") + m)
-    j = cells(spark, d).join(n, within(5)).withColumn("fg", within(0))
-    fg, bg = F.when(F.col("fg"), v), F.when(~F.col("fg"), v)
-    return j.groupBy("k").agg(
-        F.when(F.avg(fg) >= F.avg(bg), "bright").otherwise("dark").alias("polarity"),
-        C.rounded(F.abs(F.avg(fg) - F.avg(bg)) / (F.stddev_pop(bg) + 1e-6), 4).alias("contrast"),
-        C.rounded(F.avg((fg >= 253).cast("int")), 4).alias("sat_frac"),
-        C.rounded(F.stddev_pop(fg), 4).alias("texture"),
-    )
+    boxes = n.select(F.col("k").alias("label"), F.col("bx").alias("x"), F.col("by").alias("y"), F.col("s").alias("w"), F.col("s").alias("h"))
+    return X.measured(cells(spark, d), boxes, [], 5).select(F.col("label").alias("k"), "polarity", "contrast", "sat_frac", "texture")
 
 
 @query(f"""WITH {CELLS}, g AS (SELECT *, lag(v) OVER r AS l, lead(v) OVER r AS rr, lag(v) OVER q AS u, lead(v) OVER q AS dn FROM cells WINDOW r AS (PARTITION BY y ORDER BY x), q AS (PARTITION BY x ORDER BY y)),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import rounded
+
 
 def extent(df: DataFrame, keys: list[str]) -> DataFrame:
     """Height and width of each image, from dense cells."""
@@ -60,6 +62,52 @@ def neighbour_edges(mask: DataFrame, keys: list[str], node: Column, eight: bool
     return own.join(shifted, [*keys, "y", "x"]).select("a", "b")
 
 
+def measured(cells: DataFrame, boxes: DataFrame, keys: list[str], margin: int, tile: int = 16) -> DataFrame:
+    """``keys``, label, contrast, polarity, sat_frac, dark_frac, bg_std and texture of boxes (``keys``, label, x, y, w, h) from their
+    cells and those within ``margin`` of them.
+
+    Cells and boxes meet by equal keys and tile: a cell lies in one tile, a box goes to every tile that its surroundings touch. So a
+    cell is read once, whatever the number of boxes on it, and a large image is dealt out by tiles. Boxes without a cell
+    have no row; without cells inside or around them they have no contrast.
+    """
+    at = lambda c: F.floor(c / tile).cast("int")
+    spread = lambda p, n: F.explode(F.sequence(at(F.col(p) - margin), at(F.col(p) + F.col(n) + (margin - 1))))
+    dealt = boxes.withColumn("_ty", spread("y", "h")).withColumn("_tx", spread("x", "w")).select(*keys, "label", *[F.col(c).alias("_" + c) for c in "xywh"], "_ty", "_tx")
+    met = cells.withColumns({"_ty": at(F.col("y")), "_tx": at(F.col("x"))}).join(dealt, [*keys, "_ty", "_tx"])
+    c = F.col
+    within = lambda m: (c("x") >= c("_x") - m) & (c("x") < c("_x") + c("_w") + m) & (c("y") >= c("_y") - m) & (c("y") < c("_y") + c("_h") + m)
+    fg, bg = F.when(within(0), c("v")), F.when(~within(0), c("v"))
+    return met.filter(within(margin)).groupBy(*keys, "label").agg(
+        rounded(F.abs(F.avg(fg) - F.avg(bg)) / (F.stddev_pop(bg) + 1e-6), 4).alias("contrast"),
+        F.when(F.avg(fg) >= F.coalesce(F.avg(bg), F.lit(0.0)), "bright").otherwise("dark").alias("polarity"),
+        rounded(F.avg((fg >= 253).cast("int")), 4).alias("sat_frac"),
+        rounded(F.avg((fg <= 2).cast("int")), 4).alias("dark_frac"),
+        rounded(F.stddev_pop(bg), 4).alias("bg_std"),
+        rounded(F.stddev_pop(fg), 4).alias("texture"),
+    )
+
+
+def agreement(cells: DataFrame, boxes: DataFrame, group: str, margin: int) -> DataFrame:
+    """Measured boxes (``group``, image, label, x, y, w, h, their measures) with agrees and disagrees: how many other images of the group
+    show the same place with the same polarity and a comparable contrast, and how many don't. Images without a cell there count as neither.
+
+    A box is measured in every image of its group, its own included, in one pass over the tiles; what it is in its own image
+    then meets what it is in the others under its label, a row an image.
+    """
+    images = cells.select(group, "image").distinct().withColumnRenamed("image", "_image")
+    everywhere = boxes.join(images, group)
+    found = measured(cells.select("y", "x", "v", F.col("image").alias("_image")), everywhere.select("_image", "label", *"xywh"), ["_image"], margin)
+    both = everywhere.join(found, ["_image", "label"], "left")
+    own = F.col("_image") == F.col("image")
+    w = Window.partitionBy("label")
+    mine = {c: F.max(F.when(own, F.col(c))).over(w) for c in ("contrast", "polarity")}
+    ratio = mine["contrast"] / (F.col("contrast") + 1e-6)
+    ok = F.coalesce((F.col("polarity") == mine["polarity"]) & ratio.between(0.35, 2.8), F.lit(False))
+    both = both.withColumn("_agrees", F.when(~own & F.col("polarity").isNotNull(), ok))
+    counts = {"agrees": F.count_if("_agrees").over(w).cast("int"), "disagrees": F.count_if(~F.col("_agrees")).over(w).cast("int")}
+    return both.withColumns(counts).filter(own).drop("_image", "_agrees")
+
+
 def gradient(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Adds slope, |gx| + |gy|: central differences, one-sided at borders."""
 

@@ -77,7 +77,7 @@ SIZE, SCALE = 60, 4
 def scene(image):
     """Even ground with a faint texture; in images 0 and 1 a bright square of 6 cells (24 px), in image 2 one of 16 (64 px), in 3 nothing."""
     ground = [[100.0 + 3.0 * math.sin(0.9 * x) * math.cos(0.7 * y + image) for x in range(SIZE)] for y in range(SIZE)]
-    at, n = {0: ((20, 30), 6), 1: ((21, 30), 6), 2: ((12, 15), 16)}.get(image, ((0, 0), 0))
+    at, n = {0: ((20, 30), 6), 1: ((20, 30), 6), 2: ((12, 15), 16)}.get(image, ((0, 0), 0))
     for y in range(at[0], at[0] + n):
         for x in range(at[1], at[1] + n):
             ground[y][x] += 80.0
@@ -89,7 +89,7 @@ def test_pixels_to_verdicts(spark, tmp_path):
     source, out = str(tmp_path / "events.parquet"), str(tmp_path / "out")
     values = [(i * SIZE * SIZE + y * SIZE + x, v) for i in range(4) for y, line in enumerate(scene(i)[0]) for x, v in enumerate(line)]
     spark.createDataFrame([*values, (None, 1.0), (5, None)], "event_id long, value double").write.parquet(source)
-    config = {"width": SIZE, "lines": SIZE, "scale": SCALE, "box": 25, "z": 3.0, "min_cells": 9, "reach": 8, "renderings": 2}
+    config = {"width": SIZE, "lines": SIZE, "scale": SCALE, "box": 25, "z": 3.0, "min_cells": 9, "renderings": 2}
     got = {r["image"]: r.asDict() for r in investigate.run(spark, source, out, config).collect()}
     assert sorted(got) == [0, 1, 2]
     for image, r in got.items():
@@ -100,7 +100,7 @@ def test_pixels_to_verdicts(spark, tmp_path):
         mean = sum(around) / len(around)
         std = math.sqrt(sum((v - mean) ** 2 for v in around) / len(around))
         assert r["contrast"] == pytest.approx((sum(inside) / len(inside) - mean) / (std + 1e-6), abs=1e-4) and r["polarity"] == "bright" and r["survives"]
-    assert [got[i]["agrees"] for i in (0, 1, 2)] == [1, 1, 0]
+    assert [(got[i]["agrees"], got[i]["disagrees"]) for i in (0, 1, 2)] == [(1, 0), (1, 0), (0, 1)]
     assert got[0]["verdict"] == "CONFIRMED-LEAD" and got[2]["verdict"] == "PROMISING"
     before = rows(spark.read.parquet(f"{out}/verdicts"))
     assert rows(investigate.run(spark, source, out, config)) == before
