@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -78,26 +79,74 @@ def running(df: DataFrame, key: str, value: Column, how: str, name: str, descend
     return ranged.join(F.broadcast(before), "_part").withColumn(name, both).drop("_v", "_part", "_before")
 
 
+def at_ranks(df: DataFrame, value: Column, ranks: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """One row: total, the rows whose ``value`` isn't null, and for each name the value at its rank (from 0, a function of total) in
+    ascending order, with name_before, how many rows have a smaller one. Ranks outside of the rows have nulls.
+
+    A selection by ranges: approximate quantiles cut the values, the ranges are counted, and only those that hold a wanted rank
+    are looked at value by value. No task and no buffer gets all of the values.
+    """
+    values = df.select(value.alias("_v")).filter("_v IS NOT NULL")
+    cuts = cuts_of(values, "_v")
+    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("_v"))) if cuts else F.lit(0)
+    ranged = values.withColumn("_part", part)
+    heads = ranged.groupBy("_part").agg(F.count("*").alias("_n"))  # a row a range
+    whole = Window.partitionBy()
+    heads = heads.withColumns({"total": F.sum("_n").over(whole), "_from": F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+    asked = {"": lambda total: F.lit(0)} | ranks  # the first row, so that the total comes along
+    wanted = F.array(*[F.struct(F.lit(name).alias("name"), rank(F.col("total")).cast("long").alias("rank")) for name, rank in asked.items()])
+    held = F.filter(wanted, lambda w: (w["rank"] >= F.col("_from")) & (w["rank"] < F.col("_from") + F.col("_n")))
+    picks = heads.select("_part", "_from", "total", F.explode(held).alias("w")).select("_part", "_from", "total", "w.*")
+    single = ranged.join(F.broadcast(picks.select("_part").distinct()), "_part").groupBy("_part", "_v").agg(F.count("*").alias("_k"))
+    upto = single.withColumn("_upto", F.sum("_k").over(Window.partitionBy("_part").orderBy("_v")))
+    found = upto.join(F.broadcast(picks), "_part").filter(F.col("_from") + F.col("_upto") > F.col("rank"))
+    found = found.groupBy("name").agg(F.first("total").alias("total"), F.min(F.struct("_v", (F.col("_from") + F.col("_upto") - F.col("_k")).alias("before"))).alias("at"))
+    columns = [F.max(F.when(F.col("name") == name, F.col(f"at.{c}"))).alias(name + tag) for name in ranks for c, tag in (("_v", ""), ("before", "_before"))]
+    return found.agg(F.coalesce(F.max("total"), F.lit(0)).alias("total"), *columns)
+
+
+def quantiles(df: DataFrame, value: Column, shares: dict[str, float]) -> DataFrame:
+    """One row: exact quantiles of all rows by name, between two values by their distance, without one buffer for all values."""
+    at = lambda q: lambda total: (total - 1) * F.lit(q)
+    ranks = {f"{name}_{side}": (lambda total, q=q, f=f: f(at(q)(total))) for name, q in shares.items() for side, f in (("low", F.floor), ("high", F.ceil))}
+    found = at_ranks(df, value, ranks)
+    between = lambda name, q: F.col(f"{name}_low") + (F.col(f"{name}_high") - F.col(f"{name}_low")) * (at(q)(F.col("total")) - F.floor(at(q)(F.col("total"))))
+    return found.select(*[between(name, q).alias(name) for name, q in shares.items()])
+
+
 def page(df: DataFrame, order: list[Column], offset: int, limit: int) -> DataFrame:
     return df.orderBy(*order).offset(offset).limit(limit)
 
 
-def circular_page(df: DataFrame, order: list[Column], offset: int, limit: int, repeat: bool = False) -> DataFrame:
+def circular_page(df: DataFrame, order: list[Column], offset: int, limit: int, repeat: bool = False, key: Column | None = None) -> DataFrame:
     """``limit`` rows from ``offset`` on, starting over at the end; each row once at most, or, repeating, as often as needed.
 
     Repeating adds turn, the row's place on the page; only where all rows fit the page are they numbered.
+    ``key``: a number that isn't null and whose ascending order ``order`` begins with. at_ranks() then tells which keys the page
+    lies between, and only their rows are sorted, however far the offset is; without it, all rows up to the page's end are.
     """
-    total = df.count()
+    if key is None:
+        index = {"total": df.count()}
+    else:
+        first = lambda total: F.lit(offset) % total
+        last = lambda total: F.least(first(total) + limit, total) - 1
+        over = lambda total: F.least(first(total) + limit - total, first(total)) - 1
+        index = at_ranks(df, key, {"first": first, "last": last, "over": over}).first().asDict()
+    total = index["total"]
     if not total:
         return df.limit(0).withColumn("turn", F.lit(0).cast("long")) if repeat else df.limit(0)
     start = offset % total
-    head = df.orderBy(*order).offset(start).limit(limit)
     over = min(max(0, start + limit - total), start)
-    once = head.unionByName(df.orderBy(*order).limit(over)) if over else head
+    if key is None:
+        head, again = df.orderBy(*order).offset(start).limit(limit), df.orderBy(*order).limit(over)
+    else:
+        head = df.filter(key.between(index["first"], index["last"])).orderBy(*order).offset(start - index["first_before"]).limit(limit)
+        again = df.filter(key <= index["over"]).orderBy(*order).limit(over) if over else None
+    once = head.unionByName(again) if over else head
     if not repeat:
         return once
     if total > limit:  # no row comes twice: the first part of the page, then what starts over
-        parts = [(head, 0)] + ([(df.orderBy(*order).limit(over), total - start)] if over else [])
+        parts = [(head, 0)] + ([(again, total - start)] if over else [])
         numbered = [d.withColumn("turn", F.row_number().over(Window.orderBy(*order)).cast("long") - 1 + k) for d, k in parts]  # over a page
         return numbered[0].unionByName(numbered[1]) if over else numbered[0]
     at = F.pmod(F.row_number().over(Window.orderBy(*order)) - 1 - start, F.lit(total)).cast("long")  # over fewer rows than a page
@@ -143,12 +192,34 @@ def touching(boxes: DataFrame, marks: DataFrame, on: str, condition: Column, how
 
 
 def by_suffix(left: DataFrame, right: DataFrame, key: str, name: str, value: str) -> DataFrame:
-    """Left join with a small lookup (name, value): equal names first, else the smallest of those of which one ends with the other."""
-    pairs = left.select(key).distinct().join(right.select(F.col(name).alias("_n"), F.col(value).alias("_v")), (F.col(key) == F.col("_n")) | F.col(key).endswith(F.col("_n")) | F.col("_n").endswith(F.col(key)))
+    """Left join with a lookup (name, value): equal names first, else the smallest of those of which one ends with the other.
+
+    Either side's endings, of the lengths that the other side has, meet the other side's names by equality.
+    """
+    keys, names = left.select(key).distinct(), right.select(F.col(name).alias("_n"), F.col(value).alias("_v"))
+    ends = lambda df, c, other, o: _fitting(df, c, other, o).withColumn("_end", F.explode(F.transform("_lengths", lambda n: F.right(F.col(c), n)))).drop("_lengths")
+    longer = ends(keys, key, names, "_n").join(names, F.col("_end") == F.col("_n"))
+    shorter = ends(names, "_n", keys, key).join(keys, F.col("_end") == F.col(key)).filter(F.length("_n") > F.length(key))
+    pairs = longer.select(key, "_n", "_v").unionByName(shorter.select(key, "_n", "_v"))
     best = pairs.groupBy(key).agg(F.min_by("_v", F.struct((F.col(key) != F.col("_n")).alias("rest"), "_n")).alias(value))
     return left.join(best, key, "left")
 
 
+def _fitting(df: DataFrame, own: str, other: DataFrame, o: str) -> DataFrame:
+    """``df`` with _lengths: the distinct lengths, a few numbers, of the names of ``other`` that aren't longer than the row's own."""
+    all_ = other.agg(F.collect_set(F.length(o)).alias("lengths")).scalar()
+    return df.withColumn("_lengths", all_).withColumn("_lengths", F.filter("_lengths", lambda n: (n <= F.length(own)) & (n > 0)))
+
+
+def containing(texts: DataFrame, parts: DataFrame, text: str, part: str) -> DataFrame:
+    """text, part: distinct pairs of a text that holds a part. The substrings of a text that are as long as a part is meet the parts
+    by equality, so no text is compared with all parts. Empty parts are in no text."""
+    t, p = texts.select(text).distinct(), parts.select(part).distinct()
+    starts = lambda n: F.sequence(F.lit(1), F.length(text) - n + 1)
+    pieces = F.array_distinct(F.flatten(F.transform("_lengths", lambda n: F.transform(starts(n), lambda i: F.substring(F.col(text), i, n)))))
+    return _fitting(t, text, p, part).withColumn("_piece", F.explode(pieces)).join(p, F.col("_piece") == F.col(part)).select(text, part)
+
+
 def numbered(df: DataFrame, key: str, order: list[Column], name: str = "n") -> DataFrame:
     """Rows of each key numbered from 1 in ``order``."""
     return df.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("long"))

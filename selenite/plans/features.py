@@ -146,7 +146,7 @@ def features_page(spark, d):
     """A page of the feature list: filtered, sorted by contrast, from an offset that runs over the end."""
     c = cut(cards(spark, d).filter(F.array_contains("verdicts", "PROMISING")).select("base", "rep", "max_contrast", "max_score"))
     order = R.sorted_by(c, "contrast", {"score": "max_score", "contrast": "max_contrast"}, [F.col("base"), F.col("rep")])
-    return R.circular_page(c, order, 1000003, 40, repeat=True).select("base", "rep", "max_contrast", "turn")
+    return R.circular_page(c, order, 1000003, 40, repeat=True, key=-F.coalesce(F.col("max_contrast"), F.lit(0.0))).select("base", "rep", "max_contrast", "turn")
 
 
 @query("SELECT n_nationkey, n_name, CAST(i AS BIGINT) AS turn FROM (SELECT n_nationkey, n_name, row_number() OVER (ORDER BY n_nationkey) - 1 AS p, count(*) OVER () AS n FROM nation) JOIN range(0, 60) r(i) ON (7 + i) % n = p")
@@ -217,7 +217,8 @@ def footprint_candidates(spark, d):
     """Candidates whose image's name holds a footprint's: compared by image, not by candidate."""
     f = table(spark, d, "supplier").select(F.concat(F.lit("00_100"), (F.col("s_suppkey") % 9).cast("string"), F.lit("_")).alias("footprint")).distinct()
     i = boxes(spark, d).groupBy("image").agg(F.count("*").alias("n"))
-    return f.join(i, F.col("image").contains(F.col("footprint")), "left").groupBy("footprint").agg(F.count("image").alias("images"), F.coalesce(F.sum("n"), F.lit(0)).alias("candidates"))
+    met = R.containing(i, f, "image", "footprint").join(i, "image")
+    return f.join(met, "footprint", "left").groupBy("footprint").agg(F.count("image").alias("images"), F.coalesce(F.sum("n"), F.lit(0)).alias("candidates"))
 
 
 @query(f"""WITH b AS ({BOXES}), k AS (SELECT *, concat(image, '|', x, ',', y, '@', w, 'x', h) AS box_key FROM b), v AS (SELECT concat(image, '|', x, ',', y, '@', w, 'x', h) AS box_key, fill AS ratio, concat('V', l_linenumber % 4, CASE WHEN l_linenumber % 4 = 3 THEN '.NOMAP.jpg' ELSE '.browse.jpg' END) AS variant FROM b WHERE polarity = 'dark'),
@@ -274,11 +275,10 @@ def checked_names(spark, d):
 
 @query("SELECT count(DISTINCT r_name) AS branches, count(DISTINCT n_name) AS shards, count(*) AS footprints FROM region JOIN nation ON n_regionkey = r_regionkey JOIN supplier ON s_nationkey = n_nationkey")
 def catalogue_progress(spark, d):
-    """Shards and footprints of a nested catalogue: sizes of its arrays, nothing is exploded."""
+    """Branches, shards and footprints of a nested catalogue, counted from the inside out."""
     t = table(spark, d, "region").join(table(spark, d, "nation"), F.col("n_regionkey") == F.col("r_regionkey")).join(table(spark, d, "supplier"), F.col("s_nationkey") == F.col("n_nationkey"))
-    shards = t.groupBy("r_name", "n_name").agg(F.collect_list("s_name").alias("footprints"))
-    site = shards.groupBy("r_name").agg(F.collect_list(F.struct("n_name", "footprints")).alias("shards"))
-    return site.agg(F.count("*").alias("branches"), F.sum(F.size("shards")).alias("shards"), F.sum(F.aggregate("shards", F.lit(0).cast("long"), lambda n, s: n + F.size(s["footprints"]))).alias("footprints"))
+    branches = t.groupBy("r_name", "n_name").agg(F.count("*").alias("n")).groupBy("r_name").agg(F.count("*").alias("shards"), F.sum("n").alias("n"))
+    return branches.agg(F.count("*").alias("branches"), F.sum("shards").alias("shards"), F.sum("n").alias("footprints"))
 
 
 @query(f"""WITH p AS (SELECT split_part(image, '_', 2) AS product, x, y, w, h, score, {TIE_SQL}, image FROM (WITH {ADJUDICATED} SELECT * FROM judged) WHERE verdict = 'CONFIRMED-LEAD'),

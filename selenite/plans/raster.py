@@ -88,7 +88,8 @@ s AS (SELECT v, abs(CASE WHEN l IS NULL THEN rr - v WHEN rr IS NULL THEN v - l E
 SELECT {rnd('quantile_cont(slope, 0.95) / (stddev_pop(v) + 1e-6)', 4)} AS sharpness, {rnd('avg(slope)', 4)} AS mean_slope FROM s""")
 def gradient_p95(spark, d):
     g = X.gradient(cells(spark, d), [], "v")
-    return g.agg(C.rounded(F.percentile("slope", F.lit(0.95)) / (F.stddev_pop("v") + 1e-6), 4).alias("sharpness"), C.rounded(F.avg("slope"), 4).alias("mean_slope"))
+    p95 = R.quantiles(g, F.col("slope"), {"p95": 0.95}).scalar()
+    return g.agg((F.stddev_pop("v") + 1e-6).alias("s"), C.rounded(F.avg("slope"), 4).alias("mean_slope")).select(C.rounded(p95 / F.col("s"), 4).alias("sharpness"), "mean_slope")
 
 
 FRAMES = "f AS (SELECT label, vec_id, unnest(range(len(embedding))) AS x, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)"
@@ -121,17 +122,18 @@ def destripe(spark, d):
 def diff_stats(spark, d):
     c = cells(spark, d)
     df = c.join(c.select("y", (F.col("x") - 1).alias("x"), F.col("v").alias("o")), ["y", "x"]).withColumn("df", F.abs(F.col("v") - F.col("o")))
-    m = F.avg("df")
-    return df.agg(C.rounded(m, 4).alias("mean_abs"), C.rounded(F.max("df"), 4).alias("max_abs"), C.rounded(F.percentile("df", F.lit(0.95)), 4).alias("p95"), F.when(m < 60, "consistent").when(m < 140, "minor").when(m < 280, "notable").otherwise("different").alias("verdict"))
+    p95, m = R.quantiles(df, F.col("df"), {"p95": 0.95}).scalar(), F.avg("df")
+    one = df.agg(C.rounded(m, 4).alias("mean_abs"), C.rounded(F.max("df"), 4).alias("max_abs"), F.when(m < 60, "consistent").when(m < 140, "minor").when(m < 280, "notable").otherwise("different").alias("verdict"))
+    return one.withColumn("p95", C.rounded(p95, 4))
 
 
 @query(f"WITH {CELLS}, s AS (SELECT y + 2 AS y, x - 3 AS x, v FROM cells, ext WHERE y + 2 <= my AND x - 3 >= 0), dd AS (SELECT c.y, c.x, abs(c.v - coalesce(s.v, 0)) AS df FROM cells c LEFT JOIN s USING (y, x)), st AS (SELECT quantile_cont(df, 0.5) AS m, stddev_pop(df) + 1e-6 AS sd FROM dd) SELECT y, x, {rnd('(df - m) / sd', 5)} AS z FROM dd, st WHERE (df - m) / sd > 1.5")
 def shift_change(spark, d):
     c = cells(spark, d)
-    e = X.extent(c, []).first()
-    moved = X.shifted(c, -3, 2, e["height"], e["width"]).withColumnRenamed("v", "o")
+    e = X.extent(c, [])
+    moved = X.shifted(c, -3, 2, e.select("height").scalar(), e.select("width").scalar()).withColumnRenamed("v", "o")
     dd = c.join(moved, ["y", "x"], "left").select("y", "x", F.abs(F.col("v") - F.coalesce("o", F.lit(0.0))).alias("df"))
-    z = (F.col("df") - dd.agg(F.median("df")).scalar()) / dd.agg(F.stddev_pop("df") + 1e-6).scalar()
+    z = (F.col("df") - R.quantiles(dd, F.col("df"), {"median": 0.5}).scalar()) / dd.agg(F.stddev_pop("df") + 1e-6).scalar()
     return dd.withColumn("z", z).filter("z > 1.5").select("y", "x", C.rounded(F.col("z"), 5).alias("z"))
 
 

@@ -129,10 +129,10 @@ def clipped_median(df: DataFrame, keys: list[str], value: str, clip: float = 3.0
     return spread.join(mad, keys).groupBy(*keys).agg(F.median(moved).alias("stacked"), F.count("*").alias("frames"))
 
 
-def shifted(df: DataFrame, dx: int, dy: int, height: int, width: int) -> DataFrame:
+def shifted(df: DataFrame, dx: int, dy: int, height: int | Column, width: int | Column) -> DataFrame:
     """Cells moved by dx, dy; what leaves the frame is dropped, what is uncovered is absent (0 after a left join)."""
     out = df.withColumns({"x": F.col("x") + dx, "y": F.col("y") + dy})
-    return out.filter(F.col("x").between(0, width - 1) & F.col("y").between(0, height - 1))
+    return out.filter(F.col("x").between(F.lit(0), width - 1) & F.col("y").between(F.lit(0), height - 1))
 
 
 def elongation(mask: DataFrame, keys: list[str]) -> DataFrame:

@@ -1,7 +1,9 @@
 """What plans must not hold: generated methods that the JVM won't compile, joins that compare all pairs, stages of one task."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from selenite.operators import relational as R
 from selenite.plans import registry
 
 DATA = "/root/testdata/sf0.001"
@@ -20,3 +22,39 @@ def test_generated_methods_are_compiled(spark, name):
         for k, v in kept.items():
             spark.conf.set(k, v)
     assert sizes and max(sizes) < 8000
+
+
+@pytest.mark.parametrize("name", ["baseline_join", "footprint_candidates", "gradient_p95", "diff_stats", "shift_change", "measure_fg_bg"])
+def test_no_pairs_and_no_single_buffer(spark, name):
+    """No join of all pairs, no exact percentile of all rows in one buffer."""
+    plan = registry.QUERIES[name](spark, DATA)._jdf.queryExecution().toString()
+    assert not any(what in plan for what in ("NestedLoop", "CartesianProduct", "percentile(", "median("))
+
+
+def test_ranks(spark):
+    """Exact quantiles and deep pages, with many equal values and nulls, against plain lists."""
+    values = sorted([float(k % 97) for k in range(5000)] + [3.0] * 3000 + [-1.5, 1e9])
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)] * 10, "v double").repartition(8)
+    got = R.quantiles(df, F.col("v"), {"a": 0.0, "b": 0.5, "c": 0.95, "d": 1.0}).first().asDict()
+    for name, q in {"a": 0.0, "b": 0.5, "c": 0.95, "d": 1.0}.items():
+        at = (len(values) - 1) * q
+        low = values[int(at)]
+        assert got[name] == pytest.approx(low + (values[min(int(at) + 1, len(values) - 1)] - low) * (at - int(at)))
+    assert R.quantiles(df.filter("v IS NULL"), F.col("v"), {"m": 0.5}).first()["m"] is None
+    rows = spark.range(1000).withColumn("k", F.col("id") % 7)
+    want = sorted(((k % 7, k) for k in range(1000)))
+    for offset, limit in ((0, 5), (990, 20), (2573, 40), (500, 1)):
+        page = [want[(offset + i) % 1000][1] for i in range(limit)]
+        got = R.circular_page(rows, [F.col("k"), F.col("id")], offset, limit, repeat=True, key=F.col("k")).orderBy("turn").collect()
+        assert [r["id"] for r in got] == page and [r["turn"] for r in got] == list(range(limit))
+
+
+def test_names_that_hold_names(spark):
+    names = ["abc", "xabc", "bc", "c", "", "zz", "abcabc"]
+    df = spark.createDataFrame([(n,) for n in names] + [(None,)], "t string")
+    parts = spark.createDataFrame([(n,) for n in ["bc", "abc", "", "q", "zz"]], "p string")
+    got = {tuple(r) for r in R.containing(df, parts, "t", "p").collect()}
+    assert got == {(t, p) for t in names for p in ["bc", "abc", "zz"] if p in t}
+    look = spark.createDataFrame([("bc", 1), ("xabc", 2), ("0zz", 3)], "n string, v int")
+    got = {r["t"]: r["v"] for r in R.by_suffix(df, look, "t", "n", "v").collect()}
+    assert got == {"abc": 1, "xabc": 2, "bc": 1, "c": 1, "": None, "zz": 3, "abcabc": 1, None: None}
