@@ -180,17 +180,74 @@ def nearby(left: DataFrame, right: DataFrame, on: list[str], reach: tuple[float,
     return both.drop("_gx", "_gy")
 
 
-def touching(boxes: DataFrame, marks: DataFrame, on: str, condition: Column, how: str, size: int = 64) -> DataFrame:
+def _class(w: Column, h: Column, least: int = 0) -> Column:
+    """Size class of a box: the smallest k so that it fits into a square of 2 ** k."""
+    return F.greatest(F.lit(least), F.ceil(F.log2(F.greatest(w, h, F.lit(1)).cast("double")))).cast("int")
+
+
+def touching(boxes: DataFrame, marks: DataFrame, on: str, condition: Column, how: str, least: int = 6) -> DataFrame:
     """Semi or anti join of boxes (on, x, y, w, h) with marks (on, mx, my, mw, mh) that can touch them, on equal ``on`` and grid cells;
-    ``condition`` decides. A mark goes to every cell in which a box that touches it may start, a box to that of its corner."""
-    wide, high = boxes.agg(F.max("w")).scalar(), boxes.agg(F.max("h")).scalar()
-    cell = lambda c: F.floor(c / size).cast("long")
-    reach = lambda p, n, most: F.sequence(cell(F.col(p) - F.coalesce(most, F.lit(0))), cell(F.col(p) + F.col(n)))
-    dealt = marks.withColumnRenamed(on, "_on").withColumn("_mx", F.explode(reach("mx", "mw", wide))).withColumn("_my", F.explode(reach("my", "mh", high)))
-    there = (F.col(on) == F.col("_on")) & (cell(F.col("x")) == F.col("_mx")) & (cell(F.col("y")) == F.col("_my"))
+    ``condition`` decides.
+
+    Boxes lie in the grid of their size class, a box in the cell of its corner; a mark goes, in every class that there is, to the
+    cells in which a box that touches it may start. So one large box makes no more cells for the small ones. Cells are 2 ** ``least``
+    wide at least.
+    """
+    own = _class(F.col("w"), F.col("h"), least)
+    classes = boxes.select(own.alias("k")).agg(F.collect_set("k")).scalar()  # some twenty numbers at most
+    cell = lambda c, k: F.floor(c / F.pow(F.lit(2.0), k)).cast("long")
+    k = F.col("_k")
+    reach = lambda p, n: F.sequence(cell(F.col(p) - F.pow(F.lit(2.0), k), k), cell(F.col(p) + F.col(n), k))
+    dealt = marks.withColumnRenamed(on, "_on").withColumn("_k", F.explode(classes)).withColumn("_mx", F.explode(reach("mx", "mw"))).withColumn("_my", F.explode(reach("my", "mh")))
+    there = (F.col(on) == F.col("_on")) & (own == k) & (cell(F.col("x"), own) == F.col("_mx")) & (cell(F.col("y"), own) == F.col("_my"))
     return boxes.join(dealt, there & condition, how)
 
 
+def overlapping(boxes: DataFrame, on: str, most: float) -> DataFrame:
+    """Pairs a, b (ids, a's priority the smaller) of boxes (``on``, _id, _p, x, y, w, h) that share more than ``most`` of the smaller one.
+
+    Every box is at home in the cells of its size class, at most four, and visits those of the larger classes; a pair meets in the larger
+    one's class, once, in the cell where what both share begins.
+    """
+    c = F.col
+    cell = lambda v, k: F.floor(v / F.pow(F.lit(2.0), k)).cast("long")
+    classed = boxes.withColumn("_c", _class(c("w"), c("h")))
+    top = classed.agg(F.max("_c")).scalar()
+    spread = lambda df: df.withColumn("_gx", F.explode(F.sequence(cell(c("x"), c("_k")), cell(c("x") + c("w"), c("_k"))))).withColumn("_gy", F.explode(F.sequence(cell(c("y"), c("_k")), cell(c("y") + c("h"), c("_k")))))
+    home = spread(classed.withColumn("_k", c("_c"))).select(on, "_k", "_gx", "_gy", *[c(n).alias("o" + n) for n in ("_id", "_p", "x", "y", "w", "h")])
+    visits = spread(classed.withColumn("_k", F.explode(F.sequence(c("_c"), top))))
+    both = visits.join(home, [on, "_k", "_gx", "_gy"]).filter(((c("_c") < c("_k")) & (c("_id") != c("o_id"))) | (c("_p") < c("o_p")))
+    begins = (cell(F.greatest("x", "ox"), c("_k")) == c("_gx")) & (cell(F.greatest("y", "oy"), c("_k")) == c("_gy"))
+    wide = F.least(c("x") + c("w"), c("ox") + c("ow")) - F.greatest("x", "ox")
+    high = F.least(c("y") + c("h"), c("oy") + c("oh")) - F.greatest("y", "oy")
+    large = (wide > 0) & (high > 0) & (wide * high > most * F.least(c("w") * c("h"), c("ow") * c("oh")))
+    first = c("_p") < c("o_p")
+    return both.filter(begins & large).select(F.when(first, c("_id")).otherwise(c("o_id")).alias("a"), F.when(first, c("o_id")).otherwise(c("_id")).alias("b"))
+
+
+def without_overlaps(boxes: DataFrame, on: str, order: list[str], most: float = 0.5) -> DataFrame:
+    """Greedy suppression among the boxes of one ``on``: in ``order``, which has no ties but between equal rows, a box goes if a kept one
+    shares more than ``most`` (under 1) of the smaller of both.
+
+    Nothing is grouped by image. Rows of one place and size are one box, the first of them. In each round the boxes that nothing
+    undecided comes before are kept and take what they overlap with them; a round is two joins on the pairs left. Rounds are as
+    many as the longest chain of boxes of falling priority that overlap, a few where priority doesn't follow place.
+    """
+    place = [on, *"xywh"]
+    ranked = boxes.withColumn("_p", F.struct(*order))
+    first = top_per_group(ranked.filter("w > 0 AND h > 0"), place, [F.col("_p")], 1).withColumn("_id", F.monotonically_increasing_id())
+    first = cut(first)
+    left = cut(overlapping(first, on, most))
+    gone = None
+    while not left.isEmpty():
+        firsts = left.select("a").distinct().join(left.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
+        out = cut(left.join(firsts, "a", "left_semi").select("b").distinct())
+        gone = out if gone is None else gone.unionByName(out)
+        left = cut(left.join(out, "b", "left_anti").join(out.withColumnRenamed("b", "a"), "a", "left_anti"))
+    kept = first if gone is None else first.join(gone.withColumnRenamed("b", "_id"), "_id", "left_anti")
+    return kept.select(boxes.columns).unionByName(boxes.filter("NOT (w > 0 AND h > 0)"))
+
+
 def by_suffix(left: DataFrame, right: DataFrame, key: str, name: str, value: str) -> DataFrame:
     """Left join with a lookup (name, value): equal names first, else the smallest of those of which one ends with the other.
 

@@ -12,7 +12,7 @@ from ..raster import evidence as E
 from ..raster import kernels as K
 from ..raster.spark import array_of, assembled, per_image
 from ..session import cut
-from ..sources.tables import boxes, cells, frames, table
+from ..sources.tables import BOXES, boxes, cells, frames, table
 from .relational import rnd
 
 Q: dict = {}
@@ -205,18 +205,15 @@ def kernel_disparity(spark, d):
     return per_image(_images(spark, d), run, "image_id long, dx double, dy double")
 
 
-@query()
+@query(f"""WITH RECURSIVE b AS MATERIALIZED (SELECT image, x, y, w, h, CAST(l_linenumber AS INT) AS scale, row_number() OVER (PARTITION BY image ORDER BY l_linenumber, l_orderkey, l_partkey, x, y, w, h) AS n FROM ({BOXES})),
+r AS (SELECT DISTINCT image, CAST(0 AS BIGINT) AS n, CAST([] AS STRUCT(x INT, y INT, w INT, h INT, scale INT)[]) AS kept FROM b
+UNION ALL SELECT r.image, b.n, CASE WHEN len(list_filter(kept, lambda k: 2 * greatest(0, least(k.x + k.w, b.x + b.w) - greatest(k.x, b.x)) * greatest(0, least(k.y + k.h, b.y + b.h) - greatest(k.y, b.y)) > least(k.w * k.h, b.w * b.h))) = 0
+  THEN list_append(kept, {{'x': b.x, 'y': b.y, 'w': b.w, 'h': b.h, 'scale': b.scale}}) ELSE kept END FROM r JOIN b ON b.image = r.image AND b.n = r.n + 1)
+SELECT image, k.x AS x, k.y AS y, k.w AS w, k.h AS h, k.scale AS scale FROM (SELECT image, unnest(arg_max(kept, n)) AS k FROM r GROUP BY image)""")
 def kernel_nms(spark, d):
-    """Greedy overlap removal among the boxes of an image, the line number as scale; grouped, as each choice depends on those before."""
-
-    def run(f):
-        import pandas as pd
-
-        kept = K.without_overlaps(f.sort_values(["scale", "l_orderkey", "l_partkey", "x", "y", "w", "h"]).to_dict("records"))
-        return pd.DataFrame(kept)[["image", "x", "y", "w", "h", "scale"]]
-
+    """Greedy overlap removal among the boxes of an image, the line number as scale: joins over overlapping pairs, round by round."""
     b = boxes(spark, d).select("image", "l_orderkey", "l_partkey", *"xywh", F.col("l_linenumber").alias("scale"))
-    return b.groupBy("image").applyInPandas(run, "image string, x int, y int, w int, h int, scale int")
+    return R.without_overlaps(b, "image", ["scale", "l_orderkey", "l_partkey", *"xywh"]).select("image", *"xywh", "scale")
 
 
 @query()

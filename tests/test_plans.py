@@ -1,5 +1,6 @@
 """What plans must not hold: generated methods that the JVM won't compile, joins that compare all pairs, stages of one task."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,3 +59,22 @@ def test_names_that_hold_names(spark):
     look = spark.createDataFrame([("bc", 1), ("xabc", 2), ("0zz", 3)], "n string, v int")
     got = {r["t"]: r["v"] for r in R.by_suffix(df, look, "t", "n", "v").collect()}
     assert got == {"abc": 1, "xabc": 2, "bc": 1, "c": 1, "": None, "zz": 3, "abcabc": 1, None: None}
+
+
+def test_greedy_suppression(spark):
+    """Boxes of very different sizes, equal ones, empty ones and a chain of overlapping ones, against a plain loop."""
+    rng = np.random.default_rng(3)
+    rows = [(int(k % 2), k, int(x), int(y), int(w), int(h)) for k, (x, y, w, h) in enumerate(zip(*rng.integers(-50, 150, (2, 300)), *rng.integers(0, 40, (2, 300)), strict=True))]
+    rows += [(0, 1000 + k, -40, -40, 200 + k, 150) for k in range(3)] + [(1, 2000 + k, 5, 5, 9, 9) for k in range(20)] + [(2, k, 4 * k, 0, 10, 10) for k in range(12)]
+    rows += [(0, 3000, 500, 500, 5000, 4000)]
+    want = []
+    for image in (0, 1, 2):
+        kept = []
+        for i, _, x, y, w, h in sorted(r for r in rows if r[0] == image):
+            lap = lambda b: max(0, min(x + w, b[0] + b[2]) - max(x, b[0])) * max(0, min(y + h, b[1] + b[3]) - max(y, b[1])) > 0.5 * min(w * h, b[2] * b[3])  # noqa: E731, B023
+            if not any(lap(b) for b in kept):
+                kept.append((x, y, w, h))
+        want += [(image, *b) for b in kept]
+    df = spark.createDataFrame(rows, "image int, p int, x int, y int, w int, h int").repartition(5)
+    got = [tuple(r) for r in R.without_overlaps(df, "image", ["p"]).select("image", *"xywh").collect()]
+    assert sorted(got) == sorted(want)
