@@ -8,38 +8,44 @@ from __future__ import annotations
 import json
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
-#: Labelled URLs, 1: block. Fixed values; the table is a parameter of fit().
-LABELLED = (
-    ("https://library.example.net/en/books/12", 0),
-    ("https://www.museum.example.net/fr/collections", 0),
-    ("http://science.example.net/de/artikel/44.html", 0),
-    ("https://docs.example.net/en/guide/index.html", 0),
-    ("https://news.example.net/es/2021/03/noticias", 0),
-    ("https://weather.example.net/en/stations/7", 0),
-    ("http://history.example.net/fr/archives/1850", 0),
-    ("https://school.example.net/de/kurse/3", 0),
-    ("https://recipes.example.net/en/soup/21", 0),
-    ("https://wiki.example.net/en/geography", 0),
-    ("https://forum.example.net/es/temas/88", 0),
-    ("https://blog.garden.example.net/en/roses", 0),
-    ("http://casino-bonus.example.net/win?id=1", 1),
-    ("https://free-pills.example.net/buy/cheap", 1),
-    ("http://x.adserver.example.net/click/redirect", 1),
-    ("https://hot-dates.example.net/xxx/12", 1),
-    ("http://lottery.example.net/prize/claim", 1),
-    ("https://cheap-watches.example.net/sale/buy-now", 1),
-    ("http://track.example.net/pixel/utm/redirect", 1),
-    ("https://bet365x.example.net/casino/slots", 1),
-    ("http://crack-keygen.example.net/download/free", 1),
-    ("https://loans-fast.example.net/apply/now", 1),
-    ("http://spam.example.net/offer/win/free", 1),
-    ("https://adult.example.net/xxx/videos", 1),
-)
+BUCKETS = 8192
+#: Words that hosts and paths of wanted and of unwanted pages are made of. Fixed values; labelled() makes the small table of them.
+WANTED = (
+    "library museum science history archive university college school academy institute research journal paper arxiv preprint lecture course "
+    "stanford cambridge physics biology chemistry maths geology astronomy medicine engineering language dictionary grammar wiki encyclopedia "
+    "docs python manual tutorial reference guide handbook software opensource github kernel database statistics weather climate ocean forest "
+    "garden recipes cooking travel city council parliament government ministry court law news times herald gazette press radio "
+    "theatre music opera gallery literature poetry novel books reading blog forum health hospital nature wildlife energy transport railway"
+).split()
+UNWANTED = (
+    "casino poker roulette slots jackpot betting gamble bingo lottery bonus viagra cialis pills pharmacy pharma drugstore slimming "
+    "replica watches handbags rolex outlet discount cheap deals coupon clearance adult xxx porn sex nude escort webcam dating hookup singles "
+    "payday loans credit cash refinance forex bitcoin invest crack keygen serial warez torrent cracked adserver adclick popads tracker tracking "
+    "banner affiliate redirect spam giveaway prize winner free freebie miracle detox"
+).split()
+WANTED_ENDS, UNWANTED_ENDS = ("org", "edu", "net", "com", "gov", "eu", "example", "info"), ("biz", "shop", "top", "xyz", "com", "net", "click", "info")
+WANTED_PATHS = ("/", "/en/{0}/{2}", "/{1}/{2}.html", "/de/{1}", "/fr/2021/03/{1}", "/abs/{2}", "/3/{1}/index.html", "/articles/{1}-{0}", "/courses/{2}", "/es/{2}")
+UNWANTED_PATHS = ("/", "/{1}", "/buy/{1}", "/order?id={2}", "/sale/{1}-{0}", "/win/{2}", "/free/{0}", "/click/redirect", "/claim-{1}", "/apply/now", "/best-{0}-online")
+HOSTS = ("{0}.{3}", "www.{0}-{1}.{3}", "{1}.{0}.{3}", "{0}{1}.{3}", "m.{0}.{3}", "{0}-online.{3}")
+
+
+def labelled(wanted: list[str] = WANTED, unwanted: list[str] = UNWANTED) -> list[tuple[str, int]]:
+    """The small table of labelled URLs, 1: block: every word in each form of a host, with a neighbour, an ending and a path in turn."""
+    rows = []
+    for label, words, ends, paths in ((0, wanted, WANTED_ENDS, WANTED_PATHS), (1, unwanted, UNWANTED_ENDS, UNWANTED_PATHS)):
+        for k, word in enumerate(words):
+            for j, host in enumerate(HOSTS):
+                n = 5 * k + 7 * j
+                parts = (word, words[(k + 3 * j + 1) % len(words)], str(n), ends[n % len(ends)])
+                rows.append((f"http{'s' * (n % 2)}://" + host.format(*parts) + paths[n % len(paths)].format(*parts), label))
+    return rows
+
+
+LABELLED = labelled()
 #: (verdict, host, path): fits the host and all its subdomains if the URL's path starts with the rule's. Fixed values.
 RULES = (
     ("allow", "org", "/"),
@@ -71,10 +77,15 @@ def rule_of(host: Column, path: Column, rules: tuple = RULES) -> Column:
 
 
 def _grams(text: Column, mark: str, sizes: tuple[int, ...], buckets: int) -> Column:
-    """Buckets of the distinct n-grams of ``^text$``; ``mark`` keeps host and path apart."""
-    whole = F.concat(F.lit("^"), text, F.lit("$"))
-    parts = [F.transform(F.sequence(F.lit(1), F.greatest(F.length(whole) - n + 1, F.lit(1))), lambda i, n=n: F.substring(whole, i, F.lit(n))) for n in sizes]
-    return F.array_distinct(F.transform(F.flatten(F.array(*parts)), lambda g: F.pmod(F.xxhash64(F.concat(F.lit(mark), g)), F.lit(buckets)).cast("int")))
+    """Buckets of the n-grams of ``^text$``; ``mark`` keeps host and path apart. Taken from an array of characters, made once a
+    text: to find the i-th character of a text is i steps, so a long one would take its length squared."""
+    chars = F.filter(F.split(F.concat(F.lit("^"), text, F.lit("$")), ""), lambda c: c != "")
+
+    def of(c: Column, n: int) -> Column:
+        gram = lambda i: F.concat(F.lit(mark), *[F.coalesce(F.get(c, i + k), F.lit("")) for k in range(n)])
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.size(c) - n, F.lit(0))), lambda i: F.pmod(F.xxhash64(gram(i)), F.lit(buckets)).cast("int"))
+
+    return F.flatten(F.transform(F.array(chars), lambda c: F.flatten(F.array(*[of(c, n) for n in sizes]))))
 
 
 def features(host: Column, path: Column, sizes: tuple[int, ...] = (3, 4), buckets: int = BUCKETS) -> Column:
@@ -82,18 +93,19 @@ def features(host: Column, path: Column, sizes: tuple[int, ...] = (3, 4), bucket
     return F.array_sort(F.array_union(_grams(host, "h", sizes, buckets), _grams(path, "p", sizes, buckets)))
 
 
-def fit(spark: SparkSession, labelled: DataFrame | None = None, buckets: int = BUCKETS) -> tuple[float, list[float]]:
+def fit(spark: SparkSession, examples: DataFrame | None = None, buckets: int = BUCKETS) -> tuple[float, list[float]]:
     """(intercept, weights) of the regression on a small table (url, label); LABELLED if none is given.
 
     Rows with a null label are left out. The table is meant to be small: it is fitted in one partition.
     """
-    if labelled is None:
+    if examples is None:
         rows = json.dumps([{"url": u, "label": y} for u, y in LABELLED])
-        labelled = spark.range(1).select(F.explode(F.from_json(F.lit(rows), "array<struct<url:string,label:int>>")).alias("r")).select("r.*")
+        examples = spark.range(1).select(F.explode(F.from_json(F.lit(rows), "array<struct<url:string,label:int>>")).alias("r")).select("r.*")
     marks = features(host_of(F.col("url")), path_of(F.col("url")), buckets=buckets)
-    dense = F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda i: F.array_contains(F.col("marks"), i.cast("int")).cast("double"))
-    train = labelled.filter("label IS NOT NULL").select(F.col("label").cast("double").alias("label"), marks.alias("marks")).select("label", array_to_vector(dense).alias("features")).coalesce(1).cache()
-    model = LogisticRegression(maxIter=30, regParam=0.01, standardization=False).fit(train)
+    places = CountVectorizerModel.from_vocabulary([str(k) for k in range(buckets)], inputCol="marks", outputCol="features")
+    rows = examples.filter("label IS NOT NULL").select(F.col("label").cast("double").alias("label"), marks.cast("array<string>").alias("marks"))
+    train = places.transform(rows).select("label", "features").coalesce(1).cache()
+    model = LogisticRegression(maxIter=50, regParam=0.001, standardization=False).fit(train)
     train.unpersist()
     return float(model.intercept), [float(w) for w in model.coefficients]
 
