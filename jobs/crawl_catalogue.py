@@ -20,6 +20,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from selenite.streaming.events import take_new
+
 from .common import command, configured
 
 LOG = logging.getLogger("crawl_catalogue")
@@ -72,7 +74,6 @@ def catalogue(spark: SparkSession, out: str) -> DataFrame:
 
 def run(spark: SparkSession, pages: str, out: str, config: str | dict | None = None) -> DataFrame:
     """Takes the new files of ``pages`` into the catalogue in ``out`` and returns the whole of it."""
-    pages = pages.rstrip("/")
     conf = DEFAULTS | config if isinstance(config, dict) else configured(spark, DEFAULTS, config)
     replaced = {"partitionOverwriteMode": "dynamic"}
 
@@ -86,11 +87,7 @@ def run(spark: SparkSession, pages: str, out: str, config: str | dict | None = N
         current.repartition("bucket").write.mode("overwrite").options(**replaced).partitionBy("bucket").parquet(f"{out}/catalogue")
         LOG.info("batch %d: wrote %d buckets", number, len(touched))
 
-    # as a pattern, the table may be a folder or, like many small ones, a single file
-    new = spark.readStream.schema(PAGES).option("maxFilesPerTrigger", conf["files_per_batch"]).parquet(f"{pages[:-1]}[{pages[-1]}]")
-    query = new.writeStream.foreachBatch(take).option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start()
-    query.awaitTermination()
-    read = sum(p["numInputRows"] for p in query.recentProgress)
+    read = take_new(spark, pages, PAGES, take, f"{out}/checkpoint", conf["files_per_batch"])
     now = catalogue(spark, out)
     LOG.info("read %d new rows of %s; the catalogue in %s has %d pages", read, pages, out, now.count())
     return now

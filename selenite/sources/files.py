@@ -18,9 +18,28 @@ def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def read_events(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON lines; blank and broken lines are dropped."""
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+def log_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Lines of JSON logs: value (as it stands), r (its fields), broken, and place, in whose order the lines stand: file, block, line."""
+    text = spark.read.text(path).select("value", F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line")).alias("place"))
+    parsed = text.filter(F.trim("value") != "").withColumn("r", F.from_json("value", f"{schema}, _broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}))
+    return parsed.withColumn("broken", F.col("r").isNull() | F.col("r._broken").isNotNull()).withColumn("r", F.col("r").dropFields("_broken"))
+
+
+def read_events(spark: SparkSession, path: str, schema: str, limit: int | None = None) -> DataFrame:
+    """JSON lines; blank and broken lines are dropped. ``limit``: the first good lines, in the order of files and lines."""
+    if limit is None:
+        return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    return log_lines(spark, path, schema).filter("NOT broken").orderBy("place").limit(limit).select("r.*")
+
+
+def compact_log(spark: SparkSession, path: str, out: str, schema: str, lines: int = 1_000_000) -> dict[str, int]:
+    """Writes the good lines of many small JSON logs into few files under ``out``, as they stand and in their order; what was kept and
+    what was broken. ``out`` is written as a whole, so a compaction that broke off is simply done again."""
+    every = log_lines(spark, path, schema)
+    n = every.agg(F.count_if(~F.col("broken")).alias("kept"), F.count_if("broken").alias("broken")).first().asDict()
+    good = every.filter("NOT broken").repartitionByRange(-(-max(n["kept"], 1) // lines), "place").sortWithinPartitions("place")
+    good.select("value").write.mode("overwrite").text(out)
+    return n
 
 
 def number(text: Column, default: float | None = None) -> Column:
