@@ -83,6 +83,16 @@ def based_int(value: Column) -> Column:
     return out
 
 
+#: How listings and labels write a time: day and month, a plain date, ISO dates, days of the year. Fixed formats.
+TIMES = ("dd-MMM-yyyy HH:mm", "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm:ss[.SSS]['Z']", "yyyy-DDD'T'HH:mm:ss[.SSS]['Z']", "yyyy-MM-dd")
+
+
+def instant(text: Column) -> Column:
+    """Timestamp of a listing's or a label's time in one of TIMES; null for blanks and anything else."""
+    t = F.trim(text)
+    return F.coalesce(*[F.try_to_timestamp(t, F.lit(form)) for form in TIMES])
+
+
 def file_size(text: Column) -> Column:
     """Bytes of ``12``, ``3.4K``, ``5M``, ``1G``; anything else: null."""
     number = F.regexp_extract(F.trim(text), r"(?i)^([\d.]+)\s*([KMG]?)B?$", 1).try_cast("double")

@@ -288,6 +288,22 @@ def search_text(spark, d):
     return table(spark, d, "documents").filter(hay.contains("license")).select("doc_id", "lang", "source")
 
 
+@query("SELECT c_custkey, c_name FROM customer WHERE contains(lower(CAST(to_json(customer) AS VARCHAR)), 'machinery')")
+def search_rows(spark, d):
+    """A word anywhere in a row: in any of its columns, or in their names."""
+    t = table(spark, d, "customer")
+    return t.filter(F.lower(F.to_json(F.struct(*t.columns))).contains("machinery")).select("c_custkey", "c_name")
+
+
+@query("SELECT event_id, CASE WHEN event_id % 5 = 4 THEN NULL WHEN event_id % 5 = 3 THEN date_trunc('day', ts) WHEN event_id % 5 = 2 THEN date_trunc('second', ts) ELSE date_trunc('minute', ts) END AS modified FROM events")
+def listed_times(spark, d):
+    """Times in the forms that listings and labels write them in, read back; other texts are no times."""
+    k = F.col("event_id") % 5
+    forms = {0: "dd-MMM-yyyy HH:mm", 1: "yyyy-MM-dd HH:mm", 2: "yyyy-DDD'T'HH:mm:ss", 3: "yyyy-MM-dd"}
+    text = F.coalesce(*[F.when(k == n, F.date_format("ts", form)) for n, form in forms.items()], F.lit("yesterday"))
+    return table(spark, d, "events").select("event_id", C.instant(text).cast("timestamp_ntz").alias("modified"))
+
+
 @query("SELECT page_id, count(*) AS links, count(DISTINCT href) AS distinct_links, sum(CAST(href LIKE 'http%' AS BIGINT))::BIGINT AS absolute FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href=\"([^\"?]*)\"', 1)) AS href FROM pages) GROUP BY page_id")
 def href_extract(spark, d):
     h = table(spark, d, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="([^"?]*)"'), F.lit(1))).alias("href"))

@@ -93,6 +93,12 @@ def test_geometry(spark):
     assert one(spark, C.height_from_shadow(F.lit(10.0), F.lit(0.5), F.lit(45.0))) == pytest.approx(5)
 
 
+def test_instants(spark):
+    cases = {"17-May-2011 10:00": "2011-05-17 10:00:00", " 2011-05-17 10:00 ": "2011-05-17 10:00:00", "2008-11-05T12:34:56.789": "2008-11-05 12:34:56.789", "2008-310T12:34:56Z": "2008-11-05 12:34:56", "2011-05-17": "2011-05-17 00:00:00", "": None, "soon": None, "2011-02-30": None}
+    got = spark.createDataFrame([(t,) for t in cases], "t string").select("t", C.instant(F.col("t")).cast("string").alias("v")).collect()
+    assert {r["t"]: r["v"] and r["v"].ljust(19) for r in got} == cases
+
+
 def test_joins_and_pages(spark):
     left = spark.createDataFrame([(1,), (2,), (3,)], "k int")
     right = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, None)], "k int, o int, v string")
