@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import numpy as np
@@ -48,6 +49,7 @@ LABELS = frozenset(
 OTHERS = frozenset("ad ads advert advertisement sponsored promo related recommended comment comments reply replies teaser".split())
 #: Words that turn a label around, as in no-sidebar.
 TURNED = frozenset("has no not with without hide".split())
+_BEGUN = re.compile(r"<[a-zA-Z/!?]")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 SIGMA = 1.0
 #: Gaussian weights of a line's neighbours.
@@ -170,8 +172,8 @@ class Lines(HTMLParser):
         if self._in_link:
             self._linked += len(data)
 
-    def close(self) -> None:
-        super().close()
+    def end(self) -> None:
+        """Ends the last line."""
         self._end_line()
 
 
@@ -188,8 +190,13 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     page = Lines()
-    page.feed(html)
+    # behind the last ">" nothing is a whole tag: text up to the first that is begun, which the page's end drops, as browsers do.
+    # The parser would try each of them anew
+    whole = html.rfind(">") + 1
+    page.feed(html[:whole])
     page.close()
+    page.handle_data(unescape(_BEGUN.split(html[whole:], maxsplit=1)[0]))
+    page.end()
     if not any(page.kept):
         return ""
     kept = np.array(page.kept)
@@ -214,7 +221,7 @@ def main_text(html: str | None) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars: the main text of every page and its code points.
 
-    Null or empty html gives an empty text, null ids and urls stay null, repeated rows stay repeated, an empty table gives no rows,
+    A tag that the page's end breaks off is dropped. Null or empty html gives an empty text, null ids and urls stay null, repeated rows stay repeated, an empty table gives no rows,
     further columns are left out. A page is parsed whole in one task: a very long one needs some ten times its size there.
     Rows of equal ratio are treated alike, so ties need no order.
     """

@@ -45,6 +45,10 @@ def test_nothing(page):
         ("<article><table><tr><td>a<td>b<tr><td>c</table></article>", "a\nb\nc"),
         ("<article><p class=no-ads>a</p></article>", "a"),
         ("<form><article><p>a</p></article></form>", "a"),
+        ("<article><p>a &lt b<p>c < d &am", "a < b\nc < d &am"),
+        ("<article><p>a</p><p>cut <b class='x", "a\ncut"),
+        ("<article>" + "<a " * 100_000, ""),
+        ("<script>var a = 1; // <p>", ""),
         ("<aside><article><p>teaser</p></article></aside><main><p>a</p></main>", "a"),
     ],
 )
