@@ -282,20 +282,34 @@ def numbered(df: DataFrame, key: str, order: list[Column], name: str = "n") -> D
     return df.withColumn(name, F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("long"))
 
 
-def near_pairs(df: DataFrame, node: str, base: str, reach: int) -> DataFrame:
-    """a < b of boxes of one base whose x and y differ by at most ``reach``: a grid join, so near-linear in the rows.
+def linked_cells(df: DataFrame, node: str, base: str, reach: int) -> tuple[DataFrame, DataFrame]:
+    """(cells, edges) of boxes whose places, whole numbers, are near if x and y differ by at most ``reach``, some pixels.
 
-    Boxes of equal place are represented by their smallest node, which is linked with each of them.
+    Cells are ``reach`` + 1 wide, so that places of one cell are near each other; places of neighbouring cells are if the one farther
+    along an axis has the smaller offset in its cell. A cell keeps, for each column of its pixels, the lowest and the highest place: a few
+    numbers, however many boxes it holds. Linked cells of a row of cells make a run. cells: _b, _gx, _gy and _run, the smallest of the run's
+    ``node`` s, which are unique; edges: pairs a, b of runs of rows that follow each other. A box without a place is a run of its own.
     """
-    places = df.groupBy(base, "x", "y").agg(F.min(node).alias("a"))
-    stars = df.join(places, [base, "x", "y"]).select("a", F.col(node).alias("b")).filter("a <> b")
-    cell = lambda c: F.floor(F.col(c) / (reach + 1))
-    left = places.select(base, "x", "y", "a", cell("x").alias("gx"), cell("y").alias("gy"))
-    shift = F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)]))
-    right = left.select(base, F.col("x").alias("x2"), F.col("y").alias("y2"), F.col("a").alias("b"), "gx", "gy").withColumn("_dx", shift).withColumn("_dy", shift)
-    right = right.withColumns({"gx": F.col("gx") + F.col("_dx"), "gy": F.col("gy") + F.col("_dy")}).drop("_dx", "_dy")
-    close = (F.abs(F.col("x") - F.col("x2")) <= reach) & (F.abs(F.col("y") - F.col("y2")) <= reach) & (F.col("a") < F.col("b"))
-    return left.join(right, [base, "gx", "gy"]).filter(close).select("a", "b").unionByName(stars)
+    r, c = reach + 1, F.col
+    place = df.select(c(base).alias("_b"), F.floor(c("x") / r).cast("long").alias("_gx"), F.floor(c("y") / r).cast("long").alias("_gy"), F.pmod("x", F.lit(r)).cast("short").alias("_i"), F.pmod("y", F.lit(r)).cast("short").alias("_j"), c(node).alias("_a"))
+    place = place.withColumn("_lone", F.when(c("_b").isNull() | c("_i").isNull() | c("_j").isNull(), c("_a")))
+    column = lambda how: [how(F.when(c("_i") == i, c("_j"))) for i in range(r)]
+    cells = place.repartition("_b", "_gy").groupBy("_b", "_gy", "_gx", "_lone").agg(F.min("_a").alias("_a"), F.min("_i").alias("_left"), F.max("_i").alias("_right"), F.array(*column(F.min)).alias("_lo"), F.array(*column(F.max)).alias("_hi"))
+    row = Window.partitionBy("_b", "_gy").orderBy("_gx")
+    joined = (F.lag("_gx").over(row) == c("_gx") - 1) & (c("_left") < F.lag("_right").over(row)) & c("_lone").isNull()
+    cells = cells.withColumn("_n", F.count_if(~F.coalesce(joined, F.lit(False))).over(row.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    cells = cells.withColumn("_run", F.min("_a").over(Window.partitionBy("_b", "_gy", "_n")))
+    cells = cut(cells.select("_b", "_gy", "_gx", "_run", "_lo", "_hi"))
+    low, high = cells.filter("_gx IS NOT NULL"), cells.select("_b", (c("_gy") + 1).alias("_gy"), c("_gx").alias("_g"), c("_run").alias("_r"), c("_hi").alias("_h"))
+    low = low.select("_b", "_gy", "_gx", "_run", "_lo", F.array_min("_lo").alias("_low"))
+    high = high.withColumns({"_high": F.array_max("_h"), "_d": F.explode(F.array(*map(F.lit, (-1, 0, 1))))}).withColumn("_gx", c("_g") + c("_d")).drop("_g")
+    # of two cells in a slant, a column of the farther one meets those behind it
+    upto = lambda a, i, how: how(*[F.get(a, F.lit(k)) for k in range(i)]) if i > 1 else F.get(a, F.lit(0))
+    slant = lambda a, b, how, less: reduce(Column.__or__, [less(F.get(a, F.lit(i)), upto(b, i, how)) for i in range(1, r)], F.lit(False))
+    right = slant("_h", "_lo", F.least, lambda h, lo: lo < h)
+    left = slant("_lo", "_h", F.greatest, lambda lo, h: lo < h)
+    near = F.when(c("_d") == 0, c("_low") < c("_high")).when(c("_d") == 1, right).otherwise(left)
+    return cells, low.join(high, ["_b", "_gy", "_gx"]).filter(near).select(c("_run").alias("a"), c("_r").alias("b")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -323,8 +337,19 @@ def components(edges: DataFrame) -> DataFrame:
 
 def groups(df: DataFrame, node: str, base: str, reach: int) -> DataFrame:
     """``df`` with feature: the smallest node of the boxes that near ones chain together."""
-    roots = components(near_pairs(df, node, base, reach)).distinct()
-    return df.join(roots.withColumnRenamed("node", node), node, "left").withColumn("feature", F.coalesce("root", node)).drop("root")
+    cells, edges = linked_cells(df, node, base, reach)
+    roots = components(edges).withColumnRenamed("node", "_run")
+    found = cells.filter("_gx IS NOT NULL").join(roots, "_run", "left").select("_b", "_gx", "_gy", F.coalesce("root", "_run").alias("feature"))
+    at = lambda c: F.floor(F.col(c) / (reach + 1)).cast("long")
+    there = (F.col(base) == F.col("_b")) & (at("x") == F.col("_gx")) & (at("y") == F.col("_gy"))
+    return df.join(found, there, "left").withColumn("feature", F.coalesce("feature", node)).drop("_b", "_gx", "_gy")
+
+
+def count_groups(df: DataFrame, node: str, base: str, reach: int, name: str) -> DataFrame:
+    """One row: how many features groups() makes, told from the runs of cells alone."""
+    cells, edges = linked_cells(df, node, base, reach)
+    roots = components(edges).withColumnRenamed("node", "_run")
+    return cells.select("_run").distinct().join(roots, "_run", "left").agg(F.countDistinct(F.coalesce("root", "_run")).alias(name))
 
 
 def else_all(some: DataFrame, rest: DataFrame) -> DataFrame:

@@ -78,3 +78,42 @@ def test_greedy_suppression(spark):
     df = spark.createDataFrame(rows, "image int, p int, x int, y int, w int, h int").repartition(5)
     got = [tuple(r) for r in R.without_overlaps(df, "image", ["p"]).select("image", *"xywh").collect()]
     assert sorted(got) == sorted(want)
+
+
+@pytest.mark.parametrize("reach", [0, 1, 6, 8])
+def test_groups_by_cells(spark, reach):
+    """Places as dense as in large tables, at every offset in their cells, against a plain closure; rows without a place stay alone."""
+    rng = np.random.default_rng(reach)
+    side = 6 * (reach + 1)
+    rows = [(k, int(b), int(x), int(y)) for k, (b, x, y) in enumerate(zip(rng.integers(0, 12, 400), *rng.integers(-side, side, (2, 400)), strict=True))]
+    rows += [(1000 + k, 0, None, 3) for k in range(3)] + [(2000, None, 1, 1), (2001, None, 1, 1)]
+    root = {r[0]: r[0] for r in rows}
+    changed = True
+    near = [(a[0], b[0]) for a in rows for b in rows if None not in a + b and a[1] == b[1] and abs(a[2] - b[2]) <= reach and abs(a[3] - b[3]) <= reach]
+    while changed:
+        changed = False
+        for a, b in near:
+            if root[a] < root[b]:
+                root[b], changed = root[a], True
+    df = spark.createDataFrame(rows, "node long, base int, x int, y int").repartition(5)
+    assert {r["node"]: r["feature"] for r in R.groups(df, "node", "base", reach).collect()} == root
+    assert R.count_groups(df, "node", "base", reach, "n").first()["n"] == len(set(root.values()))
+
+
+def test_edges_grow_with_cells_not_with_boxes(spark):
+    """Boxes on every pixel of a frame, twenty of each: a run a row of cells, and an edge between two rows."""
+    df = spark.range(20 * 90 * 90).selectExpr("id AS node", "1 AS base", "id % 90 AS x", "id DIV 90 % 90 AS y")
+    cells, edges = R.linked_cells(df, "node", "base", 8)
+    assert cells.count() == 100 and edges.count() == 9
+
+
+def test_dashboard_writes_no_rows(spark, monkeypatch):
+    """What is written down are cells, counts and links: fewer rows than candidates."""
+    from selenite.plans import features
+
+    written, real = [], R.cut
+    keep = lambda df: written.append(real(df)) or written[-1]
+    monkeypatch.setattr(R, "cut", keep)
+    monkeypatch.setattr(features, "cut", keep)
+    features.Q["dashboard_stats"](spark, DATA)
+    assert written and not any({"x", "y"} & set(df.columns) for df in written)
