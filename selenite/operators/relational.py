@@ -191,16 +191,17 @@ def touching(boxes: DataFrame, marks: DataFrame, on: str, condition: Column, how
 
     Boxes lie in the grid of their size class, a box in the cell of its corner; a mark goes, in every class that there is, to the
     cells in which a box that touches it may start. So one large box makes no more cells for the small ones. Cells are 2 ** ``least``
-    wide at least.
+    wide at least. Equal marks are one. Dealt marks are many times their files, by which Spark would broadcast them: both sides
+    are shuffled and sorted instead, and nothing of them passes the driver.
     """
     own = _class(F.col("w"), F.col("h"), least)
     classes = boxes.select(own.alias("k")).agg(F.collect_set("k")).scalar()  # some twenty numbers at most
     cell = lambda c, k: F.floor(c / F.pow(F.lit(2.0), k)).cast("long")
     k = F.col("_k")
     reach = lambda p, n: F.sequence(cell(F.col(p) - F.pow(F.lit(2.0), k), k), cell(F.col(p) + F.col(n), k))
-    dealt = marks.withColumnRenamed(on, "_on").withColumn("_k", F.explode(classes)).withColumn("_mx", F.explode(reach("mx", "mw"))).withColumn("_my", F.explode(reach("my", "mh")))
+    dealt = marks.distinct().withColumnRenamed(on, "_on").withColumn("_k", F.explode(classes)).withColumn("_mx", F.explode(reach("mx", "mw"))).withColumn("_my", F.explode(reach("my", "mh")))
     there = (F.col(on) == F.col("_on")) & (own == k) & (cell(F.col("x"), own) == F.col("_mx")) & (cell(F.col("y"), own) == F.col("_my"))
-    return boxes.join(dealt, there & condition, how)
+    return boxes.join(dealt.hint("merge"), there & condition, how)
 
 
 def overlapping(boxes: DataFrame, on: str, most: float) -> DataFrame:

@@ -117,3 +117,19 @@ def test_dashboard_writes_no_rows(spark, monkeypatch):
     monkeypatch.setattr(features, "cut", keep)
     features.Q["dashboard_stats"](spark, DATA)
     assert written and not any({"x", "y"} & set(df.columns) for df in written)
+
+
+@pytest.mark.parametrize("name", ["overlay_anti_join", "semi_hit"])
+def test_dealt_marks_are_not_broadcast(spark, name):
+    plan = registry.QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
+def test_equal_marks_and_copies(spark):
+    """Many equal marks and boxes: every box is judged, each row once."""
+    boxes = spark.createDataFrame([(k % 2, k, 10 * (k % 7), 0, 5, 5) for k in range(100)], "frame int, id int, x int, y int, w int, h int")
+    marks = spark.createDataFrame([(0, 10, 0, 40, 40)] * 50, "frame int, mx int, my int, mw int, mh int")
+    inside = (F.col("x") >= F.col("mx")) & (F.col("x") < F.col("mx") + F.col("mw"))
+    hit = {k for k in range(100) if k % 2 == 0 and 10 <= 10 * (k % 7) < 50}
+    for how, want in (("left_semi", hit), ("left_anti", set(range(100)) - hit)):
+        assert sorted(r["id"] for r in R.touching(boxes, marks, "frame", inside, how).collect()) == sorted(want)
