@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 #: Frame that derived boxes lie in.
 WIDE = HIGH = 1000
@@ -31,6 +31,12 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(BOXES.replace("FROM lineitem", "FROM {lineitem}"), lineitem=table(spark, sf_dir, "lineitem"))
 
 
+def boxes_by(spark: SparkSession, sf_dir: str, name: str, key: Column) -> DataFrame:
+    """Boxes with a key made from their lines' columns, dealt by it: the lines travel, which are narrower than what is derived from them."""
+    lines = table(spark, sf_dir, "lineitem").withColumn(name, key).repartition(name)
+    return spark.sql(BOXES.replace("FROM lineitem", f", {name} FROM {{lineitem}}"), lineitem=lines)
+
+
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as a raster of 100 columns: y, x, v."""
     return table(spark, sf_dir, "events").selectExpr("CAST(event_id DIV 100 AS INT) AS y", "CAST(event_id % 100 AS INT) AS x", "value AS v")

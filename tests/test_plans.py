@@ -146,3 +146,17 @@ def test_survivors_are_rounded_once(spark, tmp_path):
     spark.createDataFrame([(1, low)], "o_orderkey long, o_totalprice double").write.parquet(str(tmp_path / "orders.parquet"))
     assert tuple(registry.QUERIES["fdr_survivors"](spark, str(tmp_path)).first()) == (1, 1)
     assert registry.QUERIES["fdr_q"](spark, str(tmp_path)).first()["fdr_q"] == 0.0505
+
+
+@pytest.mark.parametrize("name", ["insights", "enriched_features", "category_histogram"])
+def test_lines_travel_not_what_is_derived(spark, name, monkeypatch):
+    """Features are made of lines dealt once by feature: one exchange below them, and it holds no sets, structs or names."""
+    from selenite.functions import phrases
+
+    seen = []
+    monkeypatch.setattr(phrases, "cut", lambda df: seen.append(df) or df)
+    df = registry.QUERIES[name](spark, DATA)
+    plan = (seen or [df])[0]._jdf.queryExecution().executedPlan().toString().splitlines()
+    dealt = [line for line in plan if "Exchange hashpartitioning(feature" in line]
+    assert len(dealt) == 1 and "REPARTITION" in dealt[0]
+    assert not seen or not {"flags", "bands", "polarities"} & set(seen[0].columns)
