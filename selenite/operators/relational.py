@@ -168,13 +168,16 @@ def first_hit(left: DataFrame, sources: list[tuple[DataFrame, str]], key: Column
 
 
 def nearby(left: DataFrame, right: DataFrame, on: list[str], reach: tuple[float, float], how: str, condition: Column, x: str = "x", y: str = "y", other: str = "o_") -> DataFrame:
-    """Joins rows of ``left`` with those of ``right`` (columns prefixed by ``other``) whose places can be within ``reach``, on equal
-    ``on`` columns and grid cells as wide as the reach; ``condition`` decides. The rows of the right side are dealt to nine cells."""
-    cell = lambda c, r: F.floor(F.col(c) / (r + 1)).cast("long")
-    cells = left.withColumns({"_gx": cell(x, reach[0]), "_gy": cell(y, reach[1])})
-    step = F.array(*map(F.lit, (-1, 0, 1)))
-    dealt = right.withColumns({"_ox": cell(other + x, reach[0]), "_oy": cell(other + y, reach[1])}).withColumn("_dx", F.explode(step)).withColumn("_dy", F.explode(step))
-    dealt = dealt.select(*right.columns, (F.col("_ox") + F.col("_dx")).alias("_gx"), (F.col("_oy") + F.col("_dy")).alias("_gy"))
+    """Joins distinct rows of ``left`` with distinct ones of ``right`` (columns prefixed by ``other``) whose places can be within ``reach``,
+    on equal ``on`` columns and grid cells; ``condition`` decides.
+
+    Cells are four times as wide as the reach, and a row of the right side goes to those that its reach meets, mostly one or two.
+    Rows are dealt once: equal ones are dropped where they meet.
+    """
+    cell = lambda c, r, by=0: F.floor((F.col(c) + by * r) / (4 * (r + 1))).cast("long")
+    span = lambda c, r: F.explode(F.sequence(cell(c, r, -1), cell(c, r, 1)))
+    cells = left.withColumns({"_gx": cell(x, reach[0]), "_gy": cell(y, reach[1])}).repartition(*on, "_gx", "_gy").distinct()
+    dealt = right.withColumn("_gx", span(other + x, reach[0])).withColumn("_gy", span(other + y, reach[1])).repartition(*[other + c for c in on], "_gx", "_gy").distinct()
     keys = [F.col(c) == F.col(other + c) for c in on]
     both = cells.alias("l").join(dealt.alias("r"), reduce(Column.__and__, [*keys, F.col("l._gx") == F.col("r._gx"), F.col("l._gy") == F.col("r._gy"), condition]), how)
     return both.drop("_gx", "_gy")

@@ -160,3 +160,18 @@ def test_lines_travel_not_what_is_derived(spark, name, monkeypatch):
     dealt = [line for line in plan if "Exchange hashpartitioning(feature" in line]
     assert len(dealt) == 1 and "REPARTITION" in dealt[0]
     assert not seen or not {"flags", "bands", "polarities"} & set(seen[0].columns)
+
+
+def test_neighbours_are_dealt_sparingly(spark):
+    """Places on and beside the borders of cells, negative ones, copies: each pair once; the dealt side is under three times its rows."""
+    rng = np.random.default_rng(5)
+    rows = [(int(k % 3), k, int(x), int(y)) for k, (x, y) in enumerate(rng.integers(-120, 260, (300, 2)))]
+    a = spark.createDataFrame(rows + rows[:50], "stem int, id int, x int, y int")
+    b = a.select(*[F.col(c).alias("o_" + c) for c in a.columns])
+    close = (F.abs(F.col("x") - F.col("o_x")) <= 24) & (F.abs(F.col("y") - F.col("o_y")) <= 24)
+    joined = R.nearby(a, b, ["stem"], (24, 24), "inner", close)
+    got = sorted((r["id"], r["o_id"]) for r in joined.collect())
+    assert got == sorted((p[1], q[1]) for p in rows for q in rows if p[0] == q[0] and abs(p[2] - q[2]) <= 24 and abs(p[3] - q[3]) <= 24)
+    assert R.nearby(a.limit(0), b, ["stem"], (24, 24), "right", F.lit(True)).count() < 3 * len(rows)
+    plan = registry.QUERIES["sibling_matches"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 2 and plan.count("Exchange hashpartitioning(stem") == 1
