@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from test_operators import DOCS
 
@@ -65,3 +66,16 @@ def test_toxicity_sample_is_bounded(spark):
     labels = spark.createDataFrame([(i, 0 if i % 2 else 1) for i in ids] * 3 + [(None, 1), (ids[0], None)], "doc_id long, toxic int")
     model = toxicity.fit(docs, labels)
     assert model.score("zorg") >= toxicity.CUT > model.score("bel")
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """A word that only toxic documents beyond the 3000 smallest id hashes hold, and one in a long text alone, are learned too."""
+    ids = spark.range(14_000).filter(~langid.held_out(F.col("id"), 3, 1)).select(F.col("id").alias("doc_id"), (F.col("id") % 2 == 0).cast("int").alias("toxic"), F.xxhash64("id").alias("h"))
+    late = F.row_number().over(Window.partitionBy("toxic").orderBy("h")) > 3000
+    bad = F.when(F.col("toxic") == 0, "bel").when(late, "zorg").otherwise("kwak")
+    filler = F.concat_ws(" ", *[F.concat(F.lit("w"), F.pmod(F.xxhash64("doc_id", F.lit(k)), F.lit(50)).cast("string")) for k in range(5)])
+    docs = ids.select("doc_id", F.concat_ws(" ", bad, filler).alias("text"), F.lit("en").alias("lang"))
+    long = spark.range(20_000, 20_060).filter(~langid.held_out(F.col("id"), 3, 1)).select(F.col("id").alias("doc_id"), F.concat(F.lit("mord "), F.repeat(F.lit("w1 "), 70_000)).alias("text"), F.lit("en").alias("lang"))
+    labels = ids.select("doc_id", "toxic").unionByName(long.select("doc_id", F.lit(1).alias("toxic")))
+    model = toxicity.fit(docs.unionByName(long), labels)
+    assert all(model.score(t) >= toxicity.CUT for t in ("zorg w1 w2", "kwak w3 w4", "mord w1 w2")) and model.score("bel w1 w2") < toxicity.CUT
