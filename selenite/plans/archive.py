@@ -54,10 +54,11 @@ def readme_fields(spark, d):
         F.lit("PROJECT NAME\n  "), name, F.lit("\nHIRISE SOURCE IMAGES\n"), F.when(n % 5 != 0, F.concat(F.lit("  PSP_00"), p, F.lit("_1410\n  PSP_01"), p, F.lit("_1410\n"))).otherwise("none\n"), F.lit("The post spacing in DTM is "), (n / 4.0).cast("string"), F.lit(" m.\nVALID_MINIMUM = "), F.format_string("%.2f", -F.col("p_retailprice")), F.lit(" m\nVALID_MAXIMUM = "), F.format_string("%.2f", F.col("p_retailprice")),
         F.lit(" m\nTotal RMS ==> 0.11643 px\nRMS x ==> "), (n / 10.0).cast("string"), F.lit(" m\nRMS y ==> "), (n / 5.0).cast("string"), F.lit(" m\nMean difference from MOLA 2.5 m, standard deviation 6.486.\nSOCET SET 5.6 was used.\n"), F.when(n % 2 == 0, "There are CCD seams.").otherwise(""),
     )
-    g = G.from_readme(F.col("t"))
-    t = table(spark, d, "part").select("p_partkey", text.alias("t"))
-    numbers = [C.rounded(g[c], 5 if c == "rms_total_px" else 4).alias(c) for c in (*G.README, "longitude", "latitude")]
-    return t.select("p_partkey", *numbers, g["software"].alias("software"), g["project"].alias("project"), F.array_join(g["source_images"], ",").alias("source_images"), F.array_join(g["known_artifacts"], ",").alias("known_artifacts"))
+    # a few bytes a part become a text to be read: rows are dealt out, as their small file is one task
+    p = table(spark, d, "part").select("p_partkey", "p_size", "p_retailprice").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+    g = G.with_fields(p.select("p_partkey", text.alias("t")), "t")
+    numbers = [C.rounded(F.col(c), 5 if c == "rms_total_px" else 4).alias(c) for c in (*G.README, "longitude", "latitude")]
+    return g.select("p_partkey", *numbers, "software", "project", F.array_join("source_images", ",").alias("source_images"), F.array_join("known_artifacts", ",").alias("known_artifacts"))
 
 
 @query("""SELECT o_orderkey, coalesce(first_value(v IGNORE NULLS) OVER w, -1) AS truth FROM (SELECT o_orderkey, CASE WHEN o_orderpriority LIKE '1%' THEN o_totalprice END AS v, o_custkey FROM orders)

@@ -175,3 +175,9 @@ def test_neighbours_are_dealt_sparingly(spark):
     assert R.nearby(a.limit(0), b, ["stem"], (24, 24), "right", F.lit(True)).count() < 3 * len(rows)
     plan = registry.QUERIES["sibling_matches"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REPARTITION_BY_COL") == 2 and plan.count("Exchange hashpartitioning(stem") == 1
+
+
+def test_readmes_are_dealt_and_flattened_once(spark):
+    """Rows of a small file are dealt out before their texts are made, and a text is made one line once, not for each field."""
+    plan = registry.QUERIES["readme_fields"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(p_partkey" in plan and plan.count("regexp_replace") == 1
