@@ -114,6 +114,31 @@ def quantiles(df: DataFrame, value: Column, shares: dict[str, float]) -> DataFra
     return found.select(*[between(name, q).alias(name) for name, q in shares.items()])
 
 
+def quantiles_by(df: DataFrame, keys: list[str], value: Column, shares: dict[str, float], margin: float = 0.0005) -> DataFrame:
+    """``keys`` and exact quantiles by name of the rows of each of them, as quantiles() has them of all rows; keys have one broadcast row each.
+
+    Approximate quantiles a little below and above each share cut a key's values into ranges, which are counted; only those that
+    hold a wanted rank, mostly the narrow ones, are looked at value by value.
+    """
+    c = F.col
+    values = df.select(*keys, value.alias("_v")).filter("_v IS NOT NULL")
+    near = sorted({min(max(q + s * margin, 0.0), 1.0) for q in shares.values() for s in (-1, 1)})
+    cuts = values.groupBy(*keys).agg(F.percentile_approx("_v", near, 10_000).alias("_cuts"))
+    ranged = values.join(F.broadcast(cuts), keys).select(*keys, "_v", F.size(F.filter("_cuts", lambda x: x < c("_v"))).alias("_part"))
+    key = Window.partitionBy(*keys)
+    heads = ranged.groupBy(*keys, "_part").agg(F.count("*").alias("_n"))  # a few rows a key
+    heads = cut(heads.withColumns({"_total": F.sum("_n").over(key), "_from": F.coalesce(F.sum("_n").over(key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))}))
+    at = lambda q: (c("_total") - 1) * F.lit(q)
+    wanted = F.array(*[F.struct(F.lit(f"{name}_{side}").alias("name"), f(at(q)).alias("rank")) for name, q in shares.items() for side, f in (("low", F.floor), ("high", F.ceil))])
+    held = F.filter(wanted, lambda w: (w["rank"] >= c("_from")) & (w["rank"] < c("_from") + c("_n")))
+    picks = heads.select(*keys, "_part", "_from", "_total", F.explode(held).alias("w")).select(*keys, "_part", "_from", "_total", "w.*")
+    single = ranged.join(F.broadcast(picks.select(*keys, "_part").distinct()), [*keys, "_part"]).groupBy(*keys, "_part", "_v").agg(F.count("*").alias("_k"))
+    upto = single.withColumn("_upto", F.sum("_k").over(Window.partitionBy(*keys, "_part").orderBy("_v")))
+    found = upto.join(F.broadcast(picks), [*keys, "_part"]).filter(c("_from") + c("_upto") > c("rank"))
+    found = found.groupBy(*keys, "_total", "name").agg(F.min("_v").alias("_v")).groupBy(*keys, "_total").agg(*[F.max(F.when(c("name") == f"{n}_{side}", c("_v"))).alias(f"{n}_{side}") for n in shares for side in ("low", "high")])
+    return found.select(*keys, *[(c(f"{n}_low") + (c(f"{n}_high") - c(f"{n}_low")) * (at(q) - F.floor(at(q)))).alias(n) for n, q in shares.items()])
+
+
 def page(df: DataFrame, order: list[Column], offset: int, limit: int) -> DataFrame:
     return df.orderBy(*order).offset(offset).limit(limit)
 

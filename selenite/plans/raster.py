@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import relational as R
+from ..raster import bands as B
 from ..raster import cells as X
 from ..raster import evidence as E
 from ..raster import kernels as K
-from ..raster.spark import array_of, assembled, per_image
+from ..raster.spark import assembled, per_image
 from ..session import cut
 from ..sources.tables import BOXES, boxes, cells, frames, table
 from .relational import rnd
@@ -170,6 +171,11 @@ def _images(spark, d):
     return assembled(e, "label")
 
 
+def _lines(spark, d):
+    """Each label's vectors as the lines of an image, for kernels that go by bands of lines."""
+    return B.lined(table(spark, d, "embeddings"), "label", "vec_id", "embedding")
+
+
 @query()
 def kernel_measures(spark, d):
     """Grid energy, roundness and median persistence of each image."""
@@ -218,17 +224,8 @@ def kernel_nms(spark, d):
 
 @query()
 def kernel_compare(spark, d):
-    """Renderings of a footprint against its reference, the one of the smallest id; grouped, so that each is decoded once."""
-
-    def run(f):
-        import pandas as pd
-
-        images = [(int(r.image_id), array_of(r)) for r in f.sort_values("image_id").rename(columns={"values": "values_"}).itertuples()]
-        rows = [{"footprint": int(f["footprint"].iloc[0]), "image_id": i} | {k: v for k, v in E.compared(images[0][1], a).items() if k != "persistence"} for i, a in images[1:]]
-        return pd.DataFrame(rows, columns=["footprint", "image_id", "dx", "dy", "trusted", "mean_abs", "max_abs", "p95", "likeness", "verdict"])
-
-    images = _images(spark, d).withColumn("footprint", F.floor(F.col("image_id") / 2))
-    return images.groupBy("footprint").applyInPandas(run, "footprint long, image_id long, dx int, dy int, trusted boolean, mean_abs double, max_abs double, p95 double, likeness double, verdict string")
+    """Renderings of a footprint against its reference, the one of the smallest id."""
+    return B.compared(_lines(spark, d), F.floor(F.col("image_id") / 2))
 
 
 @query()
