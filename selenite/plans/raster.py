@@ -179,12 +179,7 @@ def _lines(spark, d):
 @query()
 def kernel_measures(spark, d):
     """Grid energy, roundness and median persistence of each image."""
-
-    def run(a):
-        h, w = a.shape
-        return [{"grid_energy": K.grid_energy(a), "roundness": K.roundness(a), "persistence": K.median_persistence(a, (w // 4, h // 4, w // 2, h // 2)), "flagged": K.text_lines(a)["flagged"]}]
-
-    return per_image(_images(spark, d), run, "image_id long, grid_energy double, roundness double, persistence double, flagged boolean")
+    return B.measures(_lines(spark, d))
 
 
 @query()

@@ -86,6 +86,79 @@ def resized(lines: DataFrame, facts: DataFrame, before: Callable[[np.ndarray, pd
     return dealt.groupBy("image_id", "_band").applyInPandas(run, "image_id long, y int, values array<double>")
 
 
+def _moments(name: str) -> list[Column]:
+    return [F.sum(f"{name}_{c}_{s}").alias(f"{name}_{c}_{s}") for c in ("in", "out") for s in "nsq"]
+
+
+def _contrast(r, name: str) -> float:
+    """kernels.box_contrast() from the counts, sums and squares, less the image's mean, in and out of the box."""
+    n, m = r[f"{name}_in_n"], r[f"{name}_out_n"]
+    if not n or not m:
+        return 0.0
+    out = r[f"{name}_out_s"] / m
+    return abs(r[f"{name}_in_s"] / n - out) / (np.sqrt(max(0.0, r[f"{name}_out_q"] / m - out**2)) + 1e-6)
+
+
+def measures(lines: DataFrame, cap: int = 256, most_side: int = 1600, tall: int = TALL) -> DataFrame:
+    """image_id, grid_energy, roundness, persistence of the middle box and flagged (captions), as kernels.py has them of a whole image.
+
+    Whole in one task are at most ``cap`` x ``cap`` pixels for the spectrum, and ``most_side`` x ``most_side`` for the captions.
+    """
+    c = F.col
+    values = pixels(lines)
+    q = R.quantiles_by(values, ["image_id"], c("v"), {"low": 0.01, "mid": 0.5, "high": 0.99})
+    facts = sizes(lines).join(values.groupBy("image_id").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std")), "image_id").join(q, "image_id")
+    side = F.greatest("height", "width")
+    small = F.least(F.lit(1.0), F.lit(float(most_side)) / side)
+    shrunk = lambda n: F.when(c("small") < 1, F.greatest(F.lit(8), F.floor(c(n) * c("small")).cast("int"))).otherwise(c(n))
+    facts = facts.withColumns({"step": F.greatest(F.lit(1), F.ceil(side / cap).cast("int")), "small": small})
+    facts = cut(facts.withColumns({"to_height": shrunk("height"), "to_width": shrunk("width")}))
+
+    def band(a: np.ndarray, own: int, top: int, r: pd.Series) -> dict:
+        core = slice(own, own + tall)
+        m, edge = K.opened(np.abs(a - r["mid"]) > 1.5 * (r["std"] + 1e-6))
+        box = np.zeros(a.shape, bool)
+        y0 = r["height"] // 4 - top + own
+        box[max(0, y0) : max(0, y0 + r["height"] // 2), r["width"] // 4 : r["width"] // 4 + r["width"] // 2] = True
+        out = {"area": int(m[core].sum()), "edge": int(edge[core].sum())}
+        for name, v in (("before", a), ("after", K.median5(a))):
+            for part, inside in (("in", box[core]), ("out", ~box[core])):
+                d = v[core][inside] - r["mean"]
+                out |= {f"{name}_{part}_n": d.size, f"{name}_{part}_s": d.sum(), f"{name}_{part}_q": (d**2).sum()}
+        return out
+
+    sums = ", ".join(f"{n}_{p}_n long, {n}_{p}_s double, {n}_{p}_q double" for n in ("before", "after") for p in ("in", "out"))
+    told = per_band(lines, facts, 3, band, f"image_id long, area long, edge long, {sums}", tall)
+    told = told.groupBy("image_id").agg(F.sum("area").alias("area"), F.sum("edge").alias("edge"), *_moments("before"), *_moments("after"))
+
+    def spectrum(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+        a = array_of(f)
+        return pd.DataFrame({"image_id": [key[0]], "grid_energy": [K.grid_energy(a[:, :: f["step"].iloc[0]], cap)]})
+
+    thin = lines.join(F.broadcast(facts), "image_id").filter(c("y") % c("step") == 0).groupBy("image_id").applyInPandas(spectrum, "image_id long, grid_energy double")
+
+    def grey(a: np.ndarray, r: pd.Series) -> np.ndarray:
+        v = np.clip((a - r["low"]) * (255.0 / (r["high"] - r["low"])), 0, 255) if r["high"] - r["low"] >= 1e-6 else np.zeros(a.shape)
+        return np.floor(v) if r["small"] < 1 else v
+
+    def captions(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+        a, r = array_of(f), f.iloc[0]
+        found = K.text_in(np.rint(a) if r["small"] < 1 else a, float(r["small"]), int(r["height"]), int(r["width"]))
+        return pd.DataFrame({"image_id": [key[0]], "flagged": [found["flagged"]]})
+
+    text = resized(lines, facts, grey, tall).join(F.broadcast(facts.select("image_id", "small", "height", "width")), "image_id")
+    text = text.groupBy("image_id").applyInPandas(captions, "image_id long, flagged boolean")
+
+    def rows(frames):
+        for f in frames:
+            before = f.apply(_contrast, axis=1, args=("before",), result_type="reduce")
+            after = f.apply(_contrast, axis=1, args=("after",), result_type="reduce")
+            kept = [round(float(np.clip(a / b, 0, 1)), 3) if b > 0 else 0.0 for a, b in zip(after, before, strict=True)]
+            yield pd.DataFrame({"image_id": f["image_id"], "grid_energy": f["grid_energy"], "roundness": [K.round_of(m, e) for m, e in zip(f["area"], f["edge"], strict=True)], "persistence": kept, "flagged": f["flagged"]})
+
+    return told.join(thin, "image_id").join(text, "image_id").mapInPandas(rows, "image_id long, grid_energy double, roundness double, persistence double, flagged boolean")
+
+
 def _unit() -> Column:
     """evidence.unit() of each value of a line, with the percentiles p and q beside it."""
     scaled = lambda v: F.greatest(F.lit(0.0), F.least(F.lit(1.0), (v - F.col("p")) / F.greatest(F.col("q") - F.col("p"), F.lit(1e-6))))

@@ -80,3 +80,15 @@ def test_kernel_compare_goes_by_bands(spark, monkeypatch):
     seen, real = [], B.resized
     monkeypatch.setattr(B, "resized", lambda *a, **k: seen.append(1) or real(*a, **k))
     assert registry.QUERIES["kernel_compare"](spark, "/root/testdata/sf0.001").count() == 5 and seen
+
+
+@pytest.mark.parametrize(("cap", "most_side"), [(256, 1600), (24, 40)])
+def test_measures_by_bands(lines, images, cap, most_side):
+    """With and without a thinned spectrum and a smaller copy for captions."""
+    got = by_image(B.measures(lines, cap, most_side, TALL))
+    assert set(got) == set(images)
+    for k, a in images.items():
+        a = a.astype(np.float64)
+        h, w = a.shape
+        box = (w // 4, h // 4, w // 2, h // 2)
+        assert got[k] == {"image_id": k, "grid_energy": K.grid_energy(a, cap), "roundness": K.roundness(a), "persistence": K.median_persistence(a, box), "flagged": K.text_lines(a, most_side)["flagged"]}
