@@ -9,7 +9,6 @@ from ..functions import columns as C
 from ..operators import relational as R
 from ..raster import bands as B
 from ..raster import cells as X
-from ..raster import evidence as E
 from ..raster import kernels as K
 from ..raster.spark import assembled, per_image
 from ..session import cut
@@ -192,7 +191,7 @@ def kernel_phase_shift(spark, d):
 
 @query()
 def kernel_detect(spark, d):
-    return per_image(_images(spark, d), lambda a: K.detect(a, (1,), 2.5, 3), "image_id long, x int, y int, w int, h int, fill double, score double, scale int")
+    return B.detected(_lines(spark, d), 2.5, 3).select("image_id", *"xywh", "fill", "score", F.lit(1).alias("scale"))
 
 
 @query()
@@ -226,9 +225,4 @@ def kernel_compare(spark, d):
 @query()
 def kernel_evidence(spark, d):
     """The best box of each image with its measurements, flags' inputs and shape."""
-    kept = ("x", "y", "w", "h", "score", "polarity", "contrast", "grid_energy", "edge_sharpness", "contrast_stability", "roundness", "persistence")
-
-    def run(a):
-        return [{k: r.get(k) for k in kept} for r in E.analysed((a - a.min()) / (a.max() - a.min() + 1e-9) * 255, 1, (1,), z=2.5, least=3)]
-
-    return per_image(_images(spark, d), run, "image_id long, x int, y int, w int, h int, score double, polarity string, contrast double, grid_energy double, edge_sharpness double, contrast_stability double, roundness double, persistence double")
+    return B.evidence(_lines(spark, d), 2.5, 3)

@@ -214,3 +214,69 @@ def compared(lines: DataFrame, group: Column, most_shift: float = 0.15, tall: in
             yield pd.DataFrame(made, columns=["footprint", "image_id", "dx", "dy", "trusted", "mean_abs", "max_abs", "p95", "likeness", "verdict"])
 
     return told.mapInPandas(rows, "footprint long, image_id long, dx int, dy int, trusted boolean, mean_abs double, max_abs double, p95 double, likeness double, verdict string")
+
+
+def detected(lines: DataFrame, z: float, least: int, stretch: bool = False, tall: int = TALL) -> DataFrame:
+    """Boxes of connected local outliers of each image at its own scale: image_id, label (their first cell), x, y, w, h, fill, score, as
+    kernels.detect() has them of a whole image, whatever its size. ``stretch``: greys are brought to 0-255 first.
+
+    A band's components are pieces, told by their first cell; a band looks one line into the next one, and pieces that share a cell
+    there are linked. So only numbers of pieces and cells of border lines leave a task.
+    """
+    c = F.col
+    facts = sizes(lines).join(pixels(lines).groupBy("image_id").agg(F.min("v").alias("low"), F.max("v").alias("high")), "image_id")
+
+    def detail(a: np.ndarray, r: pd.Series) -> np.ndarray:
+        a = E.greys(a, r["low"], r["high"]) if stretch else a
+        return np.abs(a - K.box_blur(a, 9))
+
+    def sums(a: np.ndarray, own: int, top: int, r: pd.Series) -> dict:
+        d = detail(a, r)[own : own + tall]
+        return {"n": d.size, "s": d.sum(), "q": ((d - d.mean()) ** 2).sum() + d.size * d.mean() ** 2}
+
+    told = per_band(lines, facts, 4, sums, "image_id long, n long, s double, q double", tall).groupBy("image_id").agg(F.sum("n").alias("n"), (F.sum("s") / F.sum("n")).alias("mean"), F.sum("q").alias("q"))
+    facts = cut(facts.join(told.select("image_id", "mean", F.sqrt(F.greatest(F.lit(0.0), c("q") / c("n") - c("mean") ** 2)).alias("std")), "image_id"))
+    columns = ["piece", "cell", "over", "n", "x0", "x1", "y0", "y1", "s"]
+
+    def pieces(a: np.ndarray, own: int, top: int, r: pd.Series) -> pd.DataFrame:
+        score = ((detail(a, r) - r["mean"]) / (r["std"] + 1e-6))[own : own + tall + 1]
+        high, wide = score.shape
+        label = K.components(score > z)
+        y, x = np.nonzero(label)
+        f = pd.DataFrame({"piece": label[y, x].astype(np.int64) - 1 + top * wide, "y": y + top, "x": x, "s": score[y, x]})
+        f["cell"] = f["y"].astype(np.int64) * wide + f["x"]
+        mine = f[f["y"] < top + tall].groupby("piece").agg(n=("s", "size"), x0=("x", "min"), x1=("x", "max"), y0=("y", "min"), y1=("y", "max"), s=("s", "sum")).reset_index()
+        links = [f.loc[f["y"] == at, ["piece", "cell"]].assign(over=over) for at, over in ((top, False), (top + tall, True)) if at]
+        return pd.concat([mine, *links]).reindex(columns=columns)
+
+    made = cut(per_band(lines, facts, 5, pieces, "image_id long, piece long, cell long, over boolean, n long, x0 int, x1 int, y0 int, y1 int, s double", tall))
+    node = F.struct("image_id", "piece")
+    side = lambda over, name: made.filter(c("cell").isNotNull() & (c("over") == over)).select("image_id", "cell", node.alias(name))
+    roots = R.components(side(True, "a").join(side(False, "b"), ["image_id", "cell"]).select("a", "b").distinct())
+    whole = made.filter("n > 0").withColumn("node", node).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    whole = whole.groupBy("root").agg(F.sum("n").alias("n"), F.min("x0").alias("x"), F.min("y0").alias("y"), (F.max("x1") - F.min("x0") + 1).alias("w"), (F.max("y1") - F.min("y0") + 1).alias("h"), F.sum("s").alias("s")).filter(c("n") >= least)
+    boxes = whole.select("root.image_id", c("root.piece").alias("label"), *"xywh", F.round(c("n") / (c("w") * c("h")), 3).alias("fill"), F.round(c("s") / c("n"), 3).alias("score"))
+    return R.without_overlaps(boxes, "image_id", ["label"])
+
+
+def evidence(lines: DataFrame, z: float, least: int, tall: int = TALL) -> DataFrame:
+    """The best box of each image with its evidence, greys brought to 0-255, as evidence.analysed() has it of a whole image.
+
+    Whole in one task is the best box with its surroundings.
+    """
+    c = F.col
+    best = R.keep_best(detected(lines, z, least, True, tall), ["image_id"], [F.desc("score"), c("label")])
+    grey = pixels(lines).groupBy("image_id").agg(F.min("v").alias("low"), F.max("v").alias("high"))
+    best = cut(best.join(grey, "image_id").withColumn("m", F.floor(F.greatest("w", "h") / 2).cast("int")))
+    best = best.withColumns({"bx": c("x") - F.greatest(F.lit(0), c("x") - c("m")), "by": c("y") - F.greatest(F.lit(0), c("y") - c("m"))})
+    rows = lines.withColumnRenamed("y", "_y").join(F.broadcast(best), "image_id").filter((c("_y") >= c("y") - c("m")) & (c("_y") < c("y") + c("h") + c("m")))
+    rows = rows.withColumn("values", F.slice("values", c("x") - c("bx") + 1, c("bx") + c("w") + c("m")))
+    kept = ("x", "y", "w", "h", "score", "polarity", "contrast", "grid_energy", "edge_sharpness", "contrast_stability", "roundness", "persistence")
+
+    def run(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+        r = f.iloc[0]
+        part = E.greys(array_of(f.drop(columns="y").rename(columns={"_y": "y"})), r["low"], r["high"])
+        shown = E.shown(part, tuple(int(r[n]) for n in ("bx", "by", "w", "h")))
+        return pd.DataFrame([{n: r[n] if n in ("x", "y", "w", "h", "score") else shown.get(n) for n in kept}]).assign(image_id=key[0])
+
+    return rows.groupBy("image_id").applyInPandas(run, "image_id long, x int, y int, w int, h int, score double, polarity string, contrast double, grid_energy double, edge_sharpness double, contrast_stability double, roundness double, persistence double")

@@ -92,3 +92,19 @@ def test_measures_by_bands(lines, images, cap, most_side):
         h, w = a.shape
         box = (w // 4, h // 4, w // 2, h // 2)
         assert got[k] == {"image_id": k, "grid_energy": K.grid_energy(a, cap), "roundness": K.roundness(a), "persistence": K.median_persistence(a, box), "flagged": K.text_lines(a, most_side)["flagged"]}
+
+
+@pytest.mark.parametrize("name", ["kernel_detect", "kernel_evidence"])
+def test_boxes_by_bands(lines, images, name):
+    """Components across bands are one; boxes and the best one's evidence are those of whole images."""
+    if name == "kernel_detect":
+        got = sorted((r["image_id"], r["x"], r["y"], r["w"], r["h"], r["fill"], r["score"]) for r in B.detected(lines, 2.5, 3, tall=TALL).collect())
+        want = sorted((k, *(r[c] for c in ("x", "y", "w", "h", "fill", "score"))) for k, a in images.items() for r in K.detect(a.astype(np.float64), (1,), 2.5, 3))
+        assert got == want and max(r[4] for r in got) > 2 * TALL
+        return
+    got = by_image(B.evidence(lines, 2.5, 3, TALL))
+    assert set(got) == set(images)
+    for k, a in images.items():
+        a = a.astype(np.float64)
+        want = E.analysed(E.greys(a, a.min(), a.max()), 1, (1,), z=2.5, least=3)[0]
+        assert all(v == want.get(n) for n, v in got[k].items() if n != "image_id")
