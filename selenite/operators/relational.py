@@ -254,27 +254,62 @@ def overlapping(boxes: DataFrame, on: str, most: float) -> DataFrame:
     return both.filter(begins & large).select(F.when(first, c("_id")).otherwise(c("o_id")).alias("a"), F.when(first, c("o_id")).otherwise(c("_id")).alias("b"))
 
 
-def without_overlaps(boxes: DataFrame, on: str, order: list[str], most: float = 0.5) -> DataFrame:
+def _stages(ranked: DataFrame, on: str, first: int) -> tuple[Column, int]:
+    """(stage from 0, last stage) of boxes by their priority _p: about ``first`` boxes of the fullest ``on``, then thrice as many as in all stages
+    before. Stages are cut at priorities of some thousand boxes; wherever they lie, a stage comes before all of lower priority."""
+    most = ranked.groupBy(on).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    shares = []
+    while first < most:
+        shares.append(first / most)
+        first *= 4
+    if not shares:
+        return F.lit(0), 0
+    some = ranked.select("_p").orderBy(F.xxhash64("_p")).limit(4000).orderBy("_p").collect()
+    kind = ranked.schema["_p"].dataType
+    cut_at = lambda p: F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(kind.fields, p, strict=True)])
+    after = [(F.col("_p") > cut_at(some[int(s * len(some))]["_p"])).cast("int") for s in shares]
+    return reduce(Column.__add__, after), len(shares)
+
+
+def without_overlaps(boxes: DataFrame, on: str, order: list[str], most: float = 0.5, first: int = 4096) -> DataFrame:
     """Greedy suppression among the boxes of one ``on``: in ``order``, which has no ties but between equal rows, a box goes if a kept one
     shares more than ``most`` (under 1) of the smaller of both.
 
-    Nothing is grouped by image. Rows of one place and size are one box, the first of them. In each round the boxes that nothing
-    undecided comes before are kept and take what they overlap with them; a round is two joins on the pairs left. Rounds are as
-    many as the longest chain of boxes of falling priority that overlap, a few where priority doesn't follow place.
+    Nothing is grouped by image. Rows of one place and size are one box, the first of them. Boxes come in stages of falling priority
+    and growing number: those that a kept box takes go first, so that pairs, which grow with the square of how dense boxes lie, are only made
+    among the few that are left. In each round the boxes that nothing undecided comes before are kept and take what
+    they overlap with them; a round is two joins on the pairs left. Rounds are as many as the longest chain of boxes of falling
+    priority that overlap, a few where priority doesn't follow place.
     """
     place = [on, *"xywh"]
     ranked = boxes.withColumn("_p", F.struct(*order))
-    first = top_per_group(ranked.filter("w > 0 AND h > 0"), place, [F.col("_p")], 1).withColumn("_id", F.monotonically_increasing_id())
-    first = cut(first)
-    left = cut(overlapping(first, on, most))
+    alone = cut(top_per_group(ranked.filter("w > 0 AND h > 0"), place, [F.col("_p")], 1).withColumn("_id", F.monotonically_increasing_id()))
+    stage, last = _stages(alone, on, first)
+    c = F.col
+    wide = F.least(c("x") + c("w"), c("mx") + c("mw")) - F.greatest("x", "mx")
+    high = F.least(c("y") + c("h"), c("my") + c("mh")) - F.greatest("y", "my")
+    taken = (wide > 0) & (high > 0) & (wide * high > most * F.least(c("w") * c("h"), c("mw") * c("mh")))
+    kept = None
+    for k in range(last + 1):
+        here = alone.filter(stage == k) if last else alone
+        if kept is not None:
+            here = cut(touching(here, kept.select(on, *[c(n).alias("m" + n) for n in "xywh"]), on, taken, "left_anti"))
+        here = _undisputed(here, on, most)
+        here = cut(here) if k < last else here
+        kept = here if kept is None else kept.unionByName(here)
+    return kept.select(boxes.columns).unionByName(boxes.filter("NOT (w > 0 AND h > 0)"))
+
+
+def _undisputed(boxes: DataFrame, on: str, most: float) -> DataFrame:
+    """without_overlaps() of distinct boxes with _id and _p, round by round."""
+    left = cut(overlapping(boxes, on, most))
     gone = None
     while not left.isEmpty():
         firsts = left.select("a").distinct().join(left.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
         out = cut(left.join(firsts, "a", "left_semi").select("b").distinct())
         gone = out if gone is None else gone.unionByName(out)
         left = cut(left.join(out, "b", "left_anti").join(out.withColumnRenamed("b", "a"), "a", "left_anti"))
-    kept = first if gone is None else first.join(gone.withColumnRenamed("b", "_id"), "_id", "left_anti")
-    return kept.select(boxes.columns).unionByName(boxes.filter("NOT (w > 0 AND h > 0)"))
+    return boxes if gone is None else boxes.join(gone.withColumnRenamed("b", "_id"), "_id", "left_anti")
 
 
 def by_suffix(left: DataFrame, right: DataFrame, key: str, name: str, value: str) -> DataFrame:

@@ -82,3 +82,16 @@ def test_overlaps_by_grid():
     rng = np.random.default_rng(8)
     found = [{"x": int(x), "y": int(y), "w": int(w), "h": int(h), "scale": 1} for x, y, w, h in zip(*rng.integers(-60, 60, (2, 800)), *rng.integers(0, 50, (2, 800)), strict=True)]
     assert [tuple(r[c] for c in "xywh") for r in K.without_overlaps(found)] == plain_greedy([tuple(r[c] for c in "xywh") for r in found])
+
+
+@pytest.mark.parametrize("first", [10, 100, 4096])
+def test_suppression_by_stages(spark, first):
+    """Crowded boxes, copies among them: the same ones stay however the stages are cut, and later stages meet few pairs."""
+    from selenite.operators import relational as R
+
+    rng = np.random.default_rng(4)
+    rows = [(k % 2, k, *map(int, rng.integers(0, 60, 2)), *map(int, rng.integers(1, 25, 2))) for k in range(1200)]
+    rows += [(i, k + 1200, *box) for i, k, *box in rows[:40]]
+    df = spark.createDataFrame(rows, "image int, k int, x int, y int, w int, h int").repartition(5)
+    want = sorted((i, *box) for i in (0, 1) for box in plain_greedy([tuple(r[2:]) for r in rows if r[0] == i]))
+    assert sorted((r["image"], r["x"], r["y"], r["w"], r["h"]) for r in R.without_overlaps(df, "image", ["k"], first=first).collect()) == want
