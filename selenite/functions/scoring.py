@@ -88,6 +88,16 @@ def flags() -> Column:
     return F.array_compact(F.array(*(F.when(has([name]), name) for name in sorted(flag_rules()))))
 
 
+def mask(value: Column, names) -> Column:
+    """A bit for the name that a value is, by the names' order; null for none. What bit_or() gathers of it is a number of fixed width, not a set."""
+    return reduce(lambda w, k: w.when(value == k[1], 1 << k[0]), enumerate(sorted(names)), F.when(F.lit(False), 0))
+
+
+def named(mask: Column, names) -> Column:
+    """Sorted array of the names whose bits are set; empty for null."""
+    return F.array_compact(F.array(*(F.when(mask.bitwiseAND(1 << k) != 0, name) for k, name in enumerate(sorted(names)))))
+
+
 def interest() -> Column:
     """0 to 100; a null measurement earns nothing."""
     c = F.col

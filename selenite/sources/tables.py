@@ -32,8 +32,9 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def boxes_by(spark: SparkSession, sf_dir: str, name: str, key: Column) -> DataFrame:
-    """Boxes with a key made from their lines' columns, dealt by it: the lines travel, which are narrower than what is derived from them."""
-    lines = table(spark, sf_dir, "lineitem").withColumn(name, key).repartition(name)
+    """Boxes with a key made from their lines' columns, dealt and sorted by it: the lines travel and are sorted, which are narrower
+    than what is derived from them."""
+    lines = table(spark, sf_dir, "lineitem").withColumn(name, key).repartition(name).sortWithinPartitions(name)
     return spark.sql(BOXES.replace("FROM lineitem", f", {name} FROM {{lineitem}}"), lineitem=lines)
 
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from selenite.functions import scoring as S
 from selenite.operators import relational as R
 from selenite.plans import registry
 
@@ -162,6 +163,29 @@ def test_lines_travel_not_what_is_derived(spark, name, monkeypatch):
     assert not seen or not {"flags", "bands", "polarities"} & set(seen[0].columns)
 
 
+@pytest.mark.parametrize("name", ["insights_by_flags", "enriched_features"])
+def test_features_are_made_as_rows_pass(spark, name, monkeypatch):
+    """Lines are sorted where they arrive, before anything is derived from them; above them features are made without another sort or sets."""
+    from selenite.functions import phrases
+
+    seen = []
+    monkeypatch.setattr(phrases, "cut", lambda df: seen.append(df) or df)
+    df = registry.QUERIES[name](spark, DATA)
+    plan = (seen or [df])[0]._jdf.queryExecution().executedPlan().toString().splitlines()
+    above = plan[: next(k for k, line in enumerate(plan) if "Exchange hashpartitioning(feature" in line)]
+    assert "Sort [feature" in above[-1] and sum("Sort [" in line for line in above) == 1
+    assert sum("SortAggregate(" in line for line in above) == 2 and not any("ObjectHash" in line for line in above)
+
+
+def test_bits_of_names(spark):
+    """Names gathered as bits are those that a sorted set holds; nulls are none."""
+    rows = [(k % 3, [None, "", "RED", "MIRB"][(k * k) % 4]) for k in range(9)] + [(7, None)]
+    df = spark.createDataFrame(rows, "g int, name string")
+    names = ("MIRB", "RED", "")
+    got = df.groupBy("g").agg(F.bit_or(S.mask(F.col("name"), names)).alias("m")).select("g", S.named(F.col("m"), names).alias("names"))
+    assert {r["g"]: r["names"] for r in got.collect()} == {g: sorted({n for h, n in rows if h == g and n is not None}) for g in (0, 1, 2, 7)}
+
+
 def test_neighbours_are_dealt_sparingly(spark):
     """Places on and beside the borders of cells, negative ones, copies: each pair once; the dealt side is under three times its rows."""
     rng = np.random.default_rng(5)
