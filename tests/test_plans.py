@@ -186,6 +186,27 @@ def test_bits_of_names(spark):
     assert {r["g"]: r["names"] for r in got.collect()} == {g: sorted({n for h, n in rows if h == g and n is not None}) for g in (0, 1, 2, 7)}
 
 
+def test_leads_are_read_once(spark, monkeypatch):
+    """Where no taxes are asked for, leads are filtered lines: nothing is shuffled before they are written down."""
+    from selenite.plans import features
+
+    plans, real = [], features.cut
+    monkeypatch.setattr(features, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    features.cards(spark, DATA)
+    assert len(plans) == 1 and plans[0].count("FileScan") == 1 and "Exchange" not in plans[0]
+
+
+def test_leads_with_and_without_taxes(spark, tmp_path):
+    """Lines whose key has a null are no leads, equal keys are, either way."""
+    from selenite.plans import features
+
+    lines = spark.read.parquet(f"{DATA}/lineitem.parquet").limit(3000)
+    odd = lines.limit(300)
+    lines.unionByName(odd).unionByName(odd.withColumn("l_orderkey", F.lit(None).cast("long"))).unionByName(odd.withColumn("l_suppkey", F.lit(None).cast("long"))).write.parquet(str(tmp_path / "lineitem.parquet"))
+    keys = [sorted(tuple(r) for r in features.leads(spark, str(tmp_path), taxes=taxes).select(*features.KEY).collect()) for taxes in (False, True)]
+    assert keys[0] == keys[1] and keys[0] and len(set(keys[0])) < len(keys[0])
+
+
 def test_neighbours_are_dealt_sparingly(spark):
     """Places on and beside the borders of cells, negative ones, copies: each pair once; the dealt side is under three times its rows."""
     rng = np.random.default_rng(5)
