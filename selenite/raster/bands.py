@@ -18,6 +18,8 @@ from . import kernels as K
 
 #: Lines of a band.
 TALL = 1024
+#: Side of a square of about as many Fourier coefficients as a block of whole columns of them has.
+SIDE = 256
 
 
 def lined(df: DataFrame, image: str, order: str, values: str) -> DataFrame:
@@ -86,6 +88,25 @@ def resized(lines: DataFrame, facts: DataFrame, before: Callable[[np.ndarray, pd
     return dealt.groupBy("image_id", "_band").applyInPandas(run, "image_id long, y int, values array<double>")
 
 
+def transformed(lines: DataFrame, facts: DataFrame, before: Callable[[np.ndarray, pd.Series], np.ndarray] = lambda a, _: a, side: int = SIDE, tall: int = TALL) -> DataFrame:
+    """Fourier coefficients of each line, after ``before``, the half that real numbers have, dealt for a transform down the columns:
+    image_id, block, top, wide, part, a row a band (from line ``top`` on) and block of ``wide`` columns. A block has about
+    ``side`` x ``side`` coefficients of an image, or one column."""
+    facts = facts.withColumn("_each", F.greatest(F.lit(1), F.floor(F.lit(side * side) / F.col("height")).cast("int")))
+
+    def run(a: np.ndarray, own: int, top: int, r: pd.Series) -> pd.DataFrame:
+        half = np.fft.rfft(before(a, r), axis=1)
+        blocks = np.split(half, range(r["_each"], half.shape[1], r["_each"]), axis=1)
+        return pd.DataFrame([(k, top, v.shape[1], v.tobytes()) for k, v in enumerate(blocks)], columns=["block", "top", "wide", "part"])
+
+    return per_band(lines, facts, 0, run, "image_id long, block int, top int, wide int, part binary", tall)
+
+
+def _parts(f: pd.DataFrame, by: str) -> list[np.ndarray]:
+    """Parts of a spectrum in the order of their bands or blocks."""
+    return [np.frombuffer(r.part, np.complex128).reshape(-1, r.wide) for r in f.sort_values(by).itertuples()]
+
+
 def _moments(name: str) -> list[Column]:
     return [F.sum(f"{name}_{c}_{s}").alias(f"{name}_{c}_{s}") for c in ("in", "out") for s in "nsq"]
 
@@ -165,10 +186,40 @@ def _unit() -> Column:
     return F.transform("values", scaled)
 
 
-def compared(lines: DataFrame, group: Column, most_shift: float = 0.15, tall: int = TALL) -> DataFrame:
-    """Images of a ``group`` of image_id against the one of the smallest id, as evidence.compared() has them of whole images.
+def peaks(lines: DataFrame, pairs: DataFrame, side: int = SIDE, tall: int = TALL) -> DataFrame:
+    """image_id, y, x: where the normalised cross power of the images ``ref`` and image_id of ``pairs``, both to_height x to_width, is
+    largest, as kernels.phase_shift() has it of whole images, before it wraps.
+
+    Lines are transformed by bands, columns by blocks, where both images meet, then lines back by bands: a task has a band or a block.
+    """
+    c = F.col
+    roles = pairs.select("image_id", c("image_id").alias("pair"), F.lit(False).alias("first"), "to_width")
+    roles = roles.unionByName(pairs.select(c("ref").alias("image_id"), c("image_id").alias("pair"), F.lit(True).alias("first"), "to_width"))
+    facts = pairs.select("image_id", "to_height").unionByName(pairs.select(c("ref").alias("image_id"), "to_height")).distinct().withColumnRenamed("to_height", "height")
+    met = transformed(lines, facts, side=side, tall=tall).join(F.broadcast(roles), "image_id").drop("image_id")
+
+    def cross(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+        a, b = (np.fft.fft(np.concatenate(_parts(f[f["first"] == first], "top")), axis=0) for first in (True, False))
+        both = a * np.conj(b)
+        if key[1] == 0:
+            both[0, 0] = 0  # the means
+        v = np.fft.ifft(both / (np.abs(both) + 1e-12), axis=0)
+        rows = [(key[0], key[1], top, v.shape[1], int(f["to_width"].iloc[0]), v[top : top + tall].tobytes()) for top in range(0, len(v), tall)]
+        return pd.DataFrame(rows, columns=["image_id", "block", "top", "wide", "to_width", "part"])
+
+    def peak(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+        v, y, x = K.peak_of(np.fft.irfft(np.concatenate(_parts(f, "block"), axis=1), f["to_width"].iloc[0], axis=1))
+        return pd.DataFrame({"image_id": [key[0]], "y": [y + key[1]], "x": [x], "v": [v]})
+
+    crossed = met.groupBy("pair", "block").applyInPandas(cross, "image_id long, block int, top int, wide int, to_width int, part binary")
+    found = crossed.groupBy("image_id", "top").applyInPandas(peak, "image_id long, y int, x int, v double")
+    return R.keep_best(found, ["image_id"], [F.desc("v"), c("y"), c("x")]).drop("v")
+
+
+def compared(lines: DataFrame, group: Column, most_shift: float = 0.15, tall: int = TALL, side: int = SIDE) -> DataFrame:
+    """Images of a ``group`` of image_id against the one of the smallest id, as evidence.compared() has them of whole images of any size.
 
-    Whole in one task is only the middle part that the shift is told from, of 700 x 700 pixels at most.
+    In one task are at most a band of lines, or a block of columns of both images' spectra.
     """
     c = F.col
     of = sizes(lines).withColumn("footprint", group)
@@ -181,20 +232,10 @@ def compared(lines: DataFrame, group: Column, most_shift: float = 0.15, tall: in
     q = cut(R.quantiles_by(pixels(both), ["image_id"], c("v"), {"p": 0.02, "q": 0.98}))
     unit = both.join(F.broadcast(q), "image_id").select("image_id", "y", _unit().alias("values"))
     of_refs = unit.select(c("image_id").alias("ref"), "y", c("values").alias("a"))
-    side = F.least(F.lit(512), "to_height", "to_width")
-    middle = F.greatest("to_height", "to_width") > 700
-    part = lambda n: (F.when(middle, F.floor((c(n) - side) / 2)).otherwise(0).cast("int"), F.when(middle, side).otherwise(c(n)))
-    (y, h), (x, w) = part("to_height"), part("to_width")
-    inner = unit.join(F.broadcast(pairs), "image_id").filter((c("y") >= y) & (c("y") < y + h)).withColumns({"_x": x, "_w": w})
-    met = inner.join(of_refs, ["ref", "y"]).select("image_id", "y", "to_height", "to_width", *[F.slice(v, c("_x") + 1, c("_w")).alias(n) for v, n in (("a", "a"), ("values", "b"))])
-
-    def shift(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
-        f, r = f.sort_values("y"), f.iloc[0]
-        dx, dy = K.phase_shift(np.stack(f["a"].to_numpy()), np.stack(f["b"].to_numpy()))
-        ok = abs(dx) <= most_shift * r.to_width and abs(dy) <= most_shift * r.to_height
-        return pd.DataFrame({"image_id": [key[0]], "dx": [dx if ok else 0], "dy": [dy if ok else 0], "trusted": [ok]})
-
-    shifts = met.groupBy("image_id").applyInPandas(shift, "image_id long, dx int, dy int, trusted boolean")
+    dx, dy = (F.when(c(p) > F.floor(c(n) / 2), c(p) - c(n)).otherwise(c(p)) for p, n in (("x", "to_width"), ("y", "to_height")))
+    shifts = peaks(unit, pairs, side, tall).join(pairs, "image_id").select("image_id", dx.alias("dx"), dy.alias("dy"), "to_height", "to_width")
+    shifts = shifts.withColumn("trusted", (F.abs("dx") <= most_shift * c("to_width")) & (F.abs("dy") <= most_shift * c("to_height")))
+    shifts = shifts.select("image_id", *[F.when(c("trusted"), c(n)).otherwise(0).cast("int").alias(n) for n in ("dx", "dy")], "trusted")
     fill = pixels(unit).groupBy("image_id").agg(F.avg("v").alias("fill"))
     pairs = cut(pairs.join(shifts, "image_id").join(fill, "image_id"))
     moved = unit.join(F.broadcast(pairs.select("image_id", "dy")), "image_id").select("image_id", (c("y") + c("dy")).alias("y"), c("values").alias("b"))

@@ -108,3 +108,32 @@ def test_boxes_by_bands(lines, images, name):
         a = a.astype(np.float64)
         want = E.analysed(E.greys(a, a.min(), a.max()), 1, (1,), z=2.5, least=3)[0]
         assert all(v == want.get(n) for n, v in got[k].items() if n != "image_id")
+
+
+def test_shift_is_told_from_the_whole_image(spark):
+    """A middle part that lies still doesn't hide that the image around it is moved; images of over 700 lines, by bands and blocks."""
+    rng = np.random.default_rng(6)
+    for high, wide in ((720, 16), (40, 705)):
+        a = rng.normal(0, 1, (high, wide)).astype(np.float32)
+        b = np.roll(a, (-5, 2), (0, 1))
+        side = min(high, wide)
+        y, x = (high - side) // 2, (wide - side) // 2
+        b[y : y + side, x : x + side] = a[y : y + side, x : x + side]
+        df = spark.createDataFrame([(k, i, line.tolist()) for k, v in enumerate((a, b, a)) for i, line in enumerate(v)], "label int, vec_id long, embedding array<float>")
+        got = by_image(B.compared(B.lined(df, "label", "vec_id", "embedding"), B.F.lit(0).cast("long"), tall=100, side=40))
+        assert set(got) == {1, 2}
+        for k, v in ((1, b), (2, a)):
+            want = E.compared(a.astype(np.float64), v.astype(np.float64))
+            assert (got[k]["dx"], got[k]["dy"]) == (want["dx"], want["dy"]) == ((-2, 5) if k == 1 else (0, 0))
+            assert all(got[k][n] == want[n] for n in ("mean_abs", "max_abs", "p95", "likeness", "verdict", "trusted"))
+
+
+def test_equal_peaks(spark):
+    """Where copies in both images make many shifts fit alike, the first is taken, by bands as in whole images."""
+    rng = np.random.default_rng(7)
+    a = np.tile(rng.normal(0, 1, (90, 13)), (9, 1)).astype(np.float32)
+    b = np.tile(np.roll(a[:90], (-5, 2), (0, 1)), (9, 1))
+    df = spark.createDataFrame([(k, i, line.tolist()) for k, v in enumerate((a, b)) for i, line in enumerate(v)], "label int, vec_id long, embedding array<float>")
+    r = B.compared(B.lined(df, "label", "vec_id", "embedding"), B.F.lit(0).cast("long"), most_shift=0.2, tall=100, side=40).first()
+    want = E.compared(a.astype(np.float64), b.astype(np.float64), most_shift=0.2)
+    assert (r["dx"], r["dy"]) == (want["dx"], want["dy"]) == (-2, 5)
