@@ -107,6 +107,55 @@ def _parts(f: pd.DataFrame, by: str) -> list[np.ndarray]:
     return [np.frombuffer(r.part, np.complex128).reshape(-1, r.wide) for r in f.sort_values(by).itertuples()]
 
 
+def strongest(powers: DataFrame, wanted: DataFrame) -> DataFrame:
+    """image_id, top, total: the sum of the ``wanted`` largest values of each image, a number in its row, and that of all of them.
+    ``powers`` (image_id, part) has the values, none negative, as bytes of doubles.
+
+    A selection by the bits of the values, which are in the order of the values: they are counted by their first 19 bits, those that share
+    them with the wanted rank by the next 22, and then by the last. No task gets more than a row a bin of an image.
+    """
+    c = F.col
+    image = Window.partitionBy("image_id")
+    larger = image.orderBy(F.desc("key")).rowsBetween(Window.unboundedPreceding, -1)
+    left = wanted.select("image_id", "wanted", F.lit(0).cast("long").alias("head"), F.lit(0.0).alias("top"), F.lit(None).cast("double").alias("total"))
+    for above, low in ((63, 44), (44, 22), (22, 0)):
+
+        def counted(frames, above=above, low=low):
+            for f in frames:
+                for r in f.itertuples():
+                    v = np.frombuffer(r.part)
+                    bits = v.view(np.int64) & np.iinfo(np.int64).max
+                    own = bits >> above == r.head
+                    if own.any():
+                        keys, at, n = np.unique(bits[own] >> low, return_inverse=True, return_counts=True)
+                        yield pd.DataFrame({"image_id": r.image_id, "key": keys, "n": n, "s": np.bincount(at, v[own])})
+
+        told = powers.join(F.broadcast(left.select("image_id", "head")), "image_id").mapInPandas(counted, "image_id long, key long, n long, s double")
+        bins = told.groupBy("image_id", "key").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).join(F.broadcast(left.select("image_id", "wanted", "top", "total")), "image_id")
+        bins = bins.withColumns({"_n": F.coalesce(F.sum("n").over(larger), F.lit(0)), "_s": F.coalesce(F.sum("s").over(larger), F.lit(0.0)), "total": F.coalesce("total", F.sum("s").over(image))})
+        bins = bins.filter((c("_n") < c("wanted")) & (c("_n") + c("n") >= c("wanted")))
+        left = cut(bins.select("image_id", (c("wanted") - c("_n")).alias("wanted"), c("key").alias("head"), (c("top") + c("_s")).alias("top"), "total", (c("s") / c("n")).alias("each")))
+    return left.select("image_id", (c("top") + c("wanted") * c("each")).alias("top"), "total")
+
+
+def energies(lines: DataFrame, facts: DataFrame, side: int = SIDE, tall: int = TALL) -> DataFrame:
+    """image_id, top, total: the power of the strongest hundredth of the whole spectrum and of all of it but the mean, whose ratio is
+    kernels.grid_energy(); of images under 64 pixels the total is 0. ``facts`` has height, width and mean."""
+
+    def power(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+        v = np.abs(np.fft.fft(np.concatenate(_parts(f, "top")), axis=0)) ** 2
+        if key[1] == 0:
+            v[0, 0] = 0
+        return pd.DataFrame({"image_id": [key[0]], "part": [v.tobytes()]})
+
+    c = F.col
+    parts = transformed(lines, facts, lambda a, r: a - r["mean"], side, tall)
+    powers = cut(parts.groupBy("image_id", "block").applyInPandas(power, "image_id long, part binary"))
+    wanted = F.greatest(F.lit(1), F.rint(c("height") * (F.floor(c("width") / 2) + 1) * 0.01).cast("long"))
+    found = strongest(powers, facts.select("image_id", wanted.alias("wanted"))).join(F.broadcast(facts), "image_id")
+    return found.select("image_id", "top", F.when(c("height") * c("width") < 64, F.lit(0.0)).otherwise(c("total")).alias("total"))
+
+
 def _moments(name: str) -> list[Column]:
     return [F.sum(f"{name}_{c}_{s}").alias(f"{name}_{c}_{s}") for c in ("in", "out") for s in "nsq"]
 
@@ -120,19 +169,18 @@ def _contrast(r, name: str) -> float:
     return abs(r[f"{name}_in_s"] / n - out) / (np.sqrt(max(0.0, r[f"{name}_out_q"] / m - out**2)) + 1e-6)
 
 
-def measures(lines: DataFrame, cap: int = 256, most_side: int = 1600, tall: int = TALL) -> DataFrame:
+def measures(lines: DataFrame, side: int = SIDE, most_side: int = 1600, tall: int = TALL) -> DataFrame:
     """image_id, grid_energy, roundness, persistence of the middle box and flagged (captions), as kernels.py has them of a whole image.
 
-    Whole in one task are at most ``cap`` x ``cap`` pixels for the spectrum, and ``most_side`` x ``most_side`` for the captions.
+    In one task are at most a band, a block of columns of the spectrum, and ``most_side`` x ``most_side`` pixels for the captions.
     """
     c = F.col
     values = pixels(lines)
     q = R.quantiles_by(values, ["image_id"], c("v"), {"low": 0.01, "mid": 0.5, "high": 0.99})
     facts = sizes(lines).join(values.groupBy("image_id").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std")), "image_id").join(q, "image_id")
-    side = F.greatest("height", "width")
-    small = F.least(F.lit(1.0), F.lit(float(most_side)) / side)
+    small = F.least(F.lit(1.0), F.lit(float(most_side)) / F.greatest("height", "width"))
     shrunk = lambda n: F.when(c("small") < 1, F.greatest(F.lit(8), F.floor(c(n) * c("small")).cast("int"))).otherwise(c(n))
-    facts = facts.withColumns({"step": F.greatest(F.lit(1), F.ceil(side / cap).cast("int")), "small": small})
+    facts = facts.withColumn("small", small)
     facts = cut(facts.withColumns({"to_height": shrunk("height"), "to_width": shrunk("width")}))
 
     def band(a: np.ndarray, own: int, top: int, r: pd.Series) -> dict:
@@ -152,12 +200,6 @@ def measures(lines: DataFrame, cap: int = 256, most_side: int = 1600, tall: int
     told = per_band(lines, facts, 3, band, f"image_id long, area long, edge long, {sums}", tall)
     told = told.groupBy("image_id").agg(F.sum("area").alias("area"), F.sum("edge").alias("edge"), *_moments("before"), *_moments("after"))
 
-    def spectrum(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
-        a = array_of(f)
-        return pd.DataFrame({"image_id": [key[0]], "grid_energy": [K.grid_energy(a[:, :: f["step"].iloc[0]], cap)]})
-
-    thin = lines.join(F.broadcast(facts), "image_id").filter(c("y") % c("step") == 0).groupBy("image_id").applyInPandas(spectrum, "image_id long, grid_energy double")
-
     def grey(a: np.ndarray, r: pd.Series) -> np.ndarray:
         v = np.clip((a - r["low"]) * (255.0 / (r["high"] - r["low"])), 0, 255) if r["high"] - r["low"] >= 1e-6 else np.zeros(a.shape)
         return np.floor(v) if r["small"] < 1 else v
@@ -175,9 +217,10 @@ def measures(lines: DataFrame, cap: int = 256, most_side: int = 1600, tall: int
             before = f.apply(_contrast, axis=1, args=("before",), result_type="reduce")
             after = f.apply(_contrast, axis=1, args=("after",), result_type="reduce")
             kept = [round(float(np.clip(a / b, 0, 1)), 3) if b > 0 else 0.0 for a, b in zip(after, before, strict=True)]
-            yield pd.DataFrame({"image_id": f["image_id"], "grid_energy": f["grid_energy"], "roundness": [K.round_of(m, e) for m, e in zip(f["area"], f["edge"], strict=True)], "persistence": kept, "flagged": f["flagged"]})
+            energy = [round(float(a / b), 4) if b > 0 else 0.0 for a, b in zip(f["top"], f["total"], strict=True)]
+            yield pd.DataFrame({"image_id": f["image_id"], "grid_energy": energy, "roundness": [K.round_of(m, e) for m, e in zip(f["area"], f["edge"], strict=True)], "persistence": kept, "flagged": f["flagged"]})
 
-    return told.join(thin, "image_id").join(text, "image_id").mapInPandas(rows, "image_id long, grid_energy double, roundness double, persistence double, flagged boolean")
+    return told.join(energies(lines, facts, side, tall), "image_id").join(text, "image_id").mapInPandas(rows, "image_id long, grid_energy double, roundness double, persistence double, flagged boolean")
 
 
 def _unit() -> Column:

@@ -137,3 +137,42 @@ def test_equal_peaks(spark):
     r = B.compared(B.lined(df, "label", "vec_id", "embedding"), B.F.lit(0).cast("long"), most_shift=0.2, tall=100, side=40).first()
     want = E.compared(a.astype(np.float64), b.astype(np.float64), most_shift=0.2)
     assert (r["dx"], r["dy"]) == (want["dx"], want["dy"]) == (-2, 5)
+
+
+def energy(a: np.ndarray) -> float:
+    """Share of the strongest hundredth of all coefficients but the mean's."""
+    power = np.abs(np.fft.rfft2(a - a.mean())) ** 2
+    power[0, 0] = 0
+    flat = np.sort(power.ravel())[::-1]
+    return float(flat[: max(1, round(flat.size * 0.01))].sum() / flat.sum())
+
+
+def test_spectrum_is_whole(spark):
+    """Every line and column counts in images of over 256 a side, as do all of equal strength; constant and tiny images have none."""
+    rng = np.random.default_rng(8)
+    odd = rng.normal(0, 1, (301, 20))
+    odd[::2] = odd[:, ::2] = 0  # what every second line and column holds
+    spot = np.zeros((60, 9))
+    spot[7, 5] = 3
+    grid = rng.normal(0, 1, (40, 517)) + 3 * np.sin(np.arange(517) * 2.9)
+    images = {k: a.astype(np.float32).astype(np.float64) for k, a in enumerate((odd, spot, grid, np.full((33, 10), 0.1), rng.normal(0, 1, (7, 9))))}
+    whole = [K.grid_energy(a) for a in images.values()]
+    assert whole[:3] == pytest.approx([energy(images[k]) for k in range(3)], abs=6e-5) and whole[3:] == [0, 0]
+    assert [K.grid_energy(a, 20) for a in images.values()] == whole
+    df = spark.createDataFrame([(k, y, line.tolist()) for k, a in images.items() for y, line in enumerate(a)], "label int, vec_id long, embedding array<float>")
+    lines = B.lined(df, "label", "vec_id", "embedding")
+    facts = B.sizes(lines).join(B.pixels(lines).groupBy("image_id").agg(B.F.avg("v").alias("mean")), "image_id")
+    got = {r["image_id"]: r["top"] / r["total"] if r["total"] else 0.0 for r in B.energies(lines, facts, 40, 64).collect()}
+    assert [got[k] for k in images] == pytest.approx(whole, abs=6e-5)
+
+
+def test_large_box_has_its_whole_spectrum(spark):
+    """kernel_evidence on a box whose surroundings are over 256 lines high."""
+    a = np.random.default_rng(9).normal(0, 1, (420, 24))
+    a[60:330, 11:13] += 30
+    a = a.astype(np.float32)
+    df = spark.createDataFrame([(4, y, line.tolist()) for y, line in enumerate(a)], "label int, vec_id long, embedding array<float>")
+    r = B.evidence(B.lined(df, "label", "vec_id", "embedding"), 2.5, 3, 100).first()
+    a = a.astype(np.float64)
+    part, _ = E.crop(E.greys(a, a.min(), a.max()), (r["x"], r["y"], r["w"], r["h"]))
+    assert len(part) > 256 and r["grid_energy"] == pytest.approx(energy(part), abs=6e-5)
